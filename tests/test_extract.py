@@ -1,0 +1,182 @@
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.functions.scalars import qualified_name
+from tidemark.operators import stats
+from tidemark.plans import audit as au
+from tidemark.plans import extract as ex
+from tidemark.sources.files import FileSource
+
+
+@pytest.fixture
+def source(spark, sf_dir):
+    return FileSource(spark, sf_dir, keys={"orders": ["o_orderkey"]})
+
+
+def rows_of(run):
+    return {r["table_name"]: r.asDict() for r in run.audit.collect()}
+
+
+def test_large_table_is_paged_and_complete(source):
+    got = ex.extract_table(source, "orders", chunk_size=400, config_name="files")
+    assert got.audit["status"] == "ok" and got.audit["chunked"]
+    assert got.audit["num_chunks"] == 4 and got.audit["key_cols"] == "o_orderkey"
+    pages = {r["_chunk_id"]: (r["n_rows"], r["error"]) for r in got.pages().collect()}
+    assert pages == {0: (400, None), 1: (400, None), 2: (400, None), 3: (300, None)}
+
+
+def test_small_table_is_one_page(source):
+    got = ex.extract_table(source, "region")
+    assert not got.audit["chunked"] and got.audit["num_chunks"] is None
+    assert [r["n_rows"] for r in got.pages().collect()] == [5]
+    assert {r["_chunk_id"] for r in got.rows.collect()} == {0}
+
+
+def test_forced_without_a_key_is_read_whole(source):
+    got = ex.extract_table(source, "customer", force_chunking=True, chunk_size=10)
+    assert not got.audit["chunked"] and got.audit["status"] == "ok"
+
+
+def test_forced_empty_table_is_read_whole(spark, tmp_path):
+    spark.range(0).write.parquet(str(tmp_path / "empty.parquet"))
+    source = FileSource(spark, str(tmp_path), keys={"empty": ["id"]})
+    got = ex.extract_table(source, "empty", force_chunking=True)
+    assert not got.audit["chunked"]
+    assert (got.audit["row_count"], got.audit["extracted_rows"], got.audit["status"]) == (0, 0, "ok")
+
+
+def test_array_columns_survive(source, spark, sf_dir):
+    got = ex.extract_table(source, "embeddings").rows.drop("_chunk_id")
+    want = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+def test_bad_chunk_size(source):
+    with pytest.raises(ValueError):
+        ex.extract_table(source, "orders", chunk_size=0)
+
+
+def test_one_failing_table_among_good_ones(source):
+    run = ex.extract_tables(source, ["region", "no_such_table", "nation"])
+    rows = rows_of(run)
+    assert set(run.frames) == {"region", "nation"}
+    assert rows["no_such_table"]["status"] == "failed" and rows["no_such_table"]["error"]
+    assert run.totals().first().asDict() == {"succeeded": 2, "failed": 1}
+    report = {r["table_name"]: r for r in au.report(run.audit).collect()}
+    assert report["region"]["rows"] == 5 and report["no_such_table"]["rows"] is None
+
+
+def test_first_error_is_raised_on_request(source):
+    with pytest.raises(ex.ExtractionFailed):
+        ex.extract_tables(source, ["no_such_table"], skip_on_error=False)
+
+
+def test_settings_per_table(source):
+    tables = {"orders": {"schema": "sales", "chunk_size": 500}, "nation": None}
+    rows = rows_of(ex.extract_tables(source, tables))
+    assert rows["orders"]["schema_name"] == "sales" and rows["orders"]["num_chunks"] == 3
+    assert rows["nation"]["schema_name"] == "raw"
+    with pytest.raises(ValueError):
+        ex.extract_tables(source, "orders")
+
+
+def test_forcing_reaches_every_table(source):
+    rows = rows_of(ex.extract_tables(source, ["orders"], force_chunking=True))
+    assert rows["orders"]["chunked"] and rows["orders"]["num_chunks"] == 1
+
+
+class Broken(FileSource):
+    """A source whose probe fails, or that loses rows."""
+
+    def row_count(self, table, schema=None):
+        if table == "nation":
+            raise OSError("no count today")
+        return super().row_count(table, schema) + (7 if table == "region" else 0)
+
+
+def test_failed_probe_is_recorded_and_the_table_read(spark, sf_dir):
+    got = ex.extract_table(Broken(spark, sf_dir), "nation")
+    assert got.audit["probe_error"] == "no count today"
+    assert got.audit.get("row_count") is None
+    assert got.audit["extracted_rows"] == 25 and got.audit["status"] == "unverified"
+    assert got.pages().count() == 0
+
+
+def test_incomplete_table_fails_unless_allowed(spark, sf_dir):
+    source = Broken(spark, sf_dir)
+    with pytest.raises(ex.ExtractionFailed) as failure:
+        ex.extract_table(source, "region")
+    assert failure.value.audit["error"] == "expected 12 rows, extracted 5"
+    assert ex.extract_table(source, "region", allow_partial=True).audit["status"] == "partial"
+    run = ex.extract_tables(source, ["region", "customer"])
+    missing = {r["table_name"]: r["missing_rows"] for r in au.completeness(run.audit).collect()}
+    assert missing == {"region": 7, "customer": 0}
+
+
+def test_status():
+    assert au.status_of(None, 3) == "unverified"
+    assert au.status_of(3, 3) == "ok"
+    assert au.status_of(3, 2) == "failed"
+    assert au.status_of(3, 2, allow_partial=True) == "partial"
+    assert au.status_of(3, 4, allow_partial=True) == "failed"
+
+
+def test_rows_are_counted_while_they_are_written(source, monkeypatch):
+    """Landing is one pass: nothing counts the landed or source rows again."""
+    calls = []
+    real = FileSource.read
+    monkeypatch.setattr(FileSource, "read", lambda self, t, s=None, **k: calls.append(t) or real(self, t, s, **k))
+    ex.extract_table(source, "customer")
+    assert calls == ["customer", "customer"]  # the footer count, then the rows
+
+
+def test_chunk_rule(spark):
+    counts = spark.createDataFrame(
+        [("a", 51_200), ("b", 51_201), ("c", 0), ("d", 250_000)], "table_name string, row_count long"
+    )
+    got = {r["table_name"]: (r["chunked"], r["num_chunks"]) for r in stats.chunk_decision(counts).collect()}
+    assert got == {"a": (False, 1), "b": (True, 1), "c": (False, 0), "d": (True, 3)}
+    assert not stats.should_chunk(51_200, 100_000) and stats.should_chunk(51_201, 100_000)
+    assert stats.should_chunk(1, 100_000, force=True) and not stats.should_chunk(0, 1, force=True)
+
+
+def test_key_profile(spark):
+    df = spark.createDataFrame([(1, "a", 1), (1, "b", 2), (2, None, 3)], "a int, b string, c int")
+    assert stats.find_key(df, [["a"], ["a", "b"], ["c"]]) == ("c",)
+    assert stats.find_key(df, [["a"]]) is None
+    profile = stats.key_profile(df, ["a", "b"], "t").first()
+    assert (profile["n_rows"], profile["n_distinct"], profile["n_null"]) == (3, 3, 1)
+
+
+def test_catalog_keys_in_order(spark):
+    constraints = spark.createDataFrame(
+        [("pk", "PRIMARY KEY", "raw", "t"), ("fk", "FOREIGN KEY", "raw", "t"), ("pk", "PRIMARY KEY", "x", "t")],
+        "constraint_name string, constraint_type string, table_schema string, table_name string",
+    )
+    usage = spark.createDataFrame(
+        [("pk", "raw", "t", "b", 2), ("pk", "raw", "t", "a", 1), ("fk", "raw", "t", "z", 1), ("pk", "x", "t", "q", 1)],
+        "constraint_name string, table_schema string, table_name string, column_name string, ordinal_position int",
+    )
+    got = stats.constraint_key_columns(constraints, usage, "t", "raw")
+    assert [r[0] for r in got.collect()] == ["a", "b"]
+
+
+def test_qualified_names():
+    assert qualified_name("t") == '"raw"."t"'
+    assert qualified_name("t", None) == '"raw"."t"'
+    assert qualified_name("t", "") == '"t"'
+    assert qualified_name('we"ird', "s") == '"s"."we""ird"'
+
+
+def test_member_join_counts_a_repeated_member_once(spark):
+    left = spark.createDataFrame([("i", [1, 2, 2])], "name string, ks array<int>")
+    right = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "num int, col string")
+    got = stats.join_on_member(left, "ks", right, "num").select("name", "col").collect()
+    assert sorted(map(tuple, got)) == [("i", "a"), ("i", "b")]
+
+
+def test_run_log_grows(source, spark, tmp_path):
+    path = str(tmp_path / "log")
+    for table in ("region", "nation"):
+        au.append_run_log(ex.extract_tables(source, [table]).audit, path)
+    assert spark.read.parquet(path).agg(F.sum("extracted_rows")).first()[0] == 30

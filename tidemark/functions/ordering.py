@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import accumulate
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
@@ -16,7 +17,7 @@ EXACT_DOUBLE_INT = 2**53
 MAX_SPLITS = 100_000
 
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
-_BOUNDS = "__bounds"
+_BOUNDS, _FOUND, _LEADS, _BELOW = "__bounds", "__found", "__leads", "__below"
 
 
 def quoted(name: str) -> str:
@@ -41,44 +42,72 @@ def with_position(
     ``bounds`` holds the key columns, no tuple twice and at most ``n_bounds``
     rows; the caller has checked that number.  Rows stay where they are: the
     bounds travel to the tasks and each row searches them by halving.
+
+    A whole-number leading column is searched by compiled code.  Only the rows
+    that share their leading value with a bound go on to compare whole tuples.
     """
     if n_bounds == 0:
         return df.withColumn(name, F.lit(0))
-    if len(keys) == 1 and n_bounds <= MAX_SPLITS:
-        values = _exact_doubles(df, keys[0], bounds)
-        if values:
-            return _compiled_search(df, keys[0], values, name)
+    leads = _leading_values(df, keys[0], bounds) if n_bounds <= MAX_SPLITS else None
+    if leads is None:
+        ordered = _ordered_bounds(bounds, keys)
+        searched = df.withColumn(_BOUNDS, ordered)
+        return searched.withColumn(name, _halving(keys, n_bounds)).drop(_BOUNDS)
+    found = _compiled_search(df, keys[0], [float(v) for v, _ in leads])
+    if len(keys) == 1:
+        return found.withColumn(name, F.col(_FOUND)).drop(_FOUND)
+    below = list(accumulate((n for _, n in leads), initial=0))
+    table = df.sparkSession.createDataFrame(
+        [([v for v, _ in leads], below)], "leads array<bigint>, below array<int>"
+    )
+    searched = (
+        found.withColumn(_LEADS, table.select("leads").scalar())
+        .withColumn(_BELOW, table.select("below").scalar())
+        .withColumn(_BOUNDS, _ordered_bounds(bounds, keys))
+    )
+    shares_lead = F.get(F.col(_LEADS), F.col(_FOUND) - 1) == col(keys[0])
+    position = F.when(shares_lead, _halving(keys, n_bounds)).otherwise(
+        F.get(F.col(_BELOW), F.col(_FOUND))
+    )
+    return searched.withColumn(name, position).drop(_FOUND, _LEADS, _BELOW, _BOUNDS)
+
+
+def _ordered_bounds(bounds: DataFrame, keys: Sequence[str]) -> Column:
+    return bounds.agg(F.sort_array(F.collect_list(key_tuple(keys)))).scalar()
+
+
+def _halving(keys: Sequence[str], n_bounds: int) -> Column:
+    """The number of bounds at or below the key, found in about log2(n) comparisons."""
     steps = [2**i for i in range(n_bounds.bit_length())][::-1]
     key = key_tuple(keys)
-    position = F.aggregate(
+    return F.aggregate(
         F.lit(steps),
         F.lit(0),
         lambda pos, step: F.when(
             F.get(F.col(_BOUNDS), pos + step - 1) <= key, pos + step
         ).otherwise(pos),
     )
-    ordered = bounds.agg(F.sort_array(F.collect_list(key_tuple(keys)))).scalar()
-    return df.withColumn(_BOUNDS, ordered).withColumn(name, position).drop(_BOUNDS)
 
 
-def _exact_doubles(df: DataFrame, key: str, bounds: DataFrame) -> list[float] | None:
-    """The bounds of a whole-number key as doubles, or None where that is not exact.
+def _leading_values(df: DataFrame, lead: str, bounds: DataFrame) -> list[tuple[int, int]] | None:
+    """Distinct leading values of the bounds, in order, with how many bounds share each.
 
-    Rounding a key to a double never moves it across a bound that is exact.
+    None unless they are whole numbers that are exact as doubles: rounding a
+    key to a double never moves it across such a value.
     """
-    if not isinstance(df.schema[key].dataType, _INTEGRAL):
+    if not isinstance(df.schema[lead].dataType, _INTEGRAL):
         return None
-    values = [r[0] for r in bounds.select(col(key)).collect()]
-    if any(v is None or abs(v) > EXACT_DOUBLE_INT for v in values):
+    counted = bounds.groupBy(col(lead)).count().collect()
+    if any(r[0] is None or abs(r[0]) > EXACT_DOUBLE_INT for r in counted):
         return None
-    return sorted(float(v) for v in values)
+    return sorted((r[0], r[1]) for r in counted)
 
 
-def _compiled_search(df: DataFrame, key: str, values: list[float], name: str) -> DataFrame:
+def _compiled_search(df: DataFrame, key: str, values: list[float]) -> DataFrame:
+    """Add how many of ``values`` are at or below ``key``."""
     lowest, highest = float("-inf"), float("inf")
-    source, found = f"{name}__key", f"{name}__found"
-    search = Bucketizer(
-        splits=[lowest, *values, highest], inputCol=source, outputCol=found
-    )
+    source, bucket = "__lead", "__lead_bucket"
+    search = Bucketizer(splits=[lowest, *values, highest], inputCol=source, outputCol=bucket)
     keyed = df.withColumn(source, F.coalesce(col(key).cast("double"), F.lit(lowest)))
-    return search.transform(keyed).withColumn(name, F.col(found).cast("int")).drop(source, found)
+    found = search.transform(keyed).withColumn(_FOUND, F.col(bucket).cast("int"))
+    return found.drop(source, bucket)

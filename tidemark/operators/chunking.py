@@ -59,16 +59,22 @@ def check_chunk_size(chunk_size: int) -> int:
     return chunk_size
 
 
-def with_row_position(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared folder, each row with its file and row number."""
-    written = materialise(df, "positioned")
-    return written.select(
+def scan_position(scan: DataFrame) -> DataFrame:
+    """A Parquet scan with each row's file and row number."""
+    return scan.select(
         "*",
         F.col("_metadata.file_path").alias(FILE),
         F.col("_metadata.row_index").alias(ROW),
     )
 
 
+def with_row_position(df: DataFrame) -> DataFrame:
+    """``df`` with row positions: its own if it has them, else those of a written copy."""
+    if set(POSITION) <= set(df.columns):
+        return df
+    return scan_position(materialise(df, "positioned"))
+
+
 def rank(
     df: DataFrame,
     keys: Sequence[str],

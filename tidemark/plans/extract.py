@@ -95,6 +95,9 @@ def extract_table(
         "config_name": config_name,
         "database": database or getattr(source, "database", None),
         "chunked": False,
+        "chunk_size": None,
+        "num_chunks": None,
+        "row_count": None,
     }
     try:
         total = _probe(source, table, schema, audit)

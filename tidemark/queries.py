@@ -126,8 +126,8 @@ def chunk_manifest(spark, sf_dir):
     " AS _chunk_id FROM lineitem) t GROUP BY _chunk_id"
 )
 def tied_key_pages(spark, sf_dir):
-    lines = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
-    paged = chunking.page_rows(lines, ["l_orderkey", "l_linenumber"], PAGE)
+    keys = ["l_orderkey", "l_linenumber"]
+    paged = _files(spark, sf_dir).read_paged("lineitem", None, keys, PAGE)
     return paged.groupBy("_chunk_id").agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.min("l_orderkey").alias("first_key"),

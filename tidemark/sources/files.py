@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.chunking import page_rows
+from tidemark.operators.chunking import page_rows, scan_position
 
 
 def list_files(spark: SparkSession, root: str, prefix: str = "") -> DataFrame:
@@ -61,4 +61,11 @@ class FileSource:
     def read_paged(
         self, table: str, schema: str | None, keys: Sequence[str], chunk_size: int
     ) -> DataFrame:
-        return page_rows(self.read(table, schema), keys, chunk_size)
+        """All rows with their page number.
+
+        Parquet tells where each row stands, which orders the copies of a key.
+        """
+        scan = self.read(table, schema)
+        if self.format == "parquet":
+            scan = scan_position(scan)
+        return page_rows(scan, keys, chunk_size)
