@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import history as h
+from tidemark.plans.snapshots import HistoryTable
 
 D1, D2, D3, D4 = (dt.date(2024, 1, d) for d in (1, 2, 3, 4))
 
@@ -126,3 +127,37 @@ def test_sorted_snapshot(spark):
     parts = got.withColumn("p", F.spark_partition_id()).collect()
     assert [r["id"] for r in parts] == list(range(100))
     assert len({r["p"] for r in parts}) > 1
+
+
+def test_history_table_writes_closed_rows_once(spark, tmp_path):
+    table = HistoryTable(spark, str(tmp_path / "h"), ["k"])
+    with pytest.raises(LookupError):
+        table.read()
+    expected = None
+    for rows, when in ((OLD, D1), (NEW, D2), (NEW, D3), (OLD, D4)):
+        table.load(snap(spark, rows), day(when))
+        expected = (
+            h.open_history(snap(spark, rows), day(when))
+            if expected is None
+            else h.extend_history(expected, snap(spark, rows), ["k"], day(when))
+        )
+        got = table.read()
+        assert sorted(map(repr, got.select(*expected.columns).collect())) == sorted(
+            map(repr, expected.collect())
+        )
+    assert table.current().count() == len(OLD)
+    third = table.table.published_versions()[2]
+    assert table.table.staged(third).where("not is_current").isEmpty()
+
+
+def test_history_survives_a_snapshot_that_loses_everything(spark, tmp_path):
+    table = HistoryTable(spark, str(tmp_path / "h"), ["k"])
+    for d in (D1, D1):
+        table.load(snap(spark, OLD).where("k < 0"), day(d))
+        table = HistoryTable(spark, str(tmp_path / "h"), ["k"])
+        assert table.read().count() == 0
+    table.load(snap(spark, OLD), day(D1))
+    table.load(snap(spark, OLD).where("k < 0"), day(D2))
+    assert table.current().count() == 0 and table.read().count() == len(OLD)
+    table.load(snap(spark, NEW), day(D3))
+    assert table.current().count() == len(NEW) and table.read().count() == len(OLD) + len(NEW)

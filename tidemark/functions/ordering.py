@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import accumulate
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,11 +15,12 @@ from pyspark.sql import types as T
 # Whole numbers up to this magnitude are exact as doubles.
 EXACT_DOUBLE_INT = 2**53
 
-# Above this many bounds the compiled search would ship too long a parameter.
-MAX_SPLITS = 100_000
+# A longer list of splits takes too long to hand to the JVM value by value.
+MAX_SPLITS = 2_048
 
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _BOUNDS, _FOUND, _LEADS, _BELOW = "__bounds", "__found", "__leads", "__below"
+_LOWEST = -(2**63)
 
 
 def quoted(name: str) -> str:
@@ -43,35 +46,55 @@ def with_position(
     rows; the caller has checked that number.  Rows stay where they are: the
     bounds travel to the tasks and each row searches them by halving.
 
-    A whole-number leading column is searched by compiled code.  Only the rows
-    that share their leading value with a bound go on to compare whole tuples.
+    Where the leading column is whole numbers (or dates, or instants) it is
+    searched first, and fast.  Only the rows that share their leading value with
+    a bound go on to compare whole tuples.
     """
     if n_bounds == 0:
         return df.withColumn(name, F.lit(0))
-    leads = _leading_values(df, keys[0], bounds) if n_bounds <= MAX_SPLITS else None
-    if leads is None:
-        ordered = _ordered_bounds(bounds, keys)
-        searched = df.withColumn(_BOUNDS, ordered)
+    lead = _as_long(df, keys[0])
+    if lead is None:
+        searched = df.withColumn(_BOUNDS, _ordered_bounds(bounds, keys))
         return searched.withColumn(name, _halving(keys, n_bounds)).drop(_BOUNDS)
-    found = _compiled_search(df, keys[0], [float(v) for v, _ in leads])
+    counted = {r[0]: r[1] for r in bounds.groupBy(lead).count().collect()}
+    n_null = counted.pop(None, 0)
+    values = sorted(counted)
+    if len(values) <= MAX_SPLITS and all(abs(v) <= EXACT_DOUBLE_INT for v in values):
+        found = _compiled_search(df, lead, values)
+    else:
+        found = df.withColumn(_FOUND, _batch_search(lead, values))
     if len(keys) == 1:
-        return found.withColumn(name, F.col(_FOUND)).drop(_FOUND)
-    below = list(accumulate((n for _, n in leads), initial=0))
+        return found.withColumn(name, F.col(_FOUND) + F.lit(n_null)).drop(_FOUND)
+    below = list(accumulate((counted[v] for v in values), initial=n_null))
     table = df.sparkSession.createDataFrame(
-        [([v for v, _ in leads], below)], "leads array<bigint>, below array<int>"
+        [(values, below)], "leads array<bigint>, below array<int>"
     )
     searched = (
         found.withColumn(_LEADS, table.select("leads").scalar())
         .withColumn(_BELOW, table.select("below").scalar())
         .withColumn(_BOUNDS, _ordered_bounds(bounds, keys))
     )
-    shares_lead = F.get(F.col(_LEADS), F.col(_FOUND) - 1) == col(keys[0])
+    shares_lead = F.when(lead.isNull(), F.lit(n_null > 0)).otherwise(
+        F.get(F.col(_LEADS), F.col(_FOUND) - 1) == lead
+    )
     position = F.when(shares_lead, _halving(keys, n_bounds)).otherwise(
         F.get(F.col(_BELOW), F.col(_FOUND))
     )
     return searched.withColumn(name, position).drop(_FOUND, _LEADS, _BELOW, _BOUNDS)
 
 
+def _as_long(df: DataFrame, key: str) -> Column | None:
+    """The column as a whole number in the same order, if its type has one."""
+    kind = df.schema[key].dataType
+    if isinstance(kind, _INTEGRAL):
+        return col(key).cast("bigint")
+    if isinstance(kind, T.DateType):
+        return F.unix_date(col(key)).cast("bigint")
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(col(key))
+    return None
+
+
 def _ordered_bounds(bounds: DataFrame, keys: Sequence[str]) -> Column:
     return bounds.agg(F.sort_array(F.collect_list(key_tuple(keys)))).scalar()
 
@@ -89,25 +112,28 @@ def _halving(keys: Sequence[str], n_bounds: int) -> Column:
     )
 
 
-def _leading_values(df: DataFrame, lead: str, bounds: DataFrame) -> list[tuple[int, int]] | None:
-    """Distinct leading values of the bounds, in order, with how many bounds share each.
+def _compiled_search(df: DataFrame, lead: Column, values: list[int]) -> DataFrame:
+    """Add how many of a short list of ``values`` are at or below ``lead``.
 
-    None unless they are whole numbers that are exact as doubles: rounding a
-    key to a double never moves it across such a value.
+    Spark's own search works on doubles.  Rounding a key to a double never moves
+    it across a value that is exact as one.
     """
-    if not isinstance(df.schema[lead].dataType, _INTEGRAL):
-        return None
-    counted = bounds.groupBy(col(lead)).count().collect()
-    if any(r[0] is None or abs(r[0]) > EXACT_DOUBLE_INT for r in counted):
-        return None
-    return sorted((r[0], r[1]) for r in counted)
-
-
-def _compiled_search(df: DataFrame, key: str, values: list[float]) -> DataFrame:
-    """Add how many of ``values`` are at or below ``key``."""
     lowest, highest = float("-inf"), float("inf")
     source, bucket = "__lead", "__lead_bucket"
-    search = Bucketizer(splits=[lowest, *values, highest], inputCol=source, outputCol=bucket)
-    keyed = df.withColumn(source, F.coalesce(col(key).cast("double"), F.lit(lowest)))
-    found = search.transform(keyed).withColumn(_FOUND, F.col(bucket).cast("int"))
-    return found.drop(source, bucket)
+    splits = [lowest, *map(float, values), highest]
+    keyed = df.withColumn(source, F.coalesce(lead.cast("double"), F.lit(lowest)))
+    found = Bucketizer(splits=splits, inputCol=source, outputCol=bucket).transform(keyed)
+    return found.withColumn(_FOUND, F.col(bucket).cast("int")).drop(source, bucket)
+
+
+def _batch_search(lead: Column, values: list[int]) -> Column:
+    """How many of a long list of ``values`` are at or below ``lead``, batch by batch."""
+    ordered = np.array(values, dtype="int64")
+
+    @F.pandas_udf("int")
+    def at_or_below(keys: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(ordered, keys.to_numpy("int64"), side="right"))
+
+    # A null key lies below every value; the smallest number may equal one.
+    searched = at_or_below(F.coalesce(lead, F.lit(_LOWEST)))
+    return F.when(lead.isNull(), F.lit(0)).otherwise(searched)

@@ -35,18 +35,23 @@ def row_bytes(df: DataFrame) -> Column:
 def fits(
     df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES
 ) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows and about ``max_bytes`` bytes."""
-    measured = (
-        df.select(row_bytes(df).alias("b"))
-        .limit(max_rows + 1)
-        .agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("b"), F.lit(0)).alias("b"))
-        .first()
-    )
-    return measured["n"] <= max_rows and measured["b"] <= max_bytes
+    """Whether ``df`` has at most ``max_rows`` rows and about ``max_bytes`` bytes.
 
+    Each task adds up its own part, so measuring a large table is harmless.
+    """
+    measured = df.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.coalesce(F.sum(row_bytes(df)), F.lit(0).cast("bigint")).alias("bytes"),
+    ).first()
+    return measured["rows"] <= max_rows and measured["bytes"] <= max_bytes
 
-def broadcast_if_small(
+
+def small_side(
     df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES
 ) -> DataFrame:
-    """``df`` with a broadcast hint if it was measured to be small, else as it is."""
-    return F.broadcast(df) if fits(df, max_rows, max_bytes) else df
+    """One side of a join: broadcast if it was measured to be small, else merged.
+
+    Without the second hint Spark might broadcast the other side on an estimate
+    that misses how rows multiply when arrays are unrolled.
+    """
+    return F.broadcast(df) if fits(df, max_rows, max_bytes) else df.hint("merge")

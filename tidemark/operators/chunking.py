@@ -31,7 +31,8 @@ DEFAULT_CHUNK_SIZE = 100_000
 ROWS_PER_BUCKET = 1_000_000
 MAX_BUCKETS = 32_768
 SAMPLES_PER_BUCKET = 30
-MAX_PAGE_STARTS = 250_000
+MAX_PAGE_STARTS = 2_000_000
+MAX_START_BYTES = 128 * 1024 * 1024
 MAX_TOP_ROWS = 100_000
 
 FILE = "__file"
@@ -60,10 +61,14 @@ def check_chunk_size(chunk_size: int) -> int:
 
 
 def scan_position(scan: DataFrame) -> DataFrame:
-    """A Parquet scan with each row's file and row number."""
+    """A Parquet scan with each row's file and row number.
+
+    The file is kept as a hash.  Should two ever collide, the order has ties and
+    a cut between them is refused, not guessed.
+    """
     return scan.select(
         "*",
-        F.col("_metadata.file_path").alias(FILE),
+        F.xxhash64("_metadata.file_path").alias(FILE),
         F.col("_metadata.row_index").alias(ROW),
     )
 
@@ -198,7 +203,7 @@ def page_rows(
     n_rows = df.count()
     if page_count_of(n_rows, chunk_size) - 1 <= max_page_starts:
         pages = page_table(df, keys, chunk_size, rows_per_bucket, n_rows)
-        if fits(pages.starts, max_page_starts):
+        if fits(pages.starts, max_page_starts, MAX_START_BYTES):
             return pages.tagged()
     return _page_rows_by_rank(df, keys, chunk_size, rows_per_bucket)
 

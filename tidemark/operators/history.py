@@ -8,15 +8,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.ordering import col
-from tidemark.functions.sizes import broadcast_if_small
+from tidemark.functions.sizes import small_side
 from tidemark.operators.chunking import union_pages
 from tidemark.operators.stats import key_profile
+from tidemark.workspace import materialise
 
 VALID_FROM = "valid_from"
 VALID_TO = "valid_to"
 IS_CURRENT = "is_current"
 
-_OLD, _NEW = "__old", "__new"
+_OLD, _NEW, _SINCE = "__old", "__new", "__since"
 
 
 def newest_per_key(
@@ -50,7 +51,7 @@ def replace_by_key(base: DataFrame, changes: DataFrame, keys: Sequence[str]) ->
 
     When the changed keys are measured to be few, ``base`` is not shuffled.
     """
-    changed = broadcast_if_small(changes.select(*[col(k) for k in keys]).distinct())
+    changed = small_side(changes.select(*[col(k) for k in keys]).distinct())
     return base.join(changed, list(keys), "left_anti").unionByName(changes)
 
 
@@ -117,9 +118,10 @@ def snapshot_diff(
 
 def apply_diff(old: DataFrame, diff: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The old snapshot brought up to date by a diff against ``new``."""
-    touched = diff.where(F.col("op") != "same")
-    kept = old.join(touched.select(*[col(k) for k in keys]), list(keys), "left_anti")
-    arriving = touched.where(F.col("op").isin("insert", "update")).select(*[col(k) for k in keys])
+    touched = materialise(diff.where(F.col("op") != "same"), "diff")
+    gone = small_side(touched.select(*[col(k) for k in keys]))
+    arriving = small_side(touched.where(F.col("op") != "delete").select(*[col(k) for k in keys]))
+    kept = old.join(gone, list(keys), "left_anti")
     return kept.unionByName(new.join(arriving, list(keys), "left_semi").select(*old.columns))
 
 
@@ -132,32 +134,30 @@ def open_history(snapshot: DataFrame, since: Column) -> DataFrame:
     )
 
 
-def extend_history(
-    history: DataFrame,
+def next_versions(
+    current: DataFrame,
     snapshot: DataFrame,
     keys: Sequence[str],
     as_of: Column,
     check_keys: bool = True,
 ) -> DataFrame:
-    """History after a new full snapshot taken at ``as_of``.
+    """What becomes of the current rows when a full snapshot arrives.
 
     A changed row is closed and opened again, a vanished one is closed, an
-    unknown one is opened.  Rows closed earlier pass through without a shuffle,
-    and one join yields both the closed and the opened version of a change.
+    unknown one is opened.  One join yields both versions of a change.
     """
-    values = [c for c in snapshot.columns if c not in keys]
-    closed_before = history.where(~F.col(IS_CURRENT))
-    current = history.where(F.col(IS_CURRENT))
     if check_keys:
-        require_keys({"history": current, "snapshot": snapshot}, keys)
+        require_keys({"current": current, "snapshot": snapshot}, keys)
+    values = [c for c in snapshot.columns if c not in keys]
+    key_columns = [col(k) for k in keys]
     before = current.select(
-        *[col(k) for k in keys], _values(current, values).alias(_OLD), F.col(VALID_FROM).alias("__since")
+        *key_columns, _values(current, values).alias(_OLD), F.col(VALID_FROM).alias(_SINCE)
     )
-    after = snapshot.select(*[col(k) for k in keys], _values(snapshot, values).alias(_NEW))
+    after = snapshot.select(*key_columns, _values(snapshot, values).alias(_NEW))
     pairs = before.join(after, list(keys), "full_outer")
 
-    no_end = F.lit(None).cast(history.schema[VALID_TO].dataType)
-    begin = F.col("__since")
+    day = current.schema[VALID_FROM].dataType
+    no_end = F.lit(None).cast(day)
 
     def version(row: str, start: Column, end: Column, live: bool) -> Column:
         return F.struct(
@@ -167,19 +167,31 @@ def extend_history(
             F.lit(live).alias(IS_CURRENT),
         )
 
-    same = F.col(_OLD).isNotNull() & F.col(_OLD).eqNullSafe(F.col(_NEW))
-    unchanged = version(_OLD, begin, no_end, True)
-    closed = version(_OLD, begin, as_of.cast(history.schema[VALID_TO].dataType), False)
-    opened = version(_NEW, as_of.cast(history.schema[VALID_FROM].dataType), no_end, True)
+    unchanged = version(_OLD, F.col(_SINCE), no_end, True)
+    closed = version(_OLD, F.col(_SINCE), as_of.cast(day), False)
+    opened = version(_NEW, as_of.cast(day), no_end, True)
     versions = (
-        F.when(same, F.array(unchanged))
-        .when(F.col(_OLD).isNull(), F.array(opened))
+        F.when(F.col(_OLD).isNull(), F.array(opened))
         .when(F.col(_NEW).isNull(), F.array(closed))
+        .when(F.col(_OLD).eqNullSafe(F.col(_NEW)), F.array(unchanged))
         .otherwise(F.array(closed, opened))
     )
-    current_after = pairs.select(*[col(k) for k in keys], F.explode(versions).alias("__v")).select(
-        *[col(k) for k in keys],
+    each = pairs.select(*key_columns, F.explode(versions).alias("__v"))
+    return each.select(
+        *key_columns,
         *[F.col("__v.row").getField(v).alias(v) for v in values],
         *[F.col(f"__v.{c}").alias(c) for c in (VALID_FROM, VALID_TO, IS_CURRENT)],
     )
-    return closed_before.unionByName(current_after)
+
+
+def extend_history(
+    history: DataFrame,
+    snapshot: DataFrame,
+    keys: Sequence[str],
+    as_of: Column,
+    check_keys: bool = True,
+) -> DataFrame:
+    """History after a new full snapshot; rows closed earlier pass through unmoved."""
+    closed_before = history.where(~F.col(IS_CURRENT))
+    current = history.where(F.col(IS_CURRENT))
+    return closed_before.unionByName(next_versions(current, snapshot, keys, as_of, check_keys))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.ordering import col
 from tidemark.functions.scalars import base_name, blank_null_tokens
-from tidemark.functions.sizes import fits
+from tidemark.functions.sizes import fits, small_side
 from tidemark.operators.chunking import CHUNK_ID, page_rows
 
 # Up to this many expected names are tested one by one on every file name.
@@ -89,10 +89,10 @@ def reconcile_names(
 
 
 def _test_each(named: DataFrame, expected: DataFrame) -> DataFrame:
-    found: Column = F.lit(None).cast("string")
-    in_order = sorted(((r["ord"], r["pattern"]) for r in expected.collect()), reverse=True)
+    in_order = sorted((r["ord"], r["pattern"]) for r in expected.collect())
+    found: Column = F.when(F.lit(False), F.lit(""))
     for _, pattern in in_order:
-        found = F.when(F.contains(F.col("base_name"), F.lit(pattern)), F.lit(pattern)).otherwise(found)
+        found = found.when(F.contains(F.col("base_name"), F.lit(pattern)), F.lit(pattern))
     return named.withColumn("pattern", found)
 
 
@@ -116,7 +116,7 @@ def _join_parts(named: DataFrame, expected: DataFrame) -> DataFrame:
         F.explode(F.sequence(F.lit(1), F.length("base_name") - F.col("__len") + 1)).alias("__at"),
         "__len",
     ).select("base_name", F.substring("base_name", F.col("__at"), F.col("__len")).alias("pattern"))
-    hits = parts.join(first, "pattern").groupBy("base_name").agg(
+    hits = parts.join(small_side(first), "pattern").groupBy("base_name").agg(
         F.min_by("pattern", "ord").alias("pattern")
     )
     return named.join(hits, "base_name", "left").select(*named.columns, "pattern")
@@ -141,24 +141,17 @@ def name_status(reconciled: DataFrame, expected: DataFrame) -> DataFrame:
 
     The counts must agree and no expected name may be missing.
     """
-    files = reconciled.agg(
-        F.count(F.lit(1)).alias("latest_count"),
-        F.count_if(F.col("pattern").isNull()).alias("new_files"),
+    counted = reconciled.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"))
+    wanted = expected.select("pattern").distinct().withColumn("wanted", F.lit(True))
+    none = F.lit(0).cast("bigint")
+    totals = wanted.join(counted, "pattern", "full_outer").agg(
+        F.count("wanted").alias("expected_count"),
+        F.coalesce(F.sum("n"), none).alias("latest_count"),
+        F.coalesce(F.sum(F.when(F.col("wanted").isNull(), F.col("n"))), none).alias("new_files"),
+        F.count_if(F.col("n").isNull()).alias("missing_files"),
     )
-    names = names_found(reconciled, expected).agg(
-        F.count(F.lit(1)).alias("expected_count"),
-        F.count_if(F.col("missing")).alias("missing_files"),
-    )
-    # One row on each side.
-    both = files.withColumn("__one", F.lit(1)).join(names.withColumn("__one", F.lit(1)), "__one")
     bad = (F.col("expected_count") != F.col("latest_count")) | (F.col("missing_files") > 0)
-    return both.select(
-        "expected_count",
-        "latest_count",
-        "new_files",
-        "missing_files",
-        F.when(bad, "mismatch").otherwise("match").alias("status"),
-    )
+    return totals.withColumn("status", F.when(bad, "mismatch").otherwise("match"))
 
 
 # --- text ---------------------------------------------------------------------
@@ -176,7 +169,7 @@ def mismatch_text(
     the size of the set.
     """
     chosen = items.select(*[col(c) for c in columns])
-    if chosen.limit(items_per_line + 1).count() > items_per_line:
+    if chosen.count() > items_per_line:
         lines = page_rows(chosen, columns, items_per_line).groupBy(CHUNK_ID)
     else:
         lines = chosen.withColumn(CHUNK_ID, F.lit(0)).groupBy(CHUNK_ID)

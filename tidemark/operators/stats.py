@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.ordering import col
-from tidemark.functions.scalars import page_count, size_mb
+from tidemark.functions.scalars import page_count, size_mb, size_mb_of
+from tidemark.functions.sizes import small_side
 from tidemark.operators.chunking import DEFAULT_CHUNK_SIZE, check_chunk_size, union_pages
 
 # Fixed value: tables estimated above this many megabytes are read in pages.
@@ -55,8 +56,6 @@ def should_chunk(
     rows: int, chunk_size: int, threshold_mb: float = SIZE_THRESHOLD_MB, force: bool = False
 ) -> bool:
     """The rule of ``chunk_decision`` for one known count."""
-    from tidemark.functions.scalars import size_mb_of
-
     return rows > 0 and (force or size_mb_of(rows) > threshold_mb or rows > chunk_size)
 
 
@@ -122,4 +121,4 @@ def join_on_member(
     """
     member = "__member"
     unrolled = left.withColumn(member, F.explode(F.array_distinct(col(members))))
-    return unrolled.join(right, unrolled[member] == right[key], "inner").drop(member)
+    return unrolled.join(small_side(right.withColumn(member, col(key))), member).drop(member)

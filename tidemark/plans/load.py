@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.ordering import col
-from tidemark.functions.sizes import broadcast_if_small
+from tidemark.functions.sizes import small_side
 from tidemark.workspace import path_exists
 
 # Readers of the table skip a folder with this kind of name.
@@ -56,7 +56,7 @@ def increment_of(
         return rows
     start = F.lit(low - lookback)
     known = landed.where(col(column) >= start).select(*[col(k) for k in keys])
-    return rows.where(col(column) >= start).join(broadcast_if_small(known), list(keys), "left_anti")
+    return rows.where(col(column) >= start).join(small_side(known), list(keys), "left_anti")
 
 
 def _stored_watermark(spark: SparkSession, path: str) -> datetime | None:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import scalars
 from tidemark.operators import chunking, history, lookup, quality, stats
 from tidemark.plans import audit, extract, load
+from tidemark.plans.snapshots import HistoryTable, load_snapshot
 from tidemark.sinks import tables
 from tidemark.sinks.published import PublishedTable
 from tidemark.sources.documents import DocumentSource
@@ -692,13 +693,34 @@ def snapshot_patch(spark, sf_dir):
     return history.apply_diff(old, history.snapshot_diff(old, new, ["c_custkey"]), new, ["c_custkey"])
 
 
-@query(
+_HISTORY = (
     "SELECT c_custkey, c_acctbal, DATE '2024-01-01' AS valid_from, CASE WHEN c_custkey % 20 = 0 THEN"
     " DATE '2024-01-21' END AS valid_to, c_custkey % 20 <> 0 AS is_current FROM customer UNION ALL"
     " SELECT c_custkey, c_acctbal + 100, DATE '2024-01-21', NULL, TRUE FROM customer WHERE c_custkey % 20 = 0"
 )
+
+
+@query(_HISTORY)
 def scd2_history(spark, sf_dir):
     customers = _customers(spark, sf_dir)
     opened = history.open_history(customers, F.lit("2024-01-01").cast("date"))
     later = customers.select("c_custkey", _raised())
     return history.extend_history(opened, later, ["c_custkey"], F.lit("2024-01-21").cast("date"))
+
+
+@query(_HISTORY)
+def scd2_loads(spark, sf_dir):
+    customers = _customers(spark, sf_dir)
+    table = HistoryTable(spark, run_dir(spark, "history"), ["c_custkey"])
+    table.load(customers, F.lit("2024-01-01").cast("date"))
+    table.load(customers.select("c_custkey", _raised()), F.lit("2024-01-21").cast("date"))
+    return table.read()
+
+
+@query(f"SELECT c_custkey, {_RAISED} AS c_acctbal FROM customer")
+def snapshot_replace(spark, sf_dir):
+    customers = _customers(spark, sf_dir)
+    table = PublishedTable(spark, run_dir(spark, "snapshot"))
+    load_snapshot(table, customers)
+    load_snapshot(table, customers.select("c_custkey", _raised()), customers.count())
+    return table.read()

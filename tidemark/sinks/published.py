@@ -8,15 +8,18 @@ Older versions stay in place for readers that have already started.
 
 from __future__ import annotations
 
+import json
 import uuid
+from collections.abc import Sequence
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark.workspace import path_exists
 
-_LOG_SCHEMA = "version string, n_rows bigint, published_at timestamp"
+_LOG_SCHEMA = "version string, n_rows bigint, columns string, published_at timestamp"
 
 
 class PublishRefused(RuntimeError):
@@ -29,24 +32,36 @@ class PublishedTable:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._staged_columns: dict[str, StructType] = {}
 
-    def _version_path(self, version: str) -> str:
+    def version_path(self, version: str) -> str:
         return f"{self.root}/versions/{version}"
 
     @property
     def _log_path(self) -> str:
         return f"{self.root}/publications"
 
-    def stage(self, df: DataFrame) -> tuple[str, int]:
+    def stage(self, df: DataFrame, partition_by: Sequence[str] = ()) -> tuple[str, int]:
         """Write a version nobody reads yet; its name and the rows written."""
         version = f"{datetime.now(timezone.utc):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
         written = Observation()
         counted = df.observe(written, F.count(F.lit(1)).alias("n"))
-        counted.write.parquet(self._version_path(version))
+        counted.write.partitionBy(*partition_by).parquet(self.version_path(version))
+        self._staged_columns[version] = df.schema
         return version, written.get["n"]
 
+    def columns_of(self, version: str) -> StructType:
+        """The version's columns, known also where it has no rows and so no files."""
+        if version not in self._staged_columns:
+            logged = self.log().where(F.col("version") == version).select("columns").first()
+            if logged is None:
+                return self.spark.read.parquet(self.version_path(version)).schema
+            self._staged_columns[version] = StructType.fromJson(json.loads(logged[0]))
+        return self._staged_columns[version]
+
     def staged(self, version: str) -> DataFrame:
-        return self.spark.read.parquet(self._version_path(version))
+        reader = self.spark.read.schema(self.columns_of(version))
+        return reader.parquet(self.version_path(version))
 
     def flip(self, version: str, expected_rows: int | None = None) -> None:
         """Make a staged version the live one, if it holds what it should."""
@@ -56,23 +71,31 @@ class PublishedTable:
         entry = self.spark.range(1).select(
             F.lit(version).alias("version"),
             F.lit(landed).cast("bigint").alias("n_rows"),
+            F.lit(self.columns_of(version).json()).alias("columns"),
             F.current_timestamp().alias("published_at"),
         )
         entry.coalesce(1).write.mode("append").json(self._log_path)
 
-    def publish(self, df: DataFrame, expected_rows: int | None = None) -> str:
-        version, n_rows = self.stage(df)
+    def publish(
+        self, df: DataFrame, expected_rows: int | None = None, partition_by: Sequence[str] = ()
+    ) -> str:
+        version, n_rows = self.stage(df, partition_by)
         self.flip(version, n_rows if expected_rows is None else expected_rows)
         return version
 
     def log(self) -> DataFrame:
+        """All publications; none before the first."""
+        if not path_exists(self.spark, self._log_path):
+            return self.spark.createDataFrame([], _LOG_SCHEMA)
         return self.spark.read.schema(_LOG_SCHEMA).json(self._log_path)
 
+    def published_versions(self) -> list[str]:
+        """The names of all versions ever published, oldest first."""
+        return sorted(r["version"] for r in self.log().select("version").collect())
+
     def live_version(self) -> str | None:
-        if not path_exists(self.spark, self._log_path):
-            return None
-        newest = self.log().orderBy(F.desc("version")).limit(1).collect()
-        return newest[0]["version"] if newest else None
+        versions = self.published_versions()
+        return versions[-1] if versions else None
 
     def read(self) -> DataFrame:
         version = self.live_version()
