@@ -18,6 +18,9 @@ EXACT_DOUBLE_INT = 2**53
 # A longer list of splits takes too long to hand to the JVM value by value.
 MAX_SPLITS = 2_048
 
+# Bytes of a text that fit a signed 64-bit number.
+PREFIX_BYTES = 7
+
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _BOUNDS, _FOUND, _LEADS, _BELOW = "__bounds", "__found", "__leads", "__below"
 _LOWEST = -(2**63)
@@ -46,13 +49,13 @@ def with_position(
     rows; the caller has checked that number.  Rows stay where they are: the
     bounds travel to the tasks and each row searches them by halving.
 
-    Where the leading column is whole numbers (or dates, or instants) it is
-    searched first, and fast.  Only the rows that share their leading value with
-    a bound go on to compare whole tuples.
+    Where the leading column has a whole number that follows its order, that is
+    searched first, and fast.  Only the rows that share this number with a bound
+    go on to compare whole tuples.
     """
     if n_bounds == 0:
         return df.withColumn(name, F.lit(0))
-    lead = _as_long(df, keys[0])
+    lead = _as_long(col(keys[0]), df.schema[keys[0]].dataType)
     if lead is None:
         searched = df.withColumn(_BOUNDS, _ordered_bounds(bounds, keys))
         return searched.withColumn(name, _halving(keys, n_bounds)).drop(_BOUNDS)
@@ -63,7 +66,7 @@ def with_position(
         found = _compiled_search(df, lead, values)
     else:
         found = df.withColumn(_FOUND, _batch_search(lead, values))
-    if len(keys) == 1:
+    if len(keys) == 1 and not isinstance(df.schema[keys[0]].dataType, T.StringType):
         return found.withColumn(name, F.col(_FOUND) + F.lit(n_null)).drop(_FOUND)
     below = list(accumulate((counted[v] for v in values), initial=n_null))
     table = df.sparkSession.createDataFrame(
@@ -83,15 +86,25 @@ def with_position(
     return searched.withColumn(name, position).drop(_FOUND, _LEADS, _BELOW, _BOUNDS)
 
 
-def _as_long(df: DataFrame, key: str) -> Column | None:
-    """The column as a whole number in the same order, if its type has one."""
-    kind = df.schema[key].dataType
+def _as_long(c: Column, kind: T.DataType) -> Column | None:
+    """A whole number in the order of ``c``, or None if its type has no such number.
+
+    It tells all values apart, but for text, where it stands for the first bytes.
+    """
     if isinstance(kind, _INTEGRAL):
-        return col(key).cast("bigint")
+        return c.cast("bigint")
     if isinstance(kind, T.DateType):
-        return F.unix_date(col(key)).cast("bigint")
+        return F.unix_date(c).cast("bigint")
     if isinstance(kind, T.TimestampType):
-        return F.unix_micros(col(key))
+        return F.unix_micros(c)
+    if isinstance(kind, T.TimestampNTZType):
+        seconds = F.unix_date(c.cast("date")).cast("bigint") * 86_400
+        seconds = seconds + F.hour(c) * 3_600 + F.minute(c) * 60
+        micros = F.extract(F.lit("SECONDS"), c) * 1_000_000
+        return seconds * 1_000_000 + micros.cast("bigint")
+    if isinstance(kind, T.StringType):
+        first = F.hex(F.substring(F.encode(c, "UTF-8"), 1, PREFIX_BYTES))
+        return F.conv(F.rpad(first, 2 * PREFIX_BYTES, "0"), 16, 10).cast("bigint")
     return None
 
 

@@ -31,6 +31,8 @@ DEFAULT_CHUNK_SIZE = 100_000
 ROWS_PER_BUCKET = 1_000_000
 MAX_BUCKETS = 32_768
 SAMPLES_PER_BUCKET = 30
+BUCKETS_PER_CUT = 8
+MIN_ROWS_PER_BUCKET = 20 * SAMPLES_PER_BUCKET
 MAX_PAGE_STARTS = 2_000_000
 MAX_START_BYTES = 128 * 1024 * 1024
 MAX_TOP_ROWS = 100_000
@@ -47,11 +49,25 @@ class TiedKeys(Exception):
 
 
 @dataclass(frozen=True)
-class Ranked:
-    """Rows with their exact 0-based index in key order."""
+class Cuts:
+    """The row indexes at which to cut: every ``step`` rows, or those listed."""
 
-    rows: DataFrame
-    n_rows: int
+    step: int = 0
+    listed: tuple[int, ...] = ()
+
+    def count(self, n_rows: int) -> int:
+        return page_count_of(n_rows, self.step) if self.step else len(self.listed)
+
+    def any_in(self, low: int, high: int) -> bool:
+        """Whether some cut lies at ``low`` or later, before ``high``."""
+        if self.step:
+            return (high - 1) // self.step * self.step >= max(low, 1)
+        return any(low <= at < high for at in self.listed)
+
+    def at(self, index: Column) -> Column:
+        if self.step:
+            return (index % self.step == 0) & (index > 0)
+        return index.isin(*self.listed)
 
 
 def check_chunk_size(chunk_size: int) -> int:
@@ -83,72 +99,87 @@ def with_row_position(df: DataFrame) -> DataFrame:
 def rank(
     df: DataFrame,
     keys: Sequence[str],
+    n_rows: int,
     rows_per_bucket: int = ROWS_PER_BUCKET,
-    n_rows: int | None = None,
-) -> Ranked:
-    """Number the rows of ``df`` in the order of ``keys``."""
-    n_rows = df.count() if n_rows is None else n_rows
-    n_buckets = min(page_count_of(n_rows, rows_per_bucket), MAX_BUCKETS)
+    cuts: Cuts | None = None,
+) -> DataFrame:
+    """Number the rows of ``df`` in the order of ``keys``.
+
+    With ``cuts`` only the buckets that some cut falls into are kept.  The others
+    need no order, and are dropped before anything is shuffled; so the fewer the
+    cuts, the finer the buckets are made.
+    """
+    n_buckets = page_count_of(n_rows, rows_per_bucket)
+    if n_buckets > 1 and cuts is not None:
+        finer = max(n_buckets, cuts.count(n_rows)) * BUCKETS_PER_CUT
+        n_buckets = max(n_buckets, min(finer, n_rows // MIN_ROWS_PER_BUCKET))
+    n_buckets = min(n_buckets, MAX_BUCKETS)
     bounds, n_bounds = None, 0
     if n_buckets > 1:
-        bounds, n_bounds = _bucket_bounds(df, keys, n_rows, n_buckets)
+        bounds, n_bounds = _bucket_bounds(df, keys, n_rows, n_buckets, rows_per_bucket)
     bucketed = with_position(df, keys, bounds, n_bounds, _BUCKET)
-    bases = _bucket_bases(bucketed, n_bounds)
+    bases = _bucket_bases(bucketed, n_bounds, cuts)
     # At most MAX_BUCKETS rows of two numbers, so always small enough to broadcast.
     based = bucketed.join(F.broadcast(bases), _BUCKET)
     in_bucket = Window.partitionBy(_BUCKET).orderBy(*[col(k) for k in keys])
     rows = based.withColumn(_IDX, F.row_number().over(in_bucket) - 1 + F.col(_BASE))
     tied = F.lag(key_tuple(keys)).over(in_bucket).eqNullSafe(key_tuple(keys))
-    return Ranked(rows.withColumn(_TIED, tied).drop(_BUCKET, _BASE), n_rows)
+    return rows.withColumn(_TIED, tied).drop(_BUCKET, _BASE)
 
 
 def _bucket_bounds(
-    df: DataFrame, keys: Sequence[str], n_rows: int, n_buckets: int
+    df: DataFrame, keys: Sequence[str], n_rows: int, n_buckets: int, rows_per_bucket: int
 ) -> tuple[DataFrame, int]:
     """Key tuples that cut ``df`` into buckets of about the same size.
 
     The sample only balances the buckets; their exact sizes are counted later.
+    A tuple that is drawn again and again has more copies than a bucket may hold.
     """
     wanted = n_buckets * SAMPLES_PER_BUCKET
-    key_rows = df.select(*[col(k) for k in keys])
-    sampled = key_rows.sample(fraction=min(1.0, wanted / n_rows), seed=7)
-    in_order = Window.orderBy(*[col(k) for k in keys])
-    cuts = materialise(
-        sampled.withColumn(_IDX, F.row_number().over(in_order))
-        .where(F.col(_IDX) % SAMPLES_PER_BUCKET == 0)
-        .drop(_IDX),
-        "bounds",
-    )
-    distinct = cuts.distinct()
-    n_cuts, n_distinct = cuts.count(), distinct.count()
-    if n_cuts > n_distinct:
+    key_columns = [col(k) for k in keys]
+    sampled = df.select(*key_columns).sample(fraction=min(1.0, wanted / n_rows), seed=7)
+    drawn = sampled.withColumn(_IDX, F.row_number().over(Window.orderBy(*key_columns)))
+    every = drawn.where(F.col(_IDX) % SAMPLES_PER_BUCKET == 0)
+    bounds = materialise(every.groupBy(*key_columns).agg(F.count(F.lit(1)).alias(_TIED)), "bounds")
+    found = bounds.agg(F.count(F.lit(1)), F.coalesce(F.max(_TIED), F.lit(0))).first()
+    if found[1] > 1 and (found[1] - 1) * n_rows > rows_per_bucket * n_buckets:
         raise TiedKeys(f"copies of one key of {list(keys)} fill several buckets")
-    return distinct, n_distinct
+    return bounds.drop(_TIED), found[0]
 
 
-def _bucket_bases(bucketed: DataFrame, n_bounds: int) -> DataFrame:
-    """For each bucket, how many rows lie in the buckets before it."""
+def _bucket_bases(bucketed: DataFrame, n_bounds: int, cuts: Cuts | None) -> DataFrame:
+    """For each bucket that is needed, how many rows lie in the buckets before it."""
     counted = {r[0]: r[1] for r in bucketed.groupBy(_BUCKET).count().collect()}
     bases, before = [], 0
     for bucket in range(n_bounds + 1):
-        bases.append((bucket, before))
-        before += counted.get(bucket, 0)
+        size = counted.get(bucket, 0)
+        if cuts is None or cuts.any_in(before, before + size):
+            bases.append((bucket, before))
+        before += size
     return bucketed.sparkSession.createDataFrame(bases, f"{_BUCKET} int, {_BASE} bigint")
 
 
 def _tuples_at(
-    df: DataFrame,
-    keys: Sequence[str],
-    wanted: Column,
-    rows_per_bucket: int,
-    n_rows: int | None = None,
-) -> tuple[DataFrame, int]:
-    """The key tuples whose index satisfies ``wanted``, and the number of rows."""
-    ranked = rank(df.select(*[col(k) for k in keys]), keys, rows_per_bucket, n_rows)
-    found = materialise(ranked.rows.where(wanted), "starts")
+    df: DataFrame, keys: Sequence[str], n_rows: int, cuts: Cuts, rows_per_bucket: int
+) -> DataFrame:
+    """The key tuples at the cuts, each with its index."""
+    key_rows = df.select(*[col(k) for k in keys])
+    ranked = rank(key_rows, keys, n_rows, rows_per_bucket, cuts)
+    found = materialise(ranked.where(cuts.at(F.col(_IDX))), "starts")
     if not found.where(F.col(_TIED)).isEmpty():
         raise TiedKeys(f"a cut would fall between copies of one key of {list(keys)}")
-    return found.drop(_TIED), ranked.n_rows
+    return found.drop(_TIED)
+
+
+def _cut(
+    df: DataFrame, keys: Sequence[str], n_rows: int, cuts: Cuts, rows_per_bucket: int
+) -> tuple[DataFrame, tuple[str, ...], DataFrame]:
+    """The rows, the columns that order them without ties, and the tuples at the cuts."""
+    try:
+        return df, tuple(keys), _tuples_at(df, keys, n_rows, cuts, rows_per_bucket)
+    except TiedKeys:
+        rows, order = with_row_position(df), (*keys, *POSITION)
+        return rows, order, _tuples_at(rows, order, n_rows, cuts, rows_per_bucket)
 
 
 @dataclass(frozen=True)
@@ -180,15 +211,10 @@ def page_table(
     n_rows: int | None = None,
 ) -> Pages:
     """Find where the pages of ``df`` start."""
-    check_chunk_size(chunk_size)
-    at_start = (F.col(_IDX) % chunk_size == 0) & (F.col(_IDX) > 0)
-    try:
-        order = tuple(keys)
-        starts, n_rows = _tuples_at(df, order, at_start, rows_per_bucket, n_rows)
-    except TiedKeys:
-        df, order = with_row_position(df), (*keys, *POSITION)
-        starts, n_rows = _tuples_at(df, order, at_start, rows_per_bucket, n_rows)
-    return Pages(df, order, starts.drop(_IDX), n_rows, chunk_size)
+    cuts = Cuts(step=check_chunk_size(chunk_size))
+    n_rows = df.count() if n_rows is None else n_rows
+    rows, order, starts = _cut(df, keys, n_rows, cuts, rows_per_bucket)
+    return Pages(rows, order, starts.drop(_IDX), n_rows, chunk_size)
 
 
 def page_rows(
@@ -205,19 +231,12 @@ def page_rows(
         pages = page_table(df, keys, chunk_size, rows_per_bucket, n_rows)
         if fits(pages.starts, max_page_starts, MAX_START_BYTES):
             return pages.tagged()
-    return _page_rows_by_rank(df, keys, chunk_size, rows_per_bucket)
-
-
-def _page_rows_by_rank(
-    df: DataFrame, keys: Sequence[str], chunk_size: int, rows_per_bucket: int
-) -> DataFrame:
-    """More pages than can be looked up: number the whole rows instead."""
-    try:
-        ranked = rank(df, keys, rows_per_bucket)
-    except TiedKeys:
-        ranked = rank(with_row_position(df), (*keys, *POSITION), rows_per_bucket)
+    # More pages than can be looked up: number the whole rows instead.  Positions
+    # leave no ties, so a task that runs again numbers them the same.
+    rows = with_row_position(df)
+    ranked = rank(rows, (*keys, *POSITION), n_rows, rows_per_bucket)
     page = F.call_function("div", F.col(_IDX), F.lit(chunk_size)).cast("int")
-    return ranked.rows.withColumn(CHUNK_ID, page).drop(_IDX, _TIED, *POSITION)
+    return ranked.withColumn(CHUNK_ID, page).drop(_IDX, _TIED, *POSITION)
 
 
 def rows_between(
@@ -228,13 +247,8 @@ def rows_between(
     rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
     """The rows with index ``start`` up to, not including, ``stop`` in key order."""
-    wanted = F.col(_IDX).isin(start, stop)
-    try:
-        order = tuple(keys)
-        found, _ = _tuples_at(df, order, wanted, rows_per_bucket)
-    except TiedKeys:
-        df, order = with_row_position(df), (*keys, *POSITION)
-        found, _ = _tuples_at(df, order, wanted, rows_per_bucket)
+    cuts = Cuts(listed=(start, stop))
+    df, order, found = _cut(df, keys, df.count(), cuts, rows_per_bucket)
     at = {r[_IDX]: [r[k] for k in order] for r in found.collect()}
     if start not in at:
         return df.where(F.lit(False)).drop(*POSITION)
