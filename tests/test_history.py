@@ -1,4 +1,5 @@
 import datetime as dt
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -28,6 +29,46 @@ def test_diff_is_null_safe(spark):
     }
 
 
+SPELLINGS = [
+    ("a", "b"), ("ab", ""), ("", "ab"), (None, "ab"), ("ab", None), (None, None), ("", ""), ("-", "-"),
+    ("1:a", "b"), ("a1:b", ""), ("é", "b"),
+]
+
+
+def test_digest_tells_rows_apart(spark):
+    rows = [(i, a, b) for i, (a, b) in enumerate(SPELLINGS)]
+    df = spark.createDataFrame(rows, "k int, a string, b string")
+    assert df.select(h.row_digest(df, ["a", "b"])).distinct().count() == len(SPELLINGS)
+    with pytest.raises(TypeError):
+        h.row_digest(spark.sql("select array(1) as x"), ["x"])
+
+
+def test_digest_agrees_with_values(spark):
+    schema = "k int, d double, m decimal(12,2), t timestamp, n timestamp_ntz, b binary, f boolean"
+    ts = dt.datetime(2024, 1, 1, 0, 0, 0, 1)
+    old = [(i, 0.0, None, ts, ts, b"x", True) for i in range(8)]
+    new = [list(r) for r in old]
+    new[1][1] = -0.0
+    new[2][1] = float("nan")
+    new[3][2] = Decimal(0)
+    new[4][3] = new[5][4] = ts + dt.timedelta(microseconds=1)
+    new[6][5] = b"y"
+    new[7][6] = None
+    a = spark.createDataFrame(old, schema)
+    b = spark.createDataFrame([tuple(r) for r in new], schema)
+    ops = [
+        {r["k"]: r["op"] for r in h.snapshot_diff(a, b, ["k"], by_digest=d).collect()} for d in (False, True)
+    ]
+    assert ops[0] == ops[1] == {0: "same", 1: "same"} | dict.fromkeys(range(2, 8), "update")
+
+
+def test_digest_leaves_wide_columns_behind(spark, sf_dir, plan_of):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    plan = plan_of(h.snapshot_diff(docs, docs, ["doc_id"], by_digest=True, check_keys=False))
+    shuffled = [line for line in plan.split("Exchange\n")[1:]]
+    assert shuffled and all("text#" not in part.split("\n")[0] for part in shuffled)
+
+
 def test_all_null_row_is_not_taken_for_a_missing_one(spark):
     old = snap(spark, [(1, None, None)])
     got = h.snapshot_diff(old, old, ["k"])

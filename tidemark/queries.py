@@ -671,19 +671,28 @@ def replace_by_key(spark, sf_dir):
     )
 
 
-@query(
+_DIFF = (
     "SELECT COALESCE(a.k, b.k) AS c_custkey, CASE WHEN a.k IS NULL THEN 'insert' WHEN b.k IS NULL THEN 'delete'"
     " WHEN a.v IS DISTINCT FROM b.v THEN 'update' ELSE 'same' END AS op FROM"
     " (SELECT c_custkey AS k, c_acctbal AS v FROM customer) a FULL OUTER JOIN"
     f" (SELECT c_custkey AS k, {_RAISED} AS v FROM customer WHERE c_custkey % 50 <> 7"
     " UNION ALL SELECT c_custkey + 100000, c_acctbal FROM customer WHERE c_custkey < 5) b ON a.k = b.k"
 )
+
+
+@query(_DIFF)
 def snapshot_diff(spark, sf_dir):
     return history.snapshot_diff(
         _customers(spark, sf_dir), _new_customers(spark, sf_dir), ["c_custkey"]
     )
 
 
+@query(_DIFF)
+def snapshot_diff_by_digest(spark, sf_dir):
+    old, new = _customers(spark, sf_dir), _new_customers(spark, sf_dir)
+    return history.snapshot_diff(old, new, ["c_custkey"], by_digest=True)
+
+
 @query(
     f"SELECT c_custkey, {_RAISED} AS c_acctbal FROM customer WHERE c_custkey % 50 <> 7"
     " UNION ALL SELECT c_custkey + 100000, c_acctbal FROM customer WHERE c_custkey < 5"
