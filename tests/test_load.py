@@ -8,7 +8,7 @@ from tidemark.plans.load import after_watermark, load_increment
 from tidemark.sinks import tables
 from tidemark.sinks.published import PublishedTable, PublishRefused
 from tidemark.sources.documents import DocumentSource
-from tidemark.sources.files import list_files
+from tidemark.sources.files import FileSource, list_files
 from tidemark.streaming import increments
 from tidemark.workspace import materialise, shared_dir
 
@@ -191,3 +191,18 @@ def test_shared_folder_comes_from_the_session(spark):
         assert folder == configured.rstrip("/")
     written = materialise(spark.range(3), "test")
     assert written.inputFiles()[0].removeprefix("file://").startswith(folder.removeprefix("file:"))
+
+
+@pytest.mark.parametrize("fmt, options", [("json", {}), ("csv", {"header": "true"})])
+def test_paging_other_formats(spark, tmp_path, fmt, options):
+    """Rows without positions of their own: unique keys, then keys that repeat."""
+    df = spark.range(90).selectExpr("id", "id % 4 as k")
+    df.write.format(fmt).options(**options).save(str(tmp_path / "t"))
+    source = FileSource(spark, str(tmp_path), format=fmt, layout="{table}", options=options)
+    for keys in (["id"], ["k"]):
+        paged = source.read_paged("t", None, keys, 40)
+        assert paged.columns == [*df.columns, "_chunk_id"]
+        assert sorted(r["count"] for r in paged.groupBy("_chunk_id").count().collect()) == [10, 40, 40]
+    store = DocumentSource(spark, str(tmp_path))
+    if fmt == "json":
+        assert store.read_paged("t", None, ["id"], 50).where("_chunk_id = 1").count() == 40

@@ -32,7 +32,7 @@ def sort_key(v):
     return (1, v.encode() if isinstance(v, str) else v)
 
 
-@pytest.mark.parametrize("max_splits", [2048, 0])
+@pytest.mark.parametrize("max_splits", [10_000, 0])
 @pytest.mark.parametrize("kind", sorted(VALUES))
 def test_one_column(spark, monkeypatch, kind, max_splits):
     monkeypatch.setattr(o, "MAX_SPLITS", max_splits)

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 EXACT_DOUBLE_INT = 2**53
 
 # A longer list of splits takes too long to hand to the JVM value by value.
-MAX_SPLITS = 2_048
+MAX_SPLITS = 10_000
 
 # Bytes of a text that fit a signed 64-bit number.
 PREFIX_BYTES = 7

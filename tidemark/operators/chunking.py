@@ -29,7 +29,7 @@ DEFAULT_CHUNK_SIZE = 100_000
 
 # Sizes that bound what one task or the driver holds.
 ROWS_PER_BUCKET = 1_000_000
-MAX_BUCKETS = 32_768
+MAX_BUCKETS = 100_000
 SAMPLES_PER_BUCKET = 30
 BUCKETS_PER_CUT = 8
 MIN_ROWS_PER_BUCKET = 20 * SAMPLES_PER_BUCKET
@@ -239,6 +239,24 @@ def page_rows(
     return ranked.withColumn(CHUNK_ID, page).drop(_IDX, _TIED, *POSITION)
 
 
+def page_rows_by_kept_keys(
+    df: DataFrame, keys: Sequence[str], chunk_size: int = DEFAULT_CHUNK_SIZE
+) -> DataFrame:
+    """``page_rows`` for rows that are costly to read: the keys are read once and kept.
+
+    Finding the pages reads the keys several times, so it reads the kept copy.
+    Only where keys repeat across a cut is a copy of the whole rows needed.
+    """
+    kept = materialise(df.select(*[col(k) for k in keys]), "keys")
+    n_rows = kept.count()
+    n_starts = max(page_count_of(n_rows, chunk_size) - 1, 0)
+    if n_starts <= MAX_PAGE_STARTS:
+        pages = page_table(kept, keys, chunk_size, n_rows=n_rows)
+        if pages.order == tuple(keys) and fits(pages.starts, MAX_PAGE_STARTS, MAX_START_BYTES):
+            return with_position(df, keys, pages.starts, n_starts, CHUNK_ID)
+    return page_rows(with_row_position(df), keys, chunk_size)
+
+
 def rows_between(
     df: DataFrame,
     keys: Sequence[str],

@@ -11,6 +11,7 @@ from tidemark.functions.ordering import col
 from tidemark.functions.scalars import base_name, blank_null_tokens
 from tidemark.functions.sizes import fits, small_side
 from tidemark.operators.chunking import CHUNK_ID, page_rows
+from tidemark.workspace import materialise
 
 # Up to this many expected names are tested one by one on every file name.
 MAX_TESTED_NAMES = 256
@@ -170,7 +171,8 @@ def mismatch_text(
     """
     chosen = items.select(*[col(c) for c in columns])
     if chosen.count() > items_per_line:
-        lines = page_rows(chosen, columns, items_per_line).groupBy(CHUNK_ID)
+        kept = materialise(chosen, "items")
+        lines = page_rows(kept, columns, items_per_line).groupBy(CHUNK_ID)
     else:
         lines = chosen.withColumn(CHUNK_ID, F.lit(0)).groupBy(CHUNK_ID)
     in_order = F.sort_array(F.collect_list(F.struct(*[col(c) for c in columns])))

@@ -69,16 +69,21 @@ def sample_rows(spark, sf_dir):
     return lookup.sample_rows(orders, ["o_orderkey"])
 
 
+_ALL_TABLES = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+    "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
+)
+
+
 @query(
-    "SELECT base_name, TRUE AS has_content FROM (VALUES ('region.parquet'), ('nation.parquet'),"
-    " ('customer.parquet'), ('supplier.parquet'), ('part.parquet'), ('orders.parquet'),"
-    " ('lineitem.parquet'), ('events.parquet'), ('documents.parquet'), ('embeddings.parquet'),"
-    " ('pages.parquet'), ('benchmark.parquet'), ('labels.parquet'), ('conversations.parquet')) t(base_name)"
+    " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, COUNT(*) > 0 AS has_content FROM {t}" for t in _ALL_TABLES
+    )
 )
 def file_listing(spark, sf_dir):
-    return list_files(spark, sf_dir).select(
-        scalars.base_name(F.col("path")).alias("base_name"), (F.col("length") > 0).alias("has_content")
-    )
+    files = list_files(spark, sf_dir)
+    table = F.regexp_extract("path", r"/([^/]+)\.parquet", 1).alias("table_name")
+    return files.groupBy(table).agg((F.sum("length") > 0).alias("has_content"))
 
 
 # --- pages ----------------------------------------------------------------------
@@ -251,12 +256,6 @@ def _expected_and_landed(spark, sf_dir):
     return stats.table_counts({"orders": orders, "events": events}), stats.table_counts(landed)
 
 
-_ALL_TABLES = (
-    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
-    "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
-)
-
-
 @query(
     "SELECT table_name, n AS rows, (n > 4000 AND k) AS chunked,"
     " CASE WHEN n > 4000 AND k THEN (n + 3999) // 4000 END AS chunks, 'ok' AS status FROM ("

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.chunking import page_rows
+from tidemark.operators.chunking import page_rows_by_kept_keys
 
 
 @dataclass(frozen=True)
@@ -70,7 +70,7 @@ class DocumentSource:
 
     def row_count(self, collection: str, schema: str | None = None) -> int:
         if self._on_files():
-            lines = self.spark.read.text(self.path(collection))
+            lines = self.spark.read.text(self.path(collection)).where(F.trim("value") != "")
             return lines.agg(F.count(F.lit(1))).first()[0]
         return self.read(collection).agg(F.count(F.lit(1))).first()[0]
 
@@ -80,7 +80,7 @@ class DocumentSource:
     def read_paged(
         self, collection: str, schema: str | None, keys: Sequence[str], chunk_size: int
     ) -> DataFrame:
-        return page_rows(self.read(collection), keys, chunk_size)
+        return page_rows_by_kept_keys(self.read(collection), keys, chunk_size)
 
     def overwrite(self, df: DataFrame, collection: str) -> None:
         self._save(df.write.mode("overwrite"), collection)

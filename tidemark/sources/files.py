@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.chunking import page_rows, scan_position
+from tidemark.operators.chunking import page_rows, page_rows_by_kept_keys, scan_position
 
 
 def list_files(spark: SparkSession, root: str, prefix: str = "") -> DataFrame:
@@ -67,5 +67,5 @@ class FileSource:
         """
         scan = self.read(table, schema)
         if self.format == "parquet":
-            scan = scan_position(scan)
-        return page_rows(scan, keys, chunk_size)
+            return page_rows(scan_position(scan), keys, chunk_size)
+        return page_rows_by_kept_keys(scan, keys, chunk_size)
