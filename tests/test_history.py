@@ -170,8 +170,38 @@ def test_sorted_snapshot(spark):
     assert len({r["p"] for r in parts}) > 1
 
 
-def test_history_table_writes_closed_rows_once(spark, tmp_path):
-    table = HistoryTable(spark, str(tmp_path / "h"), ["k"])
+@pytest.fixture
+def warehouse(spark):
+    """Tables entered in the catalog by a test are taken out again."""
+    before = {t.name for t in spark.catalog.listTables()}
+    yield
+    for t in spark.catalog.listTables():
+        if t.name not in before:
+            spark.sql(f"DROP TABLE {t.name}")
+
+
+def test_bucketed_history_shuffles_only_the_snapshot(spark, tmp_path, plan_of, warehouse):
+    table = HistoryTable(spark, str(tmp_path / "h"), ["k"], buckets=3)
+    table.load(snap(spark, OLD), day(D1))
+    for _ in range(2):
+        table.load(snap(spark, NEW), day(D2))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        after = table.versions_after(table.table.live_version(), snap(spark, OLD), day(D3))
+        plan = plan_of(after, "simple")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange") == 1 and "Bucketed: true" in plan
+    files = [f.split("/")[-1] for f in table.current().inputFiles()]
+    assert 0 < len(files) <= 3
+    unaware = HistoryTable(spark, str(tmp_path / "h"), ["k"])
+    rows = sorted(map(repr, table.read().collect()))
+    assert rows == sorted(map(repr, unaware.read().select(*table.read().columns).collect()))
+
+
+@pytest.mark.parametrize("buckets", [0, 3])
+def test_history_table_writes_closed_rows_once(spark, tmp_path, warehouse, buckets):
+    table = HistoryTable(spark, str(tmp_path / "h"), ["k"], buckets)
     with pytest.raises(LookupError):
         table.read()
     expected = None
@@ -191,11 +221,12 @@ def test_history_table_writes_closed_rows_once(spark, tmp_path):
     assert table.table.staged(third).where("not is_current").isEmpty()
 
 
-def test_history_survives_a_snapshot_that_loses_everything(spark, tmp_path):
-    table = HistoryTable(spark, str(tmp_path / "h"), ["k"])
+@pytest.mark.parametrize("buckets", [0, 2])
+def test_history_survives_a_snapshot_that_loses_everything(spark, tmp_path, warehouse, buckets):
+    table = HistoryTable(spark, str(tmp_path / "h"), ["k"], buckets)
     for d in (D1, D1):
         table.load(snap(spark, OLD).where("k < 0"), day(d))
-        table = HistoryTable(spark, str(tmp_path / "h"), ["k"])
+        table = HistoryTable(spark, str(tmp_path / "h"), ["k"], buckets)
         assert table.read().count() == 0
     table.load(snap(spark, OLD), day(D1))
     table.load(snap(spark, OLD).where("k < 0"), day(D2))

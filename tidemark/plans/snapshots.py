@@ -6,8 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, StructField, StructType
+from pyspark.sql.types import StructType
 
+from tidemark.functions.ordering import col
 from tidemark.operators.history import IS_CURRENT, next_versions, open_history
 from tidemark.sinks.published import PublishedTable
 from tidemark.workspace import path_exists
@@ -25,38 +26,38 @@ class HistoryTable:
     them, only the rows this load closed.  The history is the newest version's
     current rows and the closed rows of all versions, so a load costs what the
     current snapshot costs however long the history has grown.
+
+    With ``buckets`` the current rows are kept bucketed by key: a load then
+    shuffles the arriving snapshot and nothing else.
     """
 
-    def __init__(self, spark: SparkSession, root: str, keys: Sequence[str]):
+    def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], buckets: int = 0):
         self.spark = spark
         self.keys = list(keys)
-        self.table = PublishedTable(spark, root)
+        self.table = PublishedTable(spark, root, self.keys, buckets)
 
     def load(self, snapshot: DataFrame, as_of: Column) -> str:
         live = self.table.live_version()
         if live is None:
+            if self.table.buckets:
+                snapshot = snapshot.repartition(self.table.buckets, *[col(k) for k in self.keys])
             versions = open_history(snapshot, as_of.cast("date"))
         else:
-            versions = next_versions(self._current(live), snapshot, self.keys, as_of)
+            versions = self.versions_after(live, snapshot, as_of)
         return self.table.publish(versions, partition_by=[IS_CURRENT])
 
-    def _part(self, version: str, live: bool) -> str:
-        return f"{self.table.version_path(version)}/{IS_CURRENT}={str(live).lower()}"
-
-    def _read(self, paths: list[str], columns: StructType, live: bool) -> DataFrame:
-        present = [p for p in paths if path_exists(self.spark, p)]
-        if not present:
-            empty = StructType([*columns.fields, StructField(IS_CURRENT, BooleanType())])
-            return self.spark.createDataFrame([], empty)
-        rows = self.spark.read.schema(columns).parquet(*present)
-        return rows.withColumn(IS_CURRENT, F.lit(live))
-
-    def _columns(self, version: str) -> StructType:
-        fields = self.table.columns_of(version).fields
-        return StructType([f for f in fields if f.name != IS_CURRENT])
+    def versions_after(self, live: str, snapshot: DataFrame, as_of: Column) -> DataFrame:
+        """What the next load writes, given the live version."""
+        return next_versions(self._current(live), snapshot, self.keys, as_of)
 
     def _current(self, version: str) -> DataFrame:
-        return self._read([self._part(version, True)], self._columns(version), True)
+        return self.table.staged(version).where(F.col(IS_CURRENT))
+
+    def _live(self) -> str:
+        live = self.table.live_version()
+        if live is None:
+            raise LookupError("no snapshot has been loaded")
+        return live
 
     def current(self) -> DataFrame:
         """The rows that are valid now."""
@@ -64,12 +65,13 @@ class HistoryTable:
 
     def read(self) -> DataFrame:
         """The whole history."""
-        live = self._live()
-        closed = [self._part(v, False) for v in self.table.published_versions()]
-        return self.current().unionByName(self._read(closed, self._columns(live), False))
-
-    def _live(self) -> str:
-        live = self.table.live_version()
-        if live is None:
-            raise LookupError("no snapshot has been loaded")
-        return live
+        current = self.current()
+        folders = [
+            f"{self.table.version_path(v)}/{IS_CURRENT}=false" for v in self.table.published_versions()
+        ]
+        closed = [f for f in folders if path_exists(self.spark, f)]
+        if not closed:
+            return current
+        columns = StructType([f for f in current.schema.fields if f.name != IS_CURRENT])
+        rows = self.spark.read.schema(columns).parquet(*closed)
+        return current.unionByName(rows.withColumn(IS_CURRENT, F.lit(False)))

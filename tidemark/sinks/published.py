@@ -8,6 +8,7 @@ Older versions stay in place for readers that have already started.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import uuid
 from collections.abc import Sequence
@@ -27,11 +28,21 @@ class PublishRefused(RuntimeError):
 
 
 class PublishedTable:
-    """A table whose versions live below ``root``."""
+    """A table whose versions live below ``root``.
 
-    def __init__(self, spark: SparkSession, root: str):
+    With ``buckets`` each version is also entered in the session's catalog as a
+    table bucketed by ``bucket_by``, so that a join or aggregation on those
+    columns need not shuffle it.  Where the catalog does not know a version, its
+    files are read all the same.
+    """
+
+    def __init__(
+        self, spark: SparkSession, root: str, bucket_by: Sequence[str] = (), buckets: int = 0
+    ):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.bucket_by = list(bucket_by)
+        self.buckets = buckets if bucket_by else 0
         self._staged_columns: dict[str, StructType] = {}
 
     def version_path(self, version: str) -> str:
@@ -41,12 +52,22 @@ class PublishedTable:
     def _log_path(self) -> str:
         return f"{self.root}/publications"
 
+    def catalog_name(self, version: str) -> str:
+        place = hashlib.sha256(self.root.encode()).hexdigest()[:16]
+        return f"tidemark_{place}_{version.replace('-', '_')}".lower()
+
     def stage(self, df: DataFrame, partition_by: Sequence[str] = ()) -> tuple[str, int]:
         """Write a version nobody reads yet; its name and the rows written."""
         version = f"{datetime.now(timezone.utc):%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
         written = Observation()
         counted = df.observe(written, F.count(F.lit(1)).alias("n"))
-        counted.write.partitionBy(*partition_by).parquet(self.version_path(version))
+        writer = counted.write.format("parquet").partitionBy(*partition_by)
+        writer = writer.option("path", self.version_path(version))
+        if self.buckets:
+            bucketed = writer.bucketBy(self.buckets, *self.bucket_by).sortBy(*self.bucket_by)
+            bucketed.saveAsTable(self.catalog_name(version))
+        else:
+            writer.save()
         self._staged_columns[version] = df.schema
         return version, written.get["n"]
 
@@ -60,6 +81,8 @@ class PublishedTable:
         return self._staged_columns[version]
 
     def staged(self, version: str) -> DataFrame:
+        if self.buckets and self.spark.catalog.tableExists(self.catalog_name(version)):
+            return self.spark.table(self.catalog_name(version))
         reader = self.spark.read.schema(self.columns_of(version))
         return reader.parquet(self.version_path(version))
 
