@@ -154,8 +154,19 @@ def test_paged_read(spark):
     ]
 
 
-def test_paged_read_refuses_a_column_that_is_no_key(spark):
-    df = spark.range(1000).selectExpr("id % 3 as k")
+def test_paged_read_by_columns_that_are_no_key(spark):
+    df = spark.range(1000).selectExpr("id % 3 as k", "id as v")
     source = Recorded(spark, "postgres", "u", "d", extra={"df": df, "log": []})
-    with pytest.raises(ValueError):
-        source.read_paged("t", None, ["k"], 100)
+    paged = source.read_paged("t", None, ["k"], 100)
+    assert paged.columns == ["k", "v", "_chunk_id"]
+    assert {r["_chunk_id"]: r["count"] for r in paged.groupBy("_chunk_id").count().collect()} == {
+        i: 100 for i in range(10)
+    }
+    assert [kind for kind, _ in source.extra["log"]] == ["strided"]
+
+
+def test_more_connections_than_pages(spark):
+    df = spark.range(25).withColumnRenamed("id", "k")
+    source = Recorded(spark, "sqlserver", "u", "d", connections=32, extra={"df": df, "log": []})
+    source.read_paged("t", None, ["k"], 10)
+    assert source.extra["log"][1][1] == ['"k" < 10', '"k" >= 10 AND "k" < 20', '"k" >= 20']

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
 from itertools import accumulate
 
@@ -22,7 +23,7 @@ MAX_SPLITS = 10_000
 PREFIX_BYTES = 7
 
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
-_BOUNDS, _FOUND, _LEADS, _BELOW = "__bounds", "__found", "__leads", "__below"
+_BOUNDS, _FOUND, _LEADS = "__bounds", "__found", "__leads"
 _LOWEST = -(2**63)
 
 
@@ -59,7 +60,7 @@ def with_position(
     if lead is None:
         searched = df.withColumn(_BOUNDS, _ordered_bounds(bounds, keys))
         return searched.withColumn(name, _halving(keys, n_bounds)).drop(_BOUNDS)
-    counted = {r[0]: r[1] for r in bounds.groupBy(lead).count().collect()}
+    counted = Counter(r[0] for r in bounds.select(lead).collect())
     n_null = counted.pop(None, 0)
     values = sorted(counted)
     if len(values) <= MAX_SPLITS and all(abs(v) <= EXACT_DOUBLE_INT for v in values):
@@ -70,20 +71,18 @@ def with_position(
         return found.withColumn(name, F.col(_FOUND) + F.lit(n_null)).drop(_FOUND)
     below = list(accumulate((counted[v] for v in values), initial=n_null))
     table = df.sparkSession.createDataFrame(
-        [(values, below)], "leads array<bigint>, below array<int>"
+        [((values, below),)], "t struct<leads: array<bigint>, below: array<int>>"
     )
-    searched = (
-        found.withColumn(_LEADS, table.select("leads").scalar())
-        .withColumn(_BELOW, table.select("below").scalar())
-        .withColumn(_BOUNDS, _ordered_bounds(bounds, keys))
+    searched = found.withColumn(_LEADS, table.scalar()).withColumn(
+        _BOUNDS, _ordered_bounds(bounds, keys)
     )
     shares_lead = F.when(lead.isNull(), F.lit(n_null > 0)).otherwise(
-        F.get(F.col(_LEADS), F.col(_FOUND) - 1) == lead
+        F.get(F.col(f"{_LEADS}.leads"), F.col(_FOUND) - 1) == lead
     )
     position = F.when(shares_lead, _halving(keys, n_bounds)).otherwise(
-        F.get(F.col(_BELOW), F.col(_FOUND))
+        F.get(F.col(f"{_LEADS}.below"), F.col(_FOUND))
     )
-    return searched.withColumn(name, position).drop(_FOUND, _LEADS, _BELOW, _BOUNDS)
+    return searched.withColumn(name, position).drop(_FOUND, _LEADS, _BOUNDS)
 
 
 def _as_long(c: Column, kind: T.DataType) -> Column | None:

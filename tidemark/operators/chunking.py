@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.ordering import col, key_tuple, with_position
 from tidemark.functions.scalars import page_count_of
-from tidemark.functions.sizes import fits
+from tidemark.functions.sizes import row_bytes
 from tidemark.workspace import materialise
 
 CHUNK_ID = "_chunk_id"
@@ -117,10 +117,11 @@ def rank(
     bounds, n_bounds = None, 0
     if n_buckets > 1:
         bounds, n_bounds = _bucket_bounds(df, keys, n_rows, n_buckets, rows_per_bucket)
-    bucketed = with_position(df, keys, bounds, n_bounds, _BUCKET)
-    bases = _bucket_bases(bucketed, n_bounds, cuts)
-    # At most MAX_BUCKETS rows of two numbers, so always small enough to broadcast.
-    based = bucketed.join(F.broadcast(bases), _BUCKET)
+    based = with_position(df, keys, bounds, n_bounds, _BUCKET).withColumn(_BASE, F.lit(0))
+    if n_bounds:
+        bases = _bucket_bases(based, n_bounds, cuts)
+        # At most MAX_BUCKETS rows of two numbers, so always small enough to broadcast.
+        based = based.drop(_BASE).join(F.broadcast(bases), _BUCKET)
     in_bucket = Window.partitionBy(_BUCKET).orderBy(*[col(k) for k in keys])
     rows = based.withColumn(_IDX, F.row_number().over(in_bucket) - 1 + F.col(_BASE))
     tied = F.lag(key_tuple(keys)).over(in_bucket).eqNullSafe(key_tuple(keys))
@@ -161,25 +162,26 @@ def _bucket_bases(bucketed: DataFrame, n_bounds: int, cuts: Cuts | None) -> Data
 
 def _tuples_at(
     df: DataFrame, keys: Sequence[str], n_rows: int, cuts: Cuts, rows_per_bucket: int
-) -> DataFrame:
-    """The key tuples at the cuts, each with its index."""
+) -> tuple[DataFrame, int]:
+    """The key tuples at the cuts, each with its index, and about how large they are."""
     key_rows = df.select(*[col(k) for k in keys])
     ranked = rank(key_rows, keys, n_rows, rows_per_bucket, cuts)
     found = materialise(ranked.where(cuts.at(F.col(_IDX))), "starts")
-    if not found.where(F.col(_TIED)).isEmpty():
+    checked = found.agg(F.max(_TIED).alias("tied"), F.sum(row_bytes(found)).alias("bytes")).first()
+    if checked["tied"]:
         raise TiedKeys(f"a cut would fall between copies of one key of {list(keys)}")
-    return found.drop(_TIED)
+    return found.drop(_TIED), checked["bytes"] or 0
 
 
 def _cut(
     df: DataFrame, keys: Sequence[str], n_rows: int, cuts: Cuts, rows_per_bucket: int
-) -> tuple[DataFrame, tuple[str, ...], DataFrame]:
-    """The rows, the columns that order them without ties, and the tuples at the cuts."""
+) -> tuple[DataFrame, tuple[str, ...], DataFrame, int]:
+    """The rows, the columns that order them without ties, the tuples at the cuts, their size."""
     try:
-        return df, tuple(keys), _tuples_at(df, keys, n_rows, cuts, rows_per_bucket)
+        return df, tuple(keys), *_tuples_at(df, keys, n_rows, cuts, rows_per_bucket)
     except TiedKeys:
         rows, order = with_row_position(df), (*keys, *POSITION)
-        return rows, order, _tuples_at(rows, order, n_rows, cuts, rows_per_bucket)
+        return rows, order, *_tuples_at(rows, order, n_rows, cuts, rows_per_bucket)
 
 
 @dataclass(frozen=True)
@@ -189,6 +191,7 @@ class Pages:
     rows: DataFrame
     order: tuple[str, ...]
     starts: DataFrame
+    start_bytes: int
     n_rows: int
     chunk_size: int
 
@@ -196,11 +199,24 @@ class Pages:
     def n_pages(self) -> int:
         return page_count_of(self.n_rows, self.chunk_size)
 
-    def tagged(self) -> DataFrame:
-        """Every row with its page number."""
+    def can_be_looked_up(self, max_starts: int = MAX_PAGE_STARTS) -> bool:
+        """Whether the page starts are few and small enough to travel to every task."""
+        return self.n_pages - 1 <= max_starts and self.start_bytes <= MAX_START_BYTES
+
+    def every(self, n_ranges: int) -> list[tuple]:
+        """Page starts that cut the table into at most ``n_ranges`` ranges of whole pages."""
+        per_range = -(-self.n_pages // n_ranges) or 1
+        page = F.call_function("div", F.col(_IDX), F.lit(self.chunk_size))
+        chosen = self.starts.where(page % per_range == 0).orderBy(_IDX).collect()
+        return [tuple(r[k] for k in self.order) for r in chosen]
+
+    def tag(self, rows: DataFrame) -> DataFrame:
+        """``rows`` with the number of the page each belongs to."""
         n_starts = max(self.n_pages - 1, 0)
-        tagged = with_position(self.rows, self.order, self.starts, n_starts, CHUNK_ID)
-        return tagged.drop(*POSITION)
+        return with_position(rows, self.order, self.starts, n_starts, CHUNK_ID).drop(*POSITION)
+
+    def tagged(self) -> DataFrame:
+        return self.tag(self.rows)
 
 
 def page_table(
@@ -213,8 +229,8 @@ def page_table(
     """Find where the pages of ``df`` start."""
     cuts = Cuts(step=check_chunk_size(chunk_size))
     n_rows = df.count() if n_rows is None else n_rows
-    rows, order, starts = _cut(df, keys, n_rows, cuts, rows_per_bucket)
-    return Pages(rows, order, starts.drop(_IDX), n_rows, chunk_size)
+    rows, order, starts, size = _cut(df, keys, n_rows, cuts, rows_per_bucket)
+    return Pages(rows, order, starts, size, n_rows, chunk_size)
 
 
 def page_rows(
@@ -229,7 +245,7 @@ def page_rows(
     n_rows = df.count()
     if page_count_of(n_rows, chunk_size) - 1 <= max_page_starts:
         pages = page_table(df, keys, chunk_size, rows_per_bucket, n_rows)
-        if fits(pages.starts, max_page_starts, MAX_START_BYTES):
+        if pages.can_be_looked_up(max_page_starts):
             return pages.tagged()
     # More pages than can be looked up: number the whole rows instead.  Positions
     # leave no ties, so a task that runs again numbers them the same.
@@ -248,12 +264,9 @@ def page_rows_by_kept_keys(
     Only where keys repeat across a cut is a copy of the whole rows needed.
     """
     kept = materialise(df.select(*[col(k) for k in keys]), "keys")
-    n_rows = kept.count()
-    n_starts = max(page_count_of(n_rows, chunk_size) - 1, 0)
-    if n_starts <= MAX_PAGE_STARTS:
-        pages = page_table(kept, keys, chunk_size, n_rows=n_rows)
-        if pages.order == tuple(keys) and fits(pages.starts, MAX_PAGE_STARTS, MAX_START_BYTES):
-            return with_position(df, keys, pages.starts, n_starts, CHUNK_ID)
+    pages = page_table(kept, keys, chunk_size)
+    if pages.order == tuple(keys) and pages.can_be_looked_up():
+        return pages.tag(df)
     return page_rows(with_row_position(df), keys, chunk_size)
 
 
@@ -266,7 +279,7 @@ def rows_between(
 ) -> DataFrame:
     """The rows with index ``start`` up to, not including, ``stop`` in key order."""
     cuts = Cuts(listed=(start, stop))
-    df, order, found = _cut(df, keys, df.count(), cuts, rows_per_bucket)
+    df, order, found, _ = _cut(df, keys, df.count(), cuts, rows_per_bucket)
     at = {r[_IDX]: [r[k] for k in order] for r in found.collect()}
     if start not in at:
         return df.where(F.lit(False)).drop(*POSITION)

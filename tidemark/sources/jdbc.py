@@ -12,9 +12,9 @@ from dataclasses import dataclass, field, replace
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import types as T
 
-from tidemark.functions.ordering import col, with_position
+from tidemark.functions.ordering import col
 from tidemark.functions.scalars import qualified_name
-from tidemark.operators.chunking import CHUNK_ID, page_table
+from tidemark.operators.chunking import page_rows, page_table, with_row_position
 from tidemark.sources.predicates import count_query, ends_query, key_query, range_predicates
 from tidemark.workspace import materialise
 
@@ -117,23 +117,21 @@ class JdbcSource:
         The key columns are read once, on their own, and kept: they fix which
         pages there are.  The rows are then read in ranges that each hold a whole
         number of pages, so that no range is much larger than another and the
-        database never sorts the table or skips over rows.
+        database never sorts the table or skips over rows.  If the columns turn
+        out not to tell rows apart, the rows are landed first and paged there.
         """
         types = [self.read(table, schema).schema[k].dataType for k in keys]
         strided = isinstance(types[0], _STRIDED)
         by_key = self.read_strided(table, schema, keys[0]) if strided else self.read(table, schema)
         key_rows = materialise(by_key.select(*[col(k) for k in keys]), "keys")
         pages = page_table(key_rows, keys, chunk_size)
-        if pages.order != tuple(keys):
-            raise ValueError(f"{', '.join(keys)} does not identify the rows of {table}")
-        if all(isinstance(t, _CUTTABLE) for t in types):
-            every = -(-pages.n_pages // self.connections) or 1
-            starts = pages.starts.orderBy(*[col(k) for k in keys]).collect()
-            cuts = [tuple(s[k] for k in keys) for s in starts[every - 1 :: every]]
-            rows = self.read_ranges(table, schema, range_predicates(keys, cuts, self.kind))
-        else:
-            rows = by_key
-        return with_position(rows, keys, pages.starts, max(pages.n_pages - 1, 0), CHUNK_ID)
+        rows = by_key
+        if pages.order == tuple(keys) and all(isinstance(t, _CUTTABLE) for t in types):
+            ranges = range_predicates(keys, pages.every(self.connections), self.kind)
+            rows = self.read_ranges(table, schema, ranges)
+        if pages.order == tuple(keys) and pages.can_be_looked_up():
+            return pages.tag(rows)
+        return page_rows(with_row_position(rows), keys, chunk_size)
 
     # --- writing ---------------------------------------------------------------
 
