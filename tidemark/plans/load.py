@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampType
 
 from tidemark.functions.ordering import col
 from tidemark.functions.sizes import small_side
@@ -15,7 +16,7 @@ from tidemark.workspace import path_exists
 
 # Readers of the table skip a folder with this kind of name.
 _LOG = "_watermarks"
-_LOG_SCHEMA = "high timestamp_ntz"
+_LOG_SCHEMA = "high string"
 
 
 def after_watermark(df: DataFrame, column: str, last: Column) -> DataFrame:
@@ -25,14 +26,28 @@ def after_watermark(df: DataFrame, column: str, last: Column) -> DataFrame:
 
 @dataclass(frozen=True)
 class Increment:
-    """What one incremental load added, and how far it got."""
+    """What one incremental load added, and how far it got.
+
+    ``high`` is naive for zoneless timestamps, and in UTC for instants.
+    """
 
     added: int
     high: datetime | None
 
 
 def high_watermark(df: DataFrame, column: str) -> datetime | None:
-    return df.agg(F.max(col(column))).first()[0]
+    highest = df.agg(F.max(col(column))).first()[0]
+    if highest is not None and isinstance(df.schema[column].dataType, TimestampType):
+        return highest.astimezone(timezone.utc)
+    return highest
+
+
+def mark(df: DataFrame, column: str, value: datetime) -> Column:
+    """``value`` as a literal of the column's own type, whatever zone is set where."""
+    if isinstance(df.schema[column].dataType, TimestampType):
+        seconds = int(value.replace(microsecond=0).timestamp())
+        return F.timestamp_micros(F.lit(seconds * 1_000_000 + value.microsecond))
+    return F.lit(value.isoformat(" ")).cast("timestamp_ntz")
 
 
 def increment_of(
@@ -51,10 +66,10 @@ def increment_of(
     timestamp, or arrives late within the lookback, is neither lost nor doubled.
     Both sides are limited to that window.
     """
-    rows = source.where(col(column) <= F.lit(high))
+    rows = source.where(col(column) <= mark(source, column, high))
     if low is None or landed is None:
         return rows
-    start = F.lit(low - lookback)
+    start = mark(source, column, low - lookback)
     known = landed.where(col(column) >= start).select(*[col(k) for k in keys])
     return rows.where(col(column) >= start).join(small_side(known), list(keys), "left_anti")
 
@@ -63,11 +78,13 @@ def _stored_watermark(spark: SparkSession, path: str) -> datetime | None:
     if not path_exists(spark, f"{path}/{_LOG}"):
         return None
     log = spark.read.schema(_LOG_SCHEMA).json(f"{path}/{_LOG}")
-    return log.agg(F.max("high")).first()[0]
+    latest = log.agg(F.max("high")).first()[0]
+    return datetime.fromisoformat(latest) if latest else None
 
 
 def _store_watermark(spark: SparkSession, path: str, high: datetime) -> None:
-    entry = spark.range(1).select(F.lit(high).cast("timestamp_ntz").alias("high"))
+    # Always written with microseconds, so that text order is time order.
+    entry = spark.range(1).select(F.lit(high.isoformat(timespec="microseconds")).alias("high"))
     entry.coalesce(1).write.mode("append").json(f"{path}/{_LOG}")
 
 
@@ -93,8 +110,12 @@ def load_increment(
         landed = spark.read.schema(source.schema).parquet(path)
         low = _stored_watermark(spark, path) or high_watermark(landed, column)
         if day_column and low is not None:
-            landed = landed.where(col(day_column) >= F.lit((low - lookback).date()))
-    reach = source if low is None else source.where(col(column) >= F.lit(low - lookback))
+            # One day more, should the session's zone have been another one then.
+            first_day = F.date_sub(mark(source, column, low - lookback).cast("date"), 1)
+            landed = landed.where(col(day_column) >= first_day)
+    reach = source
+    if low is not None:
+        reach = source.where(col(column) >= mark(source, column, low - lookback))
     high = high_watermark(reach, column)
     if high is None:
         return Increment(0, low)
