@@ -11,7 +11,7 @@ from tidemark.sources.jdbc import JdbcSource
 from tidemark.sources.registry import open_source
 
 CONFIG = {
-    "datasource": {
+    "production": {
         "warehouse": {
             "kind": "SqlServer",
             "url": "jdbc:sqlserver://host:1433;databaseName=",
@@ -35,7 +35,7 @@ CONFIG = {
 
 
 def opened(spark, name):
-    return open_source(spark, CONFIG, "datasource", name)
+    return open_source(spark, CONFIG, "production", name)
 
 
 def test_sources_open_by_kind(spark, monkeypatch):

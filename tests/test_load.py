@@ -195,8 +195,11 @@ def test_active_jobs(spark):
         [(1, True, "load", 3), (2, True, None, 1), (3, False, "load", 2), (4, True, "load", 1)],
         "id int, IsActive boolean, JobName string, OrderBy int",
     )
+
     def run(name):
-        return [r["id"] for r in lookup.active_jobs(jobs, F.col("IsActive"), F.col("JobName"), name, "OrderBy").collect()]
+        found = lookup.active_jobs(jobs, F.col("IsActive"), F.col("JobName"), name, "OrderBy")
+        return [r["id"] for r in found.collect()]
+
     assert run("load") == [4, 1] and run(None) == [2]
 
 

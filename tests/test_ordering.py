@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from tidemark.functions import ordering as o
 
 RND = random.Random(11)
-STAMPS = [dt.datetime(1969, 12, 31, 23, 59, 58, 999_999) + dt.timedelta(microseconds=RND.randrange(10**13)) for _ in range(60)]
+START = dt.datetime(1969, 12, 31, 23, 59, 58, 999_999)
+STAMPS = [START + dt.timedelta(microseconds=RND.randrange(10**13)) for _ in range(60)]
 STAMPS += [s.replace(microsecond=0) for s in STAMPS[:10]]
 VALUES = {
     "int": [RND.randrange(-50, 50) for _ in range(80)],

@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import page_count_of, size_mb_of
 from tidemark.operators.chunking import (
-    CHUNK_ID,
     DEFAULT_CHUNK_SIZE,
     check_chunk_size,
     check_manifest,
@@ -169,6 +168,7 @@ def extract_tables(
     """
     settings = _table_settings(tables)
     spark: SparkSession = source.spark
+    # Settles the shared folder before the tables start side by side.
     run_dir(spark, "landing")
 
     def one(name: str) -> Extraction | ExtractionFailed:

@@ -605,14 +605,14 @@ _CUT = datetime(2024, 1, 20)
 @query("SELECT event_id, ts, event_type FROM events WHERE ts > TIMESTAMP '2024-01-20 00:00:00'")
 def watermark_increment(spark, sf_dir):
     events = _table(spark, sf_dir, "events").select("event_id", "ts", "event_type")
-    return load.after_watermark(events, "ts", F.lit(_CUT).cast("timestamp_ntz"))
+    return load.after_watermark(events, "ts", load.mark(events, "ts", _CUT))
 
 
 @query("SELECT event_id, ts, user_id, event_type FROM events")
 def incremental_batches(spark, sf_dir):
     events = _table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
     path = run_dir(spark, "increments")
-    first = events.where(F.col("ts") <= F.lit(_CUT).cast("timestamp_ntz"))
+    first = events.where(F.col("ts") <= load.mark(events, "ts", _CUT))
     for arrived in (first, events, events):
         load.load_increment(arrived, path, "ts", ["event_id"], day_column="event_date")
     return spark.read.parquet(path).select("event_id", "ts", "user_id", "event_type")
