@@ -1,0 +1,174 @@
+"""Token counts, packing and token files against the library, text by text."""
+
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+import sentencepiece
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer
+
+from tidemark.llm import direct_codes, packing, tokens
+from tidemark.workspace import run_dir
+
+BYTE = public_tokenizers.path("byte_bpe_50k.json")
+WORD = public_tokenizers.path("word_bpe_49k.json")
+PIECE = public_tokenizers.path("piece_bpe_32k.model")
+
+
+def library_ids(path, text):
+    if path.endswith(".model"):
+        return sentencepiece.SentencePieceProcessor(model_file=path).encode(text)
+    return Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
+
+
+def sorted_rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+@pytest.fixture(scope="module", params=["odd_docs", "documents", "no_docs"])
+def docs(request):
+    return request.getfixturevalue(request.param)
+
+
+@pytest.mark.parametrize("path", [BYTE, WORD, PIECE])
+def test_counts(docs, path):
+    tokenizer = Tokenizer.from_file(path) if path.endswith(".json") else None
+    want = []
+    for r in docs.select("doc_id", "text").collect():
+        text = r.text or ""
+        n = len(tokenizer.encode(text, add_special_tokens=False).ids if tokenizer else library_ids(path, text))
+        want.append((r.doc_id, len(text.encode()), n, n > 1024))
+    assert sorted_rows(tokens.token_counts(docs, path)) == sorted(want, key=str)
+
+
+ALPHABET = " \n\t\x1c  aAéßΣİ1'ts.,<|endoftext|>😀́"
+
+
+@pytest.mark.parametrize("path", [BYTE, WORD])
+def test_cut_texts_encode_alike(path):
+    tokenizer = Tokenizer.from_file(path)
+    ours = tokens.Encoder(path, lengths=False)
+
+    @settings(max_examples=300, deadline=None)
+    @given(st.text(st.sampled_from(ALPHABET), max_size=60) | st.text(max_size=40))
+    def same(text):
+        got = np.frombuffer(next(iter(ours(iter([text])))), "<u2").tolist()
+        assert got == tokenizer.encode(text, add_special_tokens=False).ids
+
+    same()
+
+
+def test_long_texts_are_cut_at_safe_places(monkeypatch):
+    monkeypatch.setattr(tokens, "BATCH_BYTES", 50)
+    text = "Some words, and  more\nwords — don't stop; " * 40 + "x" * 200
+    for path in (BYTE, WORD):
+        assert list(tokens.segments(text, 50)) != [text]
+        assert "".join(tokens.segments(text, 50)) == text
+        ours = tokens.Encoder(path, lengths=True)
+        texts = [text, "", "a b", text + " <|endoftext|>"]
+        assert list(ours(iter(texts))) == [len(library_ids(path, t)) for t in texts]
+
+
+def test_forgetting_changes_nothing(monkeypatch):
+    monkeypatch.setattr(tokens, "MEMO_PIECES", 2)
+    ours = tokens.Encoder(WORD, lengths=True)
+    for text in ("a b c d", "c d e f", "a b c d"):
+        assert list(ours(iter([text]))) == [4]
+
+
+def encoded(docs):
+    tokenizer = Tokenizer.from_file(WORD)
+    return [
+        (r.doc_id, tokenizer.encode(r.text or "", add_special_tokens=False).ids + [1])
+        for r in docs.select("doc_id", "text").collect()
+    ]
+
+
+def crc(ids):
+    return zlib.crc32(np.array(ids, "<u4").tobytes())
+
+
+def test_pieces(docs):
+    pieces = [r.asDict() for r in packing.pack(docs, WORD, 2048, 1).pieces().collect()]
+    by_place = sorted(pieces, key=lambda p: (p["sequence_id"], p["offset"]))
+    at = 0
+    for p in by_place:  # gapless, in full windows
+        assert p["sequence_id"] * 2048 + p["offset"] == at
+        assert 0 < p["length"] <= 2048 - p["offset"]
+        at += p["length"]
+    # documents one after the other: pieces in order of place make up each
+    got, i = [], 0
+    while i < len(by_place):
+        first, done, crcs = by_place[i], 0, []
+        while done < first["doc_tokens"]:
+            p = by_place[i]
+            assert (p["doc_id"], p["start"], p["doc_tokens"]) == (first["doc_id"], done, first["doc_tokens"])
+            crcs.append((p["start"], p["length"], p["ids_crc32"]))
+            done += p["length"]
+            i += 1
+        got.append((first["doc_id"], done, crcs))
+    want = {}
+    for doc_id, ids in encoded(docs):
+        want.setdefault((doc_id, len(ids)), []).append(ids)
+    for doc_id, n, crcs in got:
+        ids = next(x for x in want[doc_id, n] if all(crc(x[s : s + k]) == c for s, k, c in crcs))
+        want[doc_id, n].remove(ids)
+    assert not any(want.values())
+
+
+@pytest.mark.parametrize("length", [7, 64, 2048])
+def test_sequences(docs, length):
+    packed = packing.pack(docs, WORD, length, 1)
+    rows = sorted(packed.sequences(pad_id=0).collect(), key=lambda r: r.sequence_id)
+    total = sum(len(ids) for _, ids in encoded(docs))
+    assert [r.sequence_id for r in rows] == list(range(-(-total // length)))
+    flat = [x for r in rows for x in r.ids[: r.n_ids]]
+    assert len(flat) == total
+    for r in rows[:-1]:
+        assert len(r.ids) == r.n_ids == length
+    if rows:
+        n = rows[-1].n_ids
+        assert len(rows[-1].ids) == (n if n & (n - 1) == 0 else length)
+    for p in packed.pieces().collect():
+        at = p.sequence_id * length + p.offset
+        assert crc(flat[at : at + p.length]) == p.ids_crc32
+
+
+def test_token_files(spark, docs):
+    path = run_dir(spark, "test-token-files")
+    direct_codes.write_codes(docs, path, WORD, 1)
+    got = sorted(direct_codes.read_documents(spark, path).collect(), key=lambda r: (r.start,))
+    want = encoded(docs)
+    assert sorted((r.doc_id, r.n_tokens, r.ids_crc32) for r in got if r.doc_id is not None) == sorted(
+        (d, len(x), crc(x)) for d, x in want if d is not None
+    )
+    assert len(got) == len(want)
+    ids = [r.doc_id if r.doc_id is not None else -1 for r in got]
+    assert ids == sorted(ids)
+    at = 0
+    for r in got:
+        assert r.start == at
+        at += r.n_tokens
+
+
+def test_any_token_can_be_read(spark, documents):
+    path = run_dir(spark, "test-token-files")
+    few = documents.where("doc_id < 40")
+    direct_codes.write_codes(few, path, WORD, 1)
+    flat = [x for _, ids in sorted(encoded(few)) for x in ids]
+    places = [0, 1, 511, 512, 513, len(flat) // 2, len(flat) - 1, len(flat), 10**12]
+    got = {r.place: r.token for r in direct_codes.tokens_at(spark, path, places).collect()}
+    assert got == {p: flat[p] for p in places if p < len(flat)}
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(0, 300) | st.integers(0, 2**32 - 1), max_size=1500))
+def test_codes_round_trip(ids):
+    codes = direct_codes.Codes(direct_codes.encode(np.array(ids, "<u4")))
+    assert len(codes) == len(ids)
+    assert codes.ids().tolist() == ids
+    for place in range(0, len(ids), 97):
+        assert codes[place] == ids[place]
