@@ -44,7 +44,7 @@ def test_counts(docs, path):
     assert sorted_rows(tokens.token_counts(docs, path)) == sorted(want, key=str)
 
 
-ALPHABET = " \n\t\x1c  aAéßΣİ1'ts.,<|endoftext|>😀́"
+ALPHABET = " \n\t\x1c|ENDOF  aAéßΣİ1'ts.,<|endoftext|>😀́"
 
 
 @pytest.mark.parametrize("path", [BYTE, WORD])
@@ -75,10 +75,22 @@ def test_long_texts_are_cut_at_safe_places(monkeypatch):
 def test_forgetting_changes_nothing(monkeypatch):
     monkeypatch.setattr(tokens, "MEMO_PIECES", 2)
     ours = tokens.Encoder(WORD, lengths=True)
-    for text in ("a b c d", "c d e f", "a b c d"):
+    for text in ("a b c d", "c d e f", "a b c d", "e f a d"):
         assert list(ours(iter([text]))) == [4]
 
 
+@pytest.mark.parametrize("path", [BYTE, WORD])
+def test_pieces_go_to_the_library_together(monkeypatch, path):
+    monkeypatch.setattr(tokens, "JOINED_PIECES", 3)
+    text = "No word, is é twice here. Or ÀB! 12 x.y, z"
+    for lengths in (True, False):
+        ours = tokens.Encoder(path, lengths)
+        assert ours.mark is not None
+        got = next(iter(ours(iter([text]))))
+        want = library_ids(path, text)
+        assert (got if lengths else np.frombuffer(got, "<u2").tolist()) == (len(want) if lengths else want)
+
+
 def encoded(docs):
     tokenizer = Tokenizer.from_file(WORD)
     return [

@@ -2,7 +2,7 @@
 
 A text is split at boundaries where the tokenizer can't join what stands on
 either side, so its ids are the ids of the pieces, one after the other.  The
-pieces that a worker has not met yet go to the library in batches of about
+pieces that a worker has not met lately go to the library in batches of about
 equal bytes; what it answered is remembered up to a fixed number of pieces.
 """
 
@@ -14,6 +14,7 @@ import re
 from array import array
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -25,7 +26,8 @@ SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 DROPPED_SPACE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 BATCH_BYTES = 1 << 20
-MEMO_PIECES = 300_000
+JOINED_PIECES = 100
+MEMO_PIECES = 400_000
 
 # Python's split() takes these for white space too.
 _ODD = re.compile("[\x1c-\x1f]")
@@ -34,7 +36,16 @@ _PIECES = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]")
 _GAP = re.compile(f"(?<=[^{SPACE}]) (?=[^{SPACE}])")
 
 
+_STOP = re.compile("(?<=[a-z])(?=[.,])")
+
+
 def words_of(text: str) -> list[str]:
+    """The words of a text for a tokenizer that lower-cases and drops white space.
+
+    A full stop or comma after a letter begins a piece of its own there, so
+    that the words without it are met again.
+    """
+    text = _STOP.sub(" ", text.encode().lower().decode())  # of bytes: A-Z only, whatever may follow them
     return text.split() if _ODD.search(text) is None else _WORDS.findall(text)
 
 
@@ -86,6 +97,8 @@ class Encoder:
     def __init__(self, path: str, lengths: bool) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.memo: dict[str, int | bytes] = {}
+        self.older: dict[str, int | bytes] = {}
+        self.mark: tuple[str, int] | None = None
         if path.endswith(".model"):
             import sentencepiece
 
@@ -105,30 +118,65 @@ class Encoder:
             with open(path, encoding="utf-8") as f:
                 config = json.load(f)
             self.cut = _cutter(config)
-            self.special = tuple(t["content"] for t in config.get("added_tokens", ()))
+            added = config.get("added_tokens", ())
+            self.special = tuple(t["content"].lower() for t in added)
+            for t in added:
+                if t["special"] and not (t["normalized"] or t["single_word"] or t["lstrip"] or t["rstrip"]):
+                    self.mark = (t["content"], t["id"])
             size = model.get_vocab_size(with_added_tokens=True)
         self.kind = "H" if size <= 1 << 16 else "I"
         self.join = sum if lengths else b"".join
         self._lengths = lengths
 
-    def _encode(self, pieces: list[str]) -> list[int | bytes]:
-        ids = self._ids(pieces)
+    def _encode(self, texts: list[str]) -> list[int | bytes]:
+        ids = self._ids(texts)
         return [len(x) for x in ids] if self._lengths else [array(self.kind, x).tobytes() for x in ids]
 
+    def _encode_pieces(self, pieces: list[str]) -> Iterator[int | bytes]:
+        """As ``_encode``, many pieces in a text with a special token between them, which none of them holds."""
+        if self.mark is None:
+            yield from self._encode(pieces)
+            return
+        text, mark = self.mark
+        joined = [text.join(pieces[i : i + JOINED_PIECES]) for i in range(0, len(pieces), JOINED_PIECES)]
+        for ids in self._ids(joined):
+            ids = np.array(ids.ids if self._lengths else ids, np.int64)
+            ends = [*np.flatnonzero(ids == mark).tolist(), len(ids)]
+            if self._lengths:
+                yield from (np.diff(ends, prepend=-1) - 1).tolist()
+            else:
+                raw = ids.astype(self.kind)
+                width, raw, start = raw.itemsize, raw.tobytes(), 0
+                for end in ends:
+                    yield raw[start : end * width]
+                    start = (end + 1) * width
+
+    def _learn(self, pieces: set[str]) -> None:
+        """Puts the results of all pieces in ``memo``; what was not asked for lately is forgotten."""
+        if len(self.memo) > MEMO_PIECES:
+            self.memo, self.older = {}, self.memo
+        memo, new = self.memo, pieces.difference(self.memo)
+        if self.older:
+            again = new.intersection(self.older)
+            memo.update((p, self.older[p]) for p in again)
+            new -= again
+        if new:
+            new = list(new)
+            memo.update(zip(new, self._encode_pieces(new)))
+
     def _batch(self, texts: list[str]) -> list[int | bytes]:
         if self.cut is None:
             return self._encode(texts)
-        cut = [[t] if any(s in t for s in self.special) else self.cut(t) for t in texts]
-        memo = self.memo
-        if len(memo) > MEMO_PIECES:
-            memo.clear()
-        new = list(set().union(*cut).difference(memo))
-        if new:
-            memo.update(zip(new, self._encode(new)))
-        return [self.join(map(memo.__getitem__, pieces)) for pieces in cut]
+        cut = [None if self._has_special(t) else self.cut(t) for t in texts]
+        self._learn(set().union(*filter(None, cut)))
+        known = self.memo.__getitem__
+        return [self._encode([t])[0] if c is None else self.join(map(known, c)) for t, c in zip(texts, cut)]
+
+    def _has_special(self, text: str) -> bool:
+        return any(s in text for s in self.special) or ("|" in text and any(s in text.lower() for s in self.special))
 
     def _cut_long(self, text: str) -> Iterator[str]:
-        if self.cut is None or len(text) <= BATCH_BYTES or any(s in text for s in self.special):
+        if self.cut is None or len(text) <= BATCH_BYTES or self._has_special(text):
             yield text
         else:
             yield from segments(text)
