@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from tokenizers import Tokenizer
 
 from tidemark.llm.frames import id_text
 
@@ -36,7 +37,9 @@ _PIECES = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]")
 _GAP = re.compile(f"(?<=[^{SPACE}]) (?=[^{SPACE}])")
 
 
-_STOP = re.compile("(?<=[a-z])(?=[.,])")
+_STOP = re.compile("[.,](?<=[a-z][.,])")
+# Words that lower-casing, NFC and splitting leave as they are.
+_PLAIN = re.compile("[a-z\xdf-\xf6\xf8-\xff]+")
 
 
 def words_of(text: str) -> list[str]:
@@ -45,10 +48,21 @@ def words_of(text: str) -> list[str]:
     A full stop or comma after a letter begins a piece of its own there, so
     that the words without it are met again.
     """
-    text = _STOP.sub(" ", text.encode().lower().decode())  # of bytes: A-Z only, whatever may follow them
+    text = _STOP.sub(r" \g<0>", text.encode().lower().decode())  # of bytes: A-Z only, whatever may follow them
     return text.split() if _ODD.search(text) is None else _WORDS.findall(text)
 
 
+def _drops_space(config: dict) -> bool:
+    parts = (config.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+    return bool(
+        parts[0].get("type") == "Split"
+        and parts[0].get("invert")
+        and parts[0].get("behavior") == "Removed"
+        and parts[0].get("pattern", {}).get("Regex") == DROPPED_SPACE
+        and [n.get("type") for n in (config.get("normalizer") or {}).get("normalizers", ())] == ["NFC", "Replace", "Lowercase"]
+    )
+
+
 def _cutter(config: dict) -> Callable[[str], list[str]] | None:
     """How texts are cut for this tokenizer; None if they must stay whole.
 
@@ -64,15 +78,7 @@ def _cutter(config: dict) -> Callable[[str], list[str]] | None:
         and not pre.get("add_prefix_space")
     ):
         return _PIECES.findall
-    parts = pre.get("pretokenizers") or [{}]
-    if (
-        parts[0].get("type") == "Split"
-        and parts[0].get("invert")
-        and parts[0].get("behavior") == "Removed"
-        and parts[0].get("pattern", {}).get("Regex") == DROPPED_SPACE
-    ):
-        return words_of
-    return None
+    return words_of if _drops_space(config) else None
 
 
 def segments(text: str, size: int = BATCH_BYTES) -> Iterator[str]:
@@ -99,6 +105,7 @@ class Encoder:
         self.memo: dict[str, int | bytes] = {}
         self.older: dict[str, int | bytes] = {}
         self.mark: tuple[str, int] | None = None
+        self._plain_ids = None
         if path.endswith(".model"):
             import sentencepiece
 
@@ -107,17 +114,15 @@ class Encoder:
             self.cut, self.special = None, ()
             size = model.get_piece_size()
         else:
-            from tokenizers import Tokenizer
-
             model = Tokenizer.from_file(path)
-            encode = model.encode_batch_fast
-            if lengths:
-                self._ids = lambda texts: encode(texts, add_special_tokens=False)
-            else:
-                self._ids = lambda texts: [e.ids for e in encode(texts, add_special_tokens=False)]
+            self._ids = self._by(model)
             with open(path, encoding="utf-8") as f:
                 config = json.load(f)
             self.cut = _cutter(config)
+            if _drops_space(config):
+                parts = config["pre_tokenizer"]["pretokenizers"][1:]
+                bare = config | {"normalizer": None, "pre_tokenizer": {"type": "Sequence", "pretokenizers": parts}}
+                self._plain_ids = self._by(Tokenizer.from_str(json.dumps(bare)))
             added = config.get("added_tokens", ())
             self.special = tuple(t["content"].lower() for t in added)
             for t in added:
@@ -128,19 +133,23 @@ class Encoder:
         self.join = sum if lengths else b"".join
         self._lengths = lengths
 
+    @staticmethod
+    def _by(model: Tokenizer) -> Callable[[list[str]], list[list[int]]]:
+        return lambda texts: [e.ids for e in model.encode_batch_fast(texts, add_special_tokens=False)]
+
     def _encode(self, texts: list[str]) -> list[int | bytes]:
         ids = self._ids(texts)
         return [len(x) for x in ids] if self._lengths else [array(self.kind, x).tobytes() for x in ids]
 
-    def _encode_pieces(self, pieces: list[str]) -> Iterator[int | bytes]:
+    def _encode_pieces(self, pieces: list[str], encode: Callable[[list[str]], list[list[int]]]) -> Iterator[int | bytes]:
         """As ``_encode``, many pieces in a text with a special token between them, which none of them holds."""
         if self.mark is None:
             yield from self._encode(pieces)
             return
         text, mark = self.mark
         joined = [text.join(pieces[i : i + JOINED_PIECES]) for i in range(0, len(pieces), JOINED_PIECES)]
-        for ids in self._ids(joined):
-            ids = np.array(ids.ids if self._lengths else ids, np.int64)
+        for ids in encode(joined):
+            ids = np.array(ids, np.int64)
             ends = [*np.flatnonzero(ids == mark).tolist(), len(ids)]
             if self._lengths:
                 yield from (np.diff(ends, prepend=-1) - 1).tolist()
@@ -160,9 +169,12 @@ class Encoder:
             again = new.intersection(self.older)
             memo.update((p, self.older[p]) for p in again)
             new -= again
-        if new:
-            new = list(new)
-            memo.update(zip(new, self._encode_pieces(new)))
+        if self._plain_ids is not None:
+            plain = list(filter(_PLAIN.fullmatch, new))
+            memo.update(zip(plain, self._encode_pieces(plain, self._plain_ids)))
+            new.difference_update(plain)
+        rest = list(new)
+        memo.update(zip(rest, self._encode_pieces(rest, self._ids)))
 
     def _batch(self, texts: list[str]) -> list[int | bytes]:
         if self.cut is None:
