@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import direct_codes, packing, simhash, tokens
+from tidemark.llm import direct_codes, packing, secret_scan, simhash, tokens, topk_search, vector_dedup
 from tidemark.workspace import run_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,3 +58,35 @@ def op9_token_files(spark, sf_dir):
         _table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), end_id=1
     )
     return direct_codes.read_documents(spark, path)
+
+
+@query()
+def op10_secret_scan(spark, sf_dir):
+    return secret_scan.digest(secret_scan.scan_secrets(_table(spark, sf_dir, "documents")))
+
+
+@query(
+    """
+    WITH v AS (
+        SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
+        FROM embeddings
+        WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    ), s AS (
+        SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(CAST(q.x AS DOUBLE[]), CAST(c.x AS DOUBLE[])) AS BIGINT) AS score
+        FROM v q JOIN v c ON c.vec_id <> q.vec_id AND len(c.x) = len(q.x)
+        WHERE q.vec_id % 50 = 0
+    ), r AS (
+        SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+        FROM s
+    )
+    SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+    """
+)
+def op1_exact_top_k(spark, sf_dir):
+    return topk_search.exact_top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+@query()
+def op6_embedding_near_dedup(spark, sf_dir):
+    return vector_dedup.near_duplicate_vectors(_table(spark, sf_dir, "embeddings"), threshold=0.93)
