@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.sizes import small_side
 from tidemark.llm.frames import id_text, part_bases
-from tidemark.llm.tokens import token_table
+from tidemark.llm.tokens import token_rows
 
 MAGIC = b"TDAC1\0\0\0"
 RANK_BITS = 512
@@ -126,7 +126,7 @@ def write_codes(
     rows = id_text(df, id_col, text_col)
     keys = ("doc_id", F.xxhash64("text"))
     ordered = rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    table = token_table(ordered, tokenizer, end_id)
+    encoded = token_rows(tokenizer, end_id)
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, part, shard, first = [], 0, 0, 0, 0
@@ -140,7 +140,7 @@ def write_codes(
         types = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64())]
         names = [x.split()[0] for x in _SHARDS.split(", ")]
         columns = ("doc_id", "ids", "width", "n_tokens", "part", "local_start")
-        for batch in batches:
+        for batch in encoded(batches):
             for doc_id, ids, width, n, of, start in zip(*(batch.column(c).to_pylist() for c in columns)):
                 if held and size + n > SHARD_IDS:
                     yield put()
@@ -152,7 +152,7 @@ def write_codes(
         if held:
             yield put()
 
-    table.mapInArrow(shards, _SHARDS).write.parquet(f"{path}/shards")
+    ordered.mapInArrow(shards, _SHARDS).write.parquet(f"{path}/shards")
     written = df.sparkSession.read.schema(_SHARDS).parquet(f"{path}/shards")
     part_bases(written, "part", "n_ids").write.parquet(f"{path}/parts")
 

@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tidemark.functions.ordering import col
 from tidemark.functions.sizes import small_side
@@ -35,19 +33,9 @@ def part_bases(table: DataFrame, part: str, size: str) -> DataFrame:
     The second of two prefix sums.  The table has one row per part, that is per
     task that wrote, whatever the number of rows.
     """
-    totals = table.groupBy(part).agg(F.sum(size).alias("total")).repartition(1).sortWithinPartitions(part)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base = 0
-        for batch in batches:
-            bases = []
-            for total in batch.column("total").to_pylist():
-                bases.append(base)
-                base += total
-            yield pa.record_batch([batch.column(part), pa.array(bases, pa.int64())], [part, "base"])
-
-    kind = dict(table.dtypes)[part]
-    return materialise(totals.mapInArrow(run, f"{part} {kind}, base bigint"), "part-bases")
+    before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    totals = table.groupBy(part).agg(F.sum(size).alias("total"))
+    return materialise(totals.select(part, F.coalesce(F.sum("total").over(before), F.lit(0)).alias("base")), "part-bases")
 
 
 def with_base(table: DataFrame, part: str, size: str) -> DataFrame:

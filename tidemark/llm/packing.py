@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.frames import id_text, with_base
-from tidemark.llm.tokens import token_table
+from tidemark.llm.tokens import TOKEN_ROWS, token_rows
 from tidemark.workspace import materialise
 
 BATCH_PIECES = 50_000
@@ -38,7 +38,7 @@ class Packed:
     length: int
 
     def pieces(self) -> DataFrame:
-        """``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, last_piece`` per piece.
+        """``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset`` per piece.
 
         Every id of every document lies in exactly one piece, and the pieces of
         a sequence fill it without gaps from 0.
@@ -168,7 +168,8 @@ def pack(
     short.  Texts are encoded once, in place; the ids are written to the shared
     folder, and neither texts nor ids are shuffled but for boundary records.
     """
-    table = materialise(token_table(id_text(df, id_col, text_col), tokenizer, end_id), "packed-ids")
+    rows = id_text(df, id_col, text_col).mapInArrow(token_rows(tokenizer, end_id), TOKEN_ROWS)
+    table = materialise(rows, "packed-ids")
     placed = with_base(table, "part", "n_tokens")
     begin = (F.col("base") + F.col("local_start")).alias("begin")
     return Packed(placed.select("doc_id", begin, "n_tokens", "ids", "width"), length)

@@ -17,6 +17,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
@@ -260,17 +261,18 @@ def token_counts(
     )
 
 
-def token_table(df: DataFrame, tokenizer: str, end_id: int | None) -> DataFrame:
-    """``part, local_start, doc_id, n_tokens, ids, width`` for rows of ``doc_id, text``.
+TOKEN_ROWS = "part int, local_start bigint, doc_id bigint, n_tokens bigint, ids binary, width int"
 
-    ``part`` is the task that encoded the row, ``local_start`` the number of ids
-    before it there.  ``ids`` has ``width`` bytes an id, little-endian.  Both
-    depend on how rows meet tasks: write the table before relying on them.
+
+def token_rows(tokenizer: str, end_id: int | None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Turns batches of ``doc_id, text`` into batches of ``TOKEN_ROWS``, within a task.
+
+    ``part`` is the task, ``local_start`` the number of ids before the row there.
+    ``ids`` has ``width`` bytes an id, little-endian.  Both places depend on how
+    rows meet tasks: write the rows before relying on them.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
         encode = encoder(tokenizer, lengths=False)
         width = array(encode.kind).itemsize
         end = b"" if end_id is None else end_id.to_bytes(width, "little")
@@ -287,9 +289,7 @@ def token_table(df: DataFrame, tokenizer: str, end_id: int | None) -> DataFrame:
             if rows.starts:
                 yield rows.take(first)
 
-    return df.mapInArrow(
-        run, "part int, local_start bigint, doc_id bigint, n_tokens bigint, ids binary, width int"
-    )
+    return run
 
 
 class _Rows:
