@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import direct_codes, packing, secret_scan, simhash, tokens, topk_search, vector_dedup
+from tidemark.llm import direct_codes, license_scan, packing, pieces, secret_scan, simhash, tokens, topk_search, toxicity, vector_dedup
 from tidemark.workspace import run_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -90,3 +90,20 @@ def op1_exact_top_k(spark, sf_dir):
 @query()
 def op6_embedding_near_dedup(spark, sf_dir):
     return vector_dedup.near_duplicate_vectors(_table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
+@query()
+def op5_license_scan(spark, sf_dir):
+    return license_scan.digest(license_scan.scan_licences(_table(spark, sf_dir, "documents")))
+
+
+@query()
+def op7_toxicity(spark, sf_dir):
+    documents = _table(spark, sf_dir, "documents")
+    model = toxicity.fit(documents, _table(spark, sf_dir, "labels"))
+    return toxicity.toxicity(documents, model, threshold=0.7)
+
+
+@query()
+def op8_sentencepiece(spark, sf_dir):
+    return pieces.checked_pieces(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.llm.frames import id_text
+from tidemark.functions.ordering import col
 from tidemark.workspace import materialise
 
 KINDS = ("assign", "access", "hex", "random")
@@ -203,6 +203,7 @@ def scan_secrets(
     false_discovery: float = 0.01,
     order_level: float = 0.001,
     text_coincidence: float = 0.065,
+    carry: bool = False,
 ) -> DataFrame:
     """``doc_id, base, added`` for every row: arrays of ``start, kind, end`` in code points, sorted, end exclusive.
 
@@ -213,26 +214,31 @@ def scan_secrets(
     runs or serial correlation speak against randomness, ``text_coincidence``
     how often two characters of text agree.  Null and empty texts have no spans;
     null ids stay null; repeated rows come out as often as they go in; an empty
-    table gives an empty result; other columns are not read.  Texts are read
-    once and not shuffled; the driver gets one number per length class.
+    table gives an empty result; other columns are not read, but with ``carry``
+    the whole input row is put into a column ``row``.  Texts are read once and
+    not shuffled; the driver gets one number per length class.
     """
-    rows = id_text(df, id_col, text_col)
+    whole = [F.struct(*[col(c) for c in df.columns]).alias("row")] if carry else []
+    rows = df.select(
+        *whole, col(id_col).cast("bigint").alias("doc_id"), F.coalesce(col(text_col).cast("string"), F.lit("")).alias("text")
+    )
     text = F.col("text")
     runs = F.when(text.rlike(RUN), _candidates(text, text_coincidence))
+    kept = ["row", "doc_id"] if carry else ["doc_id"]
     scanned = materialise(
-        rows.select("doc_id", F.array_sort(F.concat(*_base(text))).alias("base"), runs.alias("candidates")), "secrets"
+        rows.select(*kept, F.array_sort(F.concat(*_base(text))).alias("base"), runs.alias("candidates")), "secrets"
     )
     least = _rejections(scanned, false_discovery)
     bins = F.create_map(*[F.lit(x) for pair in least.items() for x in pair]) if least else None
     base, found = F.col("base"), F.col("candidates")
     if bins is None:
-        return scanned.select("doc_id", "base", F.expr(_NONE).alias("added"))
+        return scanned.select(*kept, "base", F.expr(_NONE).alias("added"))
     random = F.filter(found, lambda c: (c["bin"] >= bins[c["length_class"]]) & (c["p_order"] >= order_level))
     alone = F.filter(
         F.transform(random, lambda c: c["span"]),
         lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])),
     )
-    return scanned.select("doc_id", "base", F.coalesce(F.array_sort(alone), F.expr(_NONE)).alias("added"))
+    return scanned.select(*kept, "base", F.coalesce(F.array_sort(alone), F.expr(_NONE)).alias("added"))
 
 
 def span_text(spans: Column) -> Column:
@@ -254,3 +260,30 @@ def digest(found: DataFrame) -> DataFrame:
         span_text(F.array_sort(F.concat("base", "added"))).alias("spans"),
     )
 
+
+
+def masked(text: Column, spans: Column, mask: str = "[secret]") -> Column:
+    """``text`` with ``mask`` in place of each run of overlapping ``spans``."""
+    merged = F.aggregate(
+        F.array_sort(spans),
+        F.expr("cast(array() as array<struct<start:bigint,end:bigint>>)"),
+        lambda done, s: F.when(
+            (F.size(done) > 0) & (s["start"] < F.try_element_at(done, F.lit(-1))["end"]),
+            F.concat(
+                F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))),
+                F.array(
+                    F.struct(
+                        F.try_element_at(done, F.lit(-1))["start"].alias("start"),
+                        F.greatest(F.try_element_at(done, F.lit(-1))["end"], s["end"]).alias("end"),
+                    )
+                ),
+            ),
+        ).otherwise(F.concat(done, F.array(F.struct(s["start"].alias("start"), s["end"].alias("end"))))),
+    )
+
+    def around(ends: Column) -> Column:
+        before = F.concat(F.array(F.lit(0).cast("bigint")), F.transform(ends, lambda s: s["end"]))
+        after = F.concat(F.transform(ends, lambda s: s["start"]), F.array(F.length(text).cast("bigint")))
+        return F.array_join(F.zip_with(before, after, lambda a, b: F.substr(text, (a + 1).cast("int"), (b - a).cast("int"))), mask)
+
+    return F.when(F.size(spans) > 0, F.transform(F.array(merged), around)[0]).otherwise(text)

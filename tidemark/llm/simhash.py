@@ -16,8 +16,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
+from tidemark.functions.ordering import col
 from tidemark.llm.components import components
-from tidemark.llm.frames import hot_chunks, id_text
+from tidemark.llm.frames import hot_chunks, id_text, unused_name
 from tidemark.workspace import materialise
 
 SEED = 42
@@ -186,3 +187,38 @@ def near_duplicates(
     joined = printed.join(groups, "bits")
     name = F.lower(F.lpad(F.hex("bits"), 16, "0"))
     return joined.select("doc_id", "digest", "bits", name.alias("fingerprint"), "root", "component_id")
+
+
+def keep_one(
+    df: DataFrame,
+    words: int = 4,
+    distance: int = 4,
+    blocks: int = 7,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """The rows of ``df``, with all their columns, that are the first of their group of near duplicates.
+
+    Of each group the row with the smallest id stays; if several rows have that
+    id, one of them by the hash of its text.  Rows with a null id come after all
+    others of their group.
+    """
+    near = near_duplicates(df, words, distance, blocks, id_col, text_col)
+    heads = near.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root", "doc_id", "digest").count()
+    kept = materialise(
+        heads.groupBy("root").agg(F.min(F.struct("digest", "doc_id", "count")).alias("head")).select("head.*"), "kept-heads"
+    )
+    head_id, head_digest = (unused_name(df, f"head_{c}") for c in ("id", "digest"))
+    rows = df.withColumns(
+        {head_id: col(id_col).cast("bigint"), head_digest: F.xxhash64(F.coalesce(col(text_col).cast("string"), F.lit("")))}
+    )
+
+    def chosen(heads: DataFrame) -> DataFrame:
+        on = rows[head_id].eqNullSafe(heads["doc_id"]) & (rows[head_digest] == heads["digest"])
+        return rows.join(heads, on, "left_semi")
+
+    repeated = kept.where("count > 1")
+    out = chosen(kept.where("count = 1"))
+    if not repeated.isEmpty():
+        out = out.unionByName(chosen(repeated).dropDuplicates([head_id, head_digest]))
+    return out.drop(head_id, head_digest)
