@@ -255,7 +255,7 @@ def fit(
         ((mean("p", 1) - mean("u", 0)) / F.sqrt(F.greatest(spread, F.lit(1e-12)))).alias("z"),
         F.round(mean("p", 1), 9).alias("p"),
         F.round(mean("u", 0), 9).alias("u"),
-    ).where("z > 2")
+    ).where("z > 1.6")
     alike = surely.groupBy("p", "u").agg(F.max("z").alias("z"), F.min("part").alias("part"))  # such as parts of one word
     best = alike.orderBy(F.desc("z"), "part").limit(max_features).collect()
     features = [candidates[r["part"]] for r in best]
