@@ -1,0 +1,124 @@
+"""Licences: known texts, orders that rules must keep apart, and the given documents."""
+
+import re
+
+import pytest
+
+from tidemark.llm import license_scan as scan
+
+APACHE = """/*
+ * Copyright 2020 Someone
+ *
+ * Licensed under the Apache License, Version 2.0 (the "License");
+ * you may not use this file except in compliance with the License.
+ * You may obtain a copy of the License at
+ *
+ *     http://www.apache.org/licenses/LICENSE-2.0
+ *
+ * Unless required by applicable law or agreed to in writing, software
+ * distributed under the License is distributed on an "AS IS" BASIS,
+ * WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+ * See the License for the specific language governing permissions and
+ * limitations under the License.
+ */"""
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the “Software”), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT."""
+BSD_TOP = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+BSD_NAMES = """3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or
+   promote products derived from this software without specific prior written permission.
+"""
+BSD_END = """
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND
+ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED
+WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED."""
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details."""
+
+
+def names(text):
+    return [f[2] for f in scan.match_rules(scan.known_sentences(text))]
+
+
+@pytest.mark.parametrize(
+    "text,want",
+    [
+        (APACHE, ["Apache-2.0"]),
+        (MIT, ["MIT"]),
+        (BSD_TOP + BSD_END, ["BSD-2-Clause"]),
+        (BSD_TOP + BSD_NAMES + BSD_END, ["BSD-3-Clause"]),
+        (GPL, ["GPL-3.0-or-later"]),
+        (GPL.replace("version 3", "version 2").replace(", or\n(at your option) any later version", ""), ["GPL-2.0-only"]),
+        (GPL.replace("GNU General", "GNU Lesser General"), ["LGPL-3.0-or-later"]),
+        ("Licensed under CC BY-NC 4.0.", ["CC-BY-NC-4.0"]),
+        ("Words with no end\nReleased under the MIT License\nand more words", ["MIT"]),
+        ("A text. Licensed under the Apache License, Version 2.0. This work is licensed under the GNU General Public License, version 3.", ["Apache-2.0", "GPL-3.0-only"]),
+        ("// SPDX-License-Identifier: MPL-2.0", ["mpl-2.0"]),
+        (APACHE + "\n\n" + MIT, ["Apache-2.0", "MIT"]),
+        (BSD_TOP, ["unknown"]),  # conditions without the disclaimer
+        (MIT.split("\n\n")[1], ["unknown"]),
+        ("Licensed under the Apache License, Version 2.0." + " x" * 300 + ".\n" + APACHE.split("\n *\n")[-1], ["Apache-2.0", "unknown"]),
+        ("A licence to be unlicensed under the permission of warranty.", []),
+        ("", []),
+        ("license " * 3000, []),
+        ("word\n" * 500 + "Released under the MIT License.", ["MIT"]),
+    ],
+)
+def test_rules(text, want):
+    assert names(text) == want
+
+
+def test_spans_are_those_of_the_sentences():
+    text = "é😀 first. Released under\n  the MIT License. last"
+    ((a, b, name),) = scan.match_rules(scan.known_sentences(text))
+    assert (text[a:b], name) == ("Released under\n  the MIT License.", "MIT")
+
+
+LINES = {
+    "Released under the MIT License.": "MIT",
+    "Licensed under the Apache License, Version 2.0.": "Apache-2.0",
+    "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0",
+    "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0-only",
+}
+
+
+@pytest.mark.parametrize("name", ["odd_docs", "documents", "no_docs"])
+def test_documents(request, name):
+    """The lines that the given documents hold, found by plain search; other findings are told apart by name."""
+    docs = request.getfixturevalue(name)
+    texts = [(r.doc_id, r.text or "") for r in docs.select("doc_id", "text").collect()]
+    want = []
+    for doc_id, text in texts:
+        spans = [(m.start(), m.end(), v) for k, v in LINES.items() for m in re.finditer(re.escape(k), text)]
+        want.append((doc_id, ",".join(f"{v}:{a}:{b}" for a, b, v in sorted(spans))))
+    got = []
+    for r in scan.digest(scan.scan_licences(docs)).collect():
+        kept = [s for s in r.spans.split(",") if s.split(":")[0] in LINES.values()]
+        got.append((r.doc_id, ",".join(kept)))
+        assert sorted({s.split(":")[0] for s in r.spans.split(",") if s}) == [x for x in r.licences.split(",") if x]
+    assert sorted(got, key=str) == sorted(want, key=str)
