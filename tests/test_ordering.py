@@ -33,10 +33,8 @@ def sort_key(v):
     return (1, v.encode() if isinstance(v, str) else v)
 
 
-@pytest.mark.parametrize("max_splits", [10_000, 0])
 @pytest.mark.parametrize("kind", sorted(VALUES))
-def test_one_column(spark, monkeypatch, kind, max_splits):
-    monkeypatch.setattr(o, "MAX_SPLITS", max_splits)
+def test_one_column(spark, kind):
     values = [*VALUES[kind], None]
     bounds = RND.sample(sorted(set(VALUES[kind]), key=sort_key), 20) + [None]
     df = spark.createDataFrame([(v,) for v in values], f"k {kind}")

@@ -2,29 +2,12 @@
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Sequence
-from itertools import accumulate
 
-import numpy as np
-import pandas as pd
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-# Whole numbers up to this magnitude are exact as doubles.
-EXACT_DOUBLE_INT = 2**53
-
-# A longer list of splits takes too long to hand to the JVM value by value.
-MAX_SPLITS = 10_000
-
-# Bytes of a text that fit a signed 64-bit number.
-PREFIX_BYTES = 7
-
-_INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
-_BOUNDS, _FOUND, _LEADS = "__bounds", "__found", "__leads"
-_LOWEST = -(2**63)
+_BOUNDS = "__bounds"
 
 
 def quoted(name: str) -> str:
@@ -47,68 +30,15 @@ def with_position(
     """Add ``name`` = how many rows of ``bounds`` are at or below the row's key.
 
     ``bounds`` holds the key columns, no tuple twice and at most ``n_bounds``
-    rows; the caller has checked that number.  Rows stay where they are: the
-    bounds travel to the tasks and each row searches them by halving.
-
-    Where the leading column has a whole number that follows its order, that is
-    searched first, and fast.  Only the rows that share this number with a bound
-    go on to compare whole tuples.
+    rows; the caller has checked their size.  Rows stay where they are: the
+    bounds travel to the tasks once, and each row searches them by halving.
+    They are read in one place only, so that Spark merges both projections and
+    no row carries them.
     """
     if n_bounds == 0:
         return df.withColumn(name, F.lit(0))
-    lead = _as_long(col(keys[0]), df.schema[keys[0]].dataType)
-    if lead is None:
-        searched = df.withColumn(_BOUNDS, _ordered_bounds(bounds, keys))
-        return searched.withColumn(name, _halving(keys, n_bounds)).drop(_BOUNDS)
-    counted = Counter(r[0] for r in bounds.select(lead).collect())
-    n_null = counted.pop(None, 0)
-    values = sorted(counted)
-    if len(values) <= MAX_SPLITS and all(abs(v) <= EXACT_DOUBLE_INT for v in values):
-        found = _compiled_search(df, lead, values)
-    else:
-        found = df.withColumn(_FOUND, _batch_search(lead, values))
-    if len(keys) == 1 and not isinstance(df.schema[keys[0]].dataType, T.StringType):
-        return found.withColumn(name, F.col(_FOUND) + F.lit(n_null)).drop(_FOUND)
-    below = list(accumulate((counted[v] for v in values), initial=n_null))
-    table = df.sparkSession.createDataFrame(
-        [((values, below),)], "t struct<leads: array<bigint>, below: array<int>>"
-    )
-    searched = found.withColumn(_LEADS, table.scalar()).withColumn(
-        _BOUNDS, _ordered_bounds(bounds, keys)
-    )
-    shares_lead = F.when(lead.isNull(), F.lit(n_null > 0)).otherwise(
-        F.get(F.col(f"{_LEADS}.leads"), F.col(_FOUND) - 1) == lead
-    )
-    position = F.when(shares_lead, _halving(keys, n_bounds)).otherwise(
-        F.get(F.col(f"{_LEADS}.below"), F.col(_FOUND))
-    )
-    return searched.withColumn(name, position).drop(_FOUND, _LEADS, _BOUNDS)
-
-
-def _as_long(c: Column, kind: T.DataType) -> Column | None:
-    """A whole number in the order of ``c``, or None if its type has no such number.
-
-    It tells all values apart, but for text, where it stands for the first bytes.
-    """
-    if isinstance(kind, _INTEGRAL):
-        return c.cast("bigint")
-    if isinstance(kind, T.DateType):
-        return F.unix_date(c).cast("bigint")
-    if isinstance(kind, T.TimestampType):
-        return F.unix_micros(c)
-    if isinstance(kind, T.TimestampNTZType):
-        seconds = F.unix_date(c.cast("date")).cast("bigint") * 86_400
-        seconds = seconds + F.hour(c) * 3_600 + F.minute(c) * 60
-        micros = F.extract(F.lit("SECONDS"), c) * 1_000_000
-        return seconds * 1_000_000 + micros.cast("bigint")
-    if isinstance(kind, T.StringType):
-        first = F.hex(F.substring(F.encode(c, "UTF-8"), 1, PREFIX_BYTES))
-        return F.conv(F.rpad(first, 2 * PREFIX_BYTES, "0"), 16, 10).cast("bigint")
-    return None
-
-
-def _ordered_bounds(bounds: DataFrame, keys: Sequence[str]) -> Column:
-    return bounds.agg(F.sort_array(F.collect_list(key_tuple(keys)))).scalar()
+    ordered = bounds.agg(F.sort_array(F.collect_list(key_tuple(keys)))).scalar()
+    return df.withColumn(_BOUNDS, ordered).withColumn(name, _halving(keys, n_bounds)).drop(_BOUNDS)
 
 
 def _halving(keys: Sequence[str], n_bounds: int) -> Column:
@@ -122,30 +52,3 @@ def _halving(keys: Sequence[str], n_bounds: int) -> Column:
             F.get(F.col(_BOUNDS), pos + step - 1) <= key, pos + step
         ).otherwise(pos),
     )
-
-
-def _compiled_search(df: DataFrame, lead: Column, values: list[int]) -> DataFrame:
-    """Add how many of a short list of ``values`` are at or below ``lead``.
-
-    Spark's own search works on doubles.  Rounding a key to a double never moves
-    it across a value that is exact as one.
-    """
-    lowest, highest = float("-inf"), float("inf")
-    source, bucket = "__lead", "__lead_bucket"
-    splits = [lowest, *map(float, values), highest]
-    keyed = df.withColumn(source, F.coalesce(lead.cast("double"), F.lit(lowest)))
-    found = Bucketizer(splits=splits, inputCol=source, outputCol=bucket).transform(keyed)
-    return found.withColumn(_FOUND, F.col(bucket).cast("int")).drop(source, bucket)
-
-
-def _batch_search(lead: Column, values: list[int]) -> Column:
-    """How many of a long list of ``values`` are at or below ``lead``, batch by batch."""
-    ordered = np.array(values, dtype="int64")
-
-    @F.pandas_udf("int")
-    def at_or_below(keys: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(ordered, keys.to_numpy("int64"), side="right"))
-
-    # A null key lies below every value; the smallest number may equal one.
-    searched = at_or_below(F.coalesce(lead, F.lit(_LOWEST)))
-    return F.when(lead.isNull(), F.lit(0)).otherwise(searched)

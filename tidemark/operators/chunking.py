@@ -6,9 +6,11 @@ found at the page starts are kept (one per page) and the rows then look their
 page up among them without moving.
 
 The ranking never puts the table, or one hot key, in a single task.  Buckets are
-cut at sampled key tuples, counted, and numbered one by one.  Where a key repeats
-so often that buckets or pages would have to cut through its copies, the order
-is extended by each row's physical position, which is unique.
+cut at sampled key tuples, counted, and numbered one by one.  The order is
+extended by each row's physical position, which is unique, so that buckets and
+pages can cut through the copies of a key.  Parquet scans have positions; other
+rows are ordered by key alone as long as no cut falls between copies, and get
+positions by being written if one does.
 """
 
 from __future__ import annotations
@@ -16,32 +18,40 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.ordering import col, key_tuple, with_position
 from tidemark.functions.scalars import page_count_of
-from tidemark.functions.sizes import row_bytes
+from tidemark.functions.sizes import row_bytes, small_side
 from tidemark.workspace import materialise
 
 CHUNK_ID = "_chunk_id"
+
+# Fixed value: rows per page if nothing else is asked for.
 DEFAULT_CHUNK_SIZE = 100_000
 
 # Sizes that bound what one task or the driver holds.
 ROWS_PER_BUCKET = 1_000_000
-MAX_BUCKETS = 100_000
 SAMPLES_PER_BUCKET = 30
+SAMPLES_PER_TASK = 100_000
 BUCKETS_PER_CUT = 8
 MIN_ROWS_PER_BUCKET = 20 * SAMPLES_PER_BUCKET
+MAX_BOUND_BYTES = 128 * 1024 * 1024
+
+# Where one plan takes over from another; the rows are the same on both sides.
 MAX_PAGE_STARTS = 2_000_000
-MAX_START_BYTES = 128 * 1024 * 1024
 MAX_TOP_ROWS = 100_000
 
 FILE = "__file"
 ROW = "__row"
 POSITION = (FILE, ROW)
 
-_BUCKET, _BASE, _IDX, _TIED = "__bucket", "__base", "__idx", "__tied"
+_BUCKET, _BASE, _IDX, _TIED, _CONTENT = "__bucket", "__base", "__idx", "__tied", "__content"
+
+# Operations that keep a scan's rows apart, so that its positions stay unique.
+_ROW_BY_ROW = {"Project", "Filter", "SubqueryAlias", "LogicalRelation"}
 
 
 class TiedKeys(Exception):
@@ -58,11 +68,12 @@ class Cuts:
     def count(self, n_rows: int) -> int:
         return page_count_of(n_rows, self.step) if self.step else len(self.listed)
 
-    def any_in(self, low: int, high: int) -> bool:
+    def any_in(self, low: Column, high: Column) -> Column:
         """Whether some cut lies at ``low`` or later, before ``high``."""
         if self.step:
-            return (high - 1) // self.step * self.step >= max(low, 1)
-        return any(low <= at < high for at in self.listed)
+            step = F.lit(self.step)
+            return F.call_function("div", high - 1, step) * step >= F.greatest(low, F.lit(1))
+        return F.exists(F.lit(list(self.listed)), lambda at: (low <= at) & (at < high))
 
     def at(self, index: Column) -> Column:
         if self.step:
@@ -89,11 +100,25 @@ def scan_position(scan: DataFrame) -> DataFrame:
     )
 
 
-def with_row_position(df: DataFrame) -> DataFrame:
-    """``df`` with row positions: its own if it has them, else those of a written copy."""
+def _scanned_position(df: DataFrame) -> DataFrame | None:
+    """``df`` with row positions if it has them, or is no more than a Parquet scan; else None."""
     if set(POSITION) <= set(df.columns):
         return df
-    return scan_position(materialise(df, "positioned"))
+    node = df._jdf.queryExecution().analyzed()
+    while node.nodeName() in _ROW_BY_ROW and node.children().size() == 1:
+        node = node.children().head()
+    if node.nodeName() not in _ROW_BY_ROW:
+        return None
+    try:
+        return scan_position(df)
+    except AnalysisException:  # a scan of files without row numbers
+        return None
+
+
+def with_row_position(df: DataFrame) -> DataFrame:
+    """``df`` with row positions: those of its scan, else those of a written copy."""
+    found = _scanned_position(df)
+    return scan_position(materialise(df, "positioned")) if found is None else found
 
 
 def rank(
@@ -113,15 +138,12 @@ def rank(
     if n_buckets > 1 and cuts is not None:
         finer = max(n_buckets, cuts.count(n_rows)) * BUCKETS_PER_CUT
         n_buckets = max(n_buckets, min(finer, n_rows // MIN_ROWS_PER_BUCKET))
-    n_buckets = min(n_buckets, MAX_BUCKETS)
     bounds, n_bounds = None, 0
     if n_buckets > 1:
         bounds, n_bounds = _bucket_bounds(df, keys, n_rows, n_buckets, rows_per_bucket)
     based = with_position(df, keys, bounds, n_bounds, _BUCKET).withColumn(_BASE, F.lit(0))
     if n_bounds:
-        bases = _bucket_bases(based, n_bounds, cuts)
-        # At most MAX_BUCKETS rows of two numbers, so always small enough to broadcast.
-        based = based.drop(_BASE).join(F.broadcast(bases), _BUCKET)
+        based = based.drop(_BASE).join(small_side(_bucket_bases(based, cuts)), _BUCKET)
     in_bucket = Window.partitionBy(_BUCKET).orderBy(*[col(k) for k in keys])
     rows = based.withColumn(_IDX, F.row_number().over(in_bucket) - 1 + F.col(_BASE))
     tied = F.lag(key_tuple(keys)).over(in_bucket).eqNullSafe(key_tuple(keys))
@@ -135,29 +157,48 @@ def _bucket_bounds(
 
     The sample only balances the buckets; their exact sizes are counted later.
     A tuple that is drawn again and again has more copies than a bucket may hold.
+    Should the tuples be so long that they exceed ``MAX_BOUND_BYTES``, fewer are
+    kept and buckets get larger, which sorting them can bear.
     """
     wanted = n_buckets * SAMPLES_PER_BUCKET
     key_columns = [col(k) for k in keys]
     sampled = df.select(*key_columns).sample(fraction=min(1.0, wanted / n_rows), seed=7)
-    drawn = sampled.withColumn(_IDX, F.row_number().over(Window.orderBy(*key_columns)))
-    every = drawn.where(F.col(_IDX) % SAMPLES_PER_BUCKET == 0)
+    spread = sampled.repartitionByRange(-(-wanted // SAMPLES_PER_TASK), *key_columns)
+    # Ranges are sorted and numbered one by one; the lower bits are the place in the range.
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    numbered = spread.sortWithinPartitions(*key_columns).withColumn(_IDX, place)
+    every = numbered.where(F.col(_IDX) % SAMPLES_PER_BUCKET == SAMPLES_PER_BUCKET // 2)
     bounds = materialise(every.groupBy(*key_columns).agg(F.count(F.lit(1)).alias(_TIED)), "bounds")
-    found = bounds.agg(F.count(F.lit(1)), F.coalesce(F.max(_TIED), F.lit(0))).first()
-    if found[1] > 1 and (found[1] - 1) * n_rows > rows_per_bucket * n_buckets:
+    n_bounds, most, size = _measured(bounds)
+    if most > 1 and (most - 1) * n_rows > rows_per_bucket * n_buckets:
         raise TiedKeys(f"copies of one key of {list(keys)} fill several buckets")
-    return bounds.drop(_TIED), found[0]
+    if size > MAX_BOUND_BYTES:
+        fewer = F.pmod(F.xxhash64(*key_columns), F.lit(-(-size // MAX_BOUND_BYTES))) == 0
+        bounds = materialise(bounds.where(fewer), "bounds")
+        n_bounds, _, _ = _measured(bounds)
+    return bounds.drop(_TIED), n_bounds
+
+
+def _measured(bounds: DataFrame) -> tuple[int, int, int]:
+    none = F.lit(0).cast("bigint")
+    return tuple(
+        bounds.agg(
+            F.count(F.lit(1)), F.coalesce(F.max(_TIED), none), F.coalesce(F.sum(row_bytes(bounds)), none)
+        ).first()
+    )
 
 
-def _bucket_bases(bucketed: DataFrame, n_bounds: int, cuts: Cuts | None) -> DataFrame:
-    """For each bucket that is needed, how many rows lie in the buckets before it."""
-    counted = {r[0]: r[1] for r in bucketed.groupBy(_BUCKET).count().collect()}
-    bases, before = [], 0
-    for bucket in range(n_bounds + 1):
-        size = counted.get(bucket, 0)
-        if cuts is None or cuts.any_in(before, before + size):
-            bases.append((bucket, before))
-        before += size
-    return bucketed.sparkSession.createDataFrame(bases, f"{_BUCKET} int, {_BASE} bigint")
+def _bucket_bases(bucketed: DataFrame, cuts: Cuts | None) -> DataFrame:
+    """For each bucket that is needed, how many rows lie in the buckets before it.
+
+    One row of two numbers for ``rows_per_bucket`` rows of the table.
+    """
+    sizes = bucketed.groupBy(_BUCKET).agg(F.count(F.lit(1)).alias("size"))
+    earlier = Window.orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    bases = sizes.withColumn(_BASE, F.coalesce(F.sum("size").over(earlier), F.lit(0)))
+    if cuts is not None:
+        bases = bases.where(cuts.any_in(F.col(_BASE), F.col(_BASE) + F.col("size")))
+    return materialise(bases.select(_BUCKET, _BASE), "bases")
 
 
 def _tuples_at(
@@ -177,11 +218,14 @@ def _cut(
     df: DataFrame, keys: Sequence[str], n_rows: int, cuts: Cuts, rows_per_bucket: int
 ) -> tuple[DataFrame, tuple[str, ...], DataFrame, int]:
     """The rows, the columns that order them without ties, the tuples at the cuts, their size."""
-    try:
-        return df, tuple(keys), *_tuples_at(df, keys, n_rows, cuts, rows_per_bucket)
-    except TiedKeys:
-        rows, order = with_row_position(df), (*keys, *POSITION)
-        return rows, order, *_tuples_at(rows, order, n_rows, cuts, rows_per_bucket)
+    rows = _scanned_position(df)
+    if rows is None:
+        try:
+            return df, tuple(keys), *_tuples_at(df, keys, n_rows, cuts, rows_per_bucket)
+        except TiedKeys:
+            rows = with_row_position(df)
+    order = (*keys, *POSITION)
+    return rows, order, *_tuples_at(rows, order, n_rows, cuts, rows_per_bucket)
 
 
 @dataclass(frozen=True)
@@ -201,7 +245,7 @@ class Pages:
 
     def can_be_looked_up(self, max_starts: int = MAX_PAGE_STARTS) -> bool:
         """Whether the page starts are few and small enough to travel to every task."""
-        return self.n_pages - 1 <= max_starts and self.start_bytes <= MAX_START_BYTES
+        return self.n_pages - 1 <= max_starts and self.start_bytes <= MAX_BOUND_BYTES
 
     def every(self, n_ranges: int) -> list[tuple]:
         """Page starts that cut the table into at most ``n_ranges`` ranges of whole pages."""
@@ -264,29 +308,43 @@ def page_rows_by_kept_keys(
     Only where keys repeat across a cut is a copy of the whole rows needed.
     """
     kept = materialise(df.select(*[col(k) for k in keys]), "keys")
-    pages = page_table(kept, keys, chunk_size)
-    if pages.order == tuple(keys) and pages.can_be_looked_up():
+    pages = page_table_by_key(kept, keys, chunk_size)
+    if pages is not None and pages.can_be_looked_up():
         return pages.tag(df)
     return page_rows(with_row_position(df), keys, chunk_size)
 
 
+def page_table_by_key(
+    key_rows: DataFrame, keys: Sequence[str], chunk_size: int = DEFAULT_CHUNK_SIZE
+) -> Pages | None:
+    """The pages of a table whose keys stand apart from its rows; None if a page would start between copies.
+
+    Positions of the kept keys say nothing of the rows, so they are not used.
+    """
+    cuts, n_rows = Cuts(step=check_chunk_size(chunk_size)), key_rows.count()
+    try:
+        starts, size = _tuples_at(key_rows, keys, n_rows, cuts, ROWS_PER_BUCKET)
+    except TiedKeys:
+        return None
+    return Pages(key_rows, tuple(keys), starts, size, n_rows, chunk_size)
+
+
 def rows_between(
     df: DataFrame,
     keys: Sequence[str],
     start: int,
     stop: int,
     rows_per_bucket: int = ROWS_PER_BUCKET,
+    keep_position: bool = False,
 ) -> DataFrame:
     """The rows with index ``start`` up to, not including, ``stop`` in key order."""
     cuts = Cuts(listed=(start, stop))
     df, order, found, _ = _cut(df, keys, df.count(), cuts, rows_per_bucket)
     at = {r[_IDX]: [r[k] for k in order] for r in found.collect()}
-    if start not in at:
-        return df.where(F.lit(False)).drop(*POSITION)
-    rows = df.where(_not_before(df, order, at[start]))
+    rows = df.where(_not_before(df, order, at[start])) if start in at else df.where(F.lit(False))
     if stop in at:
         rows = rows.where(~_not_before(df, order, at[stop]))
-    return rows.drop(*POSITION)
+    return rows if keep_position else rows.drop(*POSITION)
 
 
 def _not_before(df: DataFrame, order: Sequence[str], values: Sequence) -> Column:
@@ -302,13 +360,20 @@ def offset_fetch(
 ) -> DataFrame:
     """``fetch`` rows in key order after skipping ``offset``.
 
-    A shallow page is a top-N; a deep one is found through the ranked keys, so
-    that the skipped rows are never gathered in one place.
+    Rows with equal keys follow their position in a Parquet scan; where there is
+    none, a hash of their content, which leaves only rows in doubt that are the
+    same.  A shallow page is a top-N; a deep one is found through the ranked
+    keys, so that the skipped rows are never gathered in one place.
     """
-    ordered = [col(k) for k in keys]
+    rows, order = _scanned_position(df), (*keys, *POSITION)
+    if rows is None:
+        hashed = [col(f.name) for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+        rows, order = df.withColumn(_CONTENT, F.xxhash64(*hashed)), (*keys, _CONTENT)
+    ordered = [col(k) for k in order]
     if offset + fetch <= max_top_rows:
-        return df.orderBy(*ordered).offset(offset).limit(fetch)
-    return rows_between(df, keys, offset, offset + fetch).orderBy(*ordered)
+        return rows.orderBy(*ordered).offset(offset).limit(fetch).drop(*POSITION, _CONTENT)
+    found = rows_between(rows, order if _CONTENT in order else keys, offset, offset + fetch, keep_position=True)
+    return found.orderBy(*ordered).drop(*POSITION, _CONTENT)
 
 
 def union_pages(pages: Sequence[DataFrame]) -> DataFrame:

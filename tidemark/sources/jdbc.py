@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.ordering import col
 from tidemark.functions.scalars import qualified_name
-from tidemark.operators.chunking import page_rows, page_table, with_row_position
+from tidemark.operators.chunking import page_rows, page_table_by_key, with_row_position
 from tidemark.sources.predicates import count_query, ends_query, key_query, range_predicates
 from tidemark.workspace import materialise
 
@@ -124,12 +124,12 @@ class JdbcSource:
         strided = isinstance(types[0], _STRIDED)
         by_key = self.read_strided(table, schema, keys[0]) if strided else self.read(table, schema)
         key_rows = materialise(by_key.select(*[col(k) for k in keys]), "keys")
-        pages = page_table(key_rows, keys, chunk_size)
+        pages = page_table_by_key(key_rows, keys, chunk_size)
         rows = by_key
-        if pages.order == tuple(keys) and all(isinstance(t, _CUTTABLE) for t in types):
+        if pages is not None and all(isinstance(t, _CUTTABLE) for t in types):
             ranges = range_predicates(keys, pages.every(self.connections), self.kind)
             rows = self.read_ranges(table, schema, ranges)
-        if pages.order == tuple(keys) and pages.can_be_looked_up():
+        if pages is not None and pages.can_be_looked_up():
             return pages.tag(rows)
         return page_rows(with_row_position(rows), keys, chunk_size)
 
