@@ -150,3 +150,30 @@ def test_fixed_size_sample_is_exact_and_repeatable(spark):
     other = {r[0] for r in fixed_size_sample(df, "id", 50, seed=4).collect()}
     assert len(first) == 50 and first == again and first != other
     assert fixed_size_sample(df, "id", 5000).count() == 1000
+
+
+@pytest.mark.parametrize("scanned", [True, False])
+def test_both_plans_agree_on_ties(spark, tmp_path, scanned):
+    """Few keys with many copies: the look-up and the numbering of whole rows, the top-N and the ranked keys."""
+    df = spark.range(400).selectExpr("id", "cast(id % 3 as int) as k")
+    df.repartition(5).write.parquet(str(tmp_path / "t"))
+    rows = spark.read.parquet(str(tmp_path / "t"))
+    rows = rows if scanned else rows.union(rows.where("id < 0"))
+    looked_up = c.page_rows(rows, ["k"], 50)
+    numbered = c.page_rows(rows, ["k"], 50, max_page_starts=0)
+    per_page = lambda paged: sorted((r["_chunk_id"], r["k"], r["n"]) for r in paged.groupBy("_chunk_id", "k").agg(F.count("*").alias("n")).collect())
+    assert per_page(looked_up) == per_page(numbered)
+    if scanned:
+        assert sorted(map(tuple, looked_up.collect())) == sorted(map(tuple, numbered.collect()))
+    for offset, fetch in ((0, 10), (130, 9), (395, 10), (500, 3)):
+        top = c.offset_fetch(rows, ["k"], offset, fetch).collect()
+        deep = c.offset_fetch(rows, ["k"], offset, fetch, max_top_rows=0).collect()
+        assert top == deep and len(top) == max(0, min(fetch, 400 - offset))
+
+
+def test_long_keys_make_fewer_buckets(spark, monkeypatch):
+    monkeypatch.setattr(c, "MAX_BOUND_BYTES", 2000)
+    df = spark.range(5000).selectExpr("repeat('x', 100) || lpad(id, 6, '0') as k").repartition(3)
+    paged = c.page_rows(df, ["k"], 1000, rows_per_bucket=100)
+    got = {r["_chunk_id"]: (r["a"], r["n"]) for r in paged.groupBy("_chunk_id").agg(F.min("k").alias("a"), F.count("*").alias("n")).collect()}
+    assert got == {i: ("x" * 100 + f"{1000 * i:06d}", 1000) for i in range(5)}

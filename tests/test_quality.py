@@ -99,7 +99,7 @@ def test_names_match(spark):
 def test_text_in_lines(spark):
     items = spark.createDataFrame([(i % 3, f"s{i}") for i in range(25)], "a int, b string")
     want = [f"{a} {b}" for a, b in sorted((i % 3, f"s{i}") for i in range(25))]
-    one = q.mismatch_text(items, ["a", "b"]).collect()
+    one = q.mismatch_text(items, ["a", "b"], items_per_line=25).collect()
     assert [r["summary"] for r in one] == [", ".join(want)]
     lines = q.mismatch_text(items, ["a", "b"], items_per_line=10).orderBy("line").collect()
     assert [r["summary"] for r in lines] == [", ".join(want[i : i + 10]) for i in (0, 10, 20)]

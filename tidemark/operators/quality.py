@@ -13,9 +13,8 @@ from tidemark.functions.sizes import fits, small_side
 from tidemark.operators.chunking import CHUNK_ID, page_rows
 from tidemark.workspace import materialise
 
-# Up to this many expected names are tested one by one on every file name.
+# Up to this many expected names are tested one by one on every file name; the result is the same.
 MAX_TESTED_NAMES = 256
-ITEMS_PER_LINE = 10_000
 
 
 def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -79,10 +78,13 @@ def reconcile_names(
 ) -> DataFrame:
     """Each file with the first expected name (by ``ord``) its base name contains.
 
-    ``expected`` has ``ord`` and ``pattern``.  A file that contains none of them
+    ``expected`` has ``ord`` and ``pattern``; a null in either is refused, and
+    equal ``ord`` is settled by ``pattern``.  A file that contains none of them
     is new: its ``pattern`` is null.  A short list is tested on every name in
-    place; a longer one is matched by joining on the parts of the names.
+    place; a longer one is matched by joining on parts of the names.
     """
+    if not expected.where(F.col("ord").isNull() | F.col("pattern").isNull()).isEmpty():
+        raise ValueError("expected names need an ord and a pattern each")
     named = files.select(*[col(k) for k in keep], base_name(col(path)).alias("base_name"))
     if fits(expected, max_tested):
         return _test_each(named, expected)
@@ -100,25 +102,31 @@ def _test_each(named: DataFrame, expected: DataFrame) -> DataFrame:
 def _join_parts(named: DataFrame, expected: DataFrame) -> DataFrame:
     """Containment as an equi-join.
 
-    Every distinct base name is cut into its parts of each length that occurs
-    among the patterns; a part equals at most one pattern, so what the join
-    yields grows with the names and not with the product of both lists.
+    A pattern is known by its beginning, as long as the greatest power of two
+    in its length.  Every distinct base name is cut into its parts of those few
+    lengths; where one begins a pattern, the rest of the pattern is compared in
+    place.  So what is joined grows with the names, a few parts for each place,
+    and not with the lengths of the patterns or the product of both lists.
     """
     first = expected.groupBy("pattern").agg(F.min("ord").alias("ord"))
-    lengths = first.agg(
-        F.array_distinct(F.collect_set(F.length("pattern"))).alias("lengths")
-    ).first()["lengths"]
+    bits = F.length(F.bin(F.length("pattern").cast("bigint")))
+    known = F.when(F.length("pattern") == 0, 0).otherwise(F.pow(F.lit(2), bits - 1).cast("int"))
+    anchored = first.withColumn("__anchor", F.substring("pattern", F.lit(1), known)).withColumn("__len", known)
+    sizes = sorted(r["__len"] for r in anchored.select("__len").distinct().collect())  # powers of two
     distinct = named.select("base_name").distinct()
-    parts = distinct.withColumn("__len", F.explode(F.lit(sorted(lengths)))).where(
+    places = distinct.withColumn("__len", F.explode(F.lit(sizes).cast("array<int>"))).where(
         F.col("__len") <= F.length("base_name")
     )
-    parts = parts.select(
-        "base_name",
-        F.explode(F.sequence(F.lit(1), F.length("base_name") - F.col("__len") + 1)).alias("__at"),
-        "__len",
-    ).select("base_name", F.substring("base_name", F.col("__at"), F.col("__len")).alias("pattern"))
-    hits = parts.join(small_side(first), "pattern").groupBy("base_name").agg(
-        F.min_by("pattern", "ord").alias("pattern")
+    last = F.when(F.col("__len") == 0, 1).otherwise(F.length("base_name") - F.col("__len") + 1)
+    parts = places.select("base_name", "__len", F.explode(F.sequence(F.lit(1), last)).alias("__at")).withColumn(
+        "__anchor", F.substring("base_name", F.col("__at"), F.col("__len"))
+    )
+    here = F.substring("base_name", F.col("__at"), F.length("pattern")) == F.col("pattern")
+    hits = (
+        parts.join(small_side(anchored), ["__anchor", "__len"])
+        .where(here)
+        .groupBy("base_name")
+        .agg(F.min_by("pattern", F.struct("ord", "pattern")).alias("pattern"))
     )
     return named.join(hits, "base_name", "left").select(*named.columns, "pattern")
 
@@ -159,24 +167,17 @@ def name_status(reconciled: DataFrame, expected: DataFrame) -> DataFrame:
 
 
 def mismatch_text(
-    items: DataFrame,
-    columns: Sequence[str],
-    separator: str = ", ",
-    items_per_line: int = ITEMS_PER_LINE,
+    items: DataFrame, columns: Sequence[str], items_per_line: int, separator: str = ", "
 ) -> DataFrame:
-    """The items as text in column order: one line, or as many as they need.
+    """``line, summary``: the items as text in column order, ``items_per_line`` to a line.
 
-    Each line is put together from at most ``items_per_line`` items, whatever
-    the size of the set.
+    Lines are numbered from 0 and all but the last are full, so a set of up to
+    ``items_per_line`` items is one line.  No task holds more than a line.
     """
-    chosen = items.select(*[col(c) for c in columns])
-    if chosen.count() > items_per_line:
-        kept = materialise(chosen, "items")
-        lines = page_rows(kept, columns, items_per_line).groupBy(CHUNK_ID)
-    else:
-        lines = chosen.withColumn(CHUNK_ID, F.lit(0)).groupBy(CHUNK_ID)
+    kept = materialise(items.select(*[col(c) for c in columns]), "items")
     in_order = F.sort_array(F.collect_list(F.struct(*[col(c) for c in columns])))
     texts = F.transform(in_order, lambda s: F.concat_ws(" ", *[s[c].cast("string") for c in columns]))
+    lines = page_rows(kept, columns, items_per_line).groupBy(CHUNK_ID)
     return lines.agg(F.concat_ws(separator, texts).alias("summary")).select(
         F.col(CHUNK_ID).alias("line"), "summary"
     )
