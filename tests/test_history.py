@@ -86,9 +86,42 @@ def test_applied_diff_gives_the_new_snapshot(spark):
 @pytest.mark.parametrize("bad", [[(1, "x", 1.0), (1, "y", 1.0)], [(None, "x", 1.0)]])
 def test_snapshot_without_a_key_is_refused(spark, bad):
     with pytest.raises(h.NotAKey):
-        h.snapshot_diff(snap(spark, OLD), snap(spark, bad), ["k"])
-    with pytest.raises(h.NotAKey):
-        h.extend_history(h.open_history(snap(spark, OLD), day(D1)), snap(spark, bad), ["k"], day(D2))
+        h.require_keys({"new": snap(spark, bad)}, ["k"])
+    for old, new in ((OLD, bad), (bad, OLD)):
+        with pytest.raises(Exception, match="NotAKey"):
+            h.snapshot_diff(snap(spark, old), snap(spark, new), ["k"]).collect()
+        with pytest.raises(Exception, match="NotAKey"):
+            h.extend_history(h.open_history(snap(spark, old), day(D1)), snap(spark, new), ["k"], day(D2)).collect()
+
+
+def test_diff_is_one_shuffle_and_no_other_job(spark, plan_of):
+    plan = plan_of(h.snapshot_diff(snap(spark, OLD), snap(spark, NEW), ["k"]), "simple")
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+
+
+def test_columns_that_come_and_go(spark):
+    old = spark.createDataFrame([(1, "a", 1), (2, "b", None)], "k int, gone string, both int")
+    new = spark.createDataFrame([(1, 1, 5), (2, None, None)], "k int, both int, come int")
+    assert {r["k"]: r["op"] for r in h.snapshot_diff(old, new, ["k"]).collect()} == {1: "update", 2: "update"}
+    assert {r["op"] for r in h.snapshot_diff(old.drop("gone"), new, ["k"]).where("k = 2").collect()} == {"same"}
+    assert {r["op"] for r in h.snapshot_diff(old, new, ["k"], by_digest=True).collect()} == {"update"}
+    with pytest.raises(TypeError):
+        h.snapshot_diff(old, new.withColumn("gone", F.lit(1)), ["k"])
+    history = h.extend_history(h.open_history(old, day(D1)), new, ["k"], day(D2))
+    assert {(r["k"], r["gone"], r["come"], r["is_current"]) for r in history.collect() if r["k"] == 1} == {
+        (1, "a", None, False), (1, None, 5, True),
+    }
+    patched = h.apply_diff(old, h.snapshot_diff(old, new, ["k"]), new, ["k"])
+    assert {tuple(r) for r in patched.select("k", "both", "come").collect()} == {(1, 1, 5), (2, None, None)}
+
+
+def test_history_does_not_go_back(spark):
+    history = h.open_history(snap(spark, OLD), day(D2))
+    for earlier in (D1, D2):
+        with pytest.raises(h.NotLater):
+            h.extend_history(history, snap(spark, NEW), ["k"], day(earlier))
+    with pytest.raises(TypeError):
+        h.extend_history(history, snap(spark, NEW), ["k"], F.lit("2024-01-09").cast("timestamp"))
 
 
 def spans(history):
@@ -183,11 +216,11 @@ def warehouse(spark):
 def test_bucketed_history_shuffles_only_the_snapshot(spark, tmp_path, plan_of, warehouse):
     table = HistoryTable(spark, str(tmp_path / "h"), ["k"], buckets=3)
     table.load(snap(spark, OLD), day(D1))
-    for _ in range(2):
-        table.load(snap(spark, NEW), day(D2))
+    for d in (D2, D3):
+        table.load(snap(spark, NEW), day(d))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        after = table.versions_after(table.table.live_version(), snap(spark, OLD), day(D3))
+        after = table.versions_after(table.table.live_version(), snap(spark, OLD), day(D4))
         plan = plan_of(after, "simple")
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
@@ -224,7 +257,7 @@ def test_history_table_writes_closed_rows_once(spark, tmp_path, warehouse, bucke
 @pytest.mark.parametrize("buckets", [0, 2])
 def test_history_survives_a_snapshot_that_loses_everything(spark, tmp_path, warehouse, buckets):
     table = HistoryTable(spark, str(tmp_path / "h"), ["k"], buckets)
-    for d in (D1, D1):
+    for d in (dt.date(2023, 1, 1), dt.date(2023, 1, 2)):
         table.load(snap(spark, OLD).where("k < 0"), day(d))
         table = HistoryTable(spark, str(tmp_path / "h"), ["k"], buckets)
         assert table.read().count() == 0
@@ -233,3 +266,27 @@ def test_history_survives_a_snapshot_that_loses_everything(spark, tmp_path, ware
     assert table.current().count() == 0 and table.read().count() == len(OLD)
     table.load(snap(spark, NEW), day(D3))
     assert table.current().count() == len(NEW) and table.read().count() == len(OLD) + len(NEW)
+
+
+@pytest.mark.parametrize("buckets", [0, 2])
+def test_closed_rows_outlive_the_versions_that_closed_them(spark, tmp_path, warehouse, buckets):
+    table = HistoryTable(spark, str(tmp_path / "h"), ["k"], buckets)
+    for rows, d in ((OLD, D1), (NEW, D2), (OLD, D3)):
+        table.load(snap(spark, rows), day(d))
+    whole = sorted(map(repr, table.read().collect()))
+    for version in table.table.published_versions()[:-1]:
+        _remove(spark, table.table.version_path(version))
+    again = HistoryTable(spark, str(tmp_path / "h"), ["k"])
+    assert sorted(map(repr, again.read().select(*table.read().columns).collect())) == whole
+    with pytest.raises(h.NotLater):
+        again.load(snap(spark, NEW), day(D3))
+    with pytest.raises(TypeError):
+        again.load(snap(spark, NEW), F.lit("2024-02-01").cast("timestamp"))
+    _remove(spark, table.closed_path(table.table.published_versions()[1]))
+    with pytest.raises(LookupError):
+        again.read()
+
+
+def _remove(spark, path):
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop_path, True)

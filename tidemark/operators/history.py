@@ -19,6 +19,7 @@ VALID_TO = "valid_to"
 IS_CURRENT = "is_current"
 
 _OLD, _NEW, _SINCE = "__old", "__new", "__since"
+_N_OLD, _N_NEW = "__n_old", "__n_new"
 
 
 def newest_per_key(
@@ -70,8 +71,8 @@ class NotAKey(ValueError):
 def require_keys(snapshots: dict[str, DataFrame], keys: Sequence[str]) -> None:
     """Refuse snapshots in which ``keys`` do not identify every row.
 
-    Matching copies of a key would yield every pair of them.  Only the key
-    columns are read, all snapshots in one job.
+    A job of its own that reads the key columns only, for callers that want to
+    know before anything else is done.
     """
     profiles = union_pages([key_profile(df, keys, name) for name, df in snapshots.items()])
     bad = profiles.where(~F.col("is_key")).collect()
@@ -82,6 +83,69 @@ def require_keys(snapshots: dict[str, DataFrame], keys: Sequence[str]) -> None:
         ))
 
 
+def all_columns(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Both sides with the value columns of either, null where a side lacks one, and their names.
+
+    A column of different types on the two sides is refused.
+    """
+    types: dict[str, T.DataType] = {}
+    for side in (old, new):
+        for field in side.schema.fields:
+            if types.setdefault(field.name, field.dataType) != field.dataType:
+                raise TypeError(f"column {field.name} is {types[field.name].simpleString()} on one side and"
+                                f" {field.dataType.simpleString()} on the other")
+    values = [c for c in types if c not in keys]
+
+    def filled(side: DataFrame) -> DataFrame:
+        return side.withColumns({c: F.lit(None).cast(types[c]) for c in values if c not in side.columns})
+
+    return filled(old), filled(new), values
+
+
+def _refused(keys: Sequence[str], bad: Column) -> Column:
+    """Zero, but where ``bad`` holds the job fails and names the key."""
+    for k in keys:
+        bad = bad | col(k).isNull()
+    text = F.concat(F.lit("NotAKey: "), F.to_json(F.struct(*[col(k) for k in keys])), F.lit(" is null or repeats"))
+    return F.when(bad, F.raise_error(text).cast("bigint")).otherwise(F.lit(0))
+
+
+def _sides(old: DataFrame, new: DataFrame, keys: Sequence[str], check_keys: bool) -> DataFrame:
+    """One row per key with ``__old`` and ``__new``, and how many rows each side has.
+
+    Both sides are tagged and folded by key in a single shuffle, which also
+    counts the copies of each key: with ``check_keys`` a null key, or one that
+    repeats on a side, fails the job that meets it.
+    """
+    key_columns = [col(k) for k in keys]
+    kind = old.schema[_OLD].dataType
+    none = F.lit(None).cast(kind)
+    tagged = old.select(*key_columns, _OLD, none.alias(_NEW), F.lit(1).alias(_N_OLD), F.lit(0).alias(_N_NEW))
+    arrived = new.select(
+        *key_columns, none.alias(_OLD), F.col(_NEW).cast(kind).alias(_NEW), F.lit(0).alias(_N_OLD), F.lit(1).alias(_N_NEW)
+    )
+    folded = tagged.unionByName(arrived).groupBy(*key_columns).agg(
+        *[F.first(c, ignorenulls=True).alias(c) for c in (_OLD, _NEW)],
+        *[F.sum(c).alias(c) for c in (_N_OLD, _N_NEW)],
+    )
+    if not check_keys:
+        return folded
+    checked = _refused(keys, (F.col(_N_OLD) > 1) | (F.col(_N_NEW) > 1))
+    return folded.withColumn(_N_OLD, F.col(_N_OLD) + checked)
+
+
+def _one_per_key(df: DataFrame, keys: Sequence[str], mark: str, check_keys: bool) -> DataFrame:
+    """``df`` with ``mark`` = 1; with ``check_keys`` the job fails at a null key or one that repeats.
+
+    Counting copies needs the rows of a key together, as the join after it
+    does: it takes no shuffle of its own, and none where ``df`` is bucketed.
+    """
+    if not check_keys:
+        return df.withColumn(mark, F.lit(1).cast("bigint"))
+    copies = F.count(F.lit(1)).over(Window.partitionBy(*[col(k) for k in keys]))
+    return df.withColumn(mark, copies).withColumn(mark, F.lit(1) + _refused(keys, F.col(mark) > 1))
+
+
 def _values(df: DataFrame, columns: Sequence[str]) -> Column:
     return F.struct(*[col(c) for c in columns])
 
@@ -125,31 +189,29 @@ def snapshot_diff(
 ) -> DataFrame:
     """Keys with ``op``: insert, update, delete or same.
 
-    All non-key columns are compared, a null being equal to a null.  Switch
-    ``check_keys`` off only where the keys are known to be unique.  With
-    ``by_digest`` only the keys and 32 bytes per row are shuffled, which is what
-    wide tables need.
+    All columns of either side but the keys are compared, a column that a side
+    lacks being null there, and a null being equal to a null.  A null key or one
+    that repeats on a side fails the job; switch ``check_keys`` off only where
+    the keys are known to be unique.  With ``by_digest`` only the keys and 32
+    bytes per row are shuffled, which is what wide tables need.
     """
-    if check_keys:
-        require_keys({"old": old, "new": new}, keys)
-    values = list(compare) if compare is not None else [c for c in old.columns if c not in keys]
+    old, new, values = all_columns(old, new, keys)
+    values = list(compare) if compare is not None else values
+    content = row_digest if by_digest else _values
+    before = old.select(*[col(k) for k in keys], content(old, values).alias(_OLD))
+    after = new.select(*[col(k) for k in keys], content(new, values).alias(_NEW))
     op = (
-        F.when(F.col(_OLD).isNull(), "insert")
-        .when(F.col(_NEW).isNull(), "delete")
+        F.when(F.col(_N_OLD) == 0, "insert")
+        .when(F.col(_N_NEW) == 0, "delete")
         .when(~F.col(_OLD).eqNullSafe(F.col(_NEW)), "update")
         .otherwise("same")
     )
-    content = row_digest if by_digest else _values
-    if by_digest and any(old.schema[c].dataType != new.schema[c].dataType for c in values):
-        raise TypeError("digests of columns of different types cannot be compared")
-    before = old.select(*[col(k) for k in keys], content(old, values).alias(_OLD))
-    after = new.select(*[col(k) for k in keys], content(new, values).alias(_NEW))
-    pairs = before.join(after, list(keys), "full_outer")
-    return pairs.select(*[col(k) for k in keys], op.alias("op"))
+    return _sides(before, after, keys, check_keys).select(*[col(k) for k in keys], op.alias("op"))
 
 
 def apply_diff(old: DataFrame, diff: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The old snapshot brought up to date by a diff against ``new``."""
+    old, new, _ = all_columns(old, new, keys)
     touched = materialise(diff.where(F.col("op") != "same"), "diff")
     gone = small_side(touched.select(*[col(k) for k in keys]))
     arriving = small_side(touched.where(F.col("op") != "delete").select(*[col(k) for k in keys]))
@@ -158,12 +220,26 @@ def apply_diff(old: DataFrame, diff: DataFrame, new: DataFrame, keys: Sequence[s
 
 
 def open_history(snapshot: DataFrame, since: Column) -> DataFrame:
-    """The first history: every row current since ``since``."""
-    return (
-        snapshot.withColumn(VALID_FROM, since)
-        .withColumn(VALID_TO, F.lit(None).cast("date"))
-        .withColumn(IS_CURRENT, F.lit(True))
-    )
+    """The first history: every row current since ``since``, a date or a time stamp."""
+    opened = snapshot.withColumn(VALID_FROM, since)
+    no_end = F.lit(None).cast(opened.schema[VALID_FROM].dataType)
+    return opened.withColumn(VALID_TO, no_end).withColumn(IS_CURRENT, F.lit(True))
+
+
+class NotLater(ValueError):
+    """A snapshot is not later than the history it was to extend."""
+
+
+def require_later(history: DataFrame, as_of: Column) -> None:
+    """Refuse a snapshot that is no later than the last change of ``history``, or dated in another type."""
+    kind = history.schema[VALID_FROM].dataType
+    given = history.select(as_of.alias("as_of")).schema["as_of"].dataType
+    if given != kind:
+        raise TypeError(f"the history is dated by {kind.simpleString()}, the snapshot by {given.simpleString()}")
+    last = F.greatest(F.max(VALID_FROM), F.max(VALID_TO))
+    found = history.agg(last.alias("last")).select("last", (F.col("last") >= as_of).alias("late")).first()
+    if found["late"]:
+        raise NotLater(f"the history has changed at {found['last']}; a later snapshot is needed")
 
 
 def next_versions(
@@ -176,19 +252,20 @@ def next_versions(
     """What becomes of the current rows when a full snapshot arrives.
 
     A changed row is closed and opened again, a vanished one is closed, an
-    unknown one is opened.  One join yields both versions of a change.
+    unknown one is opened; one join yields both versions of a change.
+    Columns that only one side has are null on the other: a row whose value
+    comes or goes has changed.
     """
-    if check_keys:
-        require_keys({"current": current, "snapshot": snapshot}, keys)
-    values = [c for c in snapshot.columns if c not in keys]
+    day = current.schema[VALID_FROM].dataType
+    rows = current.withColumnRenamed(VALID_FROM, _SINCE).drop(VALID_TO, IS_CURRENT)
+    rows, snapshot, values = all_columns(rows, snapshot.withColumn(_SINCE, F.lit(None).cast(day)), keys)
+    values.remove(_SINCE)
     key_columns = [col(k) for k in keys]
-    before = current.select(
-        *key_columns, _values(current, values).alias(_OLD), F.col(VALID_FROM).alias(_SINCE)
-    )
+    before = rows.select(*key_columns, _values(rows, values).alias(_OLD), _SINCE)
     after = snapshot.select(*key_columns, _values(snapshot, values).alias(_NEW))
-    pairs = before.join(after, list(keys), "full_outer")
-
-    day = current.schema[VALID_FROM].dataType
+    pairs = _one_per_key(before, keys, _N_OLD, check_keys).join(
+        _one_per_key(after, keys, _N_NEW, check_keys), list(keys), "full_outer"
+    )
     no_end = F.lit(None).cast(day)
 
     def version(row: str, start: Column, end: Column, live: bool) -> Column:
@@ -203,8 +280,8 @@ def next_versions(
     closed = version(_OLD, F.col(_SINCE), as_of.cast(day), False)
     opened = version(_NEW, as_of.cast(day), no_end, True)
     versions = (
-        F.when(F.col(_OLD).isNull(), F.array(opened))
-        .when(F.col(_NEW).isNull(), F.array(closed))
+        F.when(F.col(_N_OLD).isNull(), F.array(opened))
+        .when(F.col(_N_NEW).isNull(), F.array(closed))
         .when(F.col(_OLD).eqNullSafe(F.col(_NEW)), F.array(unchanged))
         .otherwise(F.array(closed, opened))
     )
@@ -223,7 +300,11 @@ def extend_history(
     as_of: Column,
     check_keys: bool = True,
 ) -> DataFrame:
-    """History after a new full snapshot; rows closed earlier pass through unmoved."""
+    """History after a new full snapshot; rows closed earlier pass through unmoved.
+
+    A snapshot that is no later than the history is refused.
+    """
+    require_later(history, as_of)
+    current = next_versions(history.where(F.col(IS_CURRENT)), snapshot, keys, as_of, check_keys)
     closed_before = history.where(~F.col(IS_CURRENT))
-    current = history.where(F.col(IS_CURRENT))
-    return closed_before.unionByName(next_versions(current, snapshot, keys, as_of, check_keys))
+    return closed_before.unionByName(current, allowMissingColumns=True)

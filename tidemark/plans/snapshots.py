@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,9 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidemark.functions.ordering import col
-from tidemark.operators.history import IS_CURRENT, next_versions, open_history
+from tidemark.operators.history import IS_CURRENT, VALID_FROM, NotLater, next_versions, open_history
 from tidemark.sinks.published import PublishedTable
-from tidemark.workspace import path_exists
+from tidemark.workspace import move, path_exists
 
 
 def load_snapshot(table: PublishedTable, snapshot: DataFrame, expected_rows: int | None = None) -> str:
@@ -20,12 +21,15 @@ def load_snapshot(table: PublishedTable, snapshot: DataFrame, expected_rows: int
 
 
 class HistoryTable:
-    """Type-2 history whose closed rows are written once.
+    """Type-2 history whose closed rows are written once and kept apart.
 
-    Every load publishes a version that holds all current rows and, apart from
-    them, only the rows this load closed.  The history is the newest version's
-    current rows and the closed rows of all versions, so a load costs what the
-    current snapshot costs however long the history has grown.
+    Every load publishes a version that holds the current rows, and puts the
+    rows it closed into a folder of their own.  The history is the live
+    version's current rows and the closed rows of all loads, so a load costs
+    what the current snapshot costs however long the history has grown, and
+    versions that are no longer live can be removed.  A load has to be later
+    than the one before it, by the date or time stamp of its own type.  Columns
+    may come and go between loads; they are null where a row knows none.
 
     With ``buckets`` the current rows are kept bucketed by key: a load then
     shuffles the arriving snapshot and nothing else.
@@ -36,19 +40,55 @@ class HistoryTable:
         self.keys = list(keys)
         self.table = PublishedTable(spark, root, self.keys, buckets)
 
+    def closed_path(self, version: str) -> str:
+        return f"{self.table.root}/closed/{version}"
+
     def load(self, snapshot: DataFrame, as_of: Column) -> str:
         live = self.table.live_version()
         if live is None:
-            if self.table.buckets:
-                snapshot = snapshot.repartition(self.table.buckets, *[col(k) for k in self.keys])
-            versions = open_history(snapshot, as_of.cast("date"))
+            versions = open_history(self._bucketed(snapshot), as_of)
         else:
             versions = self.versions_after(live, snapshot, as_of)
-        return self.table.publish(versions, partition_by=[IS_CURRENT])
+        version, n_rows = self.table.stage(versions, [IS_CURRENT])
+        n_closed = self._set_apart(version)
+        dated = self.spark.range(1).select(as_of.cast("string")).first()[0]
+        note = json.dumps({"closed": n_closed, "as_of": dated})
+        self.table.flip(version, n_rows - n_closed, note=note)
+        return version
+
+    def _set_apart(self, version: str) -> int:
+        """Move the rows that a staged version closed to where no clean-up of versions finds them."""
+        folder = f"{self.table.version_path(version)}/{IS_CURRENT}=false"
+        if not path_exists(self.spark, folder):
+            return 0
+        move(self.spark, folder, self.closed_path(version))
+        name = self.table.catalog_name(version)
+        if self.table.buckets and self.spark.catalog.tableExists(name):
+            self.spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({IS_CURRENT}=false)")
+        return self.spark.read.parquet(self.closed_path(version)).count()
 
     def versions_after(self, live: str, snapshot: DataFrame, as_of: Column) -> DataFrame:
         """What the next load writes, given the live version."""
-        return next_versions(self._current(live), snapshot, self.keys, as_of)
+        self._require_later(live, as_of)
+        return next_versions(self._current(live), self._bucketed(snapshot), self.keys, as_of)
+
+    def _bucketed(self, snapshot: DataFrame) -> DataFrame:
+        """The snapshot dealt out as the buckets are, so that nothing else has to move."""
+        if not self.table.buckets:
+            return snapshot
+        return snapshot.repartition(self.table.buckets, *[col(k) for k in self.keys])
+
+    def _notes(self) -> dict[str, dict]:
+        return {r["version"]: json.loads(r["note"]) for r in self.table.log().select("version", "note").collect()}
+
+    def _require_later(self, live: str, as_of: Column) -> None:
+        kind = self.table.columns_of(live)[VALID_FROM].dataType
+        one = self.spark.range(1).select(as_of.alias("as_of"))
+        if one.schema["as_of"].dataType != kind:
+            raise TypeError(f"the history is dated by {kind.simpleString()}, not {one.schema['as_of'].dataType.simpleString()}")
+        last = self._notes()[live]["as_of"]
+        if not one.select(F.col("as_of") > F.lit(last).cast(kind)).first()[0]:
+            raise NotLater(f"the last load was of {last}; a later snapshot is needed")
 
     def _current(self, version: str) -> DataFrame:
         return self.table.staged(version).where(F.col(IS_CURRENT))
@@ -64,14 +104,14 @@ class HistoryTable:
         return self._current(self._live())
 
     def read(self) -> DataFrame:
-        """The whole history."""
+        """The whole history; a folder of closed rows that is gone is an error, not a shorter history."""
         current = self.current()
-        folders = [
-            f"{self.table.version_path(v)}/{IS_CURRENT}=false" for v in self.table.published_versions()
-        ]
-        closed = [f for f in folders if path_exists(self.spark, f)]
-        if not closed:
+        with_closed = [v for v, note in self._notes().items() if note["closed"]]
+        gone = [v for v in with_closed if not path_exists(self.spark, self.closed_path(v))]
+        if gone:
+            raise LookupError(f"closed rows of {', '.join(sorted(gone))} are missing under {self.table.root}")
+        if not with_closed:
             return current
         columns = StructType([f for f in current.schema.fields if f.name != IS_CURRENT])
-        rows = self.spark.read.schema(columns).parquet(*closed)
+        rows = self.spark.read.schema(columns).parquet(*[self.closed_path(v) for v in with_closed])
         return current.unionByName(rows.withColumn(IS_CURRENT, F.lit(False)))
