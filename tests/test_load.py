@@ -3,14 +3,15 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import lookup
+from tidemark.operators import lookup, quality
+from tidemark.plans import extract
 from tidemark.plans.load import after_watermark, load_increment
 from tidemark.sinks import tables
 from tidemark.sinks.published import PublishedTable, PublishRefused
 from tidemark.sources.documents import DocumentSource
 from tidemark.sources.files import FileSource, list_files
 from tidemark.streaming import increments
-from tidemark.workspace import materialise, shared_dir
+from tidemark.workspace import create_text, materialise, path_exists, session_dir, shared_dir
 
 SCHEMA = "id int, ts timestamp_ntz"
 
@@ -214,7 +215,7 @@ def test_shared_folder_comes_from_the_session(spark):
     if configured:
         assert folder == configured.rstrip("/")
     written = materialise(spark.range(3), "test")
-    assert written.inputFiles()[0].removeprefix("file://").startswith(folder.removeprefix("file:"))
+    assert written.inputFiles()[0].removeprefix("file://").startswith(folder.removeprefix("file:").replace("//", ""))
 
 
 @pytest.mark.parametrize("fmt, options", [("json", {}), ("csv", {"header": "true"})])
@@ -230,3 +231,82 @@ def test_paging_other_formats(spark, tmp_path, fmt, options):
     store = DocumentSource(spark, str(tmp_path))
     if fmt == "json":
         assert store.read_paged("t", None, ["id"], 50).where("_chunk_id = 1").count() == 40
+
+
+def test_nulls_are_landed_once(spark, tmp_path):
+    """Rows without a key or a stamp, through repeated loads; what differs is kept, what is the same is not doubled."""
+    path = str(tmp_path / "t")
+    schema = "k int, v string, ts timestamp_ntz"
+    one = dt.datetime(2024, 1, 1)
+    first = [(1, "a", one), (None, "b", one), (2, "c", None), (None, "d", None)]
+    more = [*first, (None, "e", one), (None, "f", None), (3, "g", None)]
+    got = []
+    for rows_ in (first, first, more, more):
+        got.append(load_increment(spark.createDataFrame(rows_, schema), path, "ts", ["k"]))
+    assert [(g.added, g.unstamped) for g in got] == [(4, 2), (0, 0), (3, 2), (0, 0)]
+    assert sorted(r["v"] for r in spark.read.parquet(path).collect()) == list("abcdefg")
+
+
+@pytest.mark.parametrize(
+    "kind, marks, lookback",
+    [("date", [dt.date(2024, 1, d) for d in (1, 2, 3, 11)], dt.timedelta(days=1)), ("bigint", [8, 9, 10, 110], 1)],
+)
+def test_watermarks_of_other_types(spark, tmp_path, kind, marks, lookback):
+    path = str(tmp_path / "t")
+    for n in (2, 3, 4, 4):
+        rows_ = [(i, m) for i, m in enumerate(marks[:n])]
+        found = load_increment(spark.createDataFrame(rows_, f"k int, m {kind}"), path, "m", ["k"], lookback)
+        assert found.high == marks[n - 1]
+    late = spark.createDataFrame([(9, marks[3]), (8, marks[0])], f"k int, m {kind}")
+    assert load_increment(late, path, "m", ["k"], lookback).added == 1  # the other is before the lookback
+    assert spark.read.parquet(path).count() == 5
+    with pytest.raises(TypeError):
+        load_increment(late.selectExpr("k", "cast(m as string) as m"), path + "x", "m", ["k"])
+
+
+def test_the_last_flip_counts_and_a_stale_one_is_refused(spark, tmp_path):
+    table = PublishedTable(spark, str(tmp_path / "t"))
+    a, _ = table.stage(spark.range(1))
+    b, _ = table.stage(spark.range(2))
+    table.flip(b)
+    with pytest.raises(PublishRefused):
+        table.flip(a)  # staged when nothing was live
+    table.flip(a, replaces=b)
+    assert table.read().count() == 1 and table.published_versions() == [b, a]
+    again = PublishedTable(spark, str(tmp_path / "t"))
+    with pytest.raises(PublishRefused):
+        again.flip(b, replaces=b)
+    again.flip(b, replaces=a)
+    assert table.read().count() == 2
+    c, _ = table.stage(spark.range(3))
+    number = table._last_number() + 1
+    assert create_text(spark, f"{table._log_path}/{number:012d}.json", "")  # another flip that broke off
+    table.flip(c)
+    assert table.read().count() == 3
+    assert not create_text(spark, f"{table._log_path}/{number:012d}.json", "x")
+
+
+def test_listing(spark, tmp_path):
+    for name in ("a.txt", "a[1].txt", "[x].txt", "b.txt", "_hidden", ".dot"):
+        (tmp_path / name).write_text("x")
+    names = lambda prefix: sorted(r["path"].split("/")[-1] for r in list_files(spark, str(tmp_path), prefix).collect())
+    assert names("a") == ["a.txt", "a[1].txt"] and names("[") == ["[x].txt"] and names("a[") == ["a[1].txt"]
+    assert names("") == ["[x].txt", "a.txt", "a[1].txt", "b.txt"]
+    assert names("zz") == [] and list_files(spark, str(tmp_path / "none")).collect() == []
+    expected = spark.createDataFrame([(1, "a"), (2, "b")], "ord int, pattern string")
+    empty = quality.reconcile_names(list_files(spark, str(tmp_path), "zz"), "path", expected)
+    assert quality.name_status(empty, expected).first()["missing_files"] == 2
+
+
+def test_documents_of_several_lines_are_counted_as_such(spark, tmp_path):
+    (tmp_path / "c").mkdir()
+    (tmp_path / "c" / "x.json").write_text('[{"a": 1,\n "b": 2},\n {"a": 3},\n {"a": 4}]')
+    store = DocumentSource(spark, str(tmp_path), options={"multiLine": "true"})
+    assert store.row_count("c") == 3
+    assert extract.extract_table(store, "c", database="elsewhere").audit["database"] is None
+
+
+def test_intermediate_tables_belong_to_the_session(spark):
+    written = materialise(spark.range(3), "test")
+    assert written.count() == 3 and path_exists(spark, session_dir(spark))
+    assert session_dir(spark) in "file://" + written.inputFiles()[0].removeprefix("file://")

@@ -92,7 +92,7 @@ def extract_table(
         "table_name": table,
         "schema_name": schema,
         "config_name": config_name,
-        "database": database or getattr(source, "database", None),
+        "database": getattr(source, "database", None) or None,  # what is read, whatever was asked for
         "chunked": False,
         "chunk_size": None,
         "num_chunks": None,
