@@ -139,10 +139,13 @@ class Recorded(JdbcSource):
         self.extra["log"].append(("ranges", list(predicates)))
         return self.extra["df"]
 
+    def key_types(self, table, schema, keys):
+        return self.extra.get("types", {})
+
 
 def test_paged_read(spark):
     df = spark.range(1000).withColumnRenamed("id", "k")
-    source = Recorded(spark, "postgres", "u", "d", connections=4, extra={"df": df, "log": []})
+    source = Recorded(spark, "postgres", "u", "d", rows_per_range=300, extra={"df": df, "log": []})
     paged = source.read_paged("t", None, ["k"], 100)
     assert {r["_chunk_id"]: r["count"] for r in paged.groupBy("_chunk_id").count().collect()} == {
         i: 100 for i in range(10)
@@ -165,8 +168,55 @@ def test_paged_read_by_columns_that_are_no_key(spark):
     assert [kind for kind, _ in source.extra["log"]] == ["strided"]
 
 
-def test_more_connections_than_pages(spark):
+def test_more_ranges_than_pages(spark):
     df = spark.range(25).withColumnRenamed("id", "k")
-    source = Recorded(spark, "sqlserver", "u", "d", connections=32, extra={"df": df, "log": []})
+    source = Recorded(spark, "sqlserver", "u", "d", rows_per_range=1, extra={"df": df, "log": []})
     source.read_paged("t", None, ["k"], 10)
     assert source.extra["log"][1][1] == ['"k" < 10', '"k" >= 10 AND "k" < 20', '"k" >= 20']
+
+
+@pytest.mark.parametrize(
+    "kind, db_type, side",
+    [
+        ("postgres", "uuid", '"k"'),
+        ("sqlserver", "uniqueidentifier", 'CONVERT(CHAR(36), "k") COLLATE Latin1_General_100_BIN2'),
+        ("postgres", "character varying", '"k" COLLATE "C"'),
+    ],
+)
+def test_text_keys_are_read_in_parts_and_ranges(spark, kind, db_type, side):
+    df = spark.range(40).selectExpr("lpad(id, 8, '0') || '-0000' as k")
+    extra = {"df": df, "log": [], "types": {"k": db_type}}
+    source = Recorded(spark, kind, "u", "d", connections=3, rows_per_range=20, extra=extra)
+    paged = source.read_paged("t", None, ["k"], 10)
+    assert paged.where("_chunk_id = 3").count() == 10
+    (_, dealt), (_, ranges) = extra["log"]
+    assert len(dealt) == 3
+    mark = "N'" if kind == "sqlserver" else "'"
+    assert ranges == [f"{side} < {mark}00000020-0000'", f"{side} >= {mark}00000020-0000'"]
+
+
+def test_hash_predicates_deal_out_every_row_once():
+    con = duckdb.connect()
+    con.execute("CREATE MACRO hashtext(x) AS CASE WHEN x IS NOT NULL THEN (hash(x) % 4294967296)::BIGINT - 2147483648 END")
+    con.execute("CREATE TABLE t AS SELECT CASE WHEN i % 9 > 0 THEN 'k' || i END AS k FROM range(200) r(i)")
+    n = [con.execute(f"SELECT COUNT(*) FROM t WHERE {q}").fetchone()[0] for q in p.hash_predicates("k", 4, "postgres")]
+    assert sum(n) == 200 and min(n) > 0
+    assert p.hash_predicates('a"b', 2, "sqlserver")[1] == 'COALESCE(ABS(CAST(CHECKSUM("a""b") AS BIGINT)) % 2, 0) = 1'
+
+
+def test_postgres_keys_come_from_its_own_catalog():
+    sql = p.key_query("t", None, "postgres")
+    assert "pg_index" in sql and "indisprimary" in sql and "information_schema" not in sql
+    assert "n.nspname = 'raw'" in sql and "WITH ORDINALITY" in sql
+    assert "pg_table_is_visible" in p.key_query("t", "", "postgres")
+    assert "information_schema.table_constraints" in p.key_query("t", None, "sqlserver")
+
+
+def test_settings_go_before_fixed_values(spark):
+    source = JdbcSource(
+        spark, "sqlserver", "u/", "d", write_connections=8, write_batch=50, extra={"fetchsize": "7", "batchsize": "9"}
+    )
+    opts = source.write_options("t")
+    assert (opts["numPartitions"], opts["batchsize"], opts["fetchsize"]) == ("8", "9", "7")
+    assert source.with_database("x").database == "x"
+    assert JdbcSource(spark, "postgres", "u", "d", database="own").with_database("x").database == "own"

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
@@ -30,7 +30,8 @@ class DocumentSource:
     kind: str = "documents"
 
     def with_database(self, database: str | None) -> DocumentSource:
-        return self
+        """Files know no database: there the name is not taken, so it is not reported either."""
+        return replace(self, database=database) if database and not self._on_files() else self
 
     def _on_files(self) -> bool:
         return self.format == "json"
@@ -69,7 +70,8 @@ class DocumentSource:
         return reader.options(**self.connector_options(collection, pipeline)).load()
 
     def row_count(self, collection: str, schema: str | None = None) -> int:
-        if self._on_files():
+        whole_files = str(self.options.get("multiLine", "")).lower() == "true"
+        if self._on_files() and not whole_files:
             lines = self.spark.read.text(self.path(collection)).where(F.trim("value") != "")
             return lines.agg(F.count(F.lit(1))).first()[0]
         return self.read(collection).agg(F.count(F.lit(1))).first()[0]

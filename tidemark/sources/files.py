@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,13 +14,24 @@ from pyspark.sql import types as T
 from tidemark.operators.chunking import page_rows, page_rows_by_kept_keys, scan_position
 
 
+_LISTED = "path string, length bigint, modificationTime timestamp"
+
+
 def list_files(spark: SparkSession, root: str, prefix: str = "") -> DataFrame:
     """Path, size and time of the files whose path below ``root`` starts with ``prefix``.
 
+    The prefix is taken literally.  No match gives no rows.  Files whose names
+    begin with ``_`` or ``.`` are not listed: Spark takes them for its own.
     Only the listing is read: the content column is pruned away.
     """
-    pattern = f"{root.rstrip('/')}/{prefix}*"
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(pattern)
+    literal = re.sub(r"([\\*?\[\]{}])", r"\\\1", prefix)
+    pattern = f"{root.rstrip('/')}/{literal}*"
+    try:
+        listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(pattern)
+    except AnalysisException as cause:
+        if cause.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], _LISTED)
     return listed.select("path", "length", "modificationTime")
 
 

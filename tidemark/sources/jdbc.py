@@ -15,7 +15,14 @@ from pyspark.sql import types as T
 from tidemark.functions.ordering import col
 from tidemark.functions.scalars import qualified_name
 from tidemark.operators.chunking import page_rows, page_table_by_key, with_row_position
-from tidemark.sources.predicates import count_query, ends_query, key_query, range_predicates
+from tidemark.sources.predicates import (
+    count_query,
+    ends_query,
+    hash_predicates,
+    key_query,
+    range_predicates,
+    type_query,
+)
 from tidemark.workspace import materialise
 
 # Column types Spark can read by even strides.
@@ -24,16 +31,24 @@ _STRIDED = (T.NumericType, T.DateType, T.TimestampType)
 _CUTTABLE = (T.NumericType, T.DateType, T.StringType)
 
 DEFAULT_CONNECTIONS = 32
+ROWS_PER_RANGE = 1_000_000
 FETCH_SIZE = 10_000
 
-# Fixed value: the most connections a write opens at once.
+# Fixed value: the most connections a write opens at once, unless the source says otherwise.
 WRITE_CONNECTIONS = 200
 WRITE_BATCH = 10_000
 
 
 @dataclass(frozen=True)
 class JdbcSource:
-    """A database reached by URL; ``kind`` is ``sqlserver`` or ``postgres``."""
+    """A database reached by URL; ``kind`` is ``sqlserver`` or ``postgres``.
+
+    ``connections`` is how many parts the key columns are read in.  The rows are
+    read in ranges of about ``rows_per_range``, however many that makes, so that
+    a lost task repeats little; how many run at once is up to the cores of the
+    cluster, or to ``max_connections``, which puts several ranges into one task.
+    Options in ``extra`` go before all others.
+    """
 
     spark: SparkSession
     kind: str
@@ -44,9 +59,14 @@ class JdbcSource:
     database: str = ""
     connections: int = DEFAULT_CONNECTIONS
     extra: Mapping[str, str] = field(default_factory=dict)
+    rows_per_range: int = ROWS_PER_RANGE
+    max_connections: int | None = None
+    write_connections: int = WRITE_CONNECTIONS
+    write_batch: int = WRITE_BATCH
 
     def with_database(self, database: str | None) -> JdbcSource:
-        return replace(self, database=database) if database else self
+        """PostgreSQL has its database in the URL: there the name is not taken, so it is not reported either."""
+        return replace(self, database=database) if database and self.kind == "sqlserver" else self
 
     def full_url(self) -> str:
         """SQL Server takes the database at the end of the URL; PostgreSQL has it inside."""
@@ -58,7 +78,7 @@ class JdbcSource:
             opts["user"] = self.user
         if self.password is not None:
             opts["password"] = self.password
-        return {**opts, **self.extra, **more}
+        return {**opts, **more, **self.extra}
 
     # --- reading ---------------------------------------------------------------
 
@@ -77,7 +97,7 @@ class JdbcSource:
 
     def primary_key(self, table: str, schema: str | None = None) -> tuple[str, ...]:
         """All key columns in key order, read by position since label case varies."""
-        rows = self.query(key_query(table, schema)).collect()
+        rows = self.query(key_query(table, schema, self.kind)).collect()
         return tuple(r[0] for r in sorted(rows, key=lambda r: r[1]))
 
     def read_ranges(
@@ -115,24 +135,39 @@ class JdbcSource:
         """All rows with their page number, read in parallel by exact key ranges.
 
         The key columns are read once, on their own, and kept: they fix which
-        pages there are.  The rows are then read in ranges that each hold a whole
-        number of pages, so that no range is much larger than another and the
-        database never sorts the table or skips over rows.  If the columns turn
-        out not to tell rows apart, the rows are landed first and paged there.
+        pages there are.  Numbers, dates and times are read by even strides,
+        other keys dealt out by a hash, either way over several connections.
+        The rows are then read in ranges that each hold a whole number of
+        pages, so that no range is much larger than another and the database
+        never sorts the table or skips over rows.  If the columns turn out not
+        to tell rows apart, the rows are landed first and paged there.
         """
-        types = [self.read(table, schema).schema[k].dataType for k in keys]
-        strided = isinstance(types[0], _STRIDED)
-        by_key = self.read_strided(table, schema, keys[0]) if strided else self.read(table, schema)
+        fields = self.read(table, schema).schema
+        types = [fields[k].dataType for k in keys]
+        if isinstance(types[0], _STRIDED):
+            by_key = self.read_strided(table, schema, keys[0])
+        else:
+            by_key = self.read_ranges(table, schema, hash_predicates(keys[0], self.connections, self.kind))
         key_rows = materialise(by_key.select(*[col(k) for k in keys]), "keys")
         pages = page_table_by_key(key_rows, keys, chunk_size)
         rows = by_key
         if pages is not None and all(isinstance(t, _CUTTABLE) for t in types):
-            ranges = range_predicates(keys, pages.every(self.connections), self.kind)
-            rows = self.read_ranges(table, schema, ranges)
+            n_ranges = max(1, -(-pages.n_rows // self.rows_per_range))
+            cuts = pages.every(n_ranges)
+            rows = self.read_ranges(
+                table, schema, range_predicates(keys, cuts, self.kind, self.key_types(table, schema, keys))
+            )
+            if self.max_connections and len(cuts) >= self.max_connections:
+                rows = rows.coalesce(self.max_connections)
         if pages is not None and pages.can_be_looked_up():
             return pages.tag(rows)
         return page_rows(with_row_position(rows), keys, chunk_size)
 
+    def key_types(self, table: str, schema: str | None, keys: Sequence[str]) -> dict[str, str]:
+        """The database's own types of the key columns."""
+        found = {r[0]: r[1] for r in self.query(type_query(table, schema)).collect()}
+        return {k: found[k] for k in keys if k in found}
+
     # --- writing ---------------------------------------------------------------
 
     def write(
@@ -150,6 +185,6 @@ class JdbcSource:
         return self.options(
             dbtable=qualified_name(table, schema),
             truncate="true",
-            numPartitions=str(WRITE_CONNECTIONS),
-            batchsize=str(WRITE_BATCH),
+            numPartitions=str(self.write_connections),
+            batchsize=str(self.write_batch),
         )

@@ -18,6 +18,8 @@ from tidemark.sources.jdbc import DEFAULT_CONNECTIONS, JdbcSource
 
 Settings = Mapping[str, object]
 
+_COUNTS = ("rows_per_range", "max_connections", "write_connections", "write_batch")
+
 
 def secret(spark: SparkSession, setting: object) -> str | None:
     if setting is None:
@@ -41,6 +43,7 @@ def _jdbc(kind: str) -> Callable[[SparkSession, Settings], JdbcSource]:
             settings.get("database", ""),
             int(settings.get("connections", DEFAULT_CONNECTIONS)),
             settings.get("options", {}),
+            **{k: int(settings[k]) for k in _COUNTS if k in settings},
         )
 
     return build
