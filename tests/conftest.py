@@ -7,9 +7,12 @@ from pyspark.sql import SparkSession
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
+from tidemark.workspace import release  # noqa: E402
+
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
+    shared = tmp_path_factory.mktemp("shared")
     session = (
         SparkSession.builder.master("local[4]")
         .appName("tidemark-tests")
@@ -19,10 +22,13 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "4g")
+        .config("spark.checkpoint.dir", f"file://{shared}")
+        .config("spark.sql.warehouse.dir", f"file://{shared}/warehouse")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    release(session)
     session.stop()
 
 
