@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry_point
+from tidemark.functions.ordering import with_position
 
 QUERIES = entry_point.queries()
 
@@ -35,3 +36,22 @@ def test_latest_record_is_a_top_n(spark, sf_dir, plan_of):
 def test_key_copies_are_folded_before_the_shuffle(spark, sf_dir, plan_of):
     plan = plan_of(QUERIES["key_profile"](spark, sf_dir), "simple")
     assert "partial_count(1)" in plan.split("Exchange hashpartitioning")[1]
+
+
+@pytest.mark.parametrize("after", ["nothing", "filter", "aggregate"])
+def test_no_row_carries_the_bounds(spark, sf_dir, plan_of, after):
+    """The list of bounds is read where rows search it; no projection puts it out."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    bounds = orders.select("o_orderstatus", "o_orderkey")
+    found = with_position(orders, ["o_orderstatus", "o_orderkey"], bounds, 1500, "p")
+    if after == "filter":
+        found = found.where("p % 3 = 1")
+    if after == "aggregate":
+        found = found.groupBy("p").count()
+    assert "__bounds" not in plan_of(found)
+
+
+@pytest.mark.parametrize("name", ["page_rows", "text_key_pages", "composite_key_pages", "tied_key_pages"])
+def test_pages_take_no_python(spark, sf_dir, plan_of, name):
+    plan = plan_of(QUERIES[name](spark, sf_dir), "simple")
+    assert "Python" not in plan and "__bounds" not in plan

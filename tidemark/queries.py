@@ -7,9 +7,9 @@ their own below the shared folder, and return what they read back.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import scalars
@@ -141,6 +141,27 @@ def tied_key_pages(spark, sf_dir):
     )
 
 
+@query(
+    "SELECT event_id, CAST((row_number() OVER (ORDER BY event_type || '/' || lpad(event_id::VARCHAR, 12, '0')) - 1)"
+    " // 4 AS INT) AS _chunk_id FROM events"
+)
+def text_key_pages(spark, sf_dir):
+    """Thousands of pages by a text key whose values share long beginnings."""
+    name = F.concat_ws("/", "event_type", F.lpad(F.col("event_id").cast("string"), 12, "0"))
+    events = _table(spark, sf_dir, "events").select("event_id", name.alias("name"))
+    return chunking.page_rows(events, ["name"], 4).select("event_id", "_chunk_id")
+
+
+@query(
+    "SELECT o_orderkey, CAST((row_number() OVER (ORDER BY o_orderstatus, o_orderdate, o_orderkey) - 1) // 5 AS INT)"
+    " AS _chunk_id FROM orders"
+)
+def composite_key_pages(spark, sf_dir):
+    """Thousands of pages by a key of three types, the first with few values."""
+    keys = ["o_orderstatus", "o_orderdate", "o_orderkey"]
+    return chunking.page_rows(_table(spark, sf_dir, "orders"), keys, 5).select("o_orderkey", "_chunk_id")
+
+
 @query(
     "SELECT table_name, CAST(page AS INT) AS _chunk_id, page * 4000 AS row_offset,"
     " CASE WHEN n - page * 4000 < 4000 THEN n - page * 4000 ELSE 4000 END AS expected_rows FROM"
@@ -391,12 +412,19 @@ def name_reconcile(spark, sf_dir):
     return quality.reconcile_names(pages, "url", _expected_names(spark), keep=["page_id"])
 
 
-@query(_FIRST_MATCH)
+# The last six characters of every page's name, numbered in reverse order.
+_ENDINGS = (
+    "(SELECT row_number() OVER (ORDER BY ending DESC) AS ord, ending AS pattern FROM"
+    f" (SELECT DISTINCT right(base_name, 6) AS ending FROM {_BASE_NAMES} b))"
+)
+
+
+@query(_FIRST_MATCH.replace(f"{_NAMES} e(ord, pattern)", f"{_ENDINGS} e"))
 def name_reconcile_long_list(spark, sf_dir):
     pages = _table(spark, sf_dir, "pages")
-    return quality.reconcile_names(
-        pages, "url", _expected_names(spark), keep=["page_id"], max_tested=0
-    )
+    endings = pages.select(F.right(scalars.base_name(F.col("url")), F.lit(6)).alias("pattern")).distinct()
+    place = F.row_number().over(Window.orderBy(F.desc("pattern"))).alias("ord")  # one row per ending
+    return quality.reconcile_names(pages, "url", endings.select(place, "pattern"), keep=["page_id"])
 
 
 @query(_FOUND_NAMES)
@@ -420,7 +448,7 @@ def name_status(spark, sf_dir):
 )
 def mismatch_text(spark, sf_dir):
     pairs = quality.code_pairs(_table(spark, sf_dir, "lineitem"), "l_returnflag", "l_linestatus")
-    return quality.mismatch_text(pairs, ["code", "subcode"]).select("summary")
+    return quality.mismatch_text(pairs, ["code", "subcode"], items_per_line=1000).select("summary")
 
 
 @query(
@@ -575,13 +603,29 @@ def write_append(spark, sf_dir):
     return spark.read.parquet(path)
 
 
-@query("SELECT p_partkey, p_name, p_retailprice FROM part WHERE p_size > 25")
+def _priced(parts, change):
+    return parts.withColumn("p_retailprice", F.col("p_retailprice") + change)
+
+
+@query("SELECT p_partkey, p_name, p_retailprice + 1 AS p_retailprice FROM part")
 def staged_publish(spark, sf_dir):
-    parts = _table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice", "p_size")
+    parts = _table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
+    table = PublishedTable(spark, run_dir(spark, "published"))
+    table.publish(parts)
+    table.publish(_priced(parts, 1))
+    table.stage(_priced(parts, 2))
+    return table.read()
+
+
+@query("SELECT p_partkey, p_name, p_retailprice + 1 AS p_retailprice FROM part")
+def flip_order(spark, sf_dir):
+    """Two versions staged, and made live in the other order: the last flip counts."""
+    parts = _table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
     table = PublishedTable(spark, run_dir(spark, "published"))
-    table.publish(parts.drop("p_size"))
-    table.publish(parts.where("p_size > 25").drop("p_size"))
-    table.stage(parts.drop("p_size"))
+    earlier, _ = table.stage(_priced(parts, 1))
+    later, _ = table.stage(_priced(parts, 2))
+    table.flip(later)
+    table.flip(earlier, replaces=later)
     return table.read()
 
 
@@ -618,6 +662,35 @@ def incremental_batches(spark, sf_dir):
     return spark.read.parquet(path).select("event_id", "ts", "user_id", "event_type")
 
 
+@query(
+    "SELECT nullif(event_id % 1000, 7) + event_id // 1000 * 1000 AS event_id, event_id AS place,"
+    " CASE WHEN event_type = 'error' THEN NULL ELSE ts END AS ts FROM events"
+)
+def incremental_with_nulls(spark, sf_dir):
+    """Three loads of rows of which some have no key and some no time stamp."""
+    key = F.nullif(F.col("event_id") % 1000, F.lit(7)) + F.call_function("div", F.col("event_id"), F.lit(1000)) * 1000
+    stamp = F.when(F.col("event_type") != "error", F.col("ts"))
+    events = _table(spark, sf_dir, "events").select(
+        key.alias("event_id"), F.col("event_id").alias("place"), stamp.alias("ts"), F.col("ts").alias("at")
+    )
+    path = run_dir(spark, "increments")
+    first = events.where(F.col("at") <= load.mark(events, "at", _CUT))
+    for arrived in (first, events, events):
+        load.load_increment(arrived.drop("at"), path, "ts", ["event_id"], lookback=timedelta(days=60))
+    return spark.read.parquet(path)
+
+
+@query("SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day FROM orders")
+def incremental_by_day(spark, sf_dir):
+    """A watermark of dates, which many rows share."""
+    orders = _table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("day"))
+    path = run_dir(spark, "increments")
+    half = orders.agg(F.percentile_approx(F.unix_date("day"), 0.5)).scalar()
+    for arrived in (orders.where(F.unix_date("day") <= half), orders, orders):
+        load.load_increment(arrived, path, "day", ["o_orderkey"])
+    return spark.read.parquet(path)
+
+
 @query("SELECT event_id, ts, user_id, event_type FROM events")
 def incremental_full(spark, sf_dir):
     schema = _table(spark, sf_dir, "events").schema
@@ -725,6 +798,36 @@ def scd2_loads(spark, sf_dir):
     return table.read()
 
 
+@query(
+    "SELECT c_custkey, c_acctbal, NULL AS c_mktsegment, TIMESTAMP '2024-01-21 08:00:00' AS valid_from,"
+    " TIMESTAMP '2024-01-21 20:00:00' AS valid_to, FALSE AS is_current FROM customer UNION ALL"
+    " SELECT c_custkey, c_acctbal, c_mktsegment, TIMESTAMP '2024-01-21 20:00:00', NULL, TRUE FROM customer"
+    " WHERE c_custkey % 50 <> 7"
+)
+def scd2_two_loads_a_day(spark, sf_dir):
+    """The second load of a day brings a new column and misses some customers."""
+    customers = _table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", "c_mktsegment")
+    table = HistoryTable(spark, run_dir(spark, "history"), ["c_custkey"])
+    at = lambda hour: F.lit(f"2024-01-21 {hour}:00:00").cast("timestamp_ntz")
+    table.load(customers.drop("c_mktsegment"), at("08"))
+    table.load(customers.where("c_custkey % 50 <> 7"), at("20"))
+    return table.read()
+
+
+_WIDER_DIFF = (
+    "SELECT a.c_custkey, CASE WHEN a.c_mktsegment IS NULL THEN 'same' ELSE 'update' END AS op FROM"
+    " (SELECT c_custkey, nullif(c_mktsegment, 'BUILDING') AS c_mktsegment FROM customer) a"
+)
+
+
+@query(_WIDER_DIFF)
+def snapshot_diff_new_column(spark, sf_dir):
+    """A column that only the new snapshot has: rows with a value there have changed."""
+    segment = F.nullif(F.col("c_mktsegment"), F.lit("BUILDING")).alias("c_mktsegment")
+    new = _table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal", segment)
+    return history.snapshot_diff(_customers(spark, sf_dir), new, ["c_custkey"])
+
+
 @query(f"SELECT c_custkey, {_RAISED} AS c_acctbal FROM customer")
 def snapshot_replace(spark, sf_dir):
     customers = _customers(spark, sf_dir)
