@@ -1,6 +1,7 @@
 """What the plans of the registered queries must and must not contain."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_point
 from tidemark.functions.ordering import with_position
@@ -38,11 +39,14 @@ def test_key_copies_are_folded_before_the_shuffle(spark, sf_dir, plan_of):
     assert "partial_count(1)" in plan.split("Exchange hashpartitioning")[1]
 
 
+@pytest.mark.parametrize("computed", [False, True])
 @pytest.mark.parametrize("after", ["nothing", "filter", "aggregate"])
-def test_no_row_carries_the_bounds(spark, sf_dir, plan_of, after):
+def test_no_row_carries_the_bounds(spark, sf_dir, plan_of, after, computed):
     """The list of bounds is read where rows search it; no projection puts it out."""
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    bounds = orders.select("o_orderstatus", "o_orderkey")
+    if computed:
+        orders = orders.withColumn("o_orderstatus", F.sha2("o_orderstatus", 256))
+    bounds = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderstatus", "o_orderkey")
     found = with_position(orders, ["o_orderstatus", "o_orderkey"], bounds, 1500, "p")
     if after == "filter":
         found = found.where("p % 3 = 1")

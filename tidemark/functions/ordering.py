@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_BOUNDS = "__bounds"
+_KEY, _BOUNDS = "__key", "__bounds"
 
 
 def quoted(name: str) -> str:
@@ -32,23 +32,22 @@ def with_position(
     ``bounds`` holds the key columns, no tuple twice and at most ``n_bounds``
     rows; the caller has checked their size.  Rows stay where they are: the
     bounds travel to the tasks once, and each row searches them by halving.
-    They are read in one place only, so that Spark merges both projections and
-    no row carries them.
+    The key and the bounds are put next to each other, and each is read once:
+    so Spark merges the search with this projection, whatever the key columns
+    are computed from, and no row carries the bounds.
     """
     if n_bounds == 0:
         return df.withColumn(name, F.lit(0))
     ordered = bounds.agg(F.sort_array(F.collect_list(key_tuple(keys)))).scalar()
-    return df.withColumn(_BOUNDS, ordered).withColumn(name, _halving(keys, n_bounds)).drop(_BOUNDS)
+    asked = df.withColumns({_KEY: key_tuple(keys), _BOUNDS: ordered})
+    return asked.withColumn(name, _at_or_below(F.col(_KEY), F.col(_BOUNDS), n_bounds)).drop(_KEY, _BOUNDS)
 
 
-def _halving(keys: Sequence[str], n_bounds: int) -> Column:
+def _at_or_below(key: Column, bounds: Column, n_bounds: int) -> Column:
     """The number of bounds at or below the key, found in about log2(n) comparisons."""
     steps = [2**i for i in range(n_bounds.bit_length())][::-1]
-    key = key_tuple(keys)
     return F.aggregate(
         F.lit(steps),
         F.lit(0),
-        lambda pos, step: F.when(
-            F.get(F.col(_BOUNDS), pos + step - 1) <= key, pos + step
-        ).otherwise(pos),
+        lambda pos, step: F.when(F.get(bounds, pos + step - 1) <= key, pos + step).otherwise(pos),
     )
