@@ -42,7 +42,7 @@ def encode(ids: np.ndarray) -> bytes:
     A level is its number of chunks, its chunks, and, but for the last one, its
     bitmap and rank directory.
     """
-    rest, levels = ids.astype("<u8"), []
+    rest, levels = ids, []
     while True:
         more = rest > 255
         level = struct.pack("<Q", len(rest)) + (rest & 255).astype(np.uint8).tobytes()

@@ -12,6 +12,7 @@ the tropical semiring may thus stop at the first whole path.
 
 from __future__ import annotations
 
+import codecs
 import re
 import zlib
 from collections.abc import Iterator
@@ -33,6 +34,8 @@ NORMAL, BYTE, USER_DEFINED = 1, 6, 4
 
 STEP_MEMO = 300_000
 _BREAK = "\0"
+_EACH_BYTE = "tidemark-each-byte"
+codecs.register_error(_EACH_BYTE, lambda e: ("\ufffd" * (e.end - e.start), e.end))
 
 
 class Transducer:
@@ -150,11 +153,11 @@ class Transducer:
         return [i for chunk in self.chunks(text) for i in self.encode_chunk(chunk)]
 
     def decode(self, ids: list[int]) -> str:
-        """The text of ids; bytes that make up no character become U+FFFD."""
+        """The text of ids; bytes that make up no character become U+FFFD each."""
         raw = b"".join(map(self.output.__getitem__, ids))
         if self.prefix and raw.startswith(b" "):
             raw = raw[1:]
-        return raw.decode(errors="replace")
+        return raw.decode(errors=_EACH_BYTE)
 
 
 class PieceEncoder(Encoder):
