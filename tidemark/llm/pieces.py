@@ -164,13 +164,12 @@ class PieceEncoder(Encoder):
     """Encodes texts with a transducer, remembering the parts it has met."""
 
     def __init__(self, path: str) -> None:
+        self._begin(lengths=False)
         self.transducer = Transducer(path)
-        self.memo, self.older, self.mark, self._plain_ids, self.special = {}, {}, None, None, ()
         self.cut, self.kind = self.transducer.chunks, "H" if len(self.transducer.output) <= 1 << 16 else "I"
-        self.join, self._lengths = b"".join, False
         self._ids = lambda chunks: list(map(self.transducer.encode_chunk, chunks))
 
-    def _cut_long(self, text: str) -> Iterator[str]:
+    def _cut_long(self, text: bytes) -> Iterator[bytes]:
         parts = super()._cut_long(text) if self.transducer.spaces_break and not self.transducer.squeeze else iter([text])
         yield next(parts)
         for part in parts:  # its space is the prefix that a text of its own gets
@@ -247,7 +246,7 @@ def checked_pieces(df: DataFrame, model: str, id_col: str = "doc_id", text_col:
                 raw = b"".join(map(table.__getitem__, ids.tolist()))
                 n.append(len(ids))
                 crcs.append(zlib.crc32(ids.astype("<u4")))
-                same.append((raw[1:] if prefix else raw) == text.encode())
+                same.append((raw[1:] if prefix else raw) == text)
             yield pa.record_batch(
                 [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(crcs, pa.int64()), pa.array(same, pa.bool_())],
                 ["doc_id", "n_tokens", "ids_crc32", "round_trip"],

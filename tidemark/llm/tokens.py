@@ -29,28 +29,23 @@ DROPPED_SPACE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 BATCH_BYTES = 1 << 20
 JOINED_PIECES = 100
-MEMO_PIECES = 400_000
+MEMO_PIECES = 600_000
 
-# Python's split() takes these for white space too.
-_ODD = re.compile("[\x1c-\x1f]")
-_WORDS = re.compile(f"[^{SPACE}]+")
 _PIECES = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]")
 _GAP = re.compile(f"(?<=[^{SPACE}]) (?=[^{SPACE}])")
+_STOP = re.compile(rb"[.,](?<=[a-z][.,])")
+# Words of a to z and the small letters of Latin-1, which lower-casing, NFC and splitting leave as they are.
+_PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
 
 
-_STOP = re.compile("[.,](?<=[a-z][.,])")
-# Words that lower-casing, NFC and splitting leave as they are.
-_PLAIN = re.compile("[a-z\xdf-\xf6\xf8-\xff]+")
+def words_of(text: bytes) -> list[bytes]:
+    """The words of a UTF-8 text for a tokenizer that lower-cases and drops white space.
 
-
-def words_of(text: str) -> list[str]:
-    """The words of a text for a tokenizer that lower-cases and drops white space.
-
-    A full stop or comma after a letter begins a piece of its own there, so
-    that the words without it are met again.
+    Cut at ASCII white space only; other white space stays in a word and is left
+    to the library.  A full stop or comma after a letter begins a piece of its
+    own there, so that the words without it are met again.
     """
-    text = _STOP.sub(r" \g<0>", text.encode().lower().decode())  # of bytes: A-Z only, whatever may follow them
-    return text.split() if _ODD.search(text) is None else _WORDS.findall(text)
+    return _STOP.sub(rb" \g<0>", text.lower()).split()  # A-Z only, whatever may follow them
 
 
 def _drops_space(config: dict) -> bool:
@@ -65,11 +60,10 @@ def _drops_space(config: dict) -> bool:
 
 
 def _cutter(config: dict) -> Callable[[str], list[str]] | None:
-    """How texts are cut for this tokenizer; None if they must stay whole.
+    """How texts are cut for a byte-level tokenizer; None if they must stay whole.
 
-    Byte-level patterns take one plain space with the word after it, so a piece
-    is a run without white space and that space, or white space before it.
-    Tokenizers that drop white space can be cut at any of it.
+    Its patterns take one plain space with the word after it, so a piece is a
+    run without white space and that space, or white space before it.
     """
     pre = config.get("pre_tokenizer") or {}
     if (
@@ -79,7 +73,7 @@ def _cutter(config: dict) -> Callable[[str], list[str]] | None:
         and not pre.get("add_prefix_space")
     ):
         return _PIECES.findall
-    return words_of if _drops_space(config) else None
+    return None
 
 
 def segments(text: str, size: int = BATCH_BYTES) -> Iterator[str]:
@@ -97,40 +91,50 @@ def segments(text: str, size: int = BATCH_BYTES) -> Iterator[str]:
 class Encoder:
     """Encodes texts with a ``.json`` (tokenizers) or ``.model`` (sentencepiece) file.
 
-    ``lengths``: give numbers of tokens instead of ids.  Ids come as bytes, two
-    for each id if the vocabulary allows it and four otherwise.
+    Texts come as UTF-8 and are cut as they are if the tokenizer drops white
+    space.  ``lengths``: give numbers of tokens instead of ids.  Ids come as
+    bytes, two for each id if the vocabulary allows it and four otherwise.
     """
 
     def __init__(self, path: str, lengths: bool) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.memo: dict[str, int | bytes] = {}
-        self.older: dict[str, int | bytes] = {}
-        self.mark: tuple[str, int] | None = None
-        self._plain_ids = None
+        self._begin(lengths)
         if path.endswith(".model"):
             import sentencepiece
 
             model = sentencepiece.SentencePieceProcessor(model_file=path)
             self._ids = lambda texts: model.encode(texts, num_threads=1)
-            self.cut, self.special = None, ()
             size = model.get_piece_size()
         else:
             model = Tokenizer.from_file(path)
             self._ids = self._by(model)
             with open(path, encoding="utf-8") as f:
                 config = json.load(f)
-            self.cut = _cutter(config)
             if _drops_space(config):
+                self.cut, self.by_bytes = words_of, True
                 parts = config["pre_tokenizer"]["pretokenizers"][1:]
                 bare = config | {"normalizer": None, "pre_tokenizer": {"type": "Sequence", "pretokenizers": parts}}
                 self._plain_ids = self._by(Tokenizer.from_str(json.dumps(bare)))
+            else:
+                self.cut = _cutter(config)
             added = config.get("added_tokens", ())
             self.special = tuple(t["content"].lower() for t in added)
+            self._special_bytes = tuple(x.encode() for x in self.special)
             for t in added:
                 if t["special"] and not (t["normalized"] or t["single_word"] or t["lstrip"] or t["rstrip"]):
                     self.mark = (t["content"], t["id"])
             size = model.get_vocab_size(with_added_tokens=True)
         self.kind = "H" if size <= 1 << 16 else "I"
+
+    def _begin(self, lengths: bool) -> None:
+        self.memo: dict[str | bytes, int | bytes] = {}
+        self.older: dict[str | bytes, int | bytes] = {}
+        self.mark: tuple[str, int] | None = None
+        self.special: tuple[str, ...] = ()
+        self._special_bytes: tuple[bytes, ...] = ()
+        self.cut: Callable[[str], list[str]] | Callable[[bytes], list[bytes]] | None = None
+        self.by_bytes = False
+        self._plain_ids: Callable[[list[str]], list[list[int]]] | None = None
         self.join = sum if lengths else b"".join
         self._lengths = lengths
 
@@ -161,7 +165,7 @@ class Encoder:
                     yield raw[start : end * width]
                     start = (end + 1) * width
 
-    def _learn(self, pieces: set[str]) -> None:
+    def _learn(self, pieces: set[str] | set[bytes]) -> None:
         """Puts the results of all pieces in ``memo``; what was not asked for lately is forgotten."""
         if len(self.memo) > MEMO_PIECES:
             self.memo, self.older = {}, self.memo
@@ -172,29 +176,43 @@ class Encoder:
             new -= again
         if self._plain_ids is not None:
             plain = list(filter(_PLAIN.fullmatch, new))
-            memo.update(zip(plain, self._encode_pieces(plain, self._plain_ids)))
+            memo.update(zip(plain, self._encode_pieces([p.decode() for p in plain], self._plain_ids)))
             new.difference_update(plain)
         rest = list(new)
-        memo.update(zip(rest, self._encode_pieces(rest, self._ids)))
+        texts = [p.decode() for p in rest] if self.by_bytes else rest
+        memo.update(zip(rest, self._encode_pieces(texts, self._ids)))
 
-    def _batch(self, texts: list[str]) -> list[int | bytes]:
+    def _batch(self, texts: list[bytes]) -> list[int | bytes]:
+        if not self.by_bytes:
+            texts = [t.decode() for t in texts]
         if self.cut is None:
             return self._encode(texts)
         cut = [None if self._has_special(t) else self.cut(t) for t in texts]
         self._learn(set().union(*filter(None, cut)))
         known = self.memo.__getitem__
-        return [self._encode([t])[0] if c is None else self.join(map(known, c)) for t, c in zip(texts, cut)]
+        return [
+            self.join(map(known, c)) if c is not None else self._encode([t.decode() if self.by_bytes else t])[0]
+            for t, c in zip(texts, cut)
+        ]
 
-    def _has_special(self, text: str) -> bool:
-        return any(s in text for s in self.special) or ("|" in text and any(s in text.lower() for s in self.special))
+    def _has_special(self, text: str | bytes) -> bool:
+        """Whether a special string may stand in the text, in any case of its letters."""
+        low = text.lower()
+        return any(x in low for x in (self._special_bytes if isinstance(text, bytes) else self.special))
 
-    def _cut_long(self, text: str) -> Iterator[str]:
+    def _cut_long(self, text: bytes) -> Iterator[bytes]:
         if self.cut is None or len(text) <= BATCH_BYTES or self._has_special(text):
             yield text
+        elif self.by_bytes:
+            start = 0
+            while 0 <= (end := text.find(b" ", start + BATCH_BYTES)):
+                yield text[start:end]
+                start = end
+            yield text[start:]
         else:
-            yield from segments(text)
+            yield from (part.encode() for part in segments(text.decode()))
 
-    def __call__(self, texts: Iterator[str]) -> Iterator[int | bytes]:
+    def __call__(self, texts: Iterator[bytes]) -> Iterator[int | bytes]:
         """The result of each text, in order, encoded in batches of about ``BATCH_BYTES``."""
         batch, sizes, held = [], [], 0
         for text in texts:
@@ -209,7 +227,7 @@ class Encoder:
                 batch, sizes, held = [], [], 0
         yield from self._flush(batch, sizes)
 
-    def _flush(self, batch: list[str], sizes: list[int]) -> Iterator[int | bytes]:
+    def _flush(self, batch: list[bytes], sizes: list[int]) -> Iterator[int | bytes]:
         # the parts of a long text go one by one, so that no batch grows with it
         done = self._batch(batch) if len(batch) == len(sizes) else [self._batch([x])[0] for x in batch]
         at = 0
@@ -229,9 +247,9 @@ def encoder(path: str, lengths: bool) -> Encoder:
     return _encoders[key]
 
 
-def texts_of(column: pa.Array) -> Iterator[str]:
-    """The texts of an Arrow column, made one by one."""
-    return (x.as_py() for x in column)
+def texts_of(column: pa.Array) -> Iterator[bytes]:
+    """The UTF-8 texts of an Arrow column, made one by one."""
+    return (x.as_py() for x in column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()))
 
 
 def token_counts(
