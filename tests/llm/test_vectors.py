@@ -157,6 +157,7 @@ def test_forest_finds_links(spark, monkeypatch):
     want = {r[0]: r for r in plain_groups(rows, 0.93)}
     assert got.keys() == want.keys()
     found, there = sum(r[1] for r in got.values()), sum(r[1] for r in want.values())
+    assert max(r[1] for r in got.values()) > vector_dedup.CHUNK  # so cores and chunks are at work
     assert all(got[i][1] <= want[i][1] for i in want)  # no link below the threshold
     assert found >= 0.98 * there
     assert sum(got[i] == want[i] for i in want) >= 0.95 * len(want)
@@ -175,3 +176,26 @@ def test_no_vectors(spark):
     few = spark.createDataFrame([(1, [1.0], 1)], "vec_id bigint, embedding array<float>, label int")
     assert topk_search.exact_top_k(few, F.col("vec_id") % 2 == 0).collect() == []
     assert [tuple(r) for r in vector_dedup.near_duplicate_vectors(few).collect()] == [(1, 0, 1, True)]
+
+
+def test_a_tight_group_is_counted_without_comparing_it(spark, monkeypatch):
+    """Near copies of one vector, with copies and a few others around: counts are exact, and no pairs of chunks of the group meet."""
+    monkeypatch.setattr(vector_dedup, "CHUNK", 40)
+    rng = np.random.default_rng(6)
+    centre = rng.standard_normal(32)
+    points = [centre + 0.02 * rng.standard_normal(32) for _ in range(600)]
+    points += [centre + 0.075 * rng.standard_normal(32) * 4 for _ in range(30)] + points[:20] * 3
+    rows = [(i, p.tolist(), 1) for i, p in enumerate(points)]
+    met = []
+    counts = vector_dedup._by_group
+
+    def watched(df, key, compare, schema):
+        if key == "grp":
+            met.append(df.count())
+        return counts(df, key, compare, schema)
+
+    monkeypatch.setattr(vector_dedup, "_by_group", watched)
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")
+    got = [tuple(r) for r in vector_dedup.near_duplicate_vectors(df, 0.93).collect()]
+    assert sorted(got) == sorted(plain_groups(rows, 0.93))
+    assert met[0] <= 4 * len(points)

@@ -211,25 +211,79 @@ def _counts(threshold: float) -> Callable[[pa.Table], pa.RecordBatch | None]:
     return compare
 
 
+def _with_core(large: DataFrame, threshold: float) -> DataFrame:
+    """Members of large components with ``core``: whether they lie within half the angle of their mean direction.
+
+    Any two members of a core are linked, since their angles to the mean add up
+    to no more than the threshold's.  A millionth of a radian is left for rounding.
+    """
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            roots, place = np.unique(batch.column("root").to_numpy(zero_copy_only=False).astype(str), return_inverse=True)
+            # a component's vectors have one length, but a batch may hold several components
+            for i, root in enumerate(roots.tolist()):
+                own = batch.column("v").take(pa.array(np.flatnonzero(place == i)))
+                total = _unit(_matrix(own).astype(float)).sum(axis=0)
+                yield pa.record_batch([pa.array([root]), pa.array([total], pa.list_(pa.float64()))], ["root", "s"])
+
+    added = large.select("root", "v").mapInArrow(sums, "root string, s array<double>")
+    by_axis = added.select("root", F.posexplode("s").alias("i", "s")).groupBy("root", "i").agg(F.sum("s").alias("s"))
+    axes = F.array_sort(F.collect_list(F.struct("i", "s")))  # as many as the vectors have components
+    centres = materialise(by_axis.groupBy("root").agg(F.transform(axes, lambda x: x["s"]).alias("centre")), "centres")
+    least = math.cos(math.acos(threshold) / 2 - 1e-6)
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = ["root", "rep", "v", "copies"]
+        for batch in batches:
+            core = np.zeros(batch.num_rows, bool)
+            sizes = np.diff(batch.column("v").offsets.to_numpy())
+            for size in np.unique(sizes):
+                own = pa.array(np.flatnonzero(sizes == size))
+                with np.errstate(invalid="ignore", divide="ignore"):  # a mean of zero has no direction, and no core
+                    v, centre = (_unit(_matrix(batch.column(c).take(own)).astype(float)) for c in ("v", "centre"))
+                    core[own.to_numpy()] = (v * centre).sum(axis=1) >= least
+            yield pa.record_batch([*(batch.column(c) for c in kept), pa.array(core)], [*kept, "core"])
+
+    return large.join(small_side(centres), "root").mapInArrow(
+        near, "root string, rep string, v array<double>, copies bigint, core boolean"
+    )
+
+
 def _link_counts(members: DataFrame, threshold: float) -> DataFrame:
     """``rep, n``: the weighted number of other vectors linked to each of ``root, rep, v, copies``.
 
-    A component of more than ``CHUNK`` vectors is dealt into chunks, and every
-    pair of chunks is compared by itself.
+    Components of up to ``CHUNK`` vectors are compared whole.  In a larger one
+    the members near its mean are known to be linked to each other and only
+    counted.  The others are dealt into chunks and compared with each other and
+    with chunks of the former, every pair of chunks by itself.  So a group of
+    near copies, however large, costs its rows and not their square.
     """
     sizes = members.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
-    chunks = hot_chunks(F.col("size"), CHUNK)
-    mine = F.pmod(F.xxhash64("rep", F.lit(7)), chunks).cast("int")
-    dealt = (
-        members.join(sizes, "root")
-        .select("root", "rep", "v", "copies", mine.alias("mine"), F.explode(F.sequence(F.lit(0), chunks - 1)).alias("other"))
-        .select(
-            F.xxhash64("root", F.least("mine", "other"), F.greatest("mine", "other")).alias("grp"),
-            "rep", "v", "copies", F.signum(F.col("mine") - F.col("other")).cast("int").alias("side"),
-        )
+    sized = materialise(members.join(sizes, "root"), "sized-members")
+    whole = sized.where(F.col("size") <= CHUNK).drop("size").withColumn("core", F.lit(False))
+    large = sized.where(F.col("size") > CHUNK).drop("size")
+    flagged = whole if large.isEmpty() else whole.unionByName(materialise(_with_core(large, threshold), "cores"))
+    groups = flagged.groupBy("root").agg(
+        hot_chunks(F.count_if("core"), CHUNK).alias("cores"),
+        hot_chunks(F.count_if(~F.col("core")), CHUNK).alias("others"),
+        F.coalesce(F.sum(F.when(F.col("core"), F.col("copies"))), F.lit(0)).alias("core_copies"),
+    )
+    dealt = flagged.join(groups, "root")
+    place = lambda n: F.pmod(F.xxhash64("rep", F.lit(7)), F.greatest(n, F.lit(1))).cast("int")
+    mine = F.when(F.col("core"), place(F.col("cores"))).otherwise(F.col("cores") + place(F.col("others")))
+    first = F.when(F.col("core"), F.col("cores")).otherwise(F.lit(0))
+    last = F.col("cores") + F.col("others") - 1
+    met = F.when(first <= last, F.sequence(first, last))
+    pairs = dealt.select("root", "rep", "v", "copies", mine.alias("mine"), F.explode(met).alias("other")).select(
+        F.xxhash64("root", F.least("mine", "other"), F.greatest("mine", "other")).alias("grp"),
+        "rep", "v", "copies", F.signum(F.col("mine") - F.col("other")).cast("int").alias("side"),
     )
-    counted = _by_group(dealt, "grp", _counts(threshold), "rep string, n bigint")
-    return counted.groupBy("rep").agg(F.sum("n").alias("n"))
+    compared = _by_group(pairs, "grp", _counts(threshold), "rep string, n bigint")
+    known = dealt.where("core").select("rep", (F.col("core_copies") - F.col("copies")).alias("n"))
+    return compared.unionByName(known).groupBy("rep").agg(F.sum("n").alias("n"))
 
 
 def near_duplicate_vectors(
