@@ -2,7 +2,9 @@
 
 After Kiveris et al., "Connected Components in MapReduce and Beyond" (2014).
 The edges of a round are written to the shared folder, so a lost executor
-costs a retry and plans don't grow with the rounds.
+costs a retry and plans don't grow with the rounds.  So are the least neighbours
+of each step: joined as a table of their own, the rows of a node with very many
+neighbours can be split over tasks.
 """
 
 from __future__ import annotations
@@ -15,19 +17,20 @@ from tidemark.workspace import materialise
 
 def _toward_least(edges: DataFrame) -> DataFrame:
     """Per node ``u``: the least of itself and its ``v``."""
-    return edges.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    least = edges.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    return materialise(least, "least-neighbours")
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    linked = both.join(_toward_least(both).hint("merge"), "u").where(F.col("v") > F.col("u"))
+    linked = both.join(_toward_least(both), "u").where(F.col("v") > F.col("u"))
     return linked.select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     least = _toward_least(down)
-    linked = down.join(least.hint("merge"), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    linked = down.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return linked.union(least.select("u", F.col("m").alias("v"))).where(F.col("u") != F.col("v")).distinct()
 
 

@@ -160,8 +160,8 @@ def fingerprint_groups(printed: DataFrame, distance: int = 4, blocks: int = 7) -
     rooted = distinct.join(roots, distinct["bits"] == roots["node"], "left").select(
         "bits", "least", F.coalesce("root", "bits").alias("root")
     )
-    # groups of one need no more shuffling than the others: partial minima go first
-    heads = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    # a table of its own, so that the rows of a very large group can be split over tasks
+    heads = materialise(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "group-heads")
     return rooted.select("bits", "root").join(heads, "root")
 
 

@@ -253,7 +253,7 @@ def _with_core(large: DataFrame, threshold: float) -> DataFrame:
 
 
 def _link_counts(members: DataFrame, threshold: float) -> DataFrame:
-    """``rep, n``: the weighted number of other vectors linked to each of ``root, rep, v, copies``.
+    """``rep, n``: the weighted number of other vectors linked to each of ``root, rep, v, copies, size``.
 
     Components of up to ``CHUNK`` vectors are compared whole.  In a larger one
     the members near its mean are known to be linked to each other and only
@@ -261,8 +261,7 @@ def _link_counts(members: DataFrame, threshold: float) -> DataFrame:
     with chunks of the former, every pair of chunks by itself.  So a group of
     near copies, however large, costs its rows and not their square.
     """
-    sizes = members.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
-    sized = materialise(members.join(sizes, "root"), "sized-members")
+    sized = materialise(members, "sized-members")
     whole = sized.where(F.col("size") <= CHUNK).drop("size").withColumn("core", F.lit(False))
     large = sized.where(F.col("size") > CHUNK).drop("size")
     flagged = whole if large.isEmpty() else whole.unionByName(materialise(_with_core(large, threshold), "cores"))
@@ -271,6 +270,7 @@ def _link_counts(members: DataFrame, threshold: float) -> DataFrame:
         hot_chunks(F.count_if(~F.col("core")), CHUNK).alias("others"),
         F.coalesce(F.sum(F.when(F.col("core"), F.col("copies"))), F.lit(0)).alias("core_copies"),
     )
+    groups = materialise(groups, "component-chunks")
     dealt = flagged.join(groups, "root")
     place = lambda n: F.pmod(F.xxhash64("rep", F.lit(7)), F.greatest(n, F.lit(1))).cast("int")
     mine = F.when(F.col("core"), place(F.col("cores"))).otherwise(F.col("cores") + place(F.col("others")))
@@ -332,9 +332,11 @@ def near_duplicate_vectors(
         ),
         "rooted-vectors",
     )
+    # tables of their own, so that the rows of a very large component can be split over tasks
     heads = joined.groupBy("root").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("size"))
+    heads = materialise(heads, "component-heads")
     alone = joined.join(heads, "root").select("rep", "root", "component_id", "copies", "size", "v")
-    counts = _link_counts(alone.where("size > 1").select("root", "rep", "v", "copies"), threshold)
+    counts = _link_counts(alone.where("size > 1").select("root", "rep", "v", "copies", "size"), threshold)
     told = alone.select("rep", "component_id", "copies").join(counts, "rep", "left").select(
         "rep", "component_id", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links")
     )
