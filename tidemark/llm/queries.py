@@ -68,10 +68,10 @@ def op10_secret_scan(spark, sf_dir):
 @query(
     """
     WITH v AS (
-        SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
+        SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS x
         FROM embeddings
         WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-          AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+          AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
     ), s AS (
         SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(CAST(q.x AS DOUBLE[]), CAST(c.x AS DOUBLE[])) AS BIGINT) AS score
         FROM v q JOIN v c ON c.vec_id <> q.vec_id AND len(c.x) = len(q.x)
