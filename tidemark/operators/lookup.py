@@ -41,10 +41,6 @@ def active_jobs(
     return jobs.where(active & job_name.eqNullSafe(F.lit(wanted))).orderBy(col(order_by))
 
 
-def hash_bucket(key: str, seed: int = 0, buckets: int = 100) -> Column:
-    return F.pmod(F.xxhash64(col(key), F.lit(seed)), F.lit(buckets))
-
-
 def hash_sample(df: DataFrame, percent: int, bucket: Column) -> DataFrame:
     """About ``percent`` of the rows, always the same ones for the same ``bucket``."""
     return df.where(bucket < F.lit(percent))

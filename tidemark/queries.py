@@ -7,6 +7,7 @@ their own below the shared folder, and return what they read back.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -230,6 +231,32 @@ def catalog_join(spark, sf_dir):
     return nation.join(wanted, nation.n_regionkey == wanted.r_regionkey).select("n_name", "r_name")
 
 
+@query(
+    "SELECT n_name AS column_name FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name = 'EUROPE'"
+)
+def catalog_key_columns(spark, sf_dir):
+    """Regions stand in for constraints, nations for the columns these use."""
+    nation, region = (_table(spark, sf_dir, t) for t in ("nation", "region"))
+    kind = F.when(F.col("r_name").startswith("A"), "UNIQUE").otherwise("PRIMARY KEY")
+    named = [F.col("r_regionkey").alias("constraint_name"), F.lit("raw").alias("table_schema"), F.col("r_name").alias("table_name")]
+    constraints = region.select(*named, kind.alias("constraint_type"))
+    usage = nation.join(region, nation.n_regionkey == region.r_regionkey).select(
+        *named, F.col("n_name").alias("column_name"), F.col("n_nationkey").alias("ordinal_position")
+    )
+    return stats.constraint_key_columns(constraints, usage, "EUROPE", "raw")
+
+
+@query(
+    "SELECT CASE WHEN COUNT(*) = COUNT(DISTINCT o_custkey) THEN 'o_custkey'"
+    " WHEN COUNT(*) = COUNT(DISTINCT (o_custkey, o_orderdate)) THEN 'o_custkey,o_orderdate'"
+    " WHEN COUNT(*) = COUNT(DISTINCT o_orderkey) THEN 'o_orderkey' END AS key_cols FROM orders"
+)
+def key_search(spark, sf_dir):
+    orders = _table(spark, sf_dir, "orders")
+    found = stats.find_key(orders, [["o_custkey"], ["o_custkey", "o_orderdate"], ["o_orderkey"]])
+    return orders.limit(1).select(F.lit(",".join(found) if found else None).alias("key_cols"))
+
+
 @query(
     "SELECT r.r_name, n.n_name FROM (SELECT r_regionkey, list(n_nationkey) AS ks FROM region"
     " JOIN nation ON n_regionkey = r_regionkey GROUP BY r_regionkey) a"
@@ -277,6 +304,32 @@ def _expected_and_landed(spark, sf_dir):
     return stats.table_counts({"orders": orders, "events": events}), stats.table_counts(landed)
 
 
+@dataclass(frozen=True)
+class _LosingSource(FileSource):
+    """Counts all rows of a table but delivers no early events."""
+
+    def read(self, table, schema=None, columns=None):
+        rows = super().read(table, schema, columns)
+        return rows.where("event_id >= 100") if table == "events" else rows
+
+    def row_count(self, table, schema=None):
+        return super().read(table, schema).count()
+
+
+@query(
+    "SELECT table_name, n AS total_rows, x AS extracted_rows, n - x AS missing_rows,"
+    " CASE WHEN n = x THEN 'ok' ELSE 'partial' END AS status FROM"
+    " (SELECT 'orders' AS table_name, COUNT(*) AS n, COUNT(*) AS x FROM orders"
+    " UNION ALL SELECT 'events', COUNT(*), COUNT(*) FILTER (WHERE event_id >= 100) FROM events) s"
+)
+def extract_completeness(spark, sf_dir):
+    """An extraction from a source that loses rows, where that is allowed."""
+    keys = {"orders": ["o_orderkey"], "events": ["event_id"]}
+    source = _LosingSource(spark, sf_dir, keys=keys)
+    run = extract.extract_tables(source, ["orders", "events"], chunk_size=PAGE, allow_partial=True)
+    return audit.completeness(run.audit)
+
+
 @query(
     "SELECT table_name, n AS rows, (n > 4000 AND k) AS chunked,"
     " CASE WHEN n > 4000 AND k THEN (n + 3999) // 4000 END AS chunks, 'ok' AS status FROM ("
@@ -701,6 +754,18 @@ def incremental_full(spark, sf_dir):
     return spark.read.parquet(path).select("event_id", "ts", "user_id", "event_type")
 
 
+@query("SELECT 1 AS run, COUNT(*) AS n FROM events UNION ALL SELECT 2, 0")
+def stream_counts(spark, sf_dir):
+    """How many rows a stream appended, and that there is nothing left for the next run."""
+    events = _table(spark, sf_dir, "events")
+    path, checkpoint = run_dir(spark, "streamed"), run_dir(spark, "stream-checkpoint")
+    counts = []
+    for _ in range(2):
+        stream = increments.file_stream(spark, f"{sf_dir}/events*.parquet", events.schema)
+        counts.append(increments.rows_appended(increments.append_available(stream, path, checkpoint)))
+    return spark.createDataFrame(list(enumerate(counts, 1)), "run int, n bigint")
+
+
 def _customers(spark, sf_dir):
     return _table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
 
