@@ -99,6 +99,30 @@ def test_spans_are_those_of_the_sentences():
     assert (text[a:b], name) == ("Released under\n  the MIT License.", "MIT")
 
 
+@pytest.mark.parametrize(
+    "text,want,span",
+    [
+        ("This project is licensed under the MIT License - see the LICENSE file for details", "MIT", "This project is licensed under the MIT License"),
+        ("Copyright (c) 2020 X, All rights reserved", "LicenseRef-all-rights-reserved", "All rights reserved"),
+        ("Foo is released under the MIT license", "MIT", "released under the MIT license"),
+        ("İ: Foo, which is licensed under CC BY-SA 4.0, is a text", "CC-BY-SA-4.0", "licensed under CC BY-SA 4.0"),
+        ("Foo is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, version 2 of the License", "GPL-2.0-only", None),
+        ("Foo's code is subject to the terms of the Mozilla Public License, version 2.0 and more", "MPL-2.0", None),
+        ("x = 1  # SPDX-License-Identifier: (MIT OR Apache-2.0)", "(mit or apache-2.0)", None),
+        ("SPDX-License-Identifier: MIT and more words", "mit", "SPDX-License-Identifier: MIT"),
+    ],
+)
+def test_words_around(text, want, span):
+    ((a, b, name),) = scan.match_rules(scan.known_sentences(text))
+    assert name == want
+    assert span is None or text[a:b] == span
+
+
+def test_parts_of_words_and_denied():
+    assert names("It was unlicensed under the MIT licenses. It is not licensed under the MIT License.") == []
+    assert names("Licensed under the GNU General Public License, version 20") == []
+
+
 LINES = {
     "Released under the MIT License.": "MIT",
     "Licensed under the Apache License, Version 2.0.": "Apache-2.0",

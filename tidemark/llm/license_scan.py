@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.frames import id_text
 
 # What licences and notices say, normalised (lower case, single
-# spaces, straight quotes, no end mark), as patterns of whole sentences.
+# spaces, straight quotes, no end mark), as patterns of phrases.
 SENTENCES = {
     "apache licensed": r'(?:this (?:file|work|software|project|code) is )?(?:licensed|released|distributed) under (?:the )?(?:terms of )?(?:the )?apache(?: software)? licen[cs]e,? version 2(?:\.0)?(?: \(the "license"\))?',
     "apache may not": r"you may not use this (?:file|work|software) except in compliance with the licen[cs]e",
@@ -38,20 +38,20 @@ SENTENCES = {
     "bsd binary": r"(?:\(?[2b][.)] ?)?redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution",
     "bsd endorse": r"(?:\(?[3c][.)] ?)?neither the name of .{1,120}? may be used to endorse or promote products derived from this software without specific prior written permission",
     "bsd warranty": r'this software is provided by .{1,120}? "as is" and any express or implied warranties, including, but not limited to, the implied warranties of merchantability and fitness for a particular purpose are disclaimed',
-    "bsd liability": r"in no event shall .{1,120}? be liable for any direct, indirect, incidental, special, exemplary, or consequential damages .*",
+    "bsd liability": r"in no event shall .{1,120}? be liable for any direct, indirect, incidental, special, exemplary, or consequential damages",
     "isc permission": r"permission to use, copy, modify, and(?:/or)? distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies",
     "isc named": r"(?:this (?:file|work|software|project|code) is )?(?:licensed|released|distributed) under (?:the )?(?:terms of )?(?:the )?isc licen[cs]e",
     "gpl named": r"(?:this (?:file|work|software|project|program|code) is )?(?:licensed|released|distributed) under (?:the )?(?:terms of )?(?:the )?gnu (?P<family>(?:lesser |library |affero )?)general public licen[cs]e,? (?:version |v)(?P<version>\d)(?:\.(?P<minor>\d))?(?P<later>,? or (?:\(at your option\) )?any later version)?(?: of the licen[cs]e)?",
-    "gpl redistribute": r"(?:this|.{1,80}) (?:program|library|file|software)?,? ?is free software[:;,] you can redistribute it and/or modify it under the terms of the gnu (?P<family>(?:lesser |library |affero )?)general public licen[cs]e as published by the free software foundation[;,] (?:either )?version (?P<version>\d)(?:\.(?P<minor>\d))?(?: of the licen[cs]e)?(?P<later>,? or \(?at your option\)? any later version)?",
+    "gpl redistribute": r"(?:(?:this |the )?[\w.+-]{1,80},? )?is free software[:;,] you can redistribute it and/or modify it under the terms of the gnu (?P<family>(?:lesser |library |affero )?)general public licen[cs]e as published by the free software foundation[;,] (?:either )?version (?P<version>\d)(?:\.(?P<minor>\d))?(?: of the licen[cs]e)?(?P<later>,? or \(?at your option\)? any later version)?",
     "gpl warranty": r"this (?:program|library|file|software) is distributed in the hope that it will be useful, but without any warranty; without even the implied warranty of merchantability or fitness for a particular purpose",
     "gpl details": r"see the gnu (?:lesser |library |affero )?general public licen[cs]e for more details",
-    "gpl received": r"you should have received a copy of the gnu (?:lesser |library |affero )?general public licen[cs]e along with this (?:program|library|file|software).*",
+    "gpl received": r"you should have received a copy of the gnu (?:lesser |library |affero )?general public licen[cs]e along with this (?:program|library|file|software)",
     "cc named": r"(?:this (?:file|work|text|document) is )?(?:licensed|released|distributed) under (?:a |the )?(?:terms of )?(?:the )?(?:cc|creative commons)[ -](?P<terms>by(?:-nc)?(?:-sa|-nd)?)(?: (?P<number>\d\.\d))?(?: licen[cs]e)?",
     "cc zero": r"(?:this (?:file|work|text|document) is )?(?:licensed|released|distributed|dedicated)(?: to the public domain)? under (?:the )?(?:cc0|creative commons zero)(?:[ -]1\.0)?(?: licen[cs]e| universal)?",
-    "mpl named": r"this (?:source code form|file|work|software|project|code) is (?:subject to|licensed under|released under|distributed under) the (?:terms of the )?mozilla public licen[cs]e,? (?:v\. ?|version )2\.0",
+    "mpl named": r"(?:this (?:source code form|file|work|software|project|code) is )?(?:subject to|licensed under|released under|distributed under) the (?:terms of the )?mozilla public licen[cs]e,? (?:v\. ?|version )2\.0",
     "mpl obtain": r"if a copy of the mpl was not distributed with this file, you can obtain one at https?://\S+",
     "unlicense": r"this is free and unencumbered software released into the public domain",
-    "spdx": r"spdx-license-identifier: (?P<spdx>[a-z0-9.+-]+(?: (?:or|and|with) [a-z0-9.+-]+)*)",
+    "spdx": r"spdx-license-identifier: (?P<spdx>\(*[a-z0-9](?:[a-z0-9.+-]*[a-z0-9+])?\)*(?: (?:or|and|with) \(*[a-z0-9](?:[a-z0-9.+-]*[a-z0-9+])?\)*)*)",
     "proprietary": r"all rights reserved",
 }
 
@@ -87,38 +87,59 @@ ANCHORS = (
     "rights reserved", "mozilla", "mpl",
     "bsd", "general public", "cc0", "creative commons", "cc by", "cc-by",
 )
-MAX_WORDS = 130
 MAX_SPREAD = 400
-
-_KNOWN = [(name, re.compile(pattern)) for name, pattern in SENTENCES.items()]
+MAX_TAIL = 600
+
+# A phrase is not part of a longer word or number, and not denied.
+_KNOWN = [
+    (name, re.compile(rf"(?<!\w)(?<!\bnot )(?<!\bnever )(?:{pattern})(?!\w|\.\d)")) for name, pattern in SENTENCES.items()
+]
+# Known by how they begin; they go on to the end of the sentence.
+_TAILED = ("bsd liability", "gpl received")
+_TAIL = re.compile(rf".{{0,{MAX_TAIL}}}?(?=[.!?]+(?:[\s\"')\]]|$)|$)")
 _END = re.compile(r"[.!?]+(?=[\s\"')\]]|$)|:(?=\s*\n)|\n[ \t]*\n")
+_MARKS = re.compile(r"[.!?:]*")
 _QUOTES = str.maketrans("“”‘’", "\"\"''")
-_LEAD = re.compile(r"^(?:[\s#*/;%|>!-]|--|<!--|\(c\))+")
+_LEAD = re.compile(r"(?:[\s#*/;%|>!-]|--|<!--|\(c\))+")
+_TOKEN = re.compile(r"\S+")
 
 
-def normalised(text: str) -> str:
-    """A sentence in lower case, with single spaces, straight quotes, and no comment signs or end mark."""
-    lines = (_LEAD.sub("", line) for line in text.translate(_QUOTES).lower().split("\n"))
-    return " ".join(" ".join(lines).split()).strip(" .:;!?*/")
+def _lower(text: str) -> str:
+    """``text`` in lower case, character by character where the length would change."""
+    low = text.lower()
+    return low if len(low) == len(text) else "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
 
 
-def _sentence(text: str) -> str | None:
-    """The identifier of a normalised sentence, with what its licence needs to know."""
-    for name, pattern in _KNOWN:
-        found = pattern.fullmatch(text)
-        if found:
-            told = [v for v in found.groupdict().items() if v[1]]
-            return name + "".join(f"|{k}={v.strip()}" for k, v in told)
-    return None
+def normalised(text: str) -> tuple[str, list[int]]:
+    """A text in lower case, with single spaces, straight quotes and no comment signs, and the places of its characters."""
+    flat, places, at = [], [], 0
+    for line in text.split("\n"):
+        lead = _LEAD.match(line)
+        for token in _TOKEN.finditer(line, lead.end() if lead else 0):
+            if flat:
+                flat.append(" ")
+                places.append(at + token.start())
+            flat.append(_lower(token[0].translate(_QUOTES)))
+            places.extend(range(at + token.start(), at + token.end()))
+        at += len(line) + 1
+    return "".join(flat), places
+
+
+def _expression(part: str, start: int, end: int) -> int:
+    """Where an SPDX expression ends: words are operators if in capitals, or if the line ends after the expression."""
+    for operator in re.finditer(r"\s(?:or|and|with)\s", part[start:end], re.IGNORECASE):
+        if not operator[0].strip().isupper():
+            whole = "\n" not in part[start:end] and re.match(r"[\s#*/;%|>!.-]*$", part[end:].split("\n")[0])
+            return end if whole else start + operator.start()
+    return end
 
 
 def known_sentences(text: str) -> list[tuple[int, int, str]]:
     """``start, end, identifier`` of the known sentences of a text, in order, without overlap.
 
     A sentence ends at an end mark, an empty line, or a colon at the end of a
-    line.  Within one, any run of whole lines may be the known sentence, as
-    other text may stand before or after it without an end mark; the first
-    line that begins one counts, with as many lines as still make one.
+    line.  Within one, a known sentence may stand anywhere between other words:
+    the leftmost counts, and of those the longest.
     """
     low, out = text.lower(), []
     if not any(a in low for a in ANCHORS):
@@ -128,38 +149,36 @@ def known_sentences(text: str) -> list[tuple[int, int, str]]:
         part = text[at:end]
         lowered = part.lower()
         if any(a in lowered for a in ANCHORS):
-            out += _within(part, at)
+            out += [(at + a, at + b, name) for a, b, name in _within(part)]
         at = end
     return out
 
 
-def _within(part: str, offset: int) -> list[tuple[int, int, str]]:
-    """Known sentences among the runs of lines of one sentence."""
-    lines, place = [], 0
-    for line in part.split("\n"):
-        lines.append((place, place + len(line), line, len(line.split()), any(a in line.lower() for a in ANCHORS)))
-        place += len(line) + 1
-    marked = [i for i, line in enumerate(lines) if line[4]]
-    out, first = [], 0
-    while first < len(lines):
-        found, words, last = None, 0, first
-        if lines[first][3]:
-            near = next((i for i in marked if i >= first), None)
-            if near is None:
-                break
-            while last < len(lines) and (words := words + lines[last][3]) <= MAX_WORDS or last == first:
-                if last >= near:
-                    name = _sentence(normalised("\n".join(line[2] for line in lines[first : last + 1])))
-                    if name is not None:
-                        found = (last, name)
-                last += 1
-        if found:
-            raw = part[lines[first][0] : lines[found[0]][1]]
-            start = lines[first][0] + len(raw) - len(raw.lstrip())
-            out.append((offset + start, offset + lines[first][0] + len(raw.rstrip()), found[1]))
-            first = found[0] + 1
-        else:
-            first += 1
+def _within(part: str) -> list[tuple[int, int, str]]:
+    """Known sentences within a part of a text."""
+    flat, places = normalised(part)
+    found = []
+    for name, pattern in _KNOWN:
+        for m in pattern.finditer(flat):
+            start, end = places[m.start()], places[m.end() - 1] + 1
+            told = {k: v.strip() for k, v in m.groupdict().items() if v}
+            if name == "spdx":
+                expression = places[m.start("spdx")]
+                end = _expression(part, expression, end)
+                told["spdx"] = " ".join(part[expression:end].lower().split())
+            tail = _TAIL.match(flat, m.end()) if name in _TAILED else None
+            last = places[tail.end() - 1] + 1 if tail else end
+            found.append((start, end, last, name + "".join(f"|{k}={v}" for k, v in told.items())))
+    found.sort(key=lambda f: (f[0], -f[1]))
+    alone: list[tuple[int, int, int, str]] = []
+    for one in found:
+        if not alone or one[0] >= alone[-1][1]:
+            alone.append(one)
+    out = []
+    for (start, end, last, name), after in zip(alone, [*(f[0] for f in alone[1:]), len(part)]):
+        end = max(end, min(last, after))
+        end = start + len(part[start:end].rstrip())
+        out.append((start, min(after, _MARKS.match(part, end).end()), name))
     return out
 
 
