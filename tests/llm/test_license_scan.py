@@ -1,6 +1,7 @@
 """Licences: known texts, orders that rules must keep apart, and the given documents."""
 
 import re
+import textwrap
 
 import pytest
 
@@ -123,6 +124,35 @@ def test_parts_of_words_and_denied():
     assert names("Licensed under the GNU General Public License, version 20") == []
 
 
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.
+If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."""
+ISC = """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is
+hereby granted, provided that the above copyright notice and this permission notice appear in all copies."""
+KNOWN = {
+    "Apache-2.0": APACHE,
+    "MIT": MIT,
+    "BSD-2-Clause": BSD_TOP + BSD_END,
+    "BSD-3-Clause": BSD_TOP + BSD_NAMES.replace("the copyright holder", "Foo, Inc. or X. Y.") + BSD_END,
+    "GPL-3.0-or-later": GPL,
+    "LGPL-2.1-only": GPL.replace("GNU General", "GNU Lesser General").replace("version 3", "version 2.1").replace(", or\n(at your option) any later version", ""),
+    "MPL-2.0": MPL,
+    "ISC": ISC,
+    "CC-BY-NC-SA-4.0": "This work is licensed under CC BY-NC-SA 4.0.",
+    "Unlicense": "This is free and unencumbered software released into the public domain.",
+    "mpl-2.0": "// SPDX-License-Identifier: MPL-2.0",
+    "LicenseRef-all-rights-reserved": "All rights reserved.",
+}
+
+
+@pytest.mark.parametrize("lead", ["", " * ", "# ", "// "])
+@pytest.mark.parametrize("width", [20, 33, 47, 60, 72, 80, 100, 10**6])
+@pytest.mark.parametrize("name", KNOWN)
+def test_any_wrapping(name, width, lead):
+    """Recognition does not depend on where lines end, nor on comment signs left in joined lines."""
+    text = "Some words. " + " ".join(KNOWN[name].split()) + " More words."
+    assert names("\n".join(lead + line for line in textwrap.wrap(text, width))) == [name]
+
+
 LINES = {
     "Released under the MIT License.": "MIT",
     "Licensed under the Apache License, Version 2.0.": "Apache-2.0",

@@ -1,7 +1,7 @@
 """Licences by their sentences.
 
-Texts are cut into sentences, sentences are normalised, and those that licences
-are known to consist of get an identifier.  Ordered rules then say which
+Texts are cut into paragraphs, these are normalised, and the sentences in them
+that licences are known to consist of get an identifier.  Ordered rules then say which
 sequences of identifiers make which licence; a rule takes the sentences it
 matches, so that the whole licence goes before the short notice it contains.
 """
@@ -97,11 +97,13 @@ _KNOWN = [
 # Known by how they begin; they go on to the end of the sentence.
 _TAILED = ("bsd liability", "gpl received")
 _TAIL = re.compile(rf".{{0,{MAX_TAIL}}}?(?=[.!?]+(?:[\s\"')\]]|$)|$)")
-_END = re.compile(r"[.!?]+(?=[\s\"')\]]|$)|:(?=\s*\n)|\n[ \t]*\n")
+_END = re.compile(r"\n[ \t\r]*\n")
 _MARKS = re.compile(r"[.!?:]*")
 _QUOTES = str.maketrans("“”‘’", "\"\"''")
 _LEAD = re.compile(r"(?:[\s#*/;%|>!-]|--|<!--|\(c\))+")
 _TOKEN = re.compile(r"\S+")
+_SIGNS = re.compile(r"[#*/;%|>!<-]+")
+_HYPHEN = re.compile(r"\w-$")
 
 
 def _lower(text: str) -> str:
@@ -111,16 +113,25 @@ def _lower(text: str) -> str:
 
 
 def normalised(text: str) -> tuple[str, list[int]]:
-    """A text in lower case, with single spaces, straight quotes and no comment signs, and the places of its characters."""
-    flat, places, at = [], [], 0
+    """A text in lower case, with single spaces, straight quotes and no comment signs, and the places of its characters.
+
+    Comment signs may stand anywhere, as lines may have been joined; a hyphen at
+    the end of a line is followed by the rest of its word.
+    """
+    flat, places, at, split = [], [], 0, True
     for line in text.split("\n"):
         lead = _LEAD.match(line)
+        token = None
         for token in _TOKEN.finditer(line, lead.end() if lead else 0):
-            if flat:
+            if _SIGNS.fullmatch(token[0]):
+                continue
+            if not split:
                 flat.append(" ")
                 places.append(at + token.start())
+            split = False
             flat.append(_lower(token[0].translate(_QUOTES)))
             places.extend(range(at + token.start(), at + token.end()))
+        split = split or bool(token and _HYPHEN.search(token[0]))
         at += len(line) + 1
     return "".join(flat), places
 
@@ -137,9 +148,10 @@ def _expression(part: str, start: int, end: int) -> int:
 def known_sentences(text: str) -> list[tuple[int, int, str]]:
     """``start, end, identifier`` of the known sentences of a text, in order, without overlap.
 
-    A sentence ends at an end mark, an empty line, or a colon at the end of a
-    line.  Within one, a known sentence may stand anywhere between other words:
-    the leftmost counts, and of those the longest.
+    They are searched in whole paragraphs, wherever lines are wrapped: end marks
+    stand within sentences too ("v. 2.0", "Inc."), and parts of a sentence up to
+    a colon or semicolon can be known by themselves.  A known sentence may stand
+    anywhere between other words: the leftmost counts, and of those the longest.
     """
     low, out = text.lower(), []
     if not any(a in low for a in ANCHORS):
@@ -155,7 +167,7 @@ def known_sentences(text: str) -> list[tuple[int, int, str]]:
 
 
 def _within(part: str) -> list[tuple[int, int, str]]:
-    """Known sentences within a part of a text."""
+    """Known sentences within a paragraph."""
     flat, places = normalised(part)
     found = []
     for name, pattern in _KNOWN:
