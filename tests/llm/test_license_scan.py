@@ -138,6 +138,8 @@ KNOWN = {
     "MPL-2.0": MPL,
     "ISC": ISC,
     "CC-BY-NC-SA-4.0": "This work is licensed under CC BY-NC-SA 4.0.",
+    "CC0-1.0": "This text is dedicated to the public domain under Creative Commons Zero 1.0 Universal.",
+    "CC-BY-4.0": "Released under Creative Commons BY 4.0.",
     "Unlicense": "This is free and unencumbered software released into the public domain.",
     "mpl-2.0": "// SPDX-License-Identifier: MPL-2.0",
     "LicenseRef-all-rights-reserved": "All rights reserved.",
@@ -153,6 +155,26 @@ def test_any_wrapping(name, width, lead):
     assert names("\n".join(lead + line for line in textwrap.wrap(text, width))) == [name]
 
 
+@pytest.mark.parametrize("space", [" ", "  ", "\n", " \n * ", "\t", "\r\n", "\u00a0"])
+@pytest.mark.parametrize(
+    "text,want",
+    [
+        ("All rights reserved.", "LicenseRef-all-rights-reserved"),
+        ("Released under CC BY-SA 4.0.", "CC-BY-SA-4.0"),
+        ("Released under Creative Commons BY 4.0.", "CC-BY-4.0"),
+        ("Licensed under the GNU General Public License, version 3.", "GPL-3.0-only"),
+        ("Distributed under CC0.", "CC0-1.0"),
+    ],
+)
+def test_any_space(text, want, space):
+    """No filter before the patterns asks for what stands between words."""
+    assert names(text.replace(" ", space)) == [want]
+
+
+def test_words_of_all_sentences():
+    assert set(scan.WORDS) == set(scan.SENTENCES)
+
+
 LINES = {
     "Released under the MIT License.": "MIT",
     "Licensed under the Apache License, Version 2.0.": "Apache-2.0",

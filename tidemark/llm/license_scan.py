@@ -9,6 +9,7 @@ matches, so that the whole licence goes before the short notice it contains.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -81,12 +82,21 @@ RULES = (
 )
 UNKNOWN = "unknown"
 
-# Every known sentence holds one of these.
-ANCHORS = (
-    "licen", "permission", "redistribut", "copyright", "warrant", "liable", "free software", "unencumbered",
-    "rights reserved", "mozilla", "mpl",
-    "bsd", "general public", "cc0", "creative commons", "cc by", "cc-by",
-)
+# Every known sentence holds one of these: single words or parts of words, as any white space may stand between words.
+ANCHORS = ("licen", "permission", "redistribut", "copyright", "warrant", "liable", "unencumbered", "reserved", "mozilla", "bsd", "commons")
+_SHORT = re.compile(r"\b(?:cc0?|mpl)\b")  # anchors too, but parts of many words
+# For each sentence, the words of which its normalised text holds one.
+WORDS = {
+    "apache licensed": ("apache",), "apache may not": ("compliance",), "apache obtain": ("obtain",), "apache unless": ("applicable",),
+    "apache see": ("governing",), "mit named": ("mit", "expat"), "mit permission": ("hereby",), "mit notice": ("substantial",),
+    "mit warranty": ("noninfringement",), "mit liability": ("dealings",), "bsd named 2": ("bsd",), "bsd named 3": ("bsd",),
+    "bsd named": ("bsd",), "bsd redistribution": ("redistribution",), "bsd source": ("redistributions",),
+    "bsd binary": ("redistributions",), "bsd endorse": ("endorse",), "bsd warranty": ("warranties",), "bsd liability": ("liable",),
+    "isc permission": ("hereby",), "isc named": ("isc",), "gpl named": ("gnu",), "gpl redistribute": ("gnu",),
+    "gpl warranty": ("merchantability",), "gpl details": ("gnu",), "gpl received": ("gnu",), "cc named": ("cc", "commons"),
+    "cc zero": ("cc0", "commons"), "mpl named": ("mozilla",), "mpl obtain": ("mpl",), "unlicense": ("unencumbered",),
+    "spdx": ("spdx",), "proprietary": ("reserved",),
+}
 MAX_SPREAD = 400
 MAX_TAIL = 600
 
@@ -112,28 +122,31 @@ def _lower(text: str) -> str:
     return low if len(low) == len(text) else "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
 
 
-def normalised(text: str) -> tuple[str, list[int]]:
-    """A text in lower case, with single spaces, straight quotes and no comment signs, and the places of its characters.
+def normalised(text: str) -> tuple[str, list[int], list[int]]:
+    """A text in lower case, with single spaces, straight quotes and no comment signs; where its words begin, here and there.
 
     Comment signs may stand anywhere, as lines may have been joined; a hyphen at
     the end of a line is followed by the rest of its word.
     """
-    flat, places, at, split = [], [], 0, True
+    flat, here, there, length, at, split = [], [], [], 0, 0, True
     for line in text.split("\n"):
         lead = _LEAD.match(line)
         token = None
         for token in _TOKEN.finditer(line, lead.end() if lead else 0):
-            if _SIGNS.fullmatch(token[0]):
+            word = token[0]
+            if _SIGNS.fullmatch(word):
                 continue
             if not split:
                 flat.append(" ")
-                places.append(at + token.start())
+                length += 1
             split = False
-            flat.append(_lower(token[0].translate(_QUOTES)))
-            places.extend(range(at + token.start(), at + token.end()))
+            here.append(length)
+            there.append(at + token.start())
+            flat.append(word)
+            length += len(word)
         split = split or bool(token and _HYPHEN.search(token[0]))
         at += len(line) + 1
-    return "".join(flat), places
+    return _lower("".join(flat).translate(_QUOTES)), here, there
 
 
 def _expression(part: str, start: int, end: int) -> int:
@@ -145,6 +158,11 @@ def _expression(part: str, start: int, end: int) -> int:
     return end
 
 
+def _may_hold(text: str) -> bool:
+    low = text.lower()
+    return any(a in low for a in ANCHORS) or _SHORT.search(low) is not None
+
+
 def known_sentences(text: str) -> list[tuple[int, int, str]]:
     """``start, end, identifier`` of the known sentences of a text, in order, without overlap.
 
@@ -153,14 +171,12 @@ def known_sentences(text: str) -> list[tuple[int, int, str]]:
     a colon or semicolon can be known by themselves.  A known sentence may stand
     anywhere between other words: the leftmost counts, and of those the longest.
     """
-    low, out = text.lower(), []
-    if not any(a in low for a in ANCHORS):
+    out, at = [], 0
+    if not _may_hold(text):
         return out
-    at = 0
     for end in [*(m.end() for m in _END.finditer(text)), len(text)]:
         part = text[at:end]
-        lowered = part.lower()
-        if any(a in lowered for a in ANCHORS):
+        if _may_hold(part):
             out += [(at + a, at + b, name) for a, b, name in _within(part)]
         at = end
     return out
@@ -168,18 +184,26 @@ def known_sentences(text: str) -> list[tuple[int, int, str]]:
 
 def _within(part: str) -> list[tuple[int, int, str]]:
     """Known sentences within a paragraph."""
-    flat, places = normalised(part)
+    flat, here, there = normalised(part)
+
+    def place(i: int) -> int:
+        """Of a character of a word."""
+        word = bisect_right(here, i) - 1
+        return there[word] + i - here[word]
+
     found = []
     for name, pattern in _KNOWN:
+        if not any(w in flat for w in WORDS[name]):
+            continue
         for m in pattern.finditer(flat):
-            start, end = places[m.start()], places[m.end() - 1] + 1
+            start, end = place(m.start()), place(m.end() - 1) + 1
             told = {k: v.strip() for k, v in m.groupdict().items() if v}
             if name == "spdx":
-                expression = places[m.start("spdx")]
+                expression = place(m.start("spdx"))
                 end = _expression(part, expression, end)
                 told["spdx"] = " ".join(part[expression:end].lower().split())
             tail = _TAIL.match(flat, m.end()) if name in _TAILED else None
-            last = places[tail.end() - 1] + 1 if tail else end
+            last = place(tail.end() - 1) + 1 if tail else end
             found.append((start, end, last, name + "".join(f"|{k}={v}" for k, v in told.items())))
     found.sort(key=lambda f: (f[0], -f[1]))
     alone: list[tuple[int, int, int, str]] = []
