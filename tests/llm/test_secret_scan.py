@@ -127,6 +127,24 @@ def test_false_discovery_control(spark):
     assert wrong <= 0.05 * found
 
 
+@pytest.mark.parametrize("copied", ["text", "random"])
+def test_copies_do_not_move_the_threshold(spark, copied):
+    """A run that stands in many documents is one test: what is found among the others stays the same."""
+    rng = np.random.default_rng(10)
+    syllables = ["the", "er", "tion", "ing", "and", "re", "en", "ed", "ha", "es", "or", "st"]
+    word = lambda: "".join(rng.choice(syllables, 28))[:28]
+    key = lambda: "".join(rng.choice(list(secret_scan.ALPHABETS[6]), 28))
+    runs = [("text", word()) for _ in range(1000)] + [("random", key()) for _ in range(100)]
+    runs.append(("copied", word() if copied == "text" else key()))
+    rows = spark.createDataFrame(runs, "kind string, text string").repartition(4)
+    once = rows.select("kind", secret_scan._candidates(F.col("text"), 0.065).alias("candidates")).cache()
+    copies = once.where("kind = 'copied'").crossJoin(spark.range(100_000)).drop("id")
+    least = secret_scan._rejections(once, 0.01)
+    assert secret_scan._rejections(once.unionByName(copies), 0.01) == least
+    bins = [(r.c["length_class"], r.c["bin"]) for r in once.where("kind = 'random'").selectExpr("candidates[0] AS c").collect()]
+    assert sum(b >= least.get(k, 1 << 30) for k, b in bins) >= 40
+
+
 def test_masked(spark, texts):
     found = secret_scan.scan_secrets(texts, carry=True)
     spans = F.concat("base", "added")

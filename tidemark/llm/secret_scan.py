@@ -10,8 +10,8 @@ is put through three tests over the alphabet its characters point to:
   character with the next: does either speak against randomness?
 
 A run is a secret if neither of the latter does and if the first rejects text
-under false-discovery control (Benjamini-Hochberg) among the runs of about its
-length in the whole table.
+under false-discovery control (Benjamini-Hochberg) among the distinct runs of
+about its length in the whole table: copies of a run are one test.
 """
 
 from __future__ import annotations
@@ -166,11 +166,12 @@ def _candidates(text: Column, text_coincidence: float) -> Column:
     each = F.zip_with(spans, found, lambda s, run: F.struct(s.alias("span"), F.replace(run, F.lit("="), F.lit("")).alias("value")))
     each = F.filter(each, lambda e: F.length(e["value"]) > 1)
     each = F.transform(each, lambda e: F.struct(e["span"].alias("span"), e["value"].alias("value"), _alphabet(e["value"]).alias("alphabet")))
-    each = F.transform(each, lambda e: F.struct(e["span"].alias("span"), _tested(e["value"], e["alphabet"], text_coincidence).alias("t")))
+    each = F.transform(each, lambda e: F.struct(e["span"].alias("span"), F.xxhash64(e["value"]).alias("run"), _tested(e["value"], e["alphabet"], text_coincidence).alias("t")))
     return F.transform(
         each,
         lambda e: F.struct(
             e["span"].alias("span"),
+            e["run"].alias("run"),
             F.least(F.floor(3 * F.log2(e["t"]["n"] / 20 + 1)), F.lit(LENGTH_CLASSES - 1)).cast("int").alias("length_class"),
             F.least(F.floor(-F.log10(e["t"]["p_text"]) * P_BINS_PER_DECADE), F.lit(P_DECADES * P_BINS_PER_DECADE)).cast("int").alias("bin"),
             F.least(e["t"]["p_runs"], _serial(e["t"]["off"], e["t"]["n"])).alias("p_order"),
@@ -182,10 +183,13 @@ def _rejections(scanned: DataFrame, false_discovery: float) -> dict[int, int]:
     """By length class, the least bin in which text is rejected: at most ``LENGTH_CLASSES`` numbers.
 
     P-values are rounded up to the edge of their bin, so the control still holds.
+    Each distinct run counts once, by its hash, however many copies it has.
     """
     counts = (
         scanned.select(F.explode("candidates").alias("c"))
-        .groupBy(F.col("c.length_class").alias("length_class"), F.col("c.bin").alias("bin"))
+        .select("c.length_class", "c.bin", "c.run")
+        .distinct()
+        .groupBy("length_class", "bin")
         .agg(F.count(F.lit(1)).alias("n"))
     )
     own = Window.partitionBy("length_class")
@@ -210,13 +214,13 @@ def scan_secrets(
     ``kind`` is a place in ``KINDS``.  ``base`` has the known forms, leftmost
     and without overlap for each kind; ``added`` the runs that the tests take
     for random and that overlap none of them.  ``false_discovery`` is the
-    expected part of text among the latter, ``order_level`` the level at which
+    expected part of text among the distinct runs of the latter, ``order_level`` the level at which
     runs or serial correlation speak against randomness, ``text_coincidence``
     how often two characters of text agree.  Null and empty texts have no spans;
     null ids stay null; repeated rows come out as often as they go in; an empty
     table gives an empty result; other columns are not read, but with ``carry``
     the whole input row is put into a column ``row``.  Texts are read once and
-    not shuffled; the driver gets one number per length class.
+    not shuffled, hashes of distinct runs are; the driver gets one number per length class.
     """
     whole = [F.struct(*[col(c) for c in df.columns]).alias("row")] if carry else []
     rows = df.select(
