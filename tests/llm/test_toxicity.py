@@ -51,6 +51,20 @@ def test_labels_of_held_out_rows_are_not_read(spark, learned):
     assert toxicity.fit(docs, turned) == model
 
 
+def test_as_many_unlabelled_documents_as_stated(spark, monkeypatch):
+    """The draw is out of the documents that are not held out, so their part does not lessen it."""
+    drawn = []
+
+    def counted(sample):
+        drawn.append(sample.where("toxic = 0").count())
+        return sample.limit(0)
+
+    monkeypatch.setattr(toxicity, "_without_copies", counted)
+    docs = spark.range(9000).select(F.col("id").alias("doc_id"), F.lit("some words").alias("text"))
+    toxicity.fit(docs, spark.createDataFrame([(i, 1) for i in range(10)], "doc_id bigint, toxic int"), unlabelled=3000)
+    assert 2800 <= drawn[0] <= 3200
+
+
 def test_length_does_not_hide_a_word(learned):
     _, _, model = learned
     score = model.scorer()

@@ -215,7 +215,7 @@ def fit(
     texts = id_text(docs, id_col, text_col).where("doc_id is not null").where(~held_out(F.col("doc_id")))
     chosen = told.where((F.col("toxic") == 1) & _drawn(F.col("doc_id"), positives, n_toxic)).select("doc_id")
     toxic = texts.join(small_side(chosen), "doc_id", "left_semi").withColumn("toxic", F.lit(1))
-    rest = texts.where(_drawn(F.col("doc_id"), unlabelled, docs.count())).withColumn("toxic", F.lit(0))
+    rest = texts.where(_drawn(F.col("doc_id"), unlabelled, texts.count())).withColumn("toxic", F.lit(0))
     sample = materialise(_without_copies(toxic.unionByName(rest)), "toxicity-sample")
     n = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
     if len(n) < 2:
