@@ -171,6 +171,29 @@ def test_any_space(text, want, space):
     assert names(text.replace(" ", space)) == [want]
 
 
+FULL = {
+    "Apache-2.0": '"License" shall mean the terms and conditions for use, reproduction, and distribution as defined by Sections 1 through 9 of this document.',
+    "GPL-3.0": "The GNU General Public License is a free, copyleft license for software and other kinds of works.",
+    "AGPL-3.0": "The GNU Affero General Public License is a free, copyleft license for software and other kinds of works, specifically designed",
+    "GPL-2.0": "The licenses for most software are designed to take away your freedom to share and change it.",
+    "LGPL-2.1": "This license, the Lesser General Public License, applies to some specially designated software packages--typically libraries",
+    "LGPL-3.0": "This version of the GNU Lesser General Public License incorporates the terms and conditions of version 3 of the GNU General Public License",
+    "MPL-2.0": '1.1. "Contributor" means each individual or legal entity that creates, contributes to the creation of, or owns Covered Software.',
+    "CC-BY-NC-SA-4.0": "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+    "BSL-1.0": "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license",
+    "Zlib": "This software is provided 'as-is', without any express or implied warranty.",
+    "EPL": 'THE ACCOMPANYING PROGRAM IS PROVIDED UNDER THE TERMS OF THIS ECLIPSE PUBLIC LICENSE ("AGREEMENT").',
+    "Artistic-2.0": "This license establishes the terms under which a given free software Package may be copied, modified, distributed, and/or redistributed.",
+    "BSD-4-Clause": BSD_TOP + "3. All advertising materials mentioning features or use of this software must display the following acknowledgement: This product includes software developed by X.\n" + BSD_NAMES.replace("3.", "4.") + BSD_END,
+}
+
+
+@pytest.mark.parametrize("width", [20, 72, 10**6])
+@pytest.mark.parametrize("name", FULL)
+def test_full_texts(name, width):
+    assert names("\n".join(textwrap.wrap(FULL[name], width))) == [name]
+
+
 def test_words_of_all_sentences():
     assert set(scan.WORDS) == set(scan.SENTENCES)
 

@@ -4,6 +4,13 @@ Texts are cut into paragraphs, these are normalised, and the sentences in them
 that licences are known to consist of get an identifier.  Ordered rules then say which
 sequences of identifiers make which licence; a rule takes the sentences it
 matches, so that the whole licence goes before the short notice it contains.
+
+Covered are notices and short licences of Apache-2.0, MIT, BSD, ISC, GPL, LGPL,
+AGPL, MPL-2.0, CC, CC0, Unlicense and SPDX lines, and, by one of their first
+sentences, the full texts of Apache-2.0, GPL-2 and 3, AGPL-3, LGPL-2.1 and 3,
+MPL-2.0, CC, Boost, zlib, EPL (without its version) and Artistic-2.0.  Texts of
+other licences come out with neither a name nor ``unknown``, unless they hold
+sentences of these.
 """
 
 from __future__ import annotations
@@ -54,14 +61,29 @@ SENTENCES = {
     "unlicense": r"this is free and unencumbered software released into the public domain",
     "spdx": r"spdx-license-identifier: (?P<spdx>\(*[a-z0-9](?:[a-z0-9.+-]*[a-z0-9+])?\)*(?: (?:or|and|with) \(*[a-z0-9](?:[a-z0-9.+-]*[a-z0-9+])?\)*)*)",
     "proprietary": r"all rights reserved",
+    "apache body": r'"license" shall mean the terms and conditions for use, reproduction, and distribution as defined by sections 1 through 9 of this document',
+    "gpl 3 body": r"the gnu (?P<family>(?:affero )?)general public license is a free, copyleft license for software and other kinds of works",
+    "gpl 2 body": r"the licenses for most software are designed to take away your freedom to share and change it",
+    "lgpl 2 body": r"this license, the lesser general public license, applies to some specially designated software packages",
+    "lgpl 3 body": r"this version of the gnu lesser general public license incorporates the terms and conditions of version 3 of the gnu general public license",
+    "mpl body": r'"contributor" means each individual or legal entity that creates, contributes to the creation of, or owns covered software',
+    "cc words": r"(?:licensed under a|agree to be bound by the terms and conditions of this) creative commons (?P<terms>attribution(?:-noncommercial)?(?:-sharealike|-noderivatives)?) (?P<number>\d\.\d)(?: international| unported)?(?: public)? licen[cs]e",
+    "boost permission": r"permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license",
+    "zlib warranty": r"this software is provided ['\"]as-is['\"], without any express or implied warranty",
+    "epl body": r'the accompanying program is provided under the terms of this eclipse public license \("agreement"\)',
+    "artistic body": r"this license establishes the terms under which a given free software package may be copied, modified, distributed, and/or redistributed",
+    "bsd advertising": r"(?:\(?[3c][.)] ?)?all advertising materials mentioning features or use of this software must display the following acknowledge?ment",
 }
 
 _GNU = {"": "GPL", "lesser ": "LGPL", "library ": "LGPL", "affero ": "AGPL"}
 
+_CC = {"attribution": "by", "noncommercial": "nc", "sharealike": "sa", "noderivatives": "nd"}
+
 # Ordered rules: the longest sequences of a family go first.  "?" marks a sentence that may be missing.
 RULES = (
     ("Apache-2.0", ("apache licensed", "apache may not", "apache obtain?", "apache unless", "apache see?")),
     ("MIT", ("mit permission", "mit notice", "mit warranty", "mit liability?")),
+    ("BSD-4-Clause", ("bsd redistribution", "bsd source", "bsd binary", "bsd advertising", "bsd endorse", "bsd warranty", "bsd liability?")),
     ("BSD-3-Clause", ("bsd redistribution", "bsd source", "bsd binary", "bsd endorse", "bsd warranty", "bsd liability?")),
     ("BSD-2-Clause", ("bsd redistribution", "bsd source", "bsd binary", "bsd warranty", "bsd liability?")),
     ("ISC", ("isc permission",)),
@@ -79,11 +101,22 @@ RULES = (
     ("CC0-1.0", ("cc zero",)),
     ("SPDX", ("spdx",)),
     ("LicenseRef-all-rights-reserved", ("proprietary",)),
+    ("Apache-2.0", ("apache body",)),
+    ("GNU-3", ("gpl 3 body",)),
+    ("GPL-2.0", ("gpl 2 body",)),
+    ("LGPL-2.1", ("lgpl 2 body",)),
+    ("LGPL-3.0", ("lgpl 3 body",)),
+    ("MPL-2.0", ("mpl body",)),
+    ("CC", ("cc words",)),
+    ("BSL-1.0", ("boost permission",)),
+    ("Zlib", ("zlib warranty",)),
+    ("EPL", ("epl body",)),
+    ("Artistic-2.0", ("artistic body",)),
 )
 UNKNOWN = "unknown"
 
 # Every known sentence holds one of these: single words or parts of words, as any white space may stand between words.
-ANCHORS = ("licen", "permission", "redistribut", "copyright", "warrant", "liable", "unencumbered", "reserved", "mozilla", "bsd", "commons")
+ANCHORS = ("licen", "permission", "redistribut", "copyright", "warrant", "liable", "unencumbered", "reserved", "mozilla", "bsd", "commons", "contributor", "advertising")
 _SHORT = re.compile(r"\b(?:cc0?|mpl)\b")  # anchors too, but parts of many words
 # For each sentence, the words of which its normalised text holds one.
 WORDS = {
@@ -96,6 +129,9 @@ WORDS = {
     "gpl warranty": ("merchantability",), "gpl details": ("gnu",), "gpl received": ("gnu",), "cc named": ("cc", "commons"),
     "cc zero": ("cc0", "commons"), "mpl named": ("mozilla",), "mpl obtain": ("mpl",), "unlicense": ("unencumbered",),
     "spdx": ("spdx",), "proprietary": ("reserved",),
+    "apache body": ("reproduction",), "gpl 3 body": ("copyleft",), "gpl 2 body": ("freedom",), "lgpl 2 body": ("designated",),
+    "lgpl 3 body": ("incorporates",), "mpl body": ("contributor",), "cc words": ("commons",), "boost permission": ("hereby",),
+    "zlib warranty": ("as-is",), "epl body": ("eclipse",), "artistic body": ("establishes",), "bsd advertising": ("advertising",),
 }
 MAX_SPREAD = 400
 MAX_TAIL = 600
@@ -224,7 +260,11 @@ def _licence(name: str, sentence: str) -> str:
     if name == "GNU":
         family = _GNU[told["family"] + " " if told.get("family") else ""]
         return f"{family}-{told['version']}.{told.get('minor', '0')}-{'or-later' if 'later' in told else 'only'}"
+    if name == "GNU-3":
+        return f"{_GNU[told['family'] + ' ' if told.get('family') else '']}-3.0"
     if name == "CC":
+        for word, short in _CC.items():
+            told["terms"] = told["terms"].replace(word, short)
         return f"CC-{told['terms'].upper()}" + (f"-{told['number']}" if "number" in told else "")
     return told["spdx"] if name == "SPDX" else name
 
