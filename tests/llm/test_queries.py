@@ -20,6 +20,9 @@ COLUMNS = {
     "op8": "doc_id bigint, n_tokens bigint, ids_crc32 bigint, round_trip boolean",
     "op9": "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint",
     "op10": "doc_id bigint, n_assign bigint, n_access bigint, n_hex bigint, n_random bigint, base_sha256 string, spans string",
+    "op11": "doc_id bigint, leaf string, subroot string, root string, proof_sha256 string, folded_root string, verified boolean",
+    "op12": "vec_id bigint, component int, n bigint, deviation bigint, whitened double, explained double, identity_error double",
+    "op13": "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string",
 }
 COLUMNS["pipeline"] = COLUMNS["op4"]
 
@@ -35,9 +38,9 @@ def test_query(spark, sf_dir, plan_of, name):
     plan = plan_of(df, "simple")
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert "BatchEvalPython" not in plan
-    table = "embeddings" if name.split("_")[0] in ("op1", "op6") else "documents"
+    table = "embeddings" if name.split("_")[0] in ("op1", "op6", "op12") else "documents"
     rows = df.collect()
-    if name.split("_")[0] not in ("op1", "op4", "pipeline"):
+    if name.split("_")[0] not in ("op1", "op4", "op12", "pipeline"):
         assert len(rows) == spark.read.parquet(f"{sf_dir}/{table}.parquet").count()
     assert rows
 

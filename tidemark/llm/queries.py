@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import direct_codes, license_scan, packing, pieces, secret_scan, simhash, tokens, topk_search, toxicity, vector_dedup
+from tidemark.llm import (
+    direct_codes,
+    license_scan,
+    merkle,
+    packing,
+    pieces,
+    rank_bpe,
+    secret_scan,
+    simhash,
+    tokens,
+    topk_search,
+    toxicity,
+    vector_dedup,
+    whitening,
+)
 from tidemark.workspace import run_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -107,3 +121,21 @@ def op7_toxicity(spark, sf_dir):
 @query()
 def op8_sentencepiece(spark, sf_dir):
     return pieces.checked_pieces(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query()
+def op11_merkle_manifest(spark, sf_dir):
+    documents = _table(spark, sf_dir, "documents")
+    return merkle.checked(merkle.build(documents, carry=merkle.tampered(documents)).proofs())
+
+
+@query()
+def op12_embedding_whitening(spark, sf_dir):
+    return whitening.digest(whitening.fit(_table(spark, sf_dir, "embeddings")).whitened(components=4))
+
+
+@query()
+def op13_bpe_codec(spark, sf_dir):
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    ids = rank_bpe.encode(_table(spark, sf_dir, "documents"), tokenizer)
+    return rank_bpe.digest(rank_bpe.decode(ids, tokenizer))

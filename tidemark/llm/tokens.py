@@ -48,7 +48,8 @@ def words_of(text: bytes) -> list[bytes]:
     return _STOP.sub(rb" \g<0>", text.lower()).split()  # A-Z only, whatever may follow them
 
 
-def _drops_space(config: dict) -> bool:
+def drops_space(config: dict) -> bool:
+    """Whether the file lower-cases, then drops white space by the pattern that is known here."""
     parts = (config.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
     return bool(
         parts[0].get("type") == "Split"
@@ -59,7 +60,7 @@ def _drops_space(config: dict) -> bool:
     )
 
 
-def _cutter(config: dict) -> Callable[[str], list[str]] | None:
+def byte_cutter(config: dict) -> Callable[[str], list[str]] | None:
     """How texts are cut for a byte-level tokenizer; None if they must stay whole.
 
     Its patterns take one plain space with the word after it, so a piece is a
@@ -110,13 +111,13 @@ class Encoder:
             self._ids = self._by(model)
             with open(path, encoding="utf-8") as f:
                 config = json.load(f)
-            if _drops_space(config):
+            if drops_space(config):
                 self.cut, self.by_bytes = words_of, True
                 parts = config["pre_tokenizer"]["pretokenizers"][1:]
                 bare = config | {"normalizer": None, "pre_tokenizer": {"type": "Sequence", "pretokenizers": parts}}
                 self._plain_ids = self._by(Tokenizer.from_str(json.dumps(bare)))
             else:
-                self.cut = _cutter(config)
+                self.cut = byte_cutter(config)
             added = config.get("added_tokens", ())
             self.special = tuple(t["content"].lower() for t in added)
             self._special_bytes = tuple(x.encode() for x in self.special)
