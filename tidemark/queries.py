@@ -9,12 +9,13 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timedelta
+from itertools import combinations
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import scalars
-from tidemark.operators import chunking, history, lookup, quality, stats
+from tidemark.operators import chunking, history, keys, lookup, quality, stats
 from tidemark.plans import audit, extract, load
 from tidemark.plans.snapshots import HistoryTable, load_snapshot
 from tidemark.sinks import tables
@@ -257,6 +258,40 @@ def key_search(spark, sf_dir):
     return orders.limit(1).select(F.lit(",".join(found) if found else None).alias("key_cols"))
 
 
+# The columns among which keys are looked for.
+KEYED = {
+    "orders": ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"),
+    "lineitem": (
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+        "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
+    ),
+    "events": ("event_id", "ts", "user_id", "event_type", "value", "props"),
+    "conversations": ("conv_id", "turn", "role", "text"),
+}
+
+
+def _sql_keys(table: str, columns: tuple[str, ...]) -> str:
+    """SQL that counts the distinct tuples of each set of up to three columns."""
+    sets = [c for k in (1, 2, 3) for c in combinations(columns, k)]
+    counts = ", ".join(f"COUNT(DISTINCT ({', '.join(c)})) AS k{i}" for i, c in enumerate(sets))
+    lists = ", ".join("[" + ", ".join(f"'{x}'" for x in c) + "]" for c in sets)
+    found = ", ".join(f"k{i} = n" for i in range(len(sets)))
+    return (
+        f"SELECT '{table}' AS table_name, unnest([{lists}]) AS cols, unnest([{found}]) AS is_key"
+        f" FROM (SELECT COUNT(*) AS n, {counts} FROM {table}) c"
+    )
+
+
+@query(
+    f"WITH s AS ({' UNION ALL '.join(_sql_keys(t, c) for t, c in KEYED.items())}), k AS (SELECT * FROM s WHERE is_key)"
+    " SELECT table_name, array_to_string(cols, ',') AS key_cols, CAST(len(cols) AS INTEGER) AS n_cols FROM k WHERE NOT EXISTS"
+    " (SELECT 1 FROM k p WHERE p.table_name = k.table_name AND len(p.cols) < len(k.cols) AND list_has_all(k.cols, p.cols))"
+)
+def key_discovery(spark, sf_dir):
+    found = [keys.key_table(_table(spark, sf_dir, t), t, 3, c) for t, c in KEYED.items()]
+    return chunking.union_pages(found)
+
+
 @query(
     "SELECT r.r_name, n.n_name FROM (SELECT r_regionkey, list(n_nationkey) AS ks FROM region"
     " JOIN nation ON n_regionkey = r_regionkey GROUP BY r_regionkey) a"
@@ -565,6 +600,31 @@ def nested_field(spark, sf_dir):
     return _table(spark, sf_dir, "events").select("event_id", k.alias("k"))
 
 
+@query(
+    "SELECT event_type, k, n, first_id, total, high FROM (SELECT event_type, CAST(props ->> '$.k' AS INTEGER) AS k,"
+    " COUNT(*) AS n, MIN(event_id) AS first_id, CAST(SUM(event_id) AS BIGINT) AS total, MAX(value) AS high FROM events"
+    " WHERE event_type IN ('view', 'purchase', 'click') AND value > 10 AND user_id <> 8 GROUP BY ALL) g"
+    " ORDER BY n DESC, event_type, k LIMIT 40 OFFSET 3"
+)
+def document_pipeline(spark, sf_dir):
+    events = _table(spark, sf_dir, "events").select(
+        F.col("event_id").alias("_id"), "user_id", "event_type", "value", F.from_json("props", "k int").alias("props")
+    )
+    store = DocumentSource(spark, run_dir(spark, "event-documents"))
+    store.overwrite(events, "events")
+    pipeline = """[
+        {"$match": {"event_type": {"$in": ["view", "purchase", "click"]}, "value": {"$gt": 10}, "user_id": {"$ne": 8}}},
+        {"$group": {"_id": {"event_type": "$event_type", "k": "$props.k"}, "n": {"$sum": 1},
+                    "first_id": {"$min": "$_id"}, "total": {"$sum": "$_id"}, "high": {"$max": "$value"}}},
+        {"$sort": {"n": -1, "_id.event_type": 1, "_id.k": 1}},
+        {"$skip": 3},
+        {"$limit": 40},
+        {"$project": {"_id": 0, "event_type": "$_id.event_type", "k": "$_id.k", "n": 1, "first_id": 1, "total": 1, "high": 1}}
+    ]"""
+    made = "event_type string, k int, n bigint, first_id bigint, total bigint, high double"
+    return store.read_as("events", made, pipeline, stored=events.schema)
+
+
 @query(
     "SELECT d.day, COUNT(e.event_id) AS n_events FROM"
     " (SELECT unnest(generate_series(DATE '2023-12-30', DATE '2024-02-02', INTERVAL 1 DAY))::DATE AS day) d"

@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.ordering import col
 from tidemark.operators.chunking import page_rows_by_kept_keys
+from tidemark.sources.pipelines import ROW_STAGES, apply_pipeline, parse, top_fields
 
 
 @dataclass(frozen=True)
@@ -50,16 +52,31 @@ class DocumentSource:
         return self._load(collection, None, None)
 
     def read_as(
-        self, collection: str, columns: T.StructType | str, pipeline: str | None = None
+        self,
+        collection: str,
+        columns: T.StructType | str,
+        pipeline: str | None = None,
+        stored: T.StructType | str | None = None,
     ) -> DataFrame:
-        """The collection with a given structure, which spares the inference pass.
-
-        ``pipeline`` goes to the connector as it is; on files the same is said
-        with ``where``, ``select`` and ``groupBy``.
+        """The collection, or what ``pipeline`` makes of it, with a given structure.
+
+        A connector gets the pipeline as it is.  On files it becomes part of the
+        plan (see ``pipelines``), and its result takes the given structure:
+        other fields go, missing ones are null.  ``stored`` is the structure of
+        the documents themselves.  Without it, a pipeline that only filters,
+        sorts and limits by fields among ``columns`` reads those, and any other
+        one infers the structure by reading the collection once more.
         """
-        if pipeline is not None and self._on_files():
-            raise ValueError("a pipeline needs a connector; filter the DataFrame instead")
-        return self._load(collection, columns, pipeline)
+        if pipeline is None or not self._on_files():
+            return self._load(collection, columns, pipeline)
+        wanted = columns if isinstance(columns, T.StructType) else T.StructType.fromDDL(columns)
+        stages = parse(pipeline)
+        if stored is None and all(name in ROW_STAGES for name, _ in stages) and top_fields(stages) <= {*wanted.names}:
+            stored = wanted
+        made = apply_pipeline(self._load(collection, stored, None), pipeline)
+        return made.select(
+            *[(col(f.name) if f.name in made.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in wanted]
+        )
 
     def _load(self, collection, columns, pipeline) -> DataFrame:
         reader = self.spark.read.format(self.format)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.chunking import page_rows, page_rows_by_kept_keys, scan_position
-
+from tidemark.operators.keys import minimal_keys
 
 _LISTED = "path string, length bigint, modificationTime timestamp"
 
@@ -40,7 +40,9 @@ class FileSource:
     """Tables kept as files, one path per table.
 
     ``layout`` turns a table name (and schema) into a path below ``root``;
-    ``keys`` names the key columns of tables that have a key.
+    ``keys`` names the key columns of tables that have a key.  For a table that
+    is not named there, keys of up to ``search_keys`` columns are looked for in
+    its rows (0: not at all), and the first of the shortest is taken.
     """
 
     spark: SparkSession
@@ -49,6 +51,7 @@ class FileSource:
     layout: str = "{table}.parquet"
     keys: Mapping[str, Sequence[str]] = field(default_factory=dict)
     options: Mapping[str, str] = field(default_factory=dict)
+    search_keys: int = 0
     kind: str = "files"
 
     def path(self, table: str, schema: str | None = None) -> str:
@@ -69,7 +72,10 @@ class FileSource:
         return self.read(table, schema).agg(F.count(F.lit(1))).first()[0]
 
     def primary_key(self, table: str, schema: str | None = None) -> tuple[str, ...]:
-        return tuple(self.keys.get(table, ()))
+        if table in self.keys or not self.search_keys:
+            return tuple(self.keys.get(table, ()))
+        found = minimal_keys(self.read(table, schema), self.search_keys)
+        return found[0] if found else ()
 
     def read_paged(
         self, table: str, schema: str | None, keys: Sequence[str], chunk_size: int
