@@ -103,3 +103,26 @@ def test_text_in_lines(spark):
     assert [r["summary"] for r in one] == [", ".join(want)]
     lines = q.mismatch_text(items, ["a", "b"], items_per_line=10).orderBy("line").collect()
     assert [r["summary"] for r in lines] == [", ".join(want[i : i + 10]) for i in (0, 10, 20)]
+
+
+def test_a_key_meets_no_more_names_than_its_rarest_part(spark):
+    names = [f"export-part-{i:05d}.parquet" for i in range(300)] + ["other", "abc"]
+    patterns = [f"export-part-{i:05d}" for i in range(0, 300, 7)] + [f"{i:05d}.parquet" for i in range(0, 300, 11)] + ["nowhere-at-all"]
+    frames = spark.createDataFrame([(n,) for n in names], "base_name string"), spark.createDataFrame([(p,) for p in patterns], "pattern string")
+    found = {r["pattern"]: (r["__gram"], r["__names"]) for r in q.rarest_grams(*frames).collect()}
+    assert set(found) == {*patterns[:-1]}  # no name has all parts of the last one
+    for pattern, (gram, n) in found.items():
+        counts = [sum(pattern[i : i + q.GRAM] in name for name in names) for i in range(len(pattern) - q.GRAM + 1)]
+        assert n == min(counts) and n == sum(gram in name for name in names)
+        assert n <= 30  # not the 300 that share the beginning or the ending
+
+
+def test_a_long_list_with_shared_parts(spark, plan_of):
+    paths = [f"d/run-{i % 40:03d}-part-{i:04d}.dat" for i in range(200)]
+    patterns = ["", "dat", "é", "run-000", *(f"part-{i:04d}" for i in range(0, 400, 3)), *(f"{i:04d}.dat" for i in range(0, 400, 5)), "run-"]
+    for expected in ([*enumerate(patterns[1:-1])], [*enumerate(reversed(patterns))]):
+        files = spark.createDataFrame([(p,) for p in paths], "path string")
+        names = spark.createDataFrame(expected, "ord int, pattern string")
+        got = q.reconcile_names(files, "path", names, keep=["path"], max_tested=0)
+        assert "NestedLoop" not in plan_of(got) and "Cartesian" not in plan_of(got)
+        assert sorted(repr(tuple(r)) for r in got.collect()) == sorted(map(repr, brute_names(paths, expected)))

@@ -51,10 +51,14 @@ def upsert(
 def replace_by_key(base: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``base`` with the rows of ``changes`` in place of those with the same key.
 
-    When the changed keys are measured to be few, ``base`` is not shuffled.
+    A null in a key equals a null.  When the changed keys are measured to be
+    few, ``base`` is not shuffled.
     """
-    changed = small_side(changes.select(*[col(k) for k in keys]).distinct())
-    return base.join(changed, list(keys), "left_anti").unionByName(changes)
+    changed = small_side(changes.select(*[col(k).alias(f"__k{i}") for i, k in enumerate(keys)]).distinct())
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & col(k).eqNullSafe(F.col(f"__k{i}"))
+    return base.join(changed, same, "left_anti").unionByName(changes)
 
 
 def sorted_snapshot(df: DataFrame, keys: Sequence[str], partitions: int | None = None) -> DataFrame:

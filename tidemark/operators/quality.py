@@ -14,6 +14,8 @@ from tidemark.operators.chunking import CHUNK_ID, page_rows
 from tidemark.workspace import materialise
 
 # Up to this many expected names are tested one by one on every file name; the result is the same.
+# Characters of the parts by which names and patterns of a long list are joined.
+GRAM = 4
 MAX_TESTED_NAMES = 256
 
 
@@ -81,14 +83,14 @@ def reconcile_names(
     ``expected`` has ``ord`` and ``pattern``; a null in either is refused, and
     equal ``ord`` is settled by ``pattern``.  A file that contains none of them
     is new: its ``pattern`` is null.  A short list is tested on every name in
-    place; a longer one is matched by joining on parts of the names.
+    place; a longer one is matched by joining on the rarest part of each pattern.
     """
     if not expected.where(F.col("ord").isNull() | F.col("pattern").isNull()).isEmpty():
         raise ValueError("expected names need an ord and a pattern each")
     named = files.select(*[col(k) for k in keep], base_name(col(path)).alias("base_name"))
     if fits(expected, max_tested):
         return _test_each(named, expected)
-    return _join_parts(named, expected)
+    return _join_rarest(named, expected)
 
 
 def _test_each(named: DataFrame, expected: DataFrame) -> DataFrame:
@@ -99,36 +101,57 @@ def _test_each(named: DataFrame, expected: DataFrame) -> DataFrame:
     return named.withColumn("pattern", found)
 
 
-def _join_parts(named: DataFrame, expected: DataFrame) -> DataFrame:
+def _grams(df: DataFrame, text: str) -> DataFrame:
+    """``df`` once for each distinct part of ``GRAM`` characters of ``text``."""
+    places = F.sequence(F.lit(1), F.length(text) - GRAM + 1)
+    parts = F.array_distinct(F.transform(places, lambda at: F.substring(F.col(text), at, F.lit(GRAM))))
+    return df.where(F.length(text) >= GRAM).withColumn("__gram", F.explode(parts))
+
+
+def rarest_grams(names: DataFrame, patterns: DataFrame) -> DataFrame:
+    """``pattern, __gram, __names``: the part of each pattern that the fewest ``base_name`` have, and how many.
+
+    Patterns with a part that no name has are left out: nothing contains them.
+    """
+    own = _grams(patterns.select("pattern"), "pattern")
+    asked = own.groupBy("__gram").agg(F.count(F.lit(1)).alias("__patterns"))
+    # each task folds its names by gram before they are shuffled
+    met = _grams(names, "base_name").join(small_side(asked), "__gram")
+    counts = met.groupBy("__gram", "__patterns").agg(F.count(F.lit(1)).alias("__names"))
+    known = own.join(counts, "__gram", "left")
+    first = F.struct(F.coalesce("__names", F.lit(0).cast("bigint")).alias("n"), F.col("__patterns").alias("p"), F.col("__gram").alias("gram"))
+    least = known.groupBy("pattern").agg(F.min(first).alias("least")).where("least.n > 0")
+    return least.select("pattern", F.col("least.gram").alias("__gram"), F.col("least.n").alias("__names"))
+
+
+def _join_rarest(named: DataFrame, expected: DataFrame) -> DataFrame:
     """Containment as an equi-join.
 
-    A pattern is known by its beginning, as long as the greatest power of two
-    in its length.  Every distinct base name is cut into its parts of those few
-    lengths; where one begins a pattern, the rest of the pattern is compared in
-    place.  So what is joined grows with the names, a few parts for each place,
-    and not with the lengths of the patterns or the product of both lists.
+    Each pattern is known by the one of its parts of ``GRAM`` characters that
+    the fewest names have, whatever beginning or ending it shares with others.
+    Names meet it by that part alone, and the pattern is looked for in place: so
+    a key meets as many names as have its part, which is as few as the pattern
+    allows.  Patterns shorter than a part are known by their beginning.
     """
-    first = expected.groupBy("pattern").agg(F.min("ord").alias("ord"))
-    bits = F.length(F.bin(F.length("pattern").cast("bigint")))
-    known = F.when(F.length("pattern") == 0, 0).otherwise(F.pow(F.lit(2), bits - 1).cast("int"))
-    anchored = first.withColumn("__anchor", F.substring("pattern", F.lit(1), known)).withColumn("__len", known)
-    sizes = sorted(r["__len"] for r in anchored.select("__len").distinct().collect())  # powers of two
-    distinct = named.select("base_name").distinct()
-    places = distinct.withColumn("__len", F.explode(F.lit(sizes).cast("array<int>"))).where(
-        F.col("__len") <= F.length("base_name")
-    )
+    first = materialise(expected.groupBy("pattern").agg(F.min("ord").alias("ord")), "expected-names")
+    distinct = materialise(named.select("base_name").distinct(), "base-names")
+    long = first.where(F.length("pattern") >= GRAM)
+    anchors = materialise(rarest_grams(distinct, long).join(long, "pattern"), "rarest-grams")
+    met = _grams(distinct, "base_name").join(small_side(anchors), "__gram")
+    hits = met.where(F.contains(F.col("base_name"), F.col("pattern"))).select("base_name", "pattern", "ord")
+    hits = hits.unionByName(_short_hits(distinct, first.where(F.length("pattern") < GRAM)))
+    found = hits.groupBy("base_name").agg(F.min_by("pattern", F.struct("ord", "pattern")).alias("pattern"))
+    return named.join(found, "base_name", "left").select(*named.columns, "pattern")
+
+
+def _short_hits(distinct: DataFrame, patterns: DataFrame) -> DataFrame:
+    """``base_name, pattern, ord`` for patterns of fewer than ``GRAM`` characters: all parts of their lengths are joined."""
+    sizes = F.array(*[F.lit(n) for n in range(GRAM)])
+    places = distinct.withColumn("__len", F.explode(sizes)).where(F.col("__len") <= F.length("base_name"))
     last = F.when(F.col("__len") == 0, 1).otherwise(F.length("base_name") - F.col("__len") + 1)
-    parts = places.select("base_name", "__len", F.explode(F.sequence(F.lit(1), last)).alias("__at")).withColumn(
-        "__anchor", F.substring("base_name", F.col("__at"), F.col("__len"))
-    )
-    here = F.substring("base_name", F.col("__at"), F.length("pattern")) == F.col("pattern")
-    hits = (
-        parts.join(small_side(anchored), ["__anchor", "__len"])
-        .where(here)
-        .groupBy("base_name")
-        .agg(F.min_by("pattern", F.struct("ord", "pattern")).alias("pattern"))
-    )
-    return named.join(hits, "base_name", "left").select(*named.columns, "pattern")
+    at = F.sequence(F.lit(1), last)
+    parts = F.array_distinct(F.transform(at, lambda i: F.substring(F.col("base_name"), i, F.col("__len"))))
+    return places.withColumn("pattern", F.explode(parts)).join(small_side(patterns), "pattern").select("base_name", "pattern", "ord")
 
 
 def names_found(reconciled: DataFrame, expected: DataFrame) -> DataFrame:

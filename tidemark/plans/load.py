@@ -34,11 +34,14 @@ class Increment:
 
     ``added`` counts all rows, ``unstamped`` those of them without a watermark
     value.  ``high`` is naive for zoneless timestamps, and in UTC for instants.
+    ``late`` counts rows that came too late for the lookback and were set apart;
+    None if the load was not asked to look for them.
     """
 
     added: int
     high: Mark | None
     unstamped: int = 0
+    late: int | None = None
 
 
 def high_watermark(df: DataFrame, column: str) -> Mark | None:
@@ -95,7 +98,12 @@ def increment_of(
     if low is not None:
         recent = unstamped | (col(column) >= mark(source, column, _before(low, lookback)))
         rows, landed = rows.where(recent), landed.where(recent)
-    names = [c for c in source.columns if "map<" not in source.schema[c].dataType.simpleString()]
+    return not_landed(rows, landed, keys)
+
+
+def not_landed(rows: DataFrame, landed: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``rows`` whose key is not among ``landed``; with a null in the key, those that differ in any value."""
+    names = [c for c in rows.columns if "map<" not in rows.schema[c].dataType.simpleString()]
     no_key = F.lit(False)
     for k in keys:
         no_key = no_key | col(k).isNull()
@@ -108,6 +116,14 @@ def increment_of(
     return asked.join(small_side(known), same, "left_anti").drop("__own")
 
 
+def late_rows(
+    source: DataFrame, landed: DataFrame, column: str, keys: Sequence[str], low: Mark, lookback: timedelta | int = timedelta(0)
+) -> DataFrame:
+    """Rows from before the watermark less the lookback whose key never landed."""
+    before = col(column) < mark(source, column, _before(low, lookback))
+    return not_landed(source.where(before), landed.where(before), keys)
+
+
 def _stored_watermark(spark: SparkSession, path: str, kind: T.DataType) -> Mark | None:
     """The furthest mark any load has stored; time stamps are kept as text that sorts like time."""
     if not path_exists(spark, f"{path}/{_LOG}"):
@@ -132,6 +148,7 @@ def load_increment(
     keys: Sequence[str],
     lookback: timedelta | int = timedelta(0),
     day_column: str | None = None,
+    late_path: str | None = None,
 ) -> Increment:
     """Append what is new in ``source`` to the table at ``path``.
 
@@ -142,26 +159,31 @@ def load_increment(
     under the day of their timestamp, whichever load they came with, and only
     the days in reach are read again.  Rows without a watermark value are landed
     too, once for each key, and counted.
+
+    With ``late_path`` rows that come too late for the lookback and never landed
+    are appended to the table there, each once, and counted.  With
+    ``day_column`` only the days that such rows claim are read for that.
     """
     spark = source.sparkSession
     kind = source.schema[column].dataType
     if day_column and isinstance(kind, T.NumericType):
         raise TypeError(f"{column} is a number and has no day")
-    landed, low = None, None
+    landed, low, everything = None, None, None
     if path_exists(spark, path):
-        landed = spark.read.schema(source.schema).parquet(path)
+        landed = everything = spark.read.schema(source.schema).parquet(path)
         stored = _stored_watermark(spark, path, kind)
         low = high_watermark(landed, column) if stored is None else stored
         if day_column and low is not None:
             # One day more, should the session's zone have been another one then.
             first_day = F.date_sub(mark(source, column, _before(low, lookback)).cast("date"), 1)
             columns = T.StructType([*source.schema.fields, T.StructField(day_column, T.DateType())])
-            landed = spark.read.schema(columns).parquet(path)
+            landed = everything = spark.read.schema(columns).parquet(path)
             landed = landed.where(col(day_column).isNull() | (col(day_column) >= first_day)).drop(day_column)
     reach = source
     if low is not None:
         reach = source.where(col(column) >= mark(source, column, _before(low, lookback)))
     high = high_watermark(reach, column)
+    late = None if late_path is None else _set_late_apart(source, everything, late_path, column, keys, low, lookback, day_column)
     written = Observation()
     new = increment_of(source, landed, column, keys, low, high, lookback)
     if day_column:
@@ -172,4 +194,31 @@ def load_increment(
     if high is not None:
         _store_watermark(spark, path, reached)
     counted = written.get
-    return Increment(counted["n"], reached, counted["unstamped"])
+    return Increment(counted["n"], reached, counted["unstamped"], late)
+
+
+def _set_late_apart(
+    source: DataFrame,
+    landed: DataFrame | None,
+    late_path: str,
+    column: str,
+    keys: Sequence[str],
+    low: Mark | None,
+    lookback: timedelta | int,
+    day_column: str | None,
+) -> int:
+    if landed is None or low is None:
+        return 0
+    spark = source.sparkSession
+    if day_column:
+        old = source.where(col(column) < mark(source, column, _before(low, lookback)))
+        span = old.agg(F.min(col(column).cast("date")), F.max(col(column).cast("date"))).first()
+        # one day more on either side, should the session's zone have been another one then
+        reach = col(day_column).between(F.date_sub(F.lit(span[0]).cast("date"), 1), F.date_add(F.lit(span[1]).cast("date"), 1))
+        landed = landed.where(reach).drop(day_column)
+    late = late_rows(source, landed, column, keys, low, lookback)
+    if path_exists(spark, late_path):
+        late = not_landed(late, spark.read.schema(source.schema).parquet(late_path), keys)
+    written = Observation()
+    late.observe(written, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(late_path)
+    return written.get["n"]

@@ -515,6 +515,26 @@ def name_reconcile_long_list(spark, sf_dir):
     return quality.reconcile_names(pages, "url", endings.select(place, "pattern"), keep=["page_id"])
 
 
+# The first and the last six characters of every page's name; their places repeat and are settled by the text.
+_PARTS = (
+    "(SELECT DISTINCT -ascii(substr(p, 3, 1)) AS ord, p AS pattern FROM"
+    f" (SELECT unnest([left(base_name, 6), right(base_name, 6)]) AS p FROM {_BASE_NAMES} b))"
+)
+
+
+@query(
+    f"SELECT f.page_id, f.base_name, e.pattern FROM {_BASE_NAMES} f LEFT JOIN {_PARTS} e ON contains(f.base_name, e.pattern)"
+    " QUALIFY row_number() OVER (PARTITION BY f.page_id ORDER BY e.ord, e.pattern) = 1"
+)
+def name_reconcile_shared_parts(spark, sf_dir):
+    """A long list in which many patterns share their beginning or their ending."""
+    pages = _table(spark, sf_dir, "pages")
+    name = scalars.base_name(F.col("url"))
+    parts = pages.select(F.explode(F.array(F.left(name, F.lit(6)), F.right(name, F.lit(6)))).alias("pattern")).distinct()
+    place = -F.ascii(F.substring("pattern", 3, 1))
+    return quality.reconcile_names(pages, "url", parts.select(place.alias("ord"), "pattern"), keep=["page_id"], max_tested=0)
+
+
 @query(_FOUND_NAMES)
 def name_reconcile_summary(spark, sf_dir):
     return quality.names_found(name_reconcile(spark, sf_dir), _expected_names(spark))
@@ -826,6 +846,57 @@ def stream_counts(spark, sf_dir):
     return spark.createDataFrame(list(enumerate(counts, 1)), "run int, n bigint")
 
 
+_DROPS = ("event_id % 3 <> 0", "event_id % 2 = 0", "true")
+
+
+def _stream_drops(spark, sf_dir):
+    """Three drops that share events, each landed by a run of its own; the last run finds nothing new."""
+    events = _table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
+    drops, path, checkpoint = (run_dir(spark, p) for p in ("drops", "streamed-once", "stream-checkpoint"))
+    for i, part in enumerate((*_DROPS, None)):
+        if part:
+            events.where(part).write.parquet(f"{drops}/drop-{i}")
+        stream = increments.file_stream(spark, f"{drops}/*", events.schema)
+        increments.append_once(stream, path, checkpoint, ["event_id"], "ts")
+    return path
+
+
+@query("SELECT event_id, ts, user_id, event_type FROM events")
+def stream_once(spark, sf_dir):
+    path = _stream_drops(spark, sf_dir)
+    return increments.landed_rows(spark, path).select("event_id", "ts", "user_id", "event_type")
+
+
+@query(
+    "WITH e AS (SELECT event_id AS id, ts, CASE WHEN event_id % 3 <> 0 THEN 0 WHEN event_id % 2 = 0 THEN 1 ELSE 2 END AS load"
+    " FROM events), o AS (SELECT 0 AS load, COUNT(*) FILTER (WHERE id % 3 <> 0) AS offered FROM e UNION ALL"
+    " SELECT 1, COUNT(*) FILTER (WHERE id % 2 = 0) FROM e UNION ALL SELECT 2, COUNT(*) FROM e)"
+    " SELECT o.load::BIGINT AS load, offered, COUNT(*) AS landed, offered - COUNT(*) AS repeated,"
+    " COUNT(*) FILTER (WHERE e.ts < (SELECT MAX(p.ts) FROM e p WHERE p.load < o.load)) AS late"
+    " FROM o JOIN e ON e.load = o.load GROUP BY o.load, offered"
+)
+def stream_loads(spark, sf_dir):
+    path = _stream_drops(spark, sf_dir)
+    return increments.loads_of(spark, path).select("load", "offered", "landed", "repeated", "late")
+
+
+@query(
+    "SELECT event_id, ts, event_id % 7 = 0 AND ts < TIMESTAMP '2024-01-13 00:00:00' AS late FROM events"
+)
+def increment_late_rows(spark, sf_dir):
+    """Rows held back from the first load: those beyond the lookback are set apart, once, the others land."""
+    events = _table(spark, sf_dir, "events").select("event_id", "ts")
+    path, late_path = run_dir(spark, "increments"), run_dir(spark, "late-rows")
+    mark = spark.createDataFrame([(-1, _CUT)], "event_id bigint, ts timestamp_ntz")  # so that the mark is the cut itself
+    first = events.where((F.col("event_id") % 7 != 0) & (F.col("ts") <= load.mark(events, "ts", _CUT)))
+    for arrived in (first.unionByName(mark), events, events):
+        load.load_increment(
+            arrived, path, "ts", ["event_id"], lookback=timedelta(days=7), day_column="event_date", late_path=late_path
+        )
+    landed = spark.read.parquet(path).where("event_id >= 0").select("event_id", "ts", F.lit(False).alias("late"))
+    return landed.unionByName(spark.read.parquet(late_path).select("event_id", "ts", F.lit(True).alias("late")))
+
+
 def _customers(spark, sf_dir):
     return _table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
 
@@ -868,6 +939,21 @@ def replace_by_key(spark, sf_dir):
     )
 
 
+@query(
+    "WITH b AS (SELECT CASE WHEN c_custkey % 100 = 60 THEN NULL ELSE c_custkey END AS k, c_custkey AS place, c_acctbal AS v FROM customer),"
+    f" c AS (SELECT CASE WHEN c_custkey % 100 = 60 THEN NULL ELSE c_custkey END AS k, c_custkey AS place, {_RAISED} AS v"
+    " FROM customer WHERE c_custkey % 200 IN (40, 60)) SELECT k, place, v FROM b WHERE NOT EXISTS"
+    " (SELECT 1 FROM c WHERE c.k IS NOT DISTINCT FROM b.k) UNION ALL SELECT k, place, v FROM c"
+)
+def replace_by_null_key(spark, sf_dir):
+    """Rows of a null key are replaced like those of any other."""
+    key = F.when(F.col("c_custkey") % 100 != 60, F.col("c_custkey")).alias("k")
+    customers = _table(spark, sf_dir, "customer")
+    place = F.col("c_custkey").alias("place")
+    changed = customers.where("c_custkey % 200 IN (40, 60)").select(key, place, _raised().alias("v"))
+    return history.replace_by_key(customers.select(key, place, F.col("c_acctbal").alias("v")), changed, ["k"])
+
+
 _DIFF = (
     "SELECT COALESCE(a.k, b.k) AS c_custkey, CASE WHEN a.k IS NULL THEN 'insert' WHEN b.k IS NULL THEN 'delete'"
     " WHEN a.v IS DISTINCT FROM b.v THEN 'update' ELSE 'same' END AS op FROM"
