@@ -106,7 +106,7 @@ def test_memo_holds_its_bytes():
         words = [b"%d-%d" % (i, k) for k in range(20)] + [b"often", b"x" * 1000]
         new = memo.unseen(words)
         assert (b"often" in new) == (i == 0)
-        memo.add((w, w) for w in new)
+        memo.add(new, new)
         assert all(memo.known[w] == w for w in words)
         assert len(memo) <= 100 + 2 * 22  # a generation is closed by the batch that fills it
     memo.unseen([])

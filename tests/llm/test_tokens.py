@@ -11,6 +11,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from tidemark.llm import direct_codes, packing, tokens
+from tidemark.llm.memo import ENTRY_BYTES, MEMO_BYTES
 from tidemark.workspace import run_dir
 
 BYTE = public_tokenizers.path("byte_bpe_50k.json")
@@ -73,12 +74,28 @@ def test_long_texts_are_cut_at_safe_places(monkeypatch):
 
 
 def test_forgetting_changes_nothing(monkeypatch):
-    monkeypatch.setattr(tokens, "MEMO_PIECES", 2)
     ours = tokens.Encoder(WORD, lengths=True)
+    ours.memo.limit = 2 * ENTRY_BYTES
     for text in ("a b c d", "c d e f", "a b c d", "e f a d"):
         assert list(ours(iter([text.encode()]))) == [4]
 
 
+@pytest.mark.parametrize("path", [BYTE, WORD, PIECE])
+def test_texts_without_spaces_are_not_kept(path):
+    """20,000 texts of 9 kB, each one piece: what is remembered stays within its bytes."""
+    import resource
+
+    ours = tokens.Encoder(path, lengths=False)
+    text = "".join(chr(0x4E00 + i * 37 % 20000) for i in range(3000)).encode()
+    texts = [text[3 * i :] + text[: 3 * i] for i in range(200)]
+    list(ours(iter(texts)))
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    for _ in range(2 if path == PIECE else 4):
+        list(ours(iter(texts)))
+        assert ours.memo._held <= MEMO_BYTES
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 100_000  # kB
+
+
 @pytest.mark.parametrize("path", [BYTE, WORD])
 def test_pieces_go_to_the_library_together(monkeypatch, path):
     monkeypatch.setattr(tokens, "JOINED_PIECES", 3)
@@ -184,3 +201,23 @@ def test_codes_round_trip(ids):
     assert codes.ids().tolist() == ids
     for place in range(0, len(ids), 97):
         assert codes[place] == ids[place]
+
+
+def test_hot_ids_and_copies_are_dealt_apart(spark, monkeypatch):
+    """A third of all rows share an id and a text, another third an id; order and places stay gapless."""
+    monkeypatch.setattr(direct_codes, "SHARD_IDS", 200)
+    rows = [(7, "the very same text")] * 300 + [(9, f"text {i}") for i in range(300)] + [(i, f"own {i}\n") for i in range(300)]
+    docs = spark.createDataFrame(rows + [(None, "x"), (None, None)], "doc_id bigint, text string").repartition(6)
+    path = run_dir(spark, "test-token-files")
+    direct_codes.write_codes(docs, path, WORD, 1)
+    got = sorted(direct_codes.read_documents(spark, path).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in got[:2]] == [None, None]
+    ids = [r.doc_id for r in got[2:]]
+    assert ids == sorted(ids) and len(got) == 902
+    at = 0
+    for r in got:
+        assert r.start == at
+        at += r.n_tokens
+    assert sorted((r.doc_id or -1, r.ids_crc32) for r in got) == sorted((d or -1, crc(x)) for d, x in encoded(docs))
+    parts = spark.read.parquet(f"{path}/shards").groupBy("part").agg({"n_ids": "sum"}).collect()
+    assert len(parts) > 4 and max(r[1] for r in parts) < 0.4 * at

@@ -106,3 +106,20 @@ def test_nothing_to_learn_from(spark, odd_docs, no_docs):
     for model in (toxicity.fit(odd_docs, labels), toxicity.fit(odd_docs, labels.limit(0)), toxicity.fit(no_docs, some)):
         assert {r.predicted for r in toxicity.toxicity(odd_docs, model).collect()} == {0}
     toxicity.toxicity(odd_docs, toxicity.fit(odd_docs, some)).collect()
+
+
+def test_scores_beside_columns_of_any_case(spark):
+    model = toxicity.Model(["=bad"], [1.0, 1.0, 1.0, -2.0])
+    docs = spark.createDataFrame([(1, "bad bad", "x", "y"), (2, None, "x", None)], "doc_id int, text string, `__TEXT` string, `_score` string")
+    rows = model.score(docs, name="Score").collect()
+    assert [r["__TEXT"] for r in rows] == ["x", "x"]
+    assert rows[0]["Score"] > 0.5 > rows[1]["Score"]
+
+
+def test_counting_remembers_a_fixed_number_of_bytes(monkeypatch):
+    monkeypatch.setattr(toxicity, "MEMO_BYTES", 1000)
+    count = toxicity.Counts(["=bad", "^very"])
+    for i in range(300):
+        word = "".join(chr(97 + int(d)) for d in f"{i:05d}")
+        assert count(f"bad {word} verybad " + "x" * 500)[0] == {0: 1, 1: 1}
+        assert len(count.memo) < 12

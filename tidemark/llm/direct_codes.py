@@ -22,13 +22,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions.ordering import with_position
 from tidemark.functions.sizes import small_side
 from tidemark.llm.frames import id_text, part_bases
-from tidemark.llm.tokens import token_rows
+from tidemark.llm.tokens import BATCH_BYTES, encoder, texts_of
+from tidemark.workspace import materialise
 
 MAGIC = b"TDAC1\0\0\0"
 RANK_BITS = 512
 SHARD_IDS = 1 << 20
+# Ranges of documents for each shuffle partition, and keys sampled to cut one.
+RANGES_PER_PARTITION = 2
+SAMPLES_PER_RANGE = 50
 
 _SHARDS = (
     "part int, shard int, local_start bigint, n_ids bigint, codes binary,"
@@ -108,6 +113,26 @@ class Codes:
         return out
 
 
+_KEYS = ("doc_id", "h", "tie")
+_ENCODED = "doc_id bigint, h bigint, tie bigint, range int"
+
+
+def _range_bounds(keys: DataFrame, n: int) -> tuple[DataFrame, int]:
+    """Key tuples that cut the rows into about ``n`` even ranges, by a sample of ``SAMPLES_PER_RANGE`` for each."""
+    rows = keys.agg(F.count(F.lit(1))).first()[0]
+    sampled = keys.sample(fraction=min(1.0, n * SAMPLES_PER_RANGE / max(1, rows)), seed=11)
+    spread = sampled.repartitionByRange(n, *_KEYS).groupBy(F.spark_partition_id().alias("p"))
+    tops = spread.agg(F.max(F.struct(*_KEYS)).alias("k")).select("k.*")
+    bounds = materialise(tops.distinct(), "range-bounds")
+    return bounds, bounds.count()
+
+
+def _with_ids(rows: pa.RecordBatch, ids: list[bytes], width: int) -> pa.RecordBatch:
+    names = [x.split()[0] for x in _ENCODED.split(", ")]
+    widths = pa.array(np.full(len(ids), width, np.int32))
+    return pa.record_batch([*(rows.column(c) for c in names), pa.array(ids, pa.binary()), widths], [*names, "ids", "width"])
+
+
 def write_codes(
     df: DataFrame,
     path: str,
@@ -120,16 +145,40 @@ def write_codes(
 
     Null ids come first; rows with equal ids follow the hash of their texts.
     Null and empty texts have the end id alone; an empty table gives an empty
-    file set; other columns are not read.  Texts are dealt by ranges of ids, so
-    no task gets a hot source or group, and encoded where they land.
+    file set; other columns are not read.
+
+    Texts are encoded where they are read.  Their ids, about a third as large,
+    are dealt by ranges of the order; ranges are cut by a sample of the keys,
+    and equal rows by a third key that differs for each, so no task gets a hot
+    source, id or group.
     """
-    rows = id_text(df, id_col, text_col)
-    keys = ("doc_id", F.xxhash64("text"))
-    ordered = rows.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    encoded = token_rows(tokenizer, end_id)
+    spark = df.sparkSession
+    text_hash, tie = F.xxhash64("text").alias("h"), F.xxhash64(F.monotonically_increasing_id()).alias("tie")
+    rows = id_text(df, id_col, text_col).select("doc_id", "text", text_hash, tie)
+    ranges = RANGES_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    bounds, n_bounds = _range_bounds(rows.select(*_KEYS), ranges)
+    placed = with_position(rows, _KEYS, bounds, n_bounds, "range")
+
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = encoder(tokenizer, lengths=False)
+        width = np.dtype(model.kind).itemsize
+        end = b"" if end_id is None else end_id.to_bytes(width, "little")
+        try:
+            for batch in batches:
+                first, held, size = 0, [], 0
+                for ids in model(texts_of(batch.column("text"))):
+                    held.append(ids + end)
+                    size += len(ids)
+                    if size >= BATCH_BYTES:
+                        yield _with_ids(batch.slice(first, len(held)), held, width)
+                        first, held, size = first + len(held), [], 0
+                if held:
+                    yield _with_ids(batch.slice(first, len(held)), held, width)
+        finally:
+            model.forget()
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size, part, shard, first = [], 0, 0, 0, 0
+        held, size, part, shard, first = [], 0, None, 0, 0
 
         def put() -> pa.RecordBatch:
             raw, width = b"".join(r[1] for r in held), held[0][2]
@@ -139,19 +188,21 @@ def write_codes(
 
         types = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64())]
         names = [x.split()[0] for x in _SHARDS.split(", ")]
-        columns = ("doc_id", "ids", "width", "n_tokens", "part", "local_start")
-        for batch in encoded(batches):
-            for doc_id, ids, width, n, of, start in zip(*(batch.column(c).to_pylist() for c in columns)):
-                if held and size + n > SHARD_IDS:
+        for batch in batches:
+            for doc_id, ids, width, of in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "ids", "width", "range"))):
+                n = len(ids) // width
+                if held and (of != part or size + n > SHARD_IDS):
                     yield put()
-                    held, size, shard = [], 0, shard + 1
-                if not held:
-                    part, first = of, start
+                    shard, first = (shard + 1, first + size) if of == part else (0, 0)
+                    held, size = [], 0
+                part = of
                 held.append((doc_id, ids, width))
                 size += n
         if held:
             yield put()
 
+    ids = placed.mapInArrow(encoded, f"{_ENCODED}, ids binary, width int")
+    ordered = ids.repartition("range").sortWithinPartitions("range", *_KEYS)
     ordered.mapInArrow(shards, _SHARDS).write.parquet(f"{path}/shards")
     written = df.sparkSession.read.schema(_SHARDS).parquet(f"{path}/shards")
     part_bases(written, "part", "n_ids").write.parquet(f"{path}/parts")

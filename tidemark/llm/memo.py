@@ -31,24 +31,26 @@ class Memo:
     def unseen(self, pieces: Iterable[str | bytes]) -> list[str | bytes]:
         """The pieces whose results must be worked out and given to ``add``."""
         for piece in self._long:
-            self.known.pop(piece, None)
+            if (result := self.known.pop(piece, None)) is not None:
+                self._held -= ENTRY_BYTES + len(piece) + (len(result) if isinstance(result, bytes) else 0)
         self._long = []
         if self._held > self.limit // 2:
             self.known, self._older, self._held = {}, self.known, 0
         new = set(pieces).difference(self.known)
         if self._older:
-            again = new.intersection(self._older)
-            self.add((p, self._older[p]) for p in again)
-            new -= again
+            again = list(new.intersection(self._older))
+            self.add(again, list(map(self._older.__getitem__, again)))
+            new.difference_update(again)
         return list(new)
 
-    def add(self, results: Iterable[tuple[str | bytes, int | bytes]]) -> None:
-        for piece, result in results:
-            self.known[piece] = result
-            if len(piece) > KEY_BYTES:
-                self._long.append(piece)
-            else:
-                self._held += ENTRY_BYTES + len(piece) + (len(result) if isinstance(result, bytes) else 0)
+    def add(self, pieces: list[str | bytes], results: list[int | bytes]) -> None:
+        self.known.update(zip(pieces, results))
+        size = sum(map(len, pieces))
+        if size > KEY_BYTES:
+            self._long += [p for p in pieces if len(p) > KEY_BYTES]
+        self._held += ENTRY_BYTES * len(pieces) + size
+        if results and isinstance(results[0], bytes):
+            self._held += sum(map(len, results))
 
     def clear(self) -> None:
         self.known, self._older, self._long, self._held = {}, {}, [], 0

@@ -33,6 +33,8 @@ BPE = 2
 NORMAL, BYTE, USER_DEFINED = 1, 6, 4
 
 STEP_MEMO = 300_000
+# More than other encoders keep: a chunk that is not remembered costs a search.
+CHUNK_MEMO_BYTES = 192 << 20
 _BREAK = "\0"
 _EACH_BYTE = "tidemark-each-byte"
 codecs.register_error(_EACH_BYTE, lambda e: ("\ufffd" * (e.end - e.start), e.end))
@@ -155,7 +157,7 @@ class Transducer:
     def decode(self, ids: list[int]) -> str:
         """The text of ids; bytes that make up no character become U+FFFD each."""
         raw = b"".join(map(self.output.__getitem__, ids))
-        if self.prefix and raw.startswith(b" "):
+        if self.prefix and raw.startswith(b" ") and ids[0] not in self.bytes:  # a byte is a space of the text's own
             raw = raw[1:]
         return raw.decode(errors=_EACH_BYTE)
 
@@ -164,7 +166,7 @@ class PieceEncoder(Encoder):
     """Encodes texts with a transducer, remembering the parts it has met."""
 
     def __init__(self, path: str) -> None:
-        self._begin(lengths=False)
+        self._begin(lengths=False, memo_bytes=CHUNK_MEMO_BYTES)
         self.transducer = Transducer(path)
         self.cut, self.kind = self.transducer.chunks, "H" if len(self.transducer.output) <= 1 << 16 else "I"
         self._ids = lambda chunks: list(map(self.transducer.encode_chunk, chunks))

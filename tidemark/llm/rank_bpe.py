@@ -230,10 +230,14 @@ class RankBpe:
 
     def _learn(self, pieces: Iterable[bytes]) -> None:
         new = self._memo.unseen(pieces)
+        if self._drops_space:
+            letters = list(filter(_LETTERS.fullmatch, new))  # most pieces are one word as they are
+            self._memo.add(letters, self.words(letters))
+            new = list(set(new).difference(letters))
         split = [self._split(p) for p in new]
         distinct = list(set().union(*split))
         ids = dict(zip(distinct, self.words(distinct)))
-        self._memo.add((p, b"".join([ids[w] for w in words])) for p, words in zip(new, split))
+        self._memo.add(new, [b"".join([ids[w] for w in words]) for words in split])
 
     def _parts(self, text: bytes) -> list[bytes]:
         """A text cut between words into parts of about ``BATCH_BYTES``."""
@@ -295,7 +299,7 @@ def encode(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
     has it by default.  Null and empty texts have no ids (an empty array), a
     null id stays null, repeated rows give a row each, and an empty table gives
     an empty result.  Other columns, whatever their names, are not read.  A text
-    of any length is encoded whole, a megabyte at a time.  Nothing is shuffled,
+    of any length is encoded whole, some megabytes at a time.  Nothing is shuffled,
     and a task keeps at most ``memo.MEMO_BYTES`` of words, until it ends.
     """
 
@@ -307,7 +311,7 @@ def encode(df: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str
                 for ids in model.encode(texts_of(batch.column("text"))):
                     held.append(ids)
                     size += len(ids)
-                    if size >= 4 * BATCH_BYTES:
+                    if size >= BATCH_BYTES:
                         yield _id_batch(doc_ids.slice(first, len(held)), held, model.dtype)
                         held, size, first = [], 0, first + len(held)
                 if held:
@@ -343,7 +347,7 @@ def decode(df: DataFrame, tokenizer: str, id_col: str = "doc_id", ids_col: str =
                 for row in batch.column("ids").slice(start):
                     texts.append(None if not row.is_valid else model.decode(row.values.to_pylist()))
                     size += len(texts[-1] or "")
-                    if size >= 4 * BATCH_BYTES:
+                    if size >= BATCH_BYTES:
                         break
                 done = batch.slice(start, len(texts))
                 yield pa.record_batch([*done.columns, pa.array(texts, pa.string())], ["doc_id", "ids", "text"])

@@ -2,8 +2,10 @@
 
 A text is split at boundaries where the tokenizer can't join what stands on
 either side, so its ids are the ids of the pieces, one after the other.  The
-pieces that a worker has not met lately go to the library in batches of about
-equal bytes; what it answered is remembered up to a fixed number of pieces.
+pieces that a task has not met lately go to the library in batches of about
+equal bytes (plain words of a byte-pair file to ``rank_bpe``, which has the same
+answer sooner); answers are remembered within a fixed number of bytes, and
+forgotten when the task ends.
 """
 
 from __future__ import annotations
@@ -22,14 +24,14 @@ from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
 from tidemark.llm.frames import id_text
+from tidemark.llm.memo import MEMO_BYTES, Memo
 
 # Unicode white space, and the pattern of tokenizers that drop it.
 SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 DROPPED_SPACE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 4 << 20
 JOINED_PIECES = 100
-MEMO_PIECES = 600_000
 
 _PIECES = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]")
 _GAP = re.compile(f"(?<=[^{SPACE}]) (?=[^{SPACE}])")
@@ -113,9 +115,7 @@ class Encoder:
                 config = json.load(f)
             if drops_space(config):
                 self.cut, self.by_bytes = words_of, True
-                parts = config["pre_tokenizer"]["pretokenizers"][1:]
-                bare = config | {"normalizer": None, "pre_tokenizer": {"type": "Sequence", "pretokenizers": parts}}
-                self._plain_ids = self._by(Tokenizer.from_str(json.dumps(bare)))
+                self._plain = self._word_ranks(path)
             else:
                 self.cut = byte_cutter(config)
             added = config.get("added_tokens", ())
@@ -127,15 +127,14 @@ class Encoder:
             size = model.get_vocab_size(with_added_tokens=True)
         self.kind = "H" if size <= 1 << 16 else "I"
 
-    def _begin(self, lengths: bool) -> None:
-        self.memo: dict[str | bytes, int | bytes] = {}
-        self.older: dict[str | bytes, int | bytes] = {}
+    def _begin(self, lengths: bool, memo_bytes: int = MEMO_BYTES) -> None:
+        self.memo = Memo(memo_bytes)
         self.mark: tuple[str, int] | None = None
         self.special: tuple[str, ...] = ()
         self._special_bytes: tuple[bytes, ...] = ()
         self.cut: Callable[[str], list[str]] | Callable[[bytes], list[bytes]] | None = None
         self.by_bytes = False
-        self._plain_ids: Callable[[list[str]], list[list[int]]] | None = None
+        self._plain: Callable[[list[bytes]], list[int | bytes]] | None = None
         self.join = sum if lengths else b"".join
         self._lengths = lengths
 
@@ -166,22 +165,28 @@ class Encoder:
                     yield raw[start : end * width]
                     start = (end + 1) * width
 
+    def _word_ranks(self, path: str) -> Callable[[list[bytes]], list[int | bytes]] | None:
+        from tidemark.llm.rank_bpe import RankBpe  # it cuts texts by what this module knows
+
+        try:
+            model = RankBpe(path)
+        except ValueError:
+            return None
+        width = np.dtype(model.dtype).itemsize
+        return (lambda words: [len(x) // width for x in model.words(words)]) if self._lengths else model.words
+
     def _learn(self, pieces: set[str] | set[bytes]) -> None:
-        """Puts the results of all pieces in ``memo``; what was not asked for lately is forgotten."""
-        if len(self.memo) > MEMO_PIECES:
-            self.memo, self.older = {}, self.memo
-        memo, new = self.memo, pieces.difference(self.memo)
-        if self.older:
-            again = new.intersection(self.older)
-            memo.update((p, self.older[p]) for p in again)
-            new -= again
-        if self._plain_ids is not None:
+        """Puts the results of all pieces in ``memo``."""
+        new = self.memo.unseen(pieces)
+        if self._plain is not None:
             plain = list(filter(_PLAIN.fullmatch, new))
-            memo.update(zip(plain, self._encode_pieces([p.decode() for p in plain], self._plain_ids)))
-            new.difference_update(plain)
-        rest = list(new)
-        texts = [p.decode() for p in rest] if self.by_bytes else rest
-        memo.update(zip(rest, self._encode_pieces(texts, self._ids)))
+            self.memo.add(plain, self._plain(plain))
+            new = list(set(new).difference(plain))
+        texts = [p.decode() for p in new] if self.by_bytes else new
+        self.memo.add(new, list(self._encode_pieces(texts, self._ids)))
+
+    def forget(self) -> None:
+        self.memo.clear()
 
     def _batch(self, texts: list[bytes]) -> list[int | bytes]:
         if not self.by_bytes:
@@ -190,7 +195,7 @@ class Encoder:
             return self._encode(texts)
         cut = [None if self._has_special(t) else self.cut(t) for t in texts]
         self._learn(set().union(*filter(None, cut)))
-        known = self.memo.__getitem__
+        known = self.memo.known.__getitem__
         return [
             self.join(map(known, c)) if c is not None else self._encode([t.decode() if self.by_bytes else t])[0]
             for t, c in zip(texts, cut)
@@ -267,13 +272,16 @@ def token_counts(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = encoder(tokenizer, lengths=True)
-        for batch in batches:
-            text = batch.column("text")
-            n = pa.array(count(texts_of(text)), pa.int64())
-            yield pa.record_batch(
-                [batch.column("doc_id"), pc.cast(pc.binary_length(text), pa.int64()), n, pc.greater(n, limit)],
-                ["doc_id", "n_bytes", "n_tokens", "over_limit"],
-            )
+        try:
+            for batch in batches:
+                text = batch.column("text")
+                n = pa.array(count(texts_of(text)), pa.int64())
+                yield pa.record_batch(
+                    [batch.column("doc_id"), pc.cast(pc.binary_length(text), pa.int64()), n, pc.greater(n, limit)],
+                    ["doc_id", "n_bytes", "n_tokens", "over_limit"],
+                )
+        finally:
+            count.forget()
 
     return id_text(df, id_col, text_col).mapInArrow(
         run, "doc_id bigint, n_bytes bigint, n_tokens bigint, over_limit boolean"
@@ -296,17 +304,20 @@ def token_rows(tokenizer: str, end_id: int | None) -> Callable[[Iterator[pa.Reco
         width = array(encode.kind).itemsize
         end = b"" if end_id is None else end_id.to_bytes(width, "little")
         part, start = TaskContext.get().partitionId(), 0
-        for batch in batches:
-            rows, first = _Rows(batch.column("doc_id"), part, width), 0
-            for ids in encode(texts_of(batch.column("text"))):
-                ids += end
-                rows.add(start, ids)
-                start += len(ids) // width
-                if rows.held >= 4 * BATCH_BYTES:
+        try:
+            for batch in batches:
+                rows, first = _Rows(batch.column("doc_id"), part, width), 0
+                for ids in encode(texts_of(batch.column("text"))):
+                    ids += end
+                    rows.add(start, ids)
+                    start += len(ids) // width
+                    if rows.held >= BATCH_BYTES:
+                        yield rows.take(first)
+                        first += rows.taken
+                if rows.starts:
                     yield rows.take(first)
-                    first += rows.taken
-            if rows.starts:
-                yield rows.take(first)
+        finally:
+            encode.forget()
 
     return run
 

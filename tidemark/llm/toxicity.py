@@ -23,12 +23,12 @@ from xxhash import xxh64_intdigest
 
 from tidemark.functions.ordering import col
 from tidemark.functions.sizes import small_side
-from tidemark.llm.frames import id_text
+from tidemark.llm.frames import id_text, unused_name
+from tidemark.llm.memo import ENTRY_BYTES, KEY_BYTES, MEMO_BYTES
 from tidemark.workspace import materialise
 
 _WORD = re.compile(r"[^\W\d_]+")
 AFFIXES = range(4, 9)
-MEMO_WORDS = 300_000
 
 
 def parts(word: str) -> list[str]:
@@ -43,17 +43,22 @@ class Counts:
     def __init__(self, features: list[str]) -> None:
         self.features = {f: i for i, f in enumerate(features)}
         self.memo: dict[str, tuple[int, ...]] = {}
+        self.held = 0
 
     def __call__(self, text: str) -> tuple[dict[int, int], int]:
         """Counts by number of feature, and the number of words."""
         words = _WORD.findall(text.lower())
-        if len(self.memo) > MEMO_WORDS:
+        if self.held > MEMO_BYTES:
             self.memo.clear()
+            self.held = 0
         known, of, out = self.memo, self.features, {}
         for word, n in Counter(words).items():
             found = known.get(word)
             if found is None:
-                found = known[word] = tuple(of[p] for p in parts(word) if p in of)
+                found = tuple(of[p] for p in parts(word) if p in of)
+                if len(word) <= KEY_BYTES:
+                    known[word] = found
+                    self.held += ENTRY_BYTES + len(word) + 8 * len(found)
             for i in found:
                 out[i] = out.get(i, 0) + n
         return out, len(words)
@@ -130,9 +135,7 @@ class Model:
 
     def score(self, df: DataFrame, text_col: str = "text", name: str = "score") -> DataFrame:
         """``df`` with the score of each row's whole text, 0 to 1; null texts are empty."""
-        text = "__text"
-        while text in df.columns or text == name:
-            text = "_" + text
+        text = unused_name(df.withColumn(name, F.lit(0.0)), "__text")
         model = self
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
