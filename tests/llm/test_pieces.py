@@ -86,3 +86,11 @@ def test_one_path_is_finite():
 
     for word in ("▁tokenization", "▁Donaudampfschiff", "aaaaaaa", "▁▁▁▁▁", "▁x漢y", "ñandú"):
         assert list(paths(word)) == [transducer.path(word)] == [transducer.merged(word)]
+
+
+def test_only_the_escaped_space_is_a_prefix():
+    library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    model = pieces.Transducer(MODEL)
+    word = library.encode("word")
+    for ids in ([35], [35, 35], [35, *word], [*word, 35], word, [word[0], *word], [100, 35]):
+        assert model.decode(ids) == library.decode(ids)

@@ -157,7 +157,7 @@ class Transducer:
     def decode(self, ids: list[int]) -> str:
         """The text of ids; bytes that make up no character become U+FFFD each."""
         raw = b"".join(map(self.output.__getitem__, ids))
-        if self.prefix and raw.startswith(b" ") and ids[0] not in self.bytes:  # a byte is a space of the text's own
+        if self.prefix and raw.startswith(b" ") and ids[0] != self.bytes[0x20]:  # that byte is a space of the text itself
             raw = raw[1:]
         return raw.decode(errors=_EACH_BYTE)
 
