@@ -68,6 +68,30 @@ def code_status(reconciled: DataFrame) -> DataFrame:
     )
 
 
+# Copies of one row that are put out at a time.
+COPIES = 1 << 16
+
+
+def bag_difference(left: DataFrame, right: DataFrame, counted: bool = False) -> DataFrame:
+    """``side`` and the columns of ``left``: each row as often as that side has it more than the other.
+
+    Rows count with their copies, nulls are equal.  Both sides are folded to
+    signed counts before the one shuffle, so a row costs the same however many
+    copies it has; copies are put out at the end, ``COPIES`` at a time.  With
+    ``counted`` there is one row with its number of copies, ``n``, instead.
+    """
+    columns = [col(c) for c in left.columns]
+    signed = left.select(*columns, F.lit(1).alias("__n")).unionByName(right.select(*columns, F.lit(-1).alias("__n")))
+    net = signed.groupBy(*columns).agg(F.sum("__n").alias("__n")).where(F.col("__n") != 0)
+    side = F.when(F.col("__n") > 0, F.lit("left")).otherwise(F.lit("right")).alias("side")
+    rows = net.select(side, *columns, F.abs("__n").alias("__n"))
+    if counted:
+        return rows.withColumnRenamed("__n", "n")
+    blocks = rows.withColumn("__block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(__n - 1) div {COPIES}"))))
+    here = F.least(F.lit(COPIES).cast("bigint"), F.col("__n") - F.col("__block") * COPIES)
+    return blocks.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("bigint"), here))).select("side", *columns)
+
+
 # --- names --------------------------------------------------------------------
 
 

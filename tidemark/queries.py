@@ -515,6 +515,23 @@ def name_reconcile_long_list(spark, sf_dir):
     return quality.reconcile_names(pages, "url", endings.select(place, "pattern"), keep=["page_id"])
 
 
+_FEW, _DEAR = "l_linenumber <= 3", "l_quantity > 20"
+
+
+@query(
+    "WITH a AS (SELECT l_returnflag AS code, l_linestatus AS subcode, l_linenumber AS line FROM lineitem WHERE "
+    f"{_FEW}), b AS (SELECT l_returnflag AS code, l_linestatus AS subcode, l_linenumber AS line FROM lineitem WHERE {_DEAR})"
+    " SELECT 'left' AS side, * FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b) x"
+    " UNION ALL SELECT 'right', * FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a) y"
+)
+def bag_difference(spark, sf_dir):
+    codes = _table(spark, sf_dir, "lineitem").select(
+        F.col("l_returnflag").alias("code"), F.col("l_linestatus").alias("subcode"), F.col("l_linenumber").alias("line"), "l_quantity"
+    )
+    left, right = codes.where("line <= 3"), codes.where(_DEAR)
+    return quality.bag_difference(left.drop("l_quantity"), right.drop("l_quantity"))
+
+
 # The first and the last six characters of every page's name; their places repeat and are settled by the text.
 _PARTS = (
     "(SELECT DISTINCT -ascii(substr(p, 3, 1)) AS ord, p AS pattern FROM"
@@ -620,6 +637,19 @@ def nested_field(spark, sf_dir):
     return _table(spark, sf_dir, "events").select("event_id", k.alias("k"))
 
 
+@query(
+    "SELECT event_id, event_type FROM (SELECT event_id, nullif(event_type, 'error') AS event_type, row_number() OVER"
+    " (PARTITION BY nullif(event_type, 'error') ORDER BY left(md5(event_id::VARCHAR), 15), event_id) AS place FROM events) e"
+    " WHERE place <= 25"
+)
+def stratified_sample(spark, sf_dir):
+    """Twenty-five events of each type, and of those without one, by a hash that SQL has as well."""
+    kind = F.nullif(F.col("event_type"), F.lit("error")).alias("event_type")
+    events = _table(spark, sf_dir, "events").select("event_id", kind)
+    draw = F.conv(F.left(F.md5(F.col("event_id").cast("string")), F.lit(15)), 16, 10).cast("bigint")
+    return lookup.sample_per_group(events, ["event_type"], ["event_id"], 25, draw)
+
+
 @query(
     "SELECT event_type, k, n, first_id, total, high FROM (SELECT event_type, CAST(props ->> '$.k' AS INTEGER) AS k,"
     " COUNT(*) AS n, MIN(event_id) AS first_id, CAST(SUM(event_id) AS BIGINT) AS total, MAX(value) AS high FROM events"
