@@ -162,3 +162,18 @@ def test_masked(spark, texts):
             want += r.text[at:a] + "#"
             at = b
         assert r.m == want + r.text[at:]
+
+
+def test_time_grows_with_a_run_and_not_with_its_square(spark):
+    """One run of 200,000 mixed characters, as an embedded image is."""
+    import time
+
+    rng = np.random.default_rng(8)
+    letters = np.array(list("0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"))
+    run = "".join(rng.choice(letters, 200_000))
+    docs = spark.createDataFrame([(1, f"image {run} end"), (2, "plain words")], "doc_id bigint, text string")
+    secret_scan.scan_secrets(docs.where("doc_id = 2")).collect()  # so that compiling doesn't count
+    start = time.perf_counter()
+    rows = {r.doc_id: r for r in secret_scan.digest(secret_scan.scan_secrets(docs)).collect()}
+    assert time.perf_counter() - start < 30
+    assert set(rows) == {1, 2}

@@ -145,18 +145,38 @@ def _tested(value: Column, alphabet: Column, text_coincidence: float) -> Column:
     sd = F.sqrt((mean - 1) * F.greatest(mean - 2, F.lit(0.0)) / F.greatest(n - 1, F.lit(1.0)))
     p_runs = 2 * _upper_tail(F.abs(F.when(sd > 0, (runs - mean) / sd).otherwise(37.0)))
 
-    x = F.transform(letters, lambda c: F.position(c, alphabet["letters"]).cast("double"))
-    total = lambda y: F.aggregate(y, F.lit(0.0), lambda a, b: a + b)
-    off = F.transform(x, lambda v: v - total(x) / n)
-    return F.struct(p_text.alias("p_text"), p_runs.alias("p_runs"), off.alias("off"), n.alias("n"))
+    return F.struct(p_text.alias("p_text"), p_runs.alias("p_runs"), _serial(value, letters, alphabet["letters"], n).alias("p_serial"), n.alias("n"))
 
 
-def _serial(off: Column, n: Column) -> Column:
-    """The two-sided p-value of the correlation of each element with the next, from their distances to the mean."""
-    total = lambda y: F.aggregate(y, F.lit(0.0), lambda a, b: a + b)
-    spread = total(F.transform(off, lambda v: v * v))
-    along = total(F.transform(off, lambda v, i: F.when(i + 1 < F.size(off), v * off[i + 1]).otherwise(0.0)))
-    return 2 * _upper_tail(F.abs(F.when(spread > 0, (along / spread + 1 / n) * F.sqrt(n)).otherwise(37.0)))
+def _serial(value: Column, letters: Column, order: Column, n: Column) -> Column:
+    """The two-sided p-value of the correlation of each character's place with the next one's.
+
+    Sums of whole numbers, gathered in one pass over the run however long it is,
+    from which the mean is taken off at the end.
+    """
+    none = F.struct(*[F.lit(0.0).alias(c) for c in ("sum", "squares", "along", "last")])
+    sums = F.aggregate(
+        letters,
+        none,
+        lambda a, c: F.transform(
+            F.array(F.position(c, order).cast("double")),
+            lambda v: F.struct(
+                (a["sum"] + v).alias("sum"), (a["squares"] + v * v).alias("squares"),
+                (a["along"] + v * a["last"]).alias("along"), v.alias("last"),
+            ),
+        )[0],
+        lambda a: F.struct(a["sum"].alias("sum"), a["squares"].alias("squares"), a["along"].alias("along"), a["last"].alias("last")),
+    )
+    first = F.position(F.substring(value, 1, 1), order).cast("double")
+
+    def tail(a: Column) -> Column:
+        mean = a["sum"] / n
+        spread = a["squares"] - n * mean * mean
+        along = a["along"] - mean * (2 * a["sum"] - first - a["last"]) + (n - 1) * mean * mean
+        # equal characters leave rounding alone; others at least (n - 1) / n
+        return 2 * _upper_tail(F.abs(F.when(spread > 0.25, (along / spread + 1 / n) * F.sqrt(n)).otherwise(37.0)))
+
+    return F.transform(F.array(sums), tail)[0]  # so that the sums are gathered once
 
 
 def _candidates(text: Column, text_coincidence: float) -> Column:
@@ -174,7 +194,7 @@ def _candidates(text: Column, text_coincidence: float) -> Column:
             e["run"].alias("run"),
             F.least(F.floor(3 * F.log2(e["t"]["n"] / 20 + 1)), F.lit(LENGTH_CLASSES - 1)).cast("int").alias("length_class"),
             F.least(F.floor(-F.log10(e["t"]["p_text"]) * P_BINS_PER_DECADE), F.lit(P_DECADES * P_BINS_PER_DECADE)).cast("int").alias("bin"),
-            F.least(e["t"]["p_runs"], _serial(e["t"]["off"], e["t"]["n"])).alias("p_order"),
+            F.least(e["t"]["p_runs"], e["t"]["p_serial"]).alias("p_order"),
         ),
     )
 
