@@ -221,3 +221,10 @@ def test_documents(request, name):
         got.append((r.doc_id, ",".join(kept)))
         assert sorted({s.split(":")[0] for s in r.spans.split(",") if s}) == [x for x in r.licences.split(",") if x]
     assert sorted(got, key=str) == sorted(want, key=str)
+
+
+@pytest.mark.parametrize("holder", ["x" * 20, "the University of Somewhere and " * 10 + "others", "a" * 2000])
+def test_holders_of_any_length(holder):
+    clause = BSD_NAMES.replace("the copyright holder", holder)
+    assert clause != BSD_NAMES
+    assert names(BSD_TOP + clause + BSD_END) == ["BSD-3-Clause"]

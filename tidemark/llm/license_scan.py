@@ -44,9 +44,9 @@ SENTENCES = {
     "bsd redistribution": r"redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
     "bsd source": r"(?:\(?[1a][.)] ?)?redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer",
     "bsd binary": r"(?:\(?[2b][.)] ?)?redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution",
-    "bsd endorse": r"(?:\(?[3c][.)] ?)?neither the name of .{1,120}? may be used to endorse or promote products derived from this software without specific prior written permission",
-    "bsd warranty": r'this software is provided by .{1,120}? "as is" and any express or implied warranties, including, but not limited to, the implied warranties of merchantability and fitness for a particular purpose are disclaimed',
-    "bsd liability": r"in no event shall .{1,120}? be liable for any direct, indirect, incidental, special, exemplary, or consequential damages",
+    "bsd endorse": r"(?:\(?[3c][.)] ?)?neither the name of (?:(?!neither the name of ).)+? may be used to endorse or promote products derived from this software without specific prior written permission",
+    "bsd warranty": r'this software is provided by (?:(?!this software is provided by ).)+? "as is" and any express or implied warranties, including, but not limited to, the implied warranties of merchantability and fitness for a particular purpose are disclaimed',
+    "bsd liability": r"in no event shall (?:(?!in no event shall ).)+? be liable for any direct, indirect, incidental, special, exemplary, or consequential damages",
     "isc permission": r"permission to use, copy, modify, and(?:/or)? distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies",
     "isc named": r"(?:this (?:file|work|software|project|code) is )?(?:licensed|released|distributed) under (?:the )?(?:terms of )?(?:the )?isc licen[cs]e",
     "gpl named": r"(?:this (?:file|work|software|project|program|code) is )?(?:licensed|released|distributed) under (?:the )?(?:terms of )?(?:the )?gnu (?P<family>(?:lesser |library |affero )?)general public licen[cs]e,? (?:version |v)(?P<version>\d)(?:\.(?P<minor>\d))?(?P<later>,? or (?:\(at your option\) )?any later version)?(?: of the licen[cs]e)?",
