@@ -1,5 +1,7 @@
 """SentencePiece encoding and decoding against the library."""
 
+import random
+import unicodedata
 import zlib
 
 import numpy as np
@@ -10,6 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tidemark.llm import pieces, tokens
+from tidemark.llm.lattice import Lattice
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -41,7 +44,7 @@ def test_null_lists(spark):
     assert got[1] == got[2] == "" and len(got[3]) > 0
 
 
-ALPHABET = " ▁\n\t\0abcehilnorstTE.,;!'019éß漢😀-()<0x>"
+ALPHABET = " ▁\n\t\0abcehilnorstTE.,;!'019éß漢😀-()<0x>²m"
 
 
 def test_texts_alike(library):
@@ -94,3 +97,45 @@ def test_only_the_escaped_space_is_a_prefix():
     word = library.encode("word")
     for ids in ([35], [35, 35], [35, *word], [*word, 35], word, [word[0], *word], [100, 35]):
         assert model.decode(ids) == library.decode(ids)
+
+
+def _random_texts(model, n, seed=11):
+    """Texts of characters of every category, of pieces, and of both."""
+    rng = random.Random(seed)
+    every = [c for c in map(chr, range(1, 0x30000)) if unicodedata.category(c) not in ("Cn", "Cs", "Co")]
+    pieces_ = [p.replace("▁", " ") for p in model.ids]
+    own = sorted({c for p in pieces_ for c in p})
+    kinds = [(own, 25), (pieces_, 8), (every, 15), (list("abcdeinorst .,²m"), 60), ([*own, *".,!?;:²▁\n "], 20)]
+    for _ in range(n):
+        signs, most = rng.choice(kinds)
+        yield "".join(rng.choices(signs, k=rng.randint(1, most)))
+
+
+def test_random_texts_of_all_categories(library):
+    model = pieces.Transducer(MODEL)
+    texts = ["25 m².", "E=mc².", "x².y", *_random_texts(model, 20_000)]
+    encoder = pieces.PieceEncoder(MODEL)
+    assert encoder.lattice is not None
+    got = encoder(iter([t.encode() for t in texts]))
+    wrong = [t for t, ids in zip(texts, got) if np.frombuffer(ids, "<u2").tolist() != library.encode(t)]
+    assert wrong == []
+
+
+def test_lattice_goes_back_where_no_arc_goes_on():
+    """Small made models, ties of scores among them: paths are what merging gives."""
+    rng = random.Random(3)
+    for _ in range(60):
+        texts = {"".join(rng.choices("ab", k=rng.randint(2, 5))) for _ in range(rng.randint(1, 12))}
+        by_length = enumerate(sorted(texts, key=lambda t: (len(t), t)))
+        scores = {t: -float(rng.randint(0, 6) if rng.random() < 0.3 else i) for i, t in by_length}
+        model = pieces.Transducer.__new__(pieces.Transducer)
+        model.scores = scores
+        try:
+            lattice = Lattice(scores, {t: i for i, t in enumerate(scores)})
+        except ValueError:
+            continue
+        words = ["".join(rng.choices("abc", k=rng.randint(0, 14))) for _ in range(60)]
+        trail, depth = lattice.paths(words)
+        for word, row, n in zip(words, trail, depth.tolist()):
+            ends = lattice.size[row[:n]].cumsum().tolist()
+            assert [word[a:b] for a, b in zip([0, *ends], ends)] == model.merged(word)

@@ -7,7 +7,9 @@ one piece to the next weighs nothing if merging the two alone leaves them
 apart, and is infinite if it doesn't: merges left and right of a boundary
 don't depend on each other as long as it stands, so just one path has a finite
 weight, and it is what the merges give.  The search for the shortest path in
-the tropical semiring may thus stop at the first whole path.
+the tropical semiring may thus stop at the first whole path.  ``lattice``
+composes all distinct chunks of a batch at once; the few long ones are searched
+one by one here.
 """
 
 from __future__ import annotations
@@ -19,12 +21,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2
 
 from tidemark.functions.ordering import col
 from tidemark.llm.frames import id_text
+from tidemark.llm.lattice import Lattice
 from tidemark.llm.tokens import Encoder, texts_of
 
 # SentencePiece's escaped space, and its types of models and pieces.
@@ -32,6 +36,8 @@ SPACE = "▁"
 BPE = 2
 NORMAL, BYTE, USER_DEFINED = 1, 6, 4
 
+# Chunks up to this length are composed together.
+LANE_CHARS = 64
 STEP_MEMO = 300_000
 # More than other encoders keep: a chunk that is not remembered costs a search.
 CHUNK_MEMO_BYTES = 192 << 20
@@ -73,9 +79,12 @@ class Transducer:
         pairs = {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)}
         self.spaces_break = all(a == SPACE for a, b in pairs if b == SPACE)
         self.lines_break = not any("\n" in p for p in pairs)
-        closed = {b for a, b in pairs if a.isalpha()}
-        marks = "".join(re.escape(m) for m in ".,!?;:" if m not in closed)
-        self.marks = re.compile(f"[{marks}](?<=[^\\W\\d_][{marks}])") if marks else None
+        # Letters as the pattern below has them, which holds signs such as a raised two.
+        joined = {m: {a for a, b in pairs if b == m and re.match(r"[^\W\d_]", a)} for m in ".,!?;:"}
+        open_marks = [m for m in joined if not any(map(str.isalpha, joined[m]))]
+        marks = "".join(map(re.escape, open_marks))
+        other = "".join(re.escape(a) for a in sorted(set().union(*(joined[m] for m in open_marks))))
+        self.marks = re.compile(f"[{marks}](?<=[^\\W\\d_{other}][{marks}])") if marks else None
 
     def normalise(self, text: str) -> str:
         if self.squeeze:
@@ -169,8 +178,20 @@ class PieceEncoder(Encoder):
         self._begin(lengths=False, memo_bytes=CHUNK_MEMO_BYTES)
         self.transducer = Transducer(path)
         self.cut, self.kind = self.transducer.chunks, "H" if len(self.transducer.output) <= 1 << 16 else "I"
+        try:
+            self.lattice = Lattice(self.transducer.scores, self.transducer.ids)
+        except ValueError:  # merges don't follow from scores alone; chunks are searched one by one
+            self.lattice = None
         self._ids = lambda chunks: list(map(self.transducer.encode_chunk, chunks))
 
+    def _encode(self, texts: list[str]) -> list[int | bytes]:
+        """Chunks of common lengths all at once, longer ones, which would leave the others waiting, one by one."""
+        if self.lattice is None:
+            return super()._encode(texts)
+        short = [t for t in texts if len(t) <= LANE_CHARS]
+        done = iter(self.lattice.encode(short, "<u2" if self.kind == "H" else "<u4", self.transducer.bytes))
+        return [next(done) if len(t) <= LANE_CHARS else super(PieceEncoder, self)._encode([t])[0] for t in texts]
+
     def _cut_long(self, text: bytes) -> Iterator[bytes]:
         parts = super()._cut_long(text) if self.transducer.spaces_break and not self.transducer.squeeze else iter([text])
         yield next(parts)
@@ -187,6 +208,25 @@ def piece_encoder(path: str) -> PieceEncoder:
     return _encoders[path]
 
 
+def _encoded(model: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``doc_id, ids, text`` for batches of ``doc_id, text``, in small batches."""
+    encode = piece_encoder(model)
+    for batch in batches:
+        at, out = 0, []
+        for ids in encode(texts_of(batch.column("text"))):
+            out.append(np.frombuffer(ids, "<u2" if encode.kind == "H" else "<u4").astype(np.int32))
+            if len(out) == 500 or at + len(out) == batch.num_rows:
+                ids_column = pa.array(out, pa.list_(pa.int32()))
+                rows = batch.slice(at, len(out))
+                yield pa.record_batch([rows.column("doc_id"), ids_column, rows.column("text")], ["doc_id", "ids", "text"])
+                at, out = at + len(out), []
+
+
+def _decoded(model: str, ids: pa.Array) -> pa.Array:
+    decode = piece_encoder(model).transducer.decode
+    return pa.array((decode(row.values.to_numpy().tolist()) for row in ids), pa.string())
+
+
 def encode_pieces(df: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, ids`` for every row of ``df``: the ids of its whole text, without begin or end.
 
@@ -196,16 +236,8 @@ def encode_pieces(df: DataFrame, model: str, id_col: str = "doc_id", text_col: s
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = piece_encoder(model)
-        for batch in batches:
-            at, out = 0, []
-            for ids in encode(texts_of(batch.column("text"))):
-                out.append(np.frombuffer(ids, "<u2" if encode.kind == "H" else "<u4").astype(np.int32))
-                if len(out) == 500 or at + len(out) == batch.num_rows:
-                    yield pa.record_batch(
-                        [batch.column("doc_id").slice(at, len(out)), pa.array(out, pa.list_(pa.int32()))], ["doc_id", "ids"]
-                    )
-                    at, out = at + len(out), []
+        for batch in _encoded(model, batches):
+            yield batch.select(["doc_id", "ids"])
 
     return id_text(df, id_col, text_col).mapInArrow(run, "doc_id bigint, ids array<int>")
 
@@ -221,16 +253,14 @@ def decode_pieces(df: DataFrame, model: str, id_col: str = "doc_id", ids_col: st
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decode = piece_encoder(model).transducer.decode
         for batch in batches:
-            texts = [decode(ids.values.to_numpy().tolist()) for ids in batch.column("ids")]
-            yield pa.record_batch([batch.column("doc_id"), pa.array(texts, pa.string())], ["doc_id", "text"])
+            yield pa.record_batch([batch.column("doc_id"), _decoded(model, batch.column("ids"))], ["doc_id", "text"])
 
     return rows.mapInArrow(run, "doc_id bigint, text string")
 
 
 def checked_pieces(df: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, n_tokens, ids_crc32, round_trip`` for every row of ``df``.
+    """``doc_id, n_tokens, ids_crc32, round_trip`` for every row of ``df``, encoded and decoded in one task.
 
     The checksum is over the ids as little-endian unsigned 32-bit numbers;
     ``round_trip`` says whether decoding them gives the text again, which a text
@@ -238,19 +268,12 @@ def checked_pieces(df: DataFrame, model: str, id_col: str = "doc_id", text_col:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = piece_encoder(model)
-        table = encode.transducer.output
-        prefix, kind = encode.transducer.prefix, "<u2" if encode.kind == "H" else "<u4"
-        for batch in batches:
-            n, crcs, same = [], [], []
-            for ids, text in zip(encode(texts_of(batch.column("text"))), texts_of(batch.column("text"))):
-                ids = np.frombuffer(ids, kind)
-                raw = b"".join(map(table.__getitem__, ids.tolist()))
-                n.append(len(ids))
-                crcs.append(zlib.crc32(ids.astype("<u4")))
-                same.append((raw[1:] if prefix else raw) == text)
+        for batch in _encoded(model, batches):
+            ids = batch.column("ids")
+            crcs = [zlib.crc32(row.values.to_numpy().astype("<u4")) for row in ids]
+            same = pc.equal(_decoded(model, ids), batch.column("text").cast(pa.string()))
             yield pa.record_batch(
-                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(crcs, pa.int64()), pa.array(same, pa.bool_())],
+                [batch.column("doc_id"), pc.cast(pc.list_value_length(ids), pa.int64()), pa.array(crcs, pa.int64()), same],
                 ["doc_id", "n_tokens", "ids_crc32", "round_trip"],
             )
 
