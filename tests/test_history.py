@@ -1,4 +1,5 @@
 import datetime as dt
+import itertools
 from decimal import Decimal
 
 import pytest
@@ -287,6 +288,82 @@ def test_closed_rows_outlive_the_versions_that_closed_them(spark, tmp_path, ware
         again.read()
 
 
+LATE = {
+    D1: [(1, "x", 1.0), (2, None, 2.0), (3, "z", None), (4, "w", 4.0), (7, "t", 1.0), (8, None, None)],
+    D2: [(1, "x", 1.0), (2, None, 2.5), (5, "v", 5.0), (6, "u", 1.0), (7, "s", 1.0), (8, None, None)],
+    D3: [(1, "x", 1.0), (2, None, 2.5), (3, "z", None), (6, "u", 2.0), (7, "t", 1.0)],
+}
+
+
+def _plain_history(snapshots):
+    """One version per run of equal rows of a key in consecutive snapshots."""
+    days = sorted(snapshots)
+    states = [{r[0]: r[1:] for r in snapshots[d]} for d in days]
+    out = []
+    for k in {k for state in states for k in state}:
+        for i, state in enumerate(states):
+            if k in state and not (i and states[i - 1].get(k) == state[k]):
+                end = next((days[j] for j in range(i, len(days)) if states[j].get(k) != state[k]), None)
+                out.append((k, *state[k], days[i], end, end is None))
+    return sorted(map(repr, out))
+
+
+def _rows(df):
+    return sorted(map(repr, map(tuple, df.select("k", "a", "b", h.VALID_FROM, h.VALID_TO, h.IS_CURRENT).collect())))
+
+
+def test_snapshots_are_spliced_in_any_order(spark):
+    want = _plain_history(LATE)
+    for order in itertools.permutations(LATE):
+        loaded, history = [], None
+        for d in order:
+            new = snap(spark, LATE[d])
+            later = [x for x in loaded if x > d]
+            if history is None:
+                history = h.open_history(new, day(d))
+            elif later:
+                history = h.splice_history(history, new, ["k"], day(d), day(min(later)))
+            else:
+                history = h.extend_history(history, new, ["k"], day(d))
+            history = spark.createDataFrame(history.collect(), history.schema)
+            loaded.append(d)
+            assert _rows(history) == _plain_history({x: LATE[x] for x in loaded}), (order, d)
+        assert _rows(history) == want
+
+
+def test_a_late_snapshot_needs_keys_and_brings_columns(spark):
+    history = h.extend_history(h.open_history(snap(spark, OLD), day(D1)), snap(spark, NEW), ["k"], day(D3))
+    for bad in ([(1, "x", 1.0), (1, "y", 1.0)], [(None, "x", 1.0)]):
+        with pytest.raises(Exception, match="NotAKey"):
+            h.splice_history(history, snap(spark, bad), ["k"], day(D2), day(D3)).collect()
+    wider = snap(spark, NEW).withColumn("come", F.lit(7))
+    got = h.splice_history(history, wider, ["k"], day(D2), day(D3)).where("k = 1").orderBy(h.VALID_FROM).collect()
+    assert [(r["come"], r[h.VALID_FROM], r[h.VALID_TO]) for r in got] == [(None, D1, D2), (7, D2, D3), (None, D3, None)]
+    empty = h.splice_history(history, snap(spark, []), ["k"], day(D2), day(D3))
+    assert empty.where((F.col(h.VALID_FROM) <= day(D2)) & (F.col(h.VALID_TO).isNull() | (F.col(h.VALID_TO) > day(D2)))).count() == 0
+
+
+@pytest.mark.parametrize("buckets, order", [(0, (D1, D3, D2)), (2, (D3, D2, D1)), (0, (D3, D1, D2))])
+def test_late_loads(spark, tmp_path, warehouse, buckets, order):
+    table = HistoryTable(spark, str(tmp_path / "h"), ["k"], buckets)
+    for d in order:
+        table.load(snap(spark, LATE[d]), day(d))
+        with pytest.raises(h.NotLater):
+            table.load(snap(spark, LATE[d]), day(d))
+    assert _rows(table.read()) == _plain_history(LATE)
+    table.load(snap(spark, LATE[D1]), day(D4))
+    assert _rows(table.read()) == _plain_history({**LATE, D4: LATE[D1]})
+
+
+def test_a_late_load_leaves_earlier_closed_rows_alone(spark, tmp_path):
+    table = HistoryTable(spark, str(tmp_path / "h"), ["k"])
+    versions = [table.load(snap(spark, rows), day(d)) for rows, d in ((OLD, D1), (NEW, D2), (OLD, D4))]
+    table.load(snap(spark, NEW), day(D3))
+    read = {f.split("/closed/")[1].split("/")[0] for f in table.read().inputFiles() if "/closed/" in f}
+    assert versions[1] in read and versions[2] not in read
+    assert _rows(table.read()) == _plain_history({D1: OLD, D2: NEW, D3: NEW, D4: OLD})
+
+
 def _remove(spark, path):
     hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop_path, True)

@@ -235,7 +235,10 @@ class NotLater(ValueError):
 
 
 def require_later(history: DataFrame, as_of: Column) -> None:
-    """Refuse a snapshot that is no later than the last change of ``history``, or dated in another type."""
+    """Refuse a snapshot that is no later than the last change of ``history``, or dated in another type.
+
+    One that arrives late is a matter for ``splice_history``.
+    """
     kind = history.schema[VALID_FROM].dataType
     given = history.select(as_of.alias("as_of")).schema["as_of"].dataType
     if given != kind:
@@ -312,3 +315,89 @@ def extend_history(
     current = next_versions(history.where(F.col(IS_CURRENT)), snapshot, keys, as_of, check_keys)
     closed_before = history.where(~F.col(IS_CURRENT))
     return closed_before.unionByName(current, allowMissingColumns=True)
+
+
+_COVERS, _FOLLOWS, _ARRIVES = "__covers", "__follows", "__arrives"
+_N_COVERS, _N_FOLLOWS, _N_ARRIVES = "__n_covers", "__n_follows", "__n_arrives"
+
+
+def touched_by(since: Column, until: Column) -> Column:
+    """Whether a version can change when a snapshot of ``since`` arrives after the next one, of ``until``.
+
+    No snapshot lies between the two, so a version that holds anywhere between
+    them holds all the time; the one that begins at ``until`` may begin earlier.
+    """
+    lasts = F.col(VALID_TO).isNull() | (F.col(VALID_TO) >= until)
+    return ((F.col(VALID_FROM) < since) & lasts) | (F.col(VALID_FROM) == until)
+
+
+def splice_history(
+    history: DataFrame,
+    snapshot: DataFrame,
+    keys: Sequence[str],
+    as_of: Column,
+    until: Column,
+    check_keys: bool = True,
+) -> DataFrame:
+    """History after a full snapshot that arrives late: the snapshot holds from ``as_of`` to ``until``.
+
+    ``until`` is the date of the next snapshot that was loaded, which is later;
+    no loaded one may lie between or at ``as_of``.  The version that was valid
+    between the two is cut there: it ends at ``as_of`` and goes on at ``until``,
+    with the snapshot's row in between, if that differs.  A row that is what the
+    key has from ``until`` on makes that version begin earlier.  The result is
+    the same in whatever order snapshots arrive; versions out of reach pass
+    through unmoved, the others meet the snapshot in one shuffle.
+    """
+    day = history.schema[VALID_FROM].dataType
+    since, until = as_of.cast(day), until.cast(day)
+    touched = touched_by(since, until)
+    dates = [VALID_FROM, VALID_TO]
+    rows = history.where(touched).drop(IS_CURRENT)
+    dated = snapshot.withColumns({d: F.lit(None).cast(day) for d in dates})
+    rows, dated, names = all_columns(rows, dated, keys)
+    values = [v for v in names if v not in dates]
+    key_columns = [col(k) for k in keys]
+    one = F.struct(_values(rows, values).alias("row"), *dates)
+    none = F.lit(None).cast(rows.select(one.alias("one")).schema["one"].dataType)
+    follows = F.col(VALID_FROM) == until
+
+    def marked(side: DataFrame, which: Sequence[Column], content: Column) -> DataFrame:
+        parts = zip((_COVERS, _FOLLOWS, _ARRIVES), (_N_COVERS, _N_FOLLOWS, _N_ARRIVES), which)
+        columns = [c for name, n, w in parts for c in (F.when(w, content).otherwise(none).alias(name), w.cast("int").alias(n))]
+        return side.select(*key_columns, *columns)
+
+    no, yes = F.lit(False), F.lit(True)
+    before = marked(rows, (~follows, follows, no), one)
+    after = marked(dated, (no, no, yes), F.struct(_values(dated, values).alias("row"), *dates))
+    counts = (_N_COVERS, _N_FOLLOWS, _N_ARRIVES)
+    folded = before.unionByName(after).groupBy(*key_columns).agg(
+        *[F.first(c, ignorenulls=True).alias(c) for c in (_COVERS, _FOLLOWS, _ARRIVES)], *[F.sum(c).alias(c) for c in counts]
+    )
+    if check_keys:
+        refused = _refused(keys, F.greatest(*[F.col(n) for n in counts]) > 1)
+        folded = folded.withColumn(_N_ARRIVES, F.col(_N_ARRIVES) + refused)
+    covered, followed, arrived = (F.col(n) > 0 for n in counts)
+
+    def version(of: str, start: Column, end: Column) -> Column:
+        return F.struct(F.col(of).getField("row").alias("row"), start.alias(VALID_FROM), end.alias(VALID_TO))
+
+    start, end = F.col(_COVERS).getField(VALID_FROM), F.col(_COVERS).getField(VALID_TO)
+    same = covered & arrived & F.col(_COVERS).getField("row").eqNullSafe(F.col(_ARRIVES).getField("row"))
+    joins = arrived & ~same & followed & F.col(_ARRIVES).getField("row").eqNullSafe(F.col(_FOLLOWS).getField("row"))
+    kept = F.when(covered & same, F.array(version(_COVERS, start, end)))
+    cut = F.when(covered & ~same, F.array(version(_COVERS, start, since)))
+    rest = F.when(covered & ~same & (end.isNull() | (end > until)), F.array(version(_COVERS, until, end)))
+    opened = F.when(arrived & ~same & ~joins, F.array(version(_ARRIVES, since, until)))
+    next_start = F.when(joins, since).otherwise(F.col(_FOLLOWS).getField(VALID_FROM))
+    next_one = F.when(followed, F.array(version(_FOLLOWS, next_start, F.col(_FOLLOWS).getField(VALID_TO))))
+    nothing = F.filter(F.array(version(_COVERS, start, end)), lambda _: F.lit(False))
+    versions = F.concat(*[F.coalesce(part, nothing) for part in (kept, cut, opened, rest, next_one)])
+    # The count is read, so that the check of the keys is not dropped with it.
+    each = folded.where(F.col(_N_ARRIVES) >= 0).select(*key_columns, F.explode(versions).alias("__v"))
+    spliced = each.select(
+        *key_columns,
+        *[F.col("__v.row").getField(v).alias(v) for v in values],
+        *[F.col(f"__v.{c}").alias(c) for c in dates],
+    ).withColumn(IS_CURRENT, F.col(VALID_TO).isNull())
+    return history.where(~touched).unionByName(spliced, allowMissingColumns=True)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidemark.functions.ordering import col
-from tidemark.operators.history import IS_CURRENT, VALID_FROM, NotLater, next_versions, open_history
+from tidemark.operators.history import IS_CURRENT, VALID_FROM, NotLater, next_versions, open_history, splice_history
 from tidemark.sinks.published import PublishedTable
 from tidemark.workspace import move, path_exists
 
@@ -27,8 +27,10 @@ class HistoryTable:
     rows it closed into a folder of their own.  The history is the live
     version's current rows and the closed rows of all loads, so a load costs
     what the current snapshot costs however long the history has grown, and
-    versions that are no longer live can be removed.  A load has to be later
-    than the one before it, by the date or time stamp of its own type.  Columns
+    versions that are no longer live can be removed.  Loads are dated by dates
+    or time stamps of one type, no two alike.  One that arrives after a later
+    one is spliced in: it writes the current rows, and the closed rows of loads
+    dated after it once more; those of earlier loads stay as they are.  Columns
     may come and go between loads; they are null where a row knows none.
 
     With ``buckets`` the current rows are kept bucketed by key: a load then
@@ -44,16 +46,20 @@ class HistoryTable:
         return f"{self.table.root}/closed/{version}"
 
     def load(self, snapshot: DataFrame, as_of: Column) -> str:
-        live = self.table.live_version()
+        live, replaced, reaches = self.table.live_version(), [], None
         if live is None:
             versions = open_history(self._bucketed(snapshot), as_of)
-        else:
+        elif (next_load := self._next_load(live, as_of)) is None:
             versions = self.versions_after(live, snapshot, as_of)
+        else:
+            until, replaced, reaches = next_load
+            known = self._with_closed(self._current(live), replaced)
+            versions = splice_history(known, self._bucketed(snapshot), self.keys, as_of, until)
         version, n_rows = self.table.stage(versions, [IS_CURRENT])
         n_closed = self._set_apart(version)
         dated = self.spark.range(1).select(as_of.cast("string")).first()[0]
-        note = json.dumps({"closed": n_closed, "as_of": dated})
-        self.table.flip(version, n_rows - n_closed, note=note)
+        note = {"closed": n_closed, "as_of": dated, "reaches": reaches or dated, "replaces": replaced}
+        self.table.flip(version, n_rows - n_closed, note=json.dumps(note))
         return version
 
     def _set_apart(self, version: str) -> int:
@@ -68,8 +74,9 @@ class HistoryTable:
         return self.spark.read.parquet(self.closed_path(version)).count()
 
     def versions_after(self, live: str, snapshot: DataFrame, as_of: Column) -> DataFrame:
-        """What the next load writes, given the live version."""
-        self._require_later(live, as_of)
+        """What the next load writes, given the live version; it has to be later than all before it."""
+        if self._next_load(live, as_of) is not None:
+            raise NotLater("a later snapshot has been loaded")
         return next_versions(self._current(live), self._bucketed(snapshot), self.keys, as_of)
 
     def _bucketed(self, snapshot: DataFrame) -> DataFrame:
@@ -81,14 +88,36 @@ class HistoryTable:
     def _notes(self) -> dict[str, dict]:
         return {r["version"]: json.loads(r["note"]) for r in self.table.log().select("version", "note").collect()}
 
-    def _require_later(self, live: str, as_of: Column) -> None:
+    def _closed(self, notes: dict[str, dict]) -> list[str]:
+        """The loads whose closed rows count; those that a late one wrote again don't."""
+        replaced = {v for note in notes.values() for v in note.get("replaces", ())}
+        return [v for v, note in notes.items() if note["closed"] and v not in replaced]
+
+    def _next_load(self, live: str, as_of: Column) -> tuple[Column, list[str], str] | None:
+        """For a snapshot that arrives late: the date of the next one, whose closed rows may change, the last date of all.
+
+        None if it is later than all, ``NotLater`` if one of its date was loaded.
+        """
         kind = self.table.columns_of(live)[VALID_FROM].dataType
         one = self.spark.range(1).select(as_of.alias("as_of"))
         if one.schema["as_of"].dataType != kind:
             raise TypeError(f"the history is dated by {kind.simpleString()}, not {one.schema['as_of'].dataType.simpleString()}")
-        last = self._notes()[live]["as_of"]
-        if not one.select(F.col("as_of") > F.lit(last).cast(kind)).first()[0]:
-            raise NotLater(f"the last load was of {last}; a later snapshot is needed")
+        notes = self._notes()
+        loads = self.spark.createDataFrame(
+            [(v, note["as_of"], note.get("reaches", note["as_of"])) for v, note in notes.items()],
+            "version string, of string, reaches string",
+        ).select("version", F.col("of").cast(kind).alias("of"), "reaches", F.col("reaches").cast(kind).alias("to"))
+        last = loads.agg(F.max("of").alias("last"), F.count_if(F.col("of") == as_of).alias("alike")).select(
+            F.col("last").cast("string"), (F.col("last") < as_of).alias("later"), "alike"
+        ).first()
+        if last["later"]:
+            return None
+        if last["alike"]:
+            raise NotLater(f"a snapshot of that date was loaded; the last is of {last['last']}")
+        following = loads.where(F.col("of") > as_of).agg(F.min("of").cast("string")).first()[0]
+        until = F.lit(following).cast(kind)
+        touched = {r["version"] for r in loads.where(F.col("to") >= until).select("version").collect()}
+        return until, [v for v in self._closed(notes) if v in touched], last["last"]
 
     def _current(self, version: str) -> DataFrame:
         return self.table.staged(version).where(F.col(IS_CURRENT))
@@ -105,13 +134,15 @@ class HistoryTable:
 
     def read(self) -> DataFrame:
         """The whole history; a folder of closed rows that is gone is an error, not a shorter history."""
-        current = self.current()
-        with_closed = [v for v, note in self._notes().items() if note["closed"]]
-        gone = [v for v in with_closed if not path_exists(self.spark, self.closed_path(v))]
+        return self._with_closed(self.current(), self._closed(self._notes()))
+
+    def _with_closed(self, current: DataFrame, loads: list[str]) -> DataFrame:
+        """``current`` and the closed rows of the named loads."""
+        gone = [v for v in loads if not path_exists(self.spark, self.closed_path(v))]
         if gone:
             raise LookupError(f"closed rows of {', '.join(sorted(gone))} are missing under {self.table.root}")
-        if not with_closed:
+        if not loads:
             return current
         columns = StructType([f for f in current.schema.fields if f.name != IS_CURRENT])
-        rows = self.spark.read.schema(columns).parquet(*[self.closed_path(v) for v in with_closed])
+        rows = self.spark.read.schema(columns).parquet(*[self.closed_path(v) for v in loads])
         return current.unionByName(rows.withColumn(IS_CURRENT, F.lit(False)))

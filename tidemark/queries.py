@@ -1055,6 +1055,32 @@ def scd2_two_loads_a_day(spark, sf_dir):
     return table.read()
 
 
+_LATE_HISTORY = (
+    "WITH s AS (SELECT c_custkey, c_acctbal AS v, CASE WHEN c_custkey % 50 <> 7 THEN c_acctbal +"
+    " CASE WHEN c_custkey % 3 = 0 THEN 1 ELSE 0 END END AS w, c_acctbal + CASE WHEN c_custkey % 4 = 0 THEN 1 ELSE 0 END AS x"
+    " FROM customer), d AS (SELECT c_custkey, DATE '2024-01-01' AS day, v FROM s UNION ALL"
+    " SELECT c_custkey, DATE '2024-01-11', w FROM s UNION ALL SELECT c_custkey, DATE '2024-01-21', x FROM s),"
+    " c AS (SELECT *, lag(v) OVER k AS before, row_number() OVER k AS i FROM d WINDOW k AS (PARTITION BY c_custkey ORDER BY day)),"
+    " t AS (SELECT c_custkey, v, day, lead(day) OVER (PARTITION BY c_custkey ORDER BY day) AS till FROM c"
+    " WHERE i = 1 OR v IS DISTINCT FROM before)"
+    " SELECT c_custkey, v AS c_acctbal, day AS valid_from, till AS valid_to, till IS NULL AS is_current FROM t WHERE v IS NOT NULL"
+)
+
+
+@query(_LATE_HISTORY)
+def scd2_late_snapshot(spark, sf_dir):
+    """The second of three snapshots arrives last; some customers are missing in it."""
+    customers = _customers(spark, sf_dir)
+    raised = lambda n: (F.col("c_acctbal") + F.when(F.col("c_custkey") % n == 0, 1).otherwise(0)).alias("c_acctbal")
+    second = customers.where("c_custkey % 50 <> 7").select("c_custkey", raised(3))
+    table = HistoryTable(spark, run_dir(spark, "history"), ["c_custkey"])
+    for snapshot, day in (
+        (customers, "2024-01-01"), (customers.select("c_custkey", raised(4)), "2024-01-21"), (second, "2024-01-11")
+    ):
+        table.load(snapshot, F.lit(day).cast("date"))
+    return table.read()
+
+
 _WIDER_DIFF = (
     "SELECT a.c_custkey, CASE WHEN a.c_mktsegment IS NULL THEN 'same' ELSE 'update' END AS op FROM"
     " (SELECT c_custkey, nullif(c_mktsegment, 'BUILDING') AS c_mktsegment FROM customer) a"
