@@ -199,3 +199,11 @@ def test_a_tight_group_is_counted_without_comparing_it(spark, monkeypatch):
     got = [tuple(r) for r in vector_dedup.near_duplicate_vectors(df, 0.93).collect()]
     assert sorted(got) == sorted(plain_groups(rows, 0.93))
     assert met[0] <= 4 * len(points)
+
+
+def test_different_queries_of_one_id_stay_apart(spark):
+    """Python's hash of (-1, ...) equals that of (-2, ...)."""
+    rows = [(0, [-1.0, 0.0]), (0, [-2.0, 0.0]), (1, [1.0, 0.0]), (3, [-3.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = topk_search.exact_top_k(df, F.col("vec_id") == 0, 2, scale=1.0).collect()
+    assert sorted((r["rank"], r["vec_id"], r["score"]) for r in got) == [(1, 3, 3), (1, 3, 6), (2, 1, -2), (2, 1, -1)]
