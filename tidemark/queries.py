@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import scalars
-from tidemark.operators import chunking, history, keys, lookup, quality, stats
+from tidemark.operators import chunking, history, keys, lookup, profiles, quality, stats
 from tidemark.plans import audit, extract, load
 from tidemark.plans.snapshots import HistoryTable, load_snapshot
 from tidemark.sinks import tables
@@ -419,6 +419,30 @@ def null_profile(spark, sf_dir):
     return quality.null_profile(events)
 
 
+_PROFILED = "(SELECT event_id, nullif(event_type, 'error') AS event_type, nullif(user_id, 8) AS user_id FROM events)"
+
+
+@query(" UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, COUNT(*) AS n_rows, COUNT(*) - COUNT({c}) AS n_null,"
+    f" CAST(MIN({c}) AS VARCHAR) AS low, CAST(MAX({c}) AS VARCHAR) AS high FROM {_PROFILED} e"
+    for c in ("event_id", "event_type", "user_id")
+))
+def null_profile_merged(spark, sf_dir):
+    """Events that arrive in two drops, of which the first is written anew: each file is profiled once."""
+    events = _table(spark, sf_dir, "events").select(
+        "event_id",
+        F.nullif(F.col("event_type"), F.lit("error")).alias("event_type"),
+        F.nullif(F.col("user_id"), F.lit(8)).alias("user_id"),
+    )
+    place = run_dir(spark, "profiles")
+    kept = profiles.KeptProfiles(spark, f"{place}/kept", f"{place}/drop", events.schema)
+    early = events.where("event_id % 3 <> 0")
+    for rows, part in ((events, "early"), (early, "early"), (events.where("event_id % 3 = 0"), "late")):
+        rows.write.mode("overwrite").parquet(f"{place}/drop/{part}")
+        kept.update()
+    return kept.merged().drop("n_distinct")
+
+
 @query("SELECT DISTINCT l_returnflag AS code, l_linestatus AS subcode FROM lineitem")
 def distinct_pairs(spark, sf_dir):
     return quality.code_pairs(_table(spark, sf_dir, "lineitem"), "l_returnflag", "l_linestatus")
