@@ -18,7 +18,8 @@ from tidemark.functions import scalars
 from tidemark.operators import chunking, history, keys, lookup, profiles, quality, stats
 from tidemark.plans import audit, extract, load
 from tidemark.plans.snapshots import HistoryTable, load_snapshot
-from tidemark.sinks import tables
+from tidemark.sinks import leases, tables
+from tidemark.sinks.digests import DigestedTable
 from tidemark.sinks.published import PublishedTable
 from tidemark.sources.documents import DocumentSource
 from tidemark.sources.files import FileSource, list_files
@@ -1030,6 +1031,19 @@ def snapshot_diff_by_digest(spark, sf_dir):
     return history.snapshot_diff(old, new, ["c_custkey"], by_digest=True)
 
 
+@query(f"SELECT c_custkey, op FROM ({_DIFF}) d WHERE op <> 'same'")
+def diff_of_versions(spark, sf_dir):
+    """Two published versions compared by their digests, after the versions that nobody holds were removed."""
+    customers = _customers(spark, sf_dir)
+    table = DigestedTable(spark, run_dir(spark, "versions"), ["c_custkey"], buckets=64, fanout=16)
+    table.publish(customers.where("c_custkey % 2 = 0"))
+    old = table.publish(customers)
+    with leases.held(table, old):
+        new = table.publish(_new_customers(spark, sf_dir))
+        leases.clean(table, keep=0)
+    return table.diff(old, new)
+
+
 @query(
     f"SELECT c_custkey, {_RAISED} AS c_acctbal FROM customer WHERE c_custkey % 50 <> 7"
     " UNION ALL SELECT c_custkey + 100000, c_acctbal FROM customer WHERE c_custkey < 5"

@@ -4,7 +4,7 @@ A version is written to a folder of its own, checked, and only then entered in
 a small log of publications, numbered in the order in which they were made.
 Readers follow the last entry, so a load that fails or is still running is never
 seen, and an older version can be made the live one again.  Versions stay in
-place for readers that have already started.
+place for readers that have already started, until ``leases.clean`` removes them.
 """
 
 from __future__ import annotations
@@ -19,7 +19,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidemark.workspace import create_text, file_names, read_text
+from tidemark.sinks.leases import held
+from tidemark.workspace import create_text, file_names, read_text, remove
 
 _LOG_SCHEMA = "number bigint, version string, n_rows bigint, columns string, note string, published_at timestamp"
 _BASE = "_base"
@@ -106,23 +107,24 @@ class PublishedTable:
         what the other one brought would be lost.  Of two flips at once one is
         refused, since both need the same number.
         """
-        landed = self.staged(version).agg(F.count(F.lit(1))).first()[0]
-        if expected_rows is not None and landed != expected_rows:
-            raise PublishRefused(f"{version}: expected {expected_rows} rows, found {landed}")
-        number = self._last_number() + 1
-        live, base = self.live_version(), self._base_of(version) if replaces is None else replaces
-        if (live or "") != base:
-            raise PublishRefused(f"{version} was to replace {base or 'nothing'}, but {live or 'nothing'} is live")
-        entry = {
-            "number": number,
-            "version": version,
-            "n_rows": landed,
-            "columns": self.columns_of(version).json(),
-            "note": note,
-            "published_at": datetime.now(timezone.utc).isoformat(),
-        }
-        if not create_text(self.spark, f"{self._log_path}/{number:012d}.json", json.dumps(entry) + "\n"):
-            raise PublishRefused(f"{version}: another version was published at the same time")
+        with held(self, version):
+            landed = self.staged(version).agg(F.count(F.lit(1))).first()[0]
+            if expected_rows is not None and landed != expected_rows:
+                raise PublishRefused(f"{version}: expected {expected_rows} rows, found {landed}")
+            number = self._last_number() + 1
+            live, base = self.live_version(), self._base_of(version) if replaces is None else replaces
+            if (live or "") != base:
+                raise PublishRefused(f"{version} was to replace {base or 'nothing'}, but {live or 'nothing'} is live")
+            entry = {
+                "number": number,
+                "version": version,
+                "n_rows": landed,
+                "columns": self.columns_of(version).json(),
+                "note": note,
+                "published_at": datetime.now(timezone.utc).isoformat(),
+            }
+            if not create_text(self.spark, f"{self._log_path}/{number:012d}.json", json.dumps(entry) + "\n"):
+                raise PublishRefused(f"{version}: another version was published at the same time")
 
     def publish(
         self,
@@ -135,6 +137,12 @@ class PublishedTable:
         self.flip(version, n_rows if expected_rows is None else expected_rows, note=note)
         return version
 
+    def forget(self, version: str) -> None:
+        """Remove a version's rows; ``leases.clean`` does so for versions that nobody needs."""
+        if self.buckets:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.catalog_name(version)}")
+        remove(self.spark, self.version_path(version))
+
     def _last_number(self) -> int:
         """The number of the last publication, also of one that broke off while it was entered."""
         return max((int(n.removesuffix(".json")) for n in file_names(self.spark, self._log_path) if n.endswith(".json")), default=0)

@@ -65,6 +65,12 @@ def _hadoop(spark: SparkSession, path: str):
     return hadoop_path, hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or a folder and all below it, if it is there."""
+    hadoop_path, fs = _hadoop(spark, path)
+    fs.delete(hadoop_path, True)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether there is a file or folder at ``path``, on whatever filesystem it names."""
     hadoop_path, fs = _hadoop(spark, path)
