@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import scalars
 from tidemark.operators import chunking, history, keys, lookup, profiles, quality, stats
+from tidemark.operators.page_index import PageIndex
 from tidemark.plans import audit, extract, load
 from tidemark.plans.snapshots import HistoryTable, load_snapshot
 from tidemark.sinks import leases, tables
@@ -101,6 +102,20 @@ def page_rows(spark, sf_dir):
     return paged.select("o_orderkey", "_chunk_id")
 
 
+@query(
+    "SELECT o_orderkey, CAST((row_number() OVER (ORDER BY o_orderkey) - 1) // 4000 AS INT) AS _chunk_id"
+    " FROM orders"
+)
+def page_rows_kept_index(spark, sf_dir):
+    """Orders that arrive in two loads, the second of which falls among the first: only its buckets are numbered again."""
+    orders = _table(spark, sf_dir, "orders").select("o_orderkey")
+    late = (F.col("o_orderkey") % 100 == 7) & (F.col("o_orderkey") % 5000 < 500)
+    index = PageIndex(spark, run_dir(spark, "page-index"), ["o_orderkey"], rows_per_bucket=500)
+    index.append(orders.where(~late))
+    index.append(orders.where(late))
+    return index.page_rows(orders, PAGE)
+
+
 @query("SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 100 OFFSET 250")
 def page_offset_fetch(spark, sf_dir):
     orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")

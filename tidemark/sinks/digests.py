@@ -71,9 +71,9 @@ class DigestedTable(PublishedTable):
         layout = json.dumps([fields, self.keys, self.n_buckets, self.fanout])
         written = self._whole(version).groupBy(F.col(BUCKET).alias("node")).agg(_bag_digest(F.col(DIGEST)).alias("digest"))
         parent = F.floor(F.col("node") / self.fanout).cast("int")
-        written.withColumn("parent", parent).coalesce(1).write.parquet(self._tree_path(version, "buckets"))
+        written.withColumn("parent", parent).write.parquet(self._tree_path(version, "buckets"))
         groups = self._level(version, "buckets").groupBy(F.col("parent").alias("__p")).agg(_node_digest().alias("digest"))
-        groups.select(F.col("__p").alias("node"), "digest").coalesce(1).write.parquet(self._tree_path(version, "groups"))
+        groups.select(F.col("__p").alias("node"), "digest").write.parquet(self._tree_path(version, "groups"))
         root = self._level(version, "groups").agg(_node_digest().alias("digest")).withColumn("layout", F.lit(layout))
         root.write.parquet(self._tree_path(version, "root"))
         return version, n_rows
