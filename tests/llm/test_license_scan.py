@@ -228,3 +228,44 @@ def test_holders_of_any_length(holder):
     clause = BSD_NAMES.replace("the copyright holder", holder)
     assert clause != BSD_NAMES
     assert names(BSD_TOP + clause + BSD_END) == ["BSD-3-Clause"]
+
+
+FORMS = {
+    "License: MIT": "MIT",
+    "The MIT License (MIT)": "MIT",
+    "Licensed under MIT OR Apache-2.0": "MIT OR Apache-2.0",
+    'license = "GPL-3.0-or-later"': "GPL-3.0-or-later",
+    '"license": "BSD-3-Clause",': "BSD-3-Clause",
+    "licensed under the GPLv3": "GPL-3.0-only",
+    "licensed under LGPL v2.1 or later": "LGPL-2.1-or-later",
+    "Released under the AGPLv3+.": "AGPL-3.0-or-later",
+    "released under the GNU GPL v2": "GPL-2.0-only",
+    "Distributed under the Boost Software License, Version 1.0.": "BSL-1.0",
+    "GNU GENERAL PUBLIC LICENSE\n  Version 3, 29 June 2007": "GPL-3.0",
+    "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999": "LGPL-2.1",
+    "Apache License\n   Version 2.0, January 2004": "Apache-2.0",
+    "Distributed under MIT": "MIT",
+}
+
+
+@pytest.mark.parametrize("lead", ["", " * "])
+@pytest.mark.parametrize("width", [20, 72, 10**6])
+@pytest.mark.parametrize("text", FORMS)
+def test_common_forms(text, width, lead):
+    words = "Some words. " + " ".join(text.split()) + " and more words"
+    assert names("\n".join(lead + line for line in textwrap.wrap(words, width, break_on_hyphens=False))) == [FORMS[text]]
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["License: see below", "license = None", "License: MIT-style", "a licence: mitigated", "not licensed under MIT", "GPL and MIT are licences",
+     "released under GPL", "The GNU General Public License Version 3", "Er wurde mit ihm distributed under mittens", "licensed under gplv30"],
+)
+def test_what_is_no_statement(text):
+    assert names(text) == []
+
+
+def test_a_title_is_part_of_its_licence():
+    assert names("The MIT License (MIT)\n\nCopyright (c) 2020 X\n\n" + MIT) == ["MIT"]
+    full = "GNU GENERAL PUBLIC LICENSE\nVersion 3, 29 June 2007\n\nCopyright (C) 2007\n\nPreamble\n\n" + FULL["GPL-3.0"]
+    assert names(full) == ["GPL-3.0"]

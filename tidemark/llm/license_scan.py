@@ -8,7 +8,9 @@ matches, so that the whole licence goes before the short notice it contains.
 Covered are notices and short licences of Apache-2.0, MIT, BSD, ISC, GPL, LGPL,
 AGPL, MPL-2.0, CC, CC0, Unlicense and SPDX lines, and, by one of their first
 sentences, the full texts of Apache-2.0, GPL-2 and 3, AGPL-3, LGPL-2.1 and 3,
-MPL-2.0, CC, Boost, zlib, EPL (without its version) and Artistic-2.0.  Texts of
+MPL-2.0, CC, Boost, zlib, EPL (without its version) and Artistic-2.0; also
+titles, short names ("GPLv3"), ``License:`` fields and expressions of common
+SPDX identifiers in prose ("licensed under MIT OR Apache-2.0").  Texts of
 other licences come out with neither a name nor ``unknown``, unless they hold
 sentences of these.
 """
@@ -25,6 +27,20 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.frames import id_text
 
+# Identifiers of the SPDX list that fields and prose are read for.
+SPDX_IDS = (
+    "0BSD", "AGPL-3.0", "AGPL-3.0-only", "AGPL-3.0-or-later", "Apache-2.0", "Artistic-2.0", "BSD-2-Clause", "BSD-3-Clause",
+    "BSD-4-Clause", "BSL-1.0", "CC-BY-3.0", "CC-BY-4.0", "CC-BY-NC-4.0", "CC-BY-NC-ND-4.0", "CC-BY-NC-SA-4.0", "CC-BY-ND-4.0",
+    "CC-BY-SA-3.0", "CC-BY-SA-4.0", "CC0-1.0", "EPL-1.0", "EPL-2.0", "GPL-2.0", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0",
+    "GPL-3.0-only", "GPL-3.0-or-later", "ISC", "LGPL-2.1", "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0", "LGPL-3.0-only",
+    "LGPL-3.0-or-later", "MIT", "MPL-2.0", "Unlicense", "Zlib",
+)
+_CANONICAL = {i.lower(): i for i in SPDX_IDS}
+_ID = "(?:" + "|".join(re.escape(i) for i in sorted(_CANONICAL, key=len, reverse=True)) + ")(?![\\w-])"
+_IDS = rf"(?P<ids>{_ID}(?: (?:or|and) {_ID})*)"
+_UNDER = r"(?:(?:this|the) (?:file|work|software|project|program|code|text) is )?(?:dual[- ])?(?:licensed|released|distributed) under (?:the )?(?:terms of )?(?:the )?"
+_MONTH = r"(?:january|february|march|april|may|june|july|august|september|october|november|december)"
+
 # What licences and notices say, normalised (lower case, single
 # spaces, straight quotes, no end mark), as patterns of phrases.
 SENTENCES = {
@@ -73,6 +89,13 @@ SENTENCES = {
     "epl body": r'the accompanying program is provided under the terms of this eclipse public license \("agreement"\)',
     "artistic body": r"this license establishes the terms under which a given free software package may be copied, modified, distributed, and/or redistributed",
     "bsd advertising": r"(?:\(?[3c][.)] ?)?all advertising materials mentioning features or use of this software must display the following acknowledge?ment",
+    "licence field": rf'licen[cs]e"? ?[:=] ?[\'"]?{_IDS}',
+    "spdx named": rf"{_UNDER}{_IDS}(?: licen[cs]es?)?",
+    "gpl short": rf"{_UNDER}(?:gnu )?(?P<letter>[al]?)gpl,?[ -]?(?:version |v ?)?(?P<version>[23])(?:\.(?P<minor>\d))?(?P<later>\+| or later|,? or (?:\(at your option\) )?any later version)?(?: licen[cs]e)?",
+    "gnu title": rf"gnu (?P<family>(?:lesser |library |affero )?)general public licen[cs]e,? version (?P<version>\d)(?:\.(?P<minor>\d))?, (?:\d{{1,2}} )?{_MONTH} \d{{4}}",
+    "apache title": r"apache licen[cs]e,? version 2\.0, january 2004",
+    "mit title": r"the mit licen[cs]e \((?:mit|expat)\)",
+    "boost named": rf"{_UNDER}boost software licen[cs]e(?:,? (?:version |v ?)?1\.0)?",
 }
 
 _GNU = {"": "GPL", "lesser ": "LGPL", "library ": "LGPL", "affero ": "AGPL"}
@@ -81,6 +104,9 @@ _CC = {"attribution": "by", "noncommercial": "nc", "sharealike": "sa", "noderiva
 
 # Ordered rules: the longest sequences of a family go first.  "?" marks a sentence that may be missing.
 RULES = (
+    ("GNU title", ("gnu title", "gpl 3 body?", "gpl 2 body?", "lgpl 2 body?", "lgpl 3 body?")),
+    ("Apache-2.0", ("apache title", "apache body?")),
+    ("MIT", ("mit title", "mit permission", "mit notice", "mit warranty", "mit liability?")),
     ("Apache-2.0", ("apache licensed", "apache may not", "apache obtain?", "apache unless", "apache see?")),
     ("MIT", ("mit permission", "mit notice", "mit warranty", "mit liability?")),
     ("BSD-4-Clause", ("bsd redistribution", "bsd source", "bsd binary", "bsd advertising", "bsd endorse", "bsd warranty", "bsd liability?")),
@@ -112,12 +138,17 @@ RULES = (
     ("Zlib", ("zlib warranty",)),
     ("EPL", ("epl body",)),
     ("Artistic-2.0", ("artistic body",)),
+    ("SPDX ids", ("licence field",)),
+    ("SPDX ids", ("spdx named",)),
+    ("GNU short", ("gpl short",)),
+    ("MIT", ("mit title",)),
+    ("BSL-1.0", ("boost named",)),
 )
 UNKNOWN = "unknown"
 
 # Every known sentence holds one of these: single words or parts of words, as any white space may stand between words.
-ANCHORS = ("licen", "permission", "redistribut", "copyright", "warrant", "liable", "unencumbered", "reserved", "mozilla", "bsd", "commons", "contributor", "advertising")
-_SHORT = re.compile(r"\b(?:cc0?|mpl)\b")  # anchors too, but parts of many words
+ANCHORS = ("licen", "permission", "redistribut", "copyright", "warrant", "liable", "unencumbered", "reserved", "mozilla", "bsd", "commons", "contributor", "advertising", "released", "distributed")
+_SHORT = re.compile(r"\b(?:cc0?|mpl)\b|gpl")  # anchors too, but parts of many words
 # For each sentence, the words of which its normalised text holds one.
 WORDS = {
     "apache licensed": ("apache",), "apache may not": ("compliance",), "apache obtain": ("obtain",), "apache unless": ("applicable",),
@@ -132,6 +163,8 @@ WORDS = {
     "apache body": ("reproduction",), "gpl 3 body": ("copyleft",), "gpl 2 body": ("freedom",), "lgpl 2 body": ("designated",),
     "lgpl 3 body": ("incorporates",), "mpl body": ("contributor",), "cc words": ("commons",), "boost permission": ("hereby",),
     "zlib warranty": ("as-is",), "epl body": ("eclipse",), "artistic body": ("establishes",), "bsd advertising": ("advertising",),
+    "licence field": ("license", "licence"), "spdx named": ("under",), "gpl short": ("gpl",), "gnu title": ("gnu",),
+    "apache title": ("january",), "mit title": ("mit",), "boost named": ("boost",),
 }
 MAX_SPREAD = 400
 MAX_TAIL = 600
@@ -260,6 +293,13 @@ def _licence(name: str, sentence: str) -> str:
     if name == "GNU":
         family = _GNU[told["family"] + " " if told.get("family") else ""]
         return f"{family}-{told['version']}.{told.get('minor', '0')}-{'or-later' if 'later' in told else 'only'}"
+    if name == "GNU short":
+        later = "or-later" if "later" in told else "only"
+        return f"{told.get('letter', '').upper()}GPL-{told['version']}.{told.get('minor', '0')}-{later}"
+    if name == "GNU title":
+        return f"{_GNU[told['family'] + ' ' if told.get('family') else '']}-{told['version']}.{told.get('minor', '0')}"
+    if name == "SPDX ids":
+        return " ".join(_CANONICAL.get(word, word.upper()) for word in told["ids"].split())
     if name == "GNU-3":
         return f"{_GNU[told['family'] + ' ' if told.get('family') else '']}-3.0"
     if name == "CC":
