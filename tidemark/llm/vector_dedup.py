@@ -25,8 +25,8 @@ from tidemark.workspace import materialise
 
 TREES = 8
 SPILL = 0.05
-LEAF = 256
-LARGEST_LEAF = 1024
+LEAF = 64
+LARGEST_LEAF = 128
 LEVELS = 6
 SAMPLE = 4096
 CHUNK = 512
@@ -73,21 +73,21 @@ def _fit(sample: np.ndarray, jitter: np.ndarray, planes: np.ndarray, spill: floa
     return cuts
 
 
-def _leaves(reps: DataFrame, trees: int, spill: float) -> DataFrame:
-    """``leaf, rep, v`` for every vector, once or more for each tree; no leaf has over ``LARGEST_LEAF``.
+def _leaves(reps: DataFrame, trees: int, spill: float, largest_leaf: int) -> DataFrame:
+    """``leaf, rep, v`` for every vector, once or more for each tree; no leaf has over ``largest_leaf``.
 
     Nodes that are too large are cut by up to ``LEVELS`` levels at a time, at
     quantiles of a sample of about ``SAMPLE`` of their vectors, until none is.
-    Groups that are small from the start need one tree only.
+    A group that is no larger than a leaf is the same leaf in every tree, and is compared once.
     """
     groups = reps.groupBy("grp").agg(F.count(F.lit(1)).alias("n"))
-    tree = F.explode(F.sequence(F.lit(0), F.when(F.col("n") <= LARGEST_LEAF, 0).otherwise(trees - 1)))
+    tree = F.explode(F.sequence(F.lit(0), F.when(F.col("n") <= largest_leaf, 0).otherwise(trees - 1)))
     planted = reps.join(small_side(groups), "grp").select("rep", "v", "grp", tree.alias("tree"))
     open_rows = planted.select("rep", "v", F.xxhash64("grp", "tree").alias("leaf"))
     closed = []
     while True:
         sizes = materialise(open_rows.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")), "leaf-sizes")
-        large = sizes.where(F.col("n") > LARGEST_LEAF)
+        large = sizes.where(F.col("n") > largest_leaf)
         if large.isEmpty():
             closed.append(open_rows.select("leaf", "rep", "v"))
             break
@@ -291,6 +291,7 @@ def near_duplicate_vectors(
     threshold: float = 0.93,
     trees: int = TREES,
     spill: float = SPILL,
+    largest_leaf: int | None = None,
     id_col: str = "vec_id",
     vector_col: str = "embedding",
     label_col: str = "label",
@@ -300,7 +301,9 @@ def near_duplicate_vectors(
     Vectors of one label and length whose cosine, in double precision, is at
     least ``threshold`` are linked.  ``n_links`` counts the other rows linked to
     a row, ``component_id`` is the least id that links lead to, and the row
-    that has it is kept.  Vectors that are null, zero or hold null or non-finite
+    that has it is kept.  Links are looked for in the leaves of ``trees`` trees,
+    which have at most ``largest_leaf`` vectors (``LARGEST_LEAF`` if not given);
+    a share ``spill`` of a node's vectors on either side of its cut goes to both.  Vectors that are null, zero or hold null or non-finite
     components, and those without a label, link with nothing.  Equal vectors
     are compared once and count as often as they come.  Rows with a null id
     link like any other and are not kept if their component has an id; a
@@ -324,7 +327,7 @@ def near_duplicate_vectors(
         .agg(F.count(F.lit(1)).alias("copies"), F.min("vec_id").alias("least")),
         "distinct-vectors",
     )
-    links = _by_group(_leaves(reps.select("grp", "rep", "v"), trees, spill), "leaf", _stars(threshold), "a string, b string")
+    links = _by_group(_leaves(reps.select("grp", "rep", "v"), trees, spill, largest_leaf or LARGEST_LEAF), "leaf", _stars(threshold), "a string, b string")
     roots = components(materialise(links.distinct(), "vector-links"))
     joined = materialise(
         reps.join(roots, reps["rep"] == roots["node"], "left").select(
