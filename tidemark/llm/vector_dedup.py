@@ -25,8 +25,8 @@ from tidemark.workspace import materialise
 
 TREES = 8
 SPILL = 0.05
-LEAF = 64
-LARGEST_LEAF = 128
+LEAF = 256
+LARGEST_LEAF = 1024
 LEVELS = 6
 SAMPLE = 4096
 CHUNK = 512
