@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import history as h
 from tidemark.plans.snapshots import HistoryTable
+from tidemark.queries import QUERIES
 
 D1, D2, D3, D4 = (dt.date(2024, 1, d) for d in (1, 2, 3, 4))
 
@@ -95,6 +96,33 @@ def test_snapshot_without_a_key_is_refused(spark, bad):
             h.extend_history(h.open_history(snap(spark, old), day(D1)), snap(spark, new), ["k"], day(D2)).collect()
 
 
+def test_rows_of_a_key_that_arrives_twice_are_each_compared(spark):
+    old = snap(spark, [(1, "x", 1.0), (2, "y", 0.0), (3, None, 3.0), (4, "q", 4.0)])
+    new = snap(spark, [(1, "x", 1.0), (1, "z", 1.0), (2, "y", -0.0), (2, "y", 0.0), (3, None, 9.0), (5, "n", 5.0), (5, "n", 5.0)])
+    want = [(1, "same"), (1, "update"), (2, "same"), (2, "same"), (3, "update"), (4, "delete"), (5, "insert"), (5, "insert")]
+    for by_digest in (False, True):
+        diff = h.snapshot_diff(old, new, ["k"], by_digest=by_digest, new_repeats=True)
+        assert sorted((r["k"], r["op"]) for r in diff.collect()) == want
+    patched = h.apply_diff(old, diff, new, ["k"])
+    assert sorted(map(str, patched.collect())) == sorted(map(str, new.collect()))
+    with pytest.raises(Exception, match="NotAKey"):
+        h.snapshot_diff(new, old, ["k"], new_repeats=True).collect()
+    with pytest.raises(Exception, match="NotAKey"):
+        h.snapshot_diff(old, snap(spark, [(None, "x", 1.0)]), ["k"], new_repeats=True).collect()
+
+
+@pytest.mark.parametrize("name", ["snapshot_diff", "snapshot_diff_by_digest", "diff_of_versions", "snapshot_patch"])
+def test_customers_with_keys_like_those_that_arrive(spark, tmp_path, name):
+    rows = [(k, float(k)) for k in (*range(8), 57, 60, 100000, 100001, 100007)] + [(100002, 2.0)]
+    spark.createDataFrame(rows, "c_custkey bigint, c_acctbal double").write.parquet(f"{tmp_path}/customer.parquet")
+    balance = dict(rows)
+    new = [(k, v + 100 if k % 20 == 0 else v) for k, v in rows if k % 50 != 7] + [(k + 100000, float(k)) for k in range(5)]
+    ops = [(k, "insert" if k not in balance else "same" if v == balance[k] else "update") for k, v in new]
+    ops += [(k, "delete") for k in balance if k not in dict(new)]
+    want = {"snapshot_patch": new, "diff_of_versions": [o for o in ops if o[1] != "same"]}.get(name, ops)
+    assert sorted(map(tuple, QUERIES[name](spark, str(tmp_path)).collect())) == sorted(want)
+
+
 def test_diff_is_one_shuffle_and_no_other_job(spark, plan_of):
     plan = plan_of(h.snapshot_diff(snap(spark, OLD), snap(spark, NEW), ["k"]), "simple")
     assert plan.count("Exchange") == 1 and "Join" not in plan

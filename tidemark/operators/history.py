@@ -20,6 +20,7 @@ IS_CURRENT = "is_current"
 
 _OLD, _NEW, _SINCE = "__old", "__new", "__since"
 _N_OLD, _N_NEW = "__n_old", "__n_new"
+_VALUE, _N_SAME = "__value", "__n_same"
 
 
 def newest_per_key(
@@ -138,6 +139,33 @@ def _sides(old: DataFrame, new: DataFrame, keys: Sequence[str], check_keys: bool
     return folded.withColumn(_N_OLD, F.col(_N_OLD) + checked)
 
 
+def _ops_of_repeats(old: DataFrame, new: DataFrame, keys: Sequence[str], check_keys: bool) -> DataFrame:
+    """One row per key and row of the new side with ``op``, and one for each key that is gone.
+
+    Copies are folded by key and value, then by key, so a key that arrives very
+    often is counted and not gathered.  With ``check_keys`` a null key, or one
+    that repeats on the old side, fails the job that meets it.
+    """
+    key_columns = [col(k) for k in keys]
+    kind = old.schema[_OLD].dataType
+    before = old.select(*key_columns, F.col(_OLD).alias(_VALUE), F.lit(1).alias(_N_OLD), F.lit(0).alias(_N_NEW))
+    after = new.select(*key_columns, F.col(_NEW).cast(kind).alias(_VALUE), F.lit(0).alias(_N_OLD), F.lit(1).alias(_N_NEW))
+    n_old, n_new, n_same = (F.col(c) for c in (_N_OLD, _N_NEW, _N_SAME))
+    sums = [F.sum(c).alias(c) for c in (_N_OLD, _N_NEW)]
+    values = before.unionByName(after).groupBy(*key_columns, _VALUE).agg(*sums)
+    folded = values.groupBy(*key_columns).agg(*sums, F.sum(F.when(n_old > 0, n_new).otherwise(0)).alias(_N_SAME))
+    if check_keys:
+        folded = folded.withColumn(_N_OLD, n_old + _refused(keys, n_old > 1))
+    times = {
+        "insert": F.when(n_old == 0, n_new).otherwise(0),
+        "delete": F.when(n_new == 0, 1).otherwise(0),
+        "same": n_same,
+        "update": F.when(n_old > 0, n_new - n_same).otherwise(0),
+    }
+    ops = F.concat(*[F.array_repeat(F.lit(op), n.cast("int")) for op, n in times.items()])
+    return folded.select(*key_columns, F.explode(ops).alias("op"))
+
+
 def _one_per_key(df: DataFrame, keys: Sequence[str], mark: str, check_keys: bool) -> DataFrame:
     """``df`` with ``mark`` = 1; with ``check_keys`` the job fails at a null key or one that repeats.
 
@@ -190,6 +218,7 @@ def snapshot_diff(
     compare: Sequence[str] | None = None,
     check_keys: bool = True,
     by_digest: bool = False,
+    new_repeats: bool = False,
 ) -> DataFrame:
     """Keys with ``op``: insert, update, delete or same.
 
@@ -198,12 +227,17 @@ def snapshot_diff(
     that repeats on a side fails the job; switch ``check_keys`` off only where
     the keys are known to be unique.  With ``by_digest`` only the keys and 32
     bytes per row are shuffled, which is what wide tables need.
+
+    With ``new_repeats`` the new side may hold several rows of a key: each is
+    compared with the old row, as an outer join does, and has its own ``op``.
     """
     old, new, values = all_columns(old, new, keys)
     values = list(compare) if compare is not None else values
     content = row_digest if by_digest else _values
     before = old.select(*[col(k) for k in keys], content(old, values).alias(_OLD))
     after = new.select(*[col(k) for k in keys], content(new, values).alias(_NEW))
+    if new_repeats:
+        return _ops_of_repeats(before, after, keys, check_keys)
     op = (
         F.when(F.col(_N_OLD) == 0, "insert")
         .when(F.col(_N_NEW) == 0, "delete")
@@ -214,11 +248,19 @@ def snapshot_diff(
 
 
 def apply_diff(old: DataFrame, diff: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The old snapshot brought up to date by a diff against ``new``."""
+    """The old snapshot brought up to date by a diff against ``new``.
+
+    A key with several rows in the diff has several in ``new``, which all take
+    the place of the old one, whether they differ from it or not.
+    """
     old, new, _ = all_columns(old, new, keys)
-    touched = materialise(diff.where(F.col("op") != "same"), "diff")
-    gone = small_side(touched.select(*[col(k) for k in keys]))
-    arriving = small_side(touched.where(F.col("op") != "delete").select(*[col(k) for k in keys]))
+    key_columns = [col(k) for k in keys]
+    per_key = diff.groupBy(*key_columns).agg(
+        F.count_if(F.col("op") != "same").alias("changed"), F.count_if(F.col("op") != "delete").alias("arriving")
+    )
+    touched = materialise(per_key.where((F.col("changed") > 0) | (F.col("arriving") > 1)), "diff")
+    gone = small_side(touched.select(*key_columns))
+    arriving = small_side(touched.where(F.col("arriving") > 0).select(*key_columns))
     kept = old.join(gone, list(keys), "left_anti")
     return kept.unionByName(new.join(arriving, list(keys), "left_semi").select(*old.columns))
 
