@@ -116,20 +116,20 @@ class DigestedTable(PublishedTable):
             return []
         return self._differing(old, new, "buckets", self._differing(old, new, "groups"))
 
-    def diff(self, old: str, new: str, check_keys: bool = True) -> DataFrame:
+    def diff(self, old: str, new: str, check_keys: bool = True, new_repeats: bool = False) -> DataFrame:
         """The keys whose rows differ, with ``op``: insert, update or delete from ``old`` to ``new``.
 
         Of the buckets that differ, keys and digests are read and folded in one
         shuffle.  A null key, or one that repeats, fails the job that meets it in
-        such a bucket, unless ``check_keys`` is off.  Versions that were not
+        such a bucket, unless ``check_keys`` is off; with ``new_repeats`` those of
+        ``new`` may repeat, and each row is compared.  Versions that were not
         built alike (other columns, keys or buckets) are compared whole.
         """
+        checks = {"check_keys": check_keys, "new_repeats": new_repeats}
         buckets = self.changed_buckets(old, new)
         if buckets is None:
-            whole = history.snapshot_diff(
-                self.staged(old), self.staged(new), self.keys, check_keys=check_keys, by_digest=True
-            )
+            whole = history.snapshot_diff(self.staged(old), self.staged(new), self.keys, by_digest=True, **checks)
             return whole.where(F.col("op") != "same")
         read = [col(k) for k in self.keys] + [F.col(DIGEST)]
         before, after = (self._whole(v).where(F.col(BUCKET).isin(buckets)).select(*read) for v in (old, new))
-        return history.snapshot_diff(before, after, self.keys, check_keys=check_keys).where(F.col("op") != "same")
+        return history.snapshot_diff(before, after, self.keys, **checks).where(F.col("op") != "same")
