@@ -79,3 +79,13 @@ def test_stands_in_any_time_zone(spark):
             assert r["p"] == sum(str(t)[:16] <= r["k"][:16] for t in times)
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_a_key_is_computed_once_for_all_steps(spark):
+    bounds = spark.range(9).select(F.xxhash64("id").alias("k"), F.nullif("id", F.lit(3)).alias("l"))
+    df = spark.range(50).select(F.xxhash64("id").alias("k"), F.col("id").alias("l"))
+    placed = o.with_position(df, ["k", "l"], bounds, 9, "at")
+    plan = placed._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("<= lambda ") == plan.count("<= ") > 0
+    below = [tuple(b) for b in bounds.collect()]
+    assert [r["at"] for r in placed.collect()] == [sum((b[0], -1 if b[1] is None else b[1]) <= (r["k"], r["l"]) for b in below) for r in df.collect()]
