@@ -36,6 +36,7 @@ JOINED_PIECES = 100
 _PIECES = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]")
 _GAP = re.compile(f"(?<=[^{SPACE}]) (?=[^{SPACE}])")
 _STOP = re.compile(rb"[.,](?<=[a-z][.,])")
+_IS_SPACE = np.isin(np.arange(256), list(b" \t\n\r\x0b\x0c"))
 # Words of a to z and the small letters of Latin-1, which lower-casing, NFC and splitting leave as they are.
 _PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
 
@@ -50,6 +51,28 @@ def words_of(text: bytes) -> list[bytes]:
     return _STOP.sub(rb" \g<0>", text.lower()).split()  # A-Z only, whatever may follow them
 
 
+def words_in(texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
+    """``words_of`` of all texts, one after the other; and the place of each text's first word, and the end."""
+    raw = np.frombuffer(b"\n".join(texts).lower(), np.uint8)
+    kept, letter = ~_IS_SPACE[raw], raw - ord("a") < 26  # unsigned: what is less than a wraps around
+    begins = kept.copy()
+    begins[1:] &= ~kept[:-1] | ((raw[1:] == ord(".")) | (raw[1:] == ord(","))) & letter[:-1]
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    firsts = np.searchsorted(np.flatnonzero(begins), np.append(0, (sizes + 1).cumsum()))
+    chars = raw[kept]
+    places = np.append(np.flatnonzero(begins[kept]), len(chars))
+    buffers = [None, pa.py_buffer(places), pa.py_buffer(chars)]
+    return pa.Array.from_buffers(pa.large_binary(), len(places) - 1, buffers), firsts
+
+
+def _values(column: pa.LargeBinaryArray, firsts: np.ndarray | slice = slice(None)) -> list[bytes]:
+    """The values of a column that has no nulls and begins with its buffers; from each of ``firsts`` to the next as one."""
+    _, offsets, raw = column.buffers()
+    ends = np.frombuffer(offsets, np.int64, len(column) + 1)[firsts].tolist()
+    raw = raw.to_pybytes() if raw is not None else b""
+    return [raw[a:b] for a, b in zip(ends, ends[1:])]
+
+
 def drops_space(config: dict) -> bool:
     """Whether the file lower-cases, then drops white space by the pattern that is known here."""
     parts = (config.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
@@ -175,7 +198,7 @@ class Encoder:
         width = np.dtype(model.dtype).itemsize
         return (lambda words: [len(x) // width for x in model.words(words)]) if self._lengths else model.words
 
-    def _learn(self, pieces: set[str] | set[bytes]) -> None:
+    def _learn(self, pieces: set[str] | list[bytes]) -> None:
         """Puts the results of all pieces in ``memo``."""
         new = self.memo.unseen(pieces)
         if self._plain is not None:
@@ -189,18 +212,35 @@ class Encoder:
         self.memo.clear()
 
     def _batch(self, texts: list[bytes]) -> list[int | bytes]:
-        if not self.by_bytes:
-            texts = [t.decode() for t in texts]
+        if self.by_bytes:
+            return self._batch_of_words(texts)
+        texts = [t.decode() for t in texts]
         if self.cut is None:
             return self._encode(texts)
         cut = [None if self._has_special(t) else self.cut(t) for t in texts]
         self._learn(set().union(*filter(None, cut)))
         known = self.memo.known.__getitem__
         return [
-            self.join(map(known, c)) if c is not None else self._encode([t.decode() if self.by_bytes else t])[0]
+            self.join(map(known, c)) if c is not None else self._encode([t])[0]
             for t, c in zip(texts, cut)
         ]
 
+    def _batch_of_words(self, texts: list[bytes]) -> list[int | bytes]:
+        """Each distinct word is looked up once; Arrow finds them and puts their results together."""
+        whole = [self._has_special(t) for t in texts]
+        words, firsts = words_in([b"" if w else t for w, t in zip(whole, texts)])
+        coded = words.dictionary_encode()
+        distinct = _values(coded.dictionary)
+        self._learn(distinct)
+        results = list(map(self.memo.known.__getitem__, distinct))
+        if self._lengths:
+            ends = np.append(0, np.array(results, np.int64)[coded.indices.to_numpy()].cumsum())[firsts]
+            done = np.diff(ends).tolist()
+        else:
+            ids = pa.array(results, pa.large_binary()).take(coded.indices)
+            done = _values(ids, firsts)
+        return [self._encode([t.decode()])[0] if w else d for w, t, d in zip(whole, texts, done)]
+
     def _has_special(self, text: str | bytes) -> bool:
         """Whether a special string may stand in the text, in any case of its letters."""
         low = text.lower()
