@@ -8,6 +8,7 @@ import xxhash
 
 from tidemark.llm import simhash
 from tidemark.llm.components import components
+from tidemark.workspace import materialise
 
 
 def plain_fingerprint(text, k=4):
@@ -71,3 +72,10 @@ def test_components(spark):
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
     assert got == {**{i: 0 for i in range(1, 41)}, 100: 90, 95: 90, 201: 200}
     assert components(spark.createDataFrame([], "a bigint, b bigint")).collect() == []
+
+
+def test_keys_are_merged_with_their_counts(spark, plan_of):
+    """The keys of few fingerprints look small, but there are 35 of each: neither side may go to the driver."""
+    distinct = materialise(spark.createDataFrame([(i * 7919,) for i in range(50)], "bits bigint"), "test")
+    plan = plan_of(simhash.close_links(distinct, 4, 7), "simple")
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan

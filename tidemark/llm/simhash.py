@@ -113,7 +113,9 @@ def close_links(distinct: DataFrame, distance: int, blocks: int) -> DataFrame:
     has are dropped by a count; what shares a key is compared in groups of
     at most about ``2 * CHUNK``: a larger key is dealt into chunks and every
     pair of chunks is a group, so none is left out.  A group puts out no more
-    links than it has rows, whatever the number of close pairs.
+    links than it has rows, whatever the number of close pairs.  Both sides of
+    the join of keys to their counts have a row per fingerprint and mask, which
+    Spark takes for one per fingerprint: so it is told to merge them.
     """
     masks = F.array(*[F.lit(m) for m in block_masks(blocks, distance)])
     keyed = distinct.select("bits", F.posexplode(masks).alias("which", "mask")).select(
@@ -123,7 +125,7 @@ def close_links(distinct: DataFrame, distance: int, blocks: int) -> DataFrame:
     chunks = hot_chunks(F.col("n"), CHUNK)
     mine = F.pmod(F.xxhash64("bits", F.lit(1)), chunks).cast("int")
     members = (
-        keyed.join(shared, "key")
+        keyed.join(shared.hint("merge"), "key")
         .select("key", "bits", mine.alias("mine"), F.explode(F.sequence(F.lit(0), chunks - 1)).alias("other"))
         .select("bits", F.xxhash64("key", F.least("mine", "other"), F.greatest("mine", "other")).alias("grp"))
     )
