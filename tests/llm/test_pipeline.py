@@ -99,3 +99,15 @@ def test_nothing_is_lost_in_packing(spark, documents):
     packed = packing.pack(documents, corpus_pipeline.public_tokenizers.path("word_bpe_49k.json"))
     n = packed.pieces().groupBy("doc_id").agg(F.sum("length").alias("n"), F.first("doc_tokens").alias("m"))
     assert n.where("n != m").count() == 0 and n.count() == documents.count()
+
+
+def test_no_keys_of_fingerprints_go_to_the_driver(spark, sf_dir, documents, plan_of, monkeypatch):
+    plans, links = [], simhash.close_links
+
+    def seen(*args):
+        plans.append(plan_of(links(*args), "simple"))
+        return links(*args)
+
+    monkeypatch.setattr(simhash, "close_links", seen)
+    corpus_pipeline.drop_near_copies(spark, documents.limit(100), sf_dir)
+    assert len(plans) == 1 and "SortMergeJoin" in plans[0] and "Broadcast" not in plans[0]
