@@ -163,6 +163,75 @@ def test_forest_finds_links(spark, monkeypatch):
     assert sum(got[i] == want[i] for i in want) >= 0.95 * len(want)
 
 
+@pytest.mark.parametrize("forest_bytes", [1, 1 << 26])
+def test_vectors_go_down_the_trees_where_they_are(spark, monkeypatch, forest_bytes):
+    """No table that is written has a row for each tree, however many there are and however many are cut at once."""
+    monkeypatch.setattr(vector_dedup, "FOREST_BYTES", forest_bytes)
+    monkeypatch.setattr(vector_dedup, "LEAF", 16)
+    monkeypatch.setattr(vector_dedup, "LEVELS", 1)  # so trees grow in several steps
+    written, keep = {}, vector_dedup.materialise
+
+    def watched(df, purpose):
+        out = keep(df, purpose)
+        written[purpose] = max(written.get(purpose, 0), out.count())
+        return out
+
+    monkeypatch.setattr(vector_dedup, "materialise", watched)
+    rng = np.random.default_rng(8)
+    points = rng.standard_normal((300, 8))
+    points = np.concatenate((points, points + 0.02 * rng.standard_normal((300, 8))))
+    rows = [(i, x, i % 3) for i, x in enumerate(points.tolist())]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")
+    got = [tuple(r) for r in vector_dedup.near_duplicate_vectors(df, 0.98, largest_leaf=64).collect()]
+    want = plain_groups(rows, 0.98)
+    assert sum(r[1] for r in got) >= 0.95 * sum(r[1] for r in want) > 0
+    assert max(written.values()) <= len(rows)
+
+
+def test_one_batch_reaches_the_leaves_of_many_nodes():
+    """All groups and nodes of a batch go down a tree together: as a walk of each vector by itself does."""
+    rng = np.random.default_rng(9)
+    groups = np.array([7, -5, 3])
+    forest = vector_dedup._Forest(groups, range(2))
+    unit, grp, jitter = vector_dedup._unit(rng.standard_normal((500, 6))), rng.choice(groups, 500), rng.random(500)
+    nodes = {}  # leaf: level, edges, first of the leaves below it
+
+    def cut(leaf, level, levels):
+        first = len(forest.depth)
+        edges = np.sort(rng.normal(0, 0.5, ((1 << levels) - 1, 2)))
+        forest.grow({leaf: edges})
+        nodes[leaf] = (level, edges, first)
+        return first
+
+    below = [cut(leaf, 0, 1 + leaf % 3) for leaf in range(6) if leaf != 4]
+    cut(below[0] + 1, 1, 2)
+    for tree in range(2):
+        directions = vector_dedup._directions(tree, 8, 6)
+        want = set()
+
+        def walk(i, leaf):
+            if leaf not in nodes:
+                want.add((i, leaf))
+                return
+            level, edges, first = nodes[leaf]
+            at = [(0, level)]
+            while at:
+                node, k = at.pop()
+                if node >= len(edges):
+                    walk(i, first + node - len(edges))
+                    continue
+                along = unit[i] @ directions[k] + 1e-7 * jitter[i]
+                if along <= edges[node, 1]:
+                    at.append((2 * node + 1, k + 1))
+                if along >= edges[node, 0]:
+                    at.append((2 * node + 2, k + 1))
+
+        for i in range(500):
+            walk(i, sorted(groups).index(grp[i]) * 2 + tree)
+        rows, leaf = forest.leaves(grp, unit, jitter, tree)
+        assert len(rows) == len(want) > 500 and set(zip(rows.tolist(), leaf.tolist())) == want
+
+
 def test_given_vectors(vectors):
     rows = [(r.vec_id, r.embedding, r.label) for r in vectors.collect()]
     got = [tuple(r) for r in vector_dedup.near_duplicate_vectors(vectors, 0.4).collect()]
